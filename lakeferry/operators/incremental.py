@@ -125,7 +125,7 @@ def merge_upsert(
     valid, _ = split_null_keys(delta, keys)
     newest = latest_per_key(valid, keys, watermark, tiebreak)
     if base_unique:
-        return _merge_by_join(base, newest, keys, watermark)
+        return _merge_by_join(base, valid, newest, keys, watermark)
     keyed, keyless = split_null_keys(base, keys)
     tagged = keyed.withColumn(ORIGIN, F.lit(0)).unionByName(newest.withColumn(ORIGIN, F.lit(1)))
     merged = _first_per_key(tagged, keys, [watermark, ORIGIN, *tiebreak]).drop(ORIGIN)
@@ -133,7 +133,7 @@ def merge_upsert(
 
 
 def _merge_by_join(
-    base: DataFrame, newest: DataFrame, keys: Sequence[str], watermark: str
+    base: DataFrame, valid: DataFrame, newest: DataFrame, keys: Sequence[str], watermark: str
 ) -> DataFrame:
     b, d = base.alias("b"), newest.withColumn(HIT, F.lit(True)).alias("d")
     same_key = [F.col(f"b.{quote(k)}") == F.col(f"d.{quote(k)}") for k in keys]
@@ -148,7 +148,8 @@ def _merge_by_join(
     # Only key columns of the base are read for this, and at most the delta's
     # keys leave the semi join.
     names = [quote(k) for k in keys]
-    known = base.select(*names).join(newest.select(*names), list(keys), "left_semi")
+    changed = valid.select(*names).distinct()
+    known = base.select(*names).join(changed, list(keys), "left_semi")
     inserted = newest.join(known, list(keys), "left_anti").select(*[quote(c) for c in base.columns])
     return kept_or_updated.unionByName(inserted)
 

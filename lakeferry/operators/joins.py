@@ -44,21 +44,25 @@ def join_lookup(
     spread_by: Sequence[str],
     how: str = "inner",
     salts: int = DEFAULT_SALTS,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Join rows to a lookup that has one row per key, where one key may hold most rows.
 
-    Spark broadcasts the lookup when its size is below the session threshold.
-    Beyond it the join shuffles, and each key is spread over ``salts`` tasks: the
-    lookup row is repeated per salt, and every fact takes the salt its
-    ``spread_by`` columns hash to. The lookup key is dropped from the result.
+    A lookup counted to at most ``broadcast_rows`` is broadcast, and no fact is
+    shuffled. A larger one is joined by a shuffle that spreads each key over
+    ``salts`` tasks: the lookup row is repeated per salt, and every fact takes
+    the salt its ``spread_by`` columns hash to. The lookup key is not returned.
     """
     if how not in ("inner", "left"):
-        raise ValueError(f"a salted lookup join cannot be {how!r}")
-    salted_facts = facts.withColumn(
-        SALT, F.pmod(F.xxhash64(*[F.col(c) for c in spread_by]), F.lit(salts)).cast("int")
-    )
-    salted_lookup = lookup.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    condition = (salted_facts[fact_key] == salted_lookup[lookup_key]) & (
-        salted_facts[SALT] == salted_lookup[SALT]
-    )
-    return salted_facts.join(salted_lookup, condition, how).drop(SALT, salted_lookup[lookup_key])
+        raise ValueError(f"a lookup join cannot be {how!r}")
+    key = "_lookup_key"
+    lookup = lookup.withColumnRenamed(lookup_key, key)
+    on = F.col(quote(fact_key)) == F.col(key)
+    if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        return facts.join(F.broadcast(lookup), on, how).drop(key)
+    salt = F.pmod(F.xxhash64(*[F.col(quote(c)) for c in spread_by]), F.lit(salts)).cast("int")
+    repeated = lookup.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = facts.withColumn("_fact_salt", salt)
+    return salted.join(
+        repeated.hint("merge"), on & (F.col("_fact_salt") == F.col(SALT)), how
+    ).drop(key, SALT, "_fact_salt")

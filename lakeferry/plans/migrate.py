@@ -6,10 +6,10 @@ import json
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 
 from lakeferry.functions.names import qualified
-from lakeferry.model import WRITE_MODES, MigrationResult, PartitionSpec, TableSpec
+from lakeferry.model import MigrationResult, PartitionSpec, TableSpec
 from lakeferry.operators.cleanse import (
     active_rows,
     apply_partition_spec,
@@ -21,6 +21,7 @@ from lakeferry.sinks.tables import (
     check_no_overlap,
     default_table_format,
     register_table,
+    write_mode,
     write_table,
 )
 from lakeferry.sources.landed import landed_root, scan_landed
@@ -51,15 +52,13 @@ def migrate_table(spark: SparkSession, spec: TableSpec) -> MigrationResult:
     are counted while they are written.
     """
     root = landed_root(spec.src_dir, spec.fmt)
-    if spec.mode not in WRITE_MODES:
-        raise ValueError(f"unknown write mode {spec.mode!r}, expected one of {WRITE_MODES}")
+    mode = write_mode(spec.mode)
     check_no_overlap(root, spec.target_dir)
     table_format = spec.table_format or default_table_format(spark)
     df, partition_by = prepare_table(spark, spec)
 
     counted = Observation()
-    observed = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-    write_table(observed, spec.target_dir, spec.mode, table_format, partition_by, spec.cluster)
+    write_table(df, spec.target_dir, mode, table_format, partition_by, spec.cluster, counted)
     if spec.register:
         register_table(
             spark,

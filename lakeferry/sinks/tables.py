@@ -6,7 +6,7 @@ import posixpath
 from collections.abc import Sequence
 from urllib.parse import urlsplit
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from lakeferry.functions.names import folded, qualified, quote, require_columns
 from lakeferry.model import WRITE_MODES
@@ -18,6 +18,14 @@ def default_table_format(spark: SparkSession) -> str:
     return "delta" if "DeltaSparkSessionExtension" in extensions else "parquet"
 
 
+def write_mode(mode: str) -> str:
+    """The mode in lower case; raises for anything but overwrite and append."""
+    lowered = mode.lower()
+    if lowered not in WRITE_MODES:
+        raise ValueError(f"unknown write mode {mode!r}, expected one of {WRITE_MODES}")
+    return lowered
+
+
 def check_no_overlap(source: str, target: str) -> None:
     """Refuse a target that holds, equals or lies in its source.
 
@@ -49,6 +57,7 @@ def write_table(
     fmt: str | None = None,
     partition_by: Sequence[str] = (),
     cluster: str = "none",
+    counted: Observation | None = None,
 ) -> None:
     """Write ``df`` below ``path``; ``append`` adds, ``overwrite`` replaces.
 
@@ -56,14 +65,18 @@ def write_table(
     that few files are written per partition. The rebalance hint leaves it to
     adaptive execution to split a hot partition over many tasks and to join
     small ones; ``repartition`` would send a hot partition to one task.
+
+    ``counted`` receives ``rows``, observed in the writing stage itself: a
+    shuffle stage run again after a lost executor cannot count rows twice.
     """
-    if mode not in WRITE_MODES:
-        raise ValueError(f"unknown write mode {mode!r}, expected one of {WRITE_MODES}")
+    mode = write_mode(mode)
     if cluster not in ("none", "rebalance"):
         raise ValueError(f"unknown clustering {cluster!r}")
     check_partitioning(df, partition_by)
     if cluster == "rebalance":
         df = df.hint("rebalance", *[F.col(quote(c)) for c in partition_by])
+    if counted is not None:
+        df = df.observe(counted, F.count(F.lit(1)).alias("rows"))
     writer = df.write.format(fmt or default_table_format(df.sparkSession)).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

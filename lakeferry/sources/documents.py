@@ -25,8 +25,16 @@ PLAN_SEPARATOR = "|"
 DUMP_SEPARATOR = ","
 LOG_SEPARATOR = ","
 
-# RFC-4180 quoting; NUL_TEXT tells a null from an empty string.
-QUOTING = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", "emptyValue": ""}
+# Quotes are doubled inside quoted values and blanks belong to the value. A null
+# is an empty field, so an empty text reads back as null.
+QUOTING = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "multiLine": "true",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def read_tables(spark: SparkSession, path: str) -> DataFrame:

@@ -6,6 +6,7 @@ import datetime as dt
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lakeferry.functions.dates import (
     DERIVE_FORMATS,
@@ -169,7 +170,8 @@ def derived_between(spark: SparkSession, sf_dir: str) -> DataFrame:
         write_table(lines, path, "overwrite", "parquet", ["ship_month"], cluster="rebalance")
 
     path = fx.once(spark, sf_dir, "lineitem-by-month", write)
-    schema = fx.table(spark, sf_dir, "lineitem").schema.add("ship_month", "string")
+    fields = fx.table(spark, sf_dir, "lineitem").schema.fields
+    schema = StructType([*fields, StructField("ship_month", StringType())])
     lines = spark.read.schema(schema).parquet(path)
     lo, hi = dt.datetime(1997, 3, 10), dt.datetime(1998, 2, 20)
     return (
