@@ -73,6 +73,11 @@ class TableSpec:
     the scan's own splits (no shuffle; right when the landed tree is already
     grouped by partition), ``"rebalance"`` shuffles by partition value and lets
     adaptive execution cut hot partitions into evenly sized files.
+
+    ``publish`` is ``"direct"`` (write into ``target_dir``) or ``"swap"``: write a
+    new directory below it and point the table there once it is complete, so that
+    a failed load leaves the former table as it was. Superseded directories stay
+    until nobody reads them; removing them is up to the caller.
     """
 
     src_dir: str
@@ -91,6 +96,7 @@ class TableSpec:
     strict_reference: bool = False
     active_only: bool = False
     register: bool = True
+    publish: str = "direct"
 
 
 @dataclass(frozen=True)
@@ -147,10 +153,35 @@ SOURCE_DOCUMENT = (
     f"sourceSubtype string, hdfs_path string, isPublic boolean, connection {CONNECTION}"
 )
 
+# The fields a converted source must have, per kind of source.
+REQUIRED_SOURCE_FIELDS = {
+    "rdbms": CONNECTION_FIELDS + ("hive_schema", "sourceType", "sourceSubtype"),
+    "sfdc": (
+        "fileType",
+        "api_version",
+        "connection_string",
+        "environment",
+        "fetch_mechanism",
+        "username",
+        "hive_schema",
+        "sourceType",
+        "sourceSubtype",
+    ),
+}
+EXPORTED_CONNECTION_FIELDS = CONNECTION_FIELDS + (
+    "fileType",
+    "api_version",
+    "environment",
+    "fetch_mechanism",
+)
+EXPORTED_CONNECTION = (
+    "struct<" + ",".join(f"{name}:string" for name in EXPORTED_CONNECTION_FIELDS) + ">"
+)
+
 TYPED_ID = "struct<`$type`:string,`$value`:string>"
 CONFIG_ENVELOPE = (
     "source struct<hive_schema:string,sourceType:string,sourceSubtype:string,"
-    f"connection:{CONNECTION}>, "
+    f"connection:{EXPORTED_CONNECTION}>, "
     f"tables array<struct<entity_type:string,entity_id:{TYPED_ID},"
     "configuration:struct<`table`:string,"
     f"ingestion_configuration:{INGESTION_CONFIGURATION}>>>, "
@@ -186,6 +217,8 @@ SOURCE_DUMP_COLUMNS = tuple(f"connection.{name}" for name in CONNECTION_FIELDS)
     "hdfs_path",
     "isPublic",
 )
+JOB = "job_id bigint"
+
 SOURCE_DUMP = ", ".join(
     f"`{name}` {'boolean' if name == 'isPublic' else 'string'}" for name in SOURCE_DUMP_COLUMNS
 )

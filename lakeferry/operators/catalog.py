@@ -44,8 +44,8 @@ def of_sources(tables: DataFrame, source_ids: Sequence[str] | DataFrame) -> Data
         return tables.where(F.col("source").isin(*source_ids))
     else:
         ids = tables.sparkSession.createDataFrame([(i,) for i in source_ids], "source string")
-    ids = ids.toDF("source").distinct()
-    return tables.join(ids, "source", "left_semi")
+    ids = ids.toDF("id").distinct()
+    return join_lookup(tables, ids, {"source": "id"}, ["table_id"], "left_semi")
 
 
 def plan_tables(
@@ -92,7 +92,7 @@ def plan_migration(
         "sourceSubtype",
     )
     rows = plan_tables(tables, source_ids)
-    joined = join_lookup(rows, described, "source_id", "src_id", spread_by=["table_id"])
+    joined = join_lookup(rows, described, {"source_id": "src_id"}, spread_by=["table_id"])
     return joined.select(*PLAN_COLUMNS)
 
 
@@ -223,9 +223,20 @@ def idle_jobs(jobs: DataFrame, runs: DataFrame) -> DataFrame:
     )
 
 
-def existing(df: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose keys occur in ``target``."""
-    return df.join(target.select(*keys).distinct(), list(keys), "left_semi")
+def existing(
+    df: DataFrame, target: DataFrame, keys: Sequence[str], spread_by: Sequence[str] = ()
+) -> DataFrame:
+    """Rows whose keys occur in ``target``; ``spread_by`` names their id columns."""
+    known = target.select(*[quote(k) for k in keys]).distinct()
+    return join_lookup(df, known, {k: k for k in keys}, spread_by or keys, "left_semi")
+
+
+def find_one(df: DataFrame, key: Mapping[str, object], order_by: Sequence[str]) -> DataFrame:
+    """The first row with the given key values, in a stated order."""
+    found = df
+    for name, value in key.items():
+        found = found.where(F.col(quote(name)) == F.lit(value))
+    return found.orderBy(*order_by).limit(1)
 
 
 def update_where(df: DataFrame, condition: Column, assignments: Mapping[str, object]) -> DataFrame:

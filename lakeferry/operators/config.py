@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeferry.functions.columns import PARTITION_KEYS, is_extracted, is_regex, non_empty
 from lakeferry.functions.dates import derive_format, spaced
-from lakeferry.model import FULL_LOAD, INCREMENTAL_SYNC_TYPES
+from lakeferry.model import FULL_LOAD, INCREMENTAL_SYNC_TYPES, REQUIRED_SOURCE_FIELDS
 from lakeferry.operators.catalog import overlay
 
 # Defaults of a target table and of a target table group.
@@ -109,7 +109,7 @@ def is_incremental() -> Column:
 
 
 def is_sfdc() -> Column:
-    return F.lower("source_type").eqNullSafe("sfdc")
+    return F.col("source_type").eqNullSafe("sfdc")
 
 
 def subtype_is(*names: str) -> Column:
@@ -137,8 +137,14 @@ def rejection_col() -> Column:
         lambda k: is_extracted(k) & derive_format(k["partition_key_derive_function"]).isNull(),
     )
     split_function = ingestion("split_by_key_derive_function")
+    kind = F.col("source_type")
+    known = kind.isin(*REQUIRED_SOURCE_FIELDS)
     return (
         F.when(
+            ~F.coalesce(known, F.lit(False)),
+            F.concat(F.lit("unsupported source type: "), F.coalesce(kind, F.lit("none"))),
+        )
+        .when(
             ~F.coalesce(supported, F.lit(False)),
             F.concat(F.lit("unsupported sync type: "), F.coalesce(sync, F.lit("none"))),
         )
@@ -219,14 +225,20 @@ def convert_groups(
     )
 
 
-def overlay_source(sources: DataFrame, required: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
-    """The strict overlay: every required field must be configured.
+def convert_sources(sources: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The strict overlay: every field its kind of source requires must be configured.
 
-    Returns complete rows, and incomplete ones with the names missing.
+    Returns complete sources, and the others with the names missing; a source of
+    an unknown kind is not complete.
     """
-    missing = F.concat_ws(
-        ",", *[F.when(F.col(name).isNull(), F.lit(name)) for name in required]
-    )
+    known = {
+        kind: F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in required])
+        for kind, required in REQUIRED_SOURCE_FIELDS.items()
+    }
+    missing = F.lit("supported source type")
+    for kind, names in known.items():
+        missing = F.when(F.col("source_type") == kind, names).otherwise(missing)
     checked = sources.withColumn("missing", missing)
-    complete = checked.where(F.col("missing") == "").drop("missing")
-    return complete, checked.where(F.col("missing") != "")
+    return checked.where(F.col("missing") == "").drop("missing"), checked.where(
+        F.col("missing") != ""
+    )

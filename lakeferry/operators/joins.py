@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -36,11 +36,13 @@ def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+LOOKUP_JOINS = ("inner", "left", "left_semi", "left_anti")
+
+
 def join_lookup(
     facts: DataFrame,
     lookup: DataFrame,
-    fact_key: str,
-    lookup_key: str,
+    on: Mapping[str, str],
     spread_by: Sequence[str],
     how: str = "inner",
     salts: int = DEFAULT_SALTS,
@@ -48,21 +50,24 @@ def join_lookup(
 ) -> DataFrame:
     """Join rows to a lookup that has one row per key, where one key may hold most rows.
 
-    A lookup counted to at most ``broadcast_rows`` is broadcast, and no fact is
-    shuffled. A larger one is joined by a shuffle that spreads each key over
-    ``salts`` tasks: the lookup row is repeated per salt, and every fact takes
-    the salt its ``spread_by`` columns hash to. The lookup key is not returned.
+    ``on`` names the lookup column of each fact column. A lookup counted to at
+    most ``broadcast_rows`` is broadcast, and no fact is shuffled. A larger one
+    is joined by a shuffle that spreads each key over ``salts`` tasks: the lookup
+    row is repeated per salt, and every fact takes the salt its ``spread_by``
+    columns hash to. The lookup's key columns are not returned.
     """
-    if how not in ("inner", "left"):
+    if how not in LOOKUP_JOINS:
         raise ValueError(f"a lookup join cannot be {how!r}")
-    key = "_lookup_key"
-    lookup = lookup.withColumnRenamed(lookup_key, key)
-    on = F.col(quote(fact_key)) == F.col(key)
+    condition, keys = F.lit(True), []
+    for i, (fact_key, lookup_key) in enumerate(on.items()):
+        keys.append(f"_lookup_{i}")
+        lookup = lookup.withColumnRenamed(lookup_key, keys[-1])
+        condition = condition & (F.col(quote(fact_key)) == F.col(keys[-1]))
     if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        return facts.join(F.broadcast(lookup), on, how).drop(key)
+        return facts.join(F.broadcast(lookup), condition, how).drop(*keys)
     salt = F.pmod(F.xxhash64(*[F.col(quote(c)) for c in spread_by]), F.lit(salts)).cast("int")
     repeated = lookup.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = facts.withColumn("_fact_salt", salt)
     return salted.join(
-        repeated.hint("merge"), on & (F.col("_fact_salt") == F.col(SALT)), how
-    ).drop(key, SALT, "_fact_salt")
+        repeated.hint("merge"), condition & (F.col("_fact_salt") == F.col(SALT)), how
+    ).drop(*keys, SALT, "_fact_salt")

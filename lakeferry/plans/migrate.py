@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 
@@ -54,23 +55,24 @@ def migrate_table(spark: SparkSession, spec: TableSpec) -> MigrationResult:
     root = landed_root(spec.src_dir, spec.fmt)
     mode = write_mode(spec.mode)
     check_no_overlap(root, spec.target_dir)
+    path = publish_path(spec, mode)
     table_format = spec.table_format or default_table_format(spark)
     df, partition_by = prepare_table(spark, spec)
 
     counted = Observation()
-    write_table(df, spec.target_dir, mode, table_format, partition_by, spec.cluster, counted)
+    write_table(df, path, mode, table_format, partition_by, spec.cluster, counted)
     if spec.register:
         register_table(
             spark,
             spec.database,
             spec.table,
-            spec.target_dir,
+            path,
             table_format,
             df.schema.toDDL(),
             partition_by,
         )
     return MigrationResult(
-        target_dir=spec.target_dir,
+        target_dir=path,
         table_name=qualified(spec.database, spec.table),
         table_format=table_format,
         rows_written=counted.get["rows"],
@@ -79,6 +81,16 @@ def migrate_table(spark: SparkSession, spec: TableSpec) -> MigrationResult:
     )
 
 
+def publish_path(spec: TableSpec, mode: str) -> str:
+    if spec.publish == "direct":
+        return spec.target_dir
+    if spec.publish != "swap":
+        raise ValueError(f"unknown publishing {spec.publish!r}")
+    if mode != "overwrite" or not spec.register:
+        raise ValueError("only a registered table that is overwritten can be swapped")
+    return f"{spec.target_dir.rstrip('/')}/load={uuid.uuid4().hex}"
+
+
 def spec_from_plan(row: Row, **options: object) -> TableSpec:
     """The table spec of one resolved plan row (see ``catalog.resolve_targets``)."""
     return TableSpec(
@@ -117,7 +129,7 @@ def migrate_batch(
             row["table_name"],
             SUCCEEDED,
             result.rows_written,
-            row["target_dir"],
+            result.target_dir,
             None,
         )
 

@@ -6,12 +6,13 @@ is spent on inference.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakeferry.functions.documents import millis_date, typed_id
 from lakeferry.functions.names import quote
 from lakeferry.model import (
     CONFIG_ENVELOPE,
+    JOB,
     PLAN,
     PLAN_COLUMNS,
     SOURCE_DOCUMENT,
@@ -50,6 +51,29 @@ def read_envelopes(spark: SparkSession, path: str, multi_line: bool = True) -> D
     return spark.read.schema(CONFIG_ENVELOPE).option("multiLine", multi_line).json(path)
 
 
+def read_jobs(spark: SparkSession, path: str) -> DataFrame:
+    """Exported job or run records, one per line; of a run only its job matters."""
+    return spark.read.schema(JOB).json(path)
+
+
+def source_kind() -> Column:
+    """``sfdc`` for Salesforce-like sources, else the source's type."""
+    kind = F.lower("source.sourceType")
+    is_salesforce = F.lower("source.sourceSubtype").eqNullSafe("salesforce")
+    return F.when(is_salesforce, F.lit("sfdc")).otherwise(kind)
+
+
+def envelope_sources(envelopes: DataFrame) -> DataFrame:
+    """The source of every envelope, its connection fields as columns."""
+    return envelopes.select(
+        source_kind().alias("source_type"),
+        "source.hive_schema",
+        "source.sourceType",
+        "source.sourceSubtype",
+        "source.connection.*",
+    ).distinct()
+
+
 def envelope_tables(envelopes: DataFrame) -> DataFrame:
     """One row per table of every envelope, with the fields of its source."""
     table = F.col("t.configuration")
@@ -57,7 +81,7 @@ def envelope_tables(envelopes: DataFrame) -> DataFrame:
         typed_id(F.col("t.entity_id")).alias("table_id"),
         table["table"].alias("table"),
         F.col("source.hive_schema").alias("hive_schema"),
-        F.col("source.sourceType").alias("source_type"),
+        source_kind().alias("source_type"),
         F.col("source.sourceSubtype").alias("source_subtype"),
         table["ingestion_configuration"].alias("ingestion_configuration"),
     )
@@ -68,7 +92,7 @@ def envelope_groups(envelopes: DataFrame) -> DataFrame:
     group = F.col("g.configuration")
     return envelopes.select("source", F.explode("table_groups").alias("g")).select(
         typed_id(F.col("g.entity_id")).alias("group_id"),
-        F.col("source.sourceType").alias("source_type"),
+        source_kind().alias("source_type"),
         group["name"].alias("name"),
         group["max_connections"].alias("max_connections"),
         group["max_parallel_entities"].alias("max_parallel_entities"),

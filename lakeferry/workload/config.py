@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeferry.operators.catalog import grant_sources, update_where
-from lakeferry.operators.config import convert_groups, convert_tables, overlay_source
+from lakeferry.operators.config import convert_groups, convert_sources, convert_tables
 from lakeferry.operators.state import FAILED, STATE, SUCCEEDED, apply_state
-from lakeferry.sources.documents import envelope_groups, envelope_tables
+from lakeferry.sources.documents import envelope_groups, envelope_sources, envelope_tables
 from lakeferry.workload import fixtures as fx
 from lakeferry.workload.plan import SOURCE, SUBTYPE, SYNC
 
@@ -61,11 +61,10 @@ def config_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def config_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Complete and incomplete sources under the strict overlay."""
-    sources = fx.source_documents(spark, sf_dir).select("src_id", "hive_schema", "connection.*")
-    required = tuple(c for c in sources.columns if c != "src_id")
-    complete, incomplete = overlay_source(sources, required)
-    return complete.select("src_id", F.lit("").alias("missing")).unionByName(
-        incomplete.select("src_id", "missing")
+    complete, incomplete = convert_sources(envelope_sources(fx.envelopes(spark, sf_dir)))
+    columns = ["hive_schema", "source_type"]
+    return complete.select(*columns, F.lit("").alias("missing")).unionByName(
+        incomplete.select(*columns, "missing")
     )
 
 
@@ -118,10 +117,11 @@ QUERIES = {
     "state_update": state_update,
 }
 
-_SFDC = "s_suppkey % 5 = 4"
+_SFDC = "s_suppkey % 10 = 4"
 _DERIVED = "p_partkey % 4 IN (2, 3)"
 _REASON = f"""
-CASE WHEN p_size % 4 = 3 THEN 'unsupported sync type: query-based'
+CASE WHEN s_suppkey % 10 = 9 THEN 'unsupported source type: file'
+     WHEN p_size % 4 = 3 THEN 'unsupported sync type: query-based'
      WHEN {_DERIVED} AND p_partkey % 11 = 0 THEN 'unknown split derive function' END"""
 _TABLES = f"""
 SELECT part.*, supplier.*, {SYNC} AS sync, {SUBTYPE} AS subtype, {_REASON} AS reason
@@ -179,7 +179,11 @@ SELECT 'table_group' AS entity_type, 'g' || s_suppkey AS group_id, 'group_' || s
        't' || (s_suppkey * 16) AS table_id, cast(100 AS integer) AS connection_quota
 FROM supplier""",
     "config_sources": """
-SELECT cast(s_suppkey AS varchar) AS src_id, if(s_suppkey % 6 = 0, 'username', '') AS missing
+SELECT 'supp_' || s_suppkey AS hive_schema,
+       CASE s_suppkey % 10 WHEN 4 THEN 'sfdc' WHEN 9 THEN 'file' ELSE 'rdbms' END AS source_type,
+       CASE WHEN s_suppkey % 10 = 9 THEN 'supported source type'
+            ELSE concat_ws(',', if(s_suppkey % 20 = 14, 'api_version', NULL),
+                           if(s_suppkey % 6 = 0, 'username', NULL)) END AS missing
 FROM supplier""",
     "update_where": f"""
 SELECT 't' || p_partkey AS table_id, {SOURCE} AS source,

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeferry.model import AuditProfile, MergeSpec, PartitionSpec
 from lakeferry.session import fresh_dir
-from lakeferry.sources.documents import read_envelopes, read_sources, read_tables
+from lakeferry.sources.documents import read_envelopes, read_jobs, read_sources, read_tables
 
 AUDIT = AuditProfile()
 ORDER_PARTITIONS = PartitionSpec(normal=("o_year",), drop=("o_prio_rx",))
@@ -217,8 +217,17 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         sources = source_documents(spark, sf_dir).selectExpr(
             "src_id",
             "named_struct('hive_schema', hive_schema, 'sourceType',"
-            " if(cast(src_id as int) % 5 = 4, 'sfdc', 'rdbms'), 'sourceSubtype', sourceSubtype,"
-            " 'connection', connection) as source_struct",
+            " case cast(src_id as int) % 10 when 4 then 'crm' when 9 then 'file'"
+            " else 'rdbms' end, 'sourceSubtype',"
+            " if(cast(src_id as int) % 10 = 4, 'salesforce', sourceSubtype),"
+            " 'connection', named_struct('driver_name', connection.driver_name,"
+            " 'schema', connection.schema, 'database', connection.database,"
+            " 'connection_method', connection.connection_method,"
+            " 'connection_string', connection.connection_string,"
+            " 'username', connection.username, 'fileType', 'salesforce',"
+            " 'environment', 'sandbox', 'fetch_mechanism', 'rest',"
+            " 'api_version', if(cast(src_id as int) % 20 = 4, '43.0', null)))"
+            " as source_struct",
             "array(named_struct('entity_type', 'table_group', 'entity_id',"
             " named_struct('$type', 'oid', '$value', concat('g', src_id)), 'configuration',"
             " named_struct('name', concat('group_', src_id), 'max_connections',"
@@ -257,6 +266,24 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_envelopes(spark, path, multi_line=False)
 
 
+# --- G: jobs ------------------------------------------------------------------
+
+
+def job_records(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All jobs, and their active runs."""
+
+    def write_jobs(path: str) -> None:
+        table(spark, sf_dir, "customer").selectExpr("c_custkey as job_id", "c_name").write.json(path)
+
+    def write_runs(path: str) -> None:
+        table(spark, sf_dir, "orders").where("o_orderstatus = 'O'").selectExpr(
+            "o_custkey as job_id", "o_orderkey as run_id"
+        ).write.json(path)
+
+    jobs = once(spark, sf_dir, "jobs", write_jobs)
+    return read_jobs(spark, jobs), read_jobs(spark, once(spark, sf_dir, "runs", write_runs))
+
+
 # --- E: incremental orders ----------------------------------------------------
 
 

@@ -134,13 +134,11 @@ def source_descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def existing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = fx.source_documents(spark, sf_dir)
     target = sources.where("cast(src_id as bigint) % 5 < 4")
-    return catalog.existing(sources, target, ["name"]).select("src_id", "name")
+    return catalog.existing(sources, target, ["name"], ["src_id"]).select("src_id", "name")
 
 
 def idle_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    jobs = fx.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("job_id"))
-    runs = fx.table(spark, sf_dir, "orders").where("o_orderstatus = 'O'")
-    return catalog.idle_jobs(jobs, runs.select(F.col("o_custkey").alias("job_id")))
+    return catalog.idle_jobs(*fx.job_records(spark, sf_dir))
 
 
 QUERIES = {

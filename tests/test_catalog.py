@@ -99,24 +99,27 @@ def test_plan_of_unknown_source_drops_out(spark):
     assert [r.table_id for r in plan.collect()] == ["t1"]
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("how", joins.LOOKUP_JOINS)
 def test_salted_lookup_equals_broadcast_lookup(spark, how):
     facts = spark.range(0, 5000).selectExpr("id", "if(id % 3 = 0, 0, id % 700) as k", "id * 2 as v")
     lookup = spark.range(0, 500).selectExpr("id as k", "concat('n', id) as name")
-    small = joins.join_lookup(facts, lookup, "k", "k", ["id"], how)
-    large = joins.join_lookup(facts, lookup, "k", "k", ["id"], how, salts=4, broadcast_rows=10)
-    assert small.columns == large.columns == ["id", "k", "v", "name"]
+    small = joins.join_lookup(facts, lookup, {"k": "k"}, ["id"], how)
+    large = joins.join_lookup(
+        facts, lookup, {"k": "k"}, ["id"], how, salts=4, broadcast_rows=10
+    )
+    looked_up = ["name"] if how in ("inner", "left") else []
+    assert small.columns == large.columns == ["id", "k", "v", *looked_up]
     assert bag(small) == bag(large)
     assert "BroadcastHashJoin" in explained(small)
     assert "SortMergeJoin" in explained(large) and "Broadcast" not in explained(large)
     with pytest.raises(ValueError):
-        joins.join_lookup(facts, lookup, "k", "k", ["id"], "right")
+        joins.join_lookup(facts, lookup, {"k": "k"}, ["id"], "right")
 
 
 def test_salt_spreads_a_hot_key(spark):
     facts = spark.range(0, 4000).selectExpr("id", "0 as k")
     lookup = spark.range(0, 50).selectExpr("id as k", "id as name")
-    joined = joins.join_lookup(facts, lookup, "k", "k", ["id"], salts=16, broadcast_rows=0)
+    joined = joins.join_lookup(facts, lookup, {"k": "k"}, ["id"], salts=16, broadcast_rows=0)
     setting = "spark.sql.adaptive.coalescePartitions.enabled"
     spark.conf.set(setting, "false")
     try:
@@ -250,6 +253,12 @@ def test_existing(spark):
     assert rows(catalog.existing(left, right, ["k"])) == [("a", 1), ("a", 3)]
 
 
+def test_find_one(spark):
+    df = spark.createDataFrame([("a", 2, 1), ("a", 1, 2), ("b", 0, 3)], "k string, n int, v int")
+    assert rows(catalog.find_one(df, {"k": "a"}, ["n"])) == [("a", 1, 2)]
+    assert catalog.find_one(df, {"k": "a", "n": 9}, ["n"]).count() == 0
+
+
 def test_update_where(spark):
     df = spark.createDataFrame([("a", 1, 1), (None, 2, 2), ("b", 3, 3)], "k string, v bigint, w int")
     out = catalog.update_where(df, F.col("k") == "a", {"v": F.col("w") + 10, "w": F.col("v") + 20})

@@ -5,10 +5,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from lakeferry.operators.config import convert_groups, convert_tables, overlay_source
+from lakeferry.operators.config import convert_groups, convert_sources, convert_tables
 from lakeferry.sources.documents import (
     envelope_exports,
     envelope_groups,
+    envelope_sources,
     envelope_tables,
     read_envelopes,
 )
@@ -100,8 +101,8 @@ def test_sfdc(load):
         load,
         fields,
         {**fields, "sync_type": "cdc-timestamp-column", "timestamp_column_update": "t"},
-        source_type="SFDC",
-        subtype="oracle",
+        source_type="crm",
+        subtype="Salesforce",
     )
     for row in configs.values():
         assert row.watermark_column == "SystemModstamp"
@@ -177,7 +178,7 @@ def test_groups(load):
         "tables": [{"table_id": {"$type": "oid", "$value": "t"}, "connection_quota": 100}],
         "source": {"$type": "oid", "$value": "s"},
     }
-    loaded = load(envelope([], groups=[group, {}]), envelope([], "sfdc", groups=[group]))
+    loaded = load(envelope([], groups=[group, {}]), envelope([], "sfdc", "x", groups=[group]))
     converted = convert_groups(envelope_groups(loaded), "c1").orderBy("job_name", "group_id")
     plain, empty, sfdc = converted.collect()
     assert (plain["name"], plain.max_connections, plain.max_parallel_entities) == ("g", 5, 1)
@@ -194,8 +195,31 @@ def test_export_stamp(load):
     assert tuple(row) == ("h", "2020-04-28 06:33:45.711", "admin")
 
 
-def test_strict_overlay(spark):
-    df = spark.createDataFrame([("1", "a", "b"), ("2", None, "b"), ("3", None, None)], "id string, x string, y string")
-    complete, incomplete = overlay_source(df, ("x", "y"))
-    assert [r.id for r in complete.collect()] == ["1"]
-    assert {(r.id, r.missing) for r in incomplete.collect()} == {("2", "x"), ("3", "x,y")}
+def test_strict_overlay(load):
+    rdbms = ("driver_name", "schema", "database", "connection_method", "connection_string", "username")
+    sfdc = ("fileType", "api_version", "connection_string", "environment", "fetch_mechanism", "username")
+    documents = []
+    for kind, subtype, fields in [
+        ("RDBMS", "oracle", rdbms),
+        ("rdbms", "oracle", rdbms[1:-1]),
+        ("crm", "salesforce", sfdc),
+        ("crm", "salesforce", sfdc[2:]),
+        ("file", "csv", rdbms),
+    ]:
+        document = envelope([], kind, subtype)
+        document["source"]["connection"] = {f: "x" for f in fields} | {"password": "p"}
+        document["source"]["hive_schema"] = f"h{len(documents)}"
+        documents.append(document)
+    complete, incomplete = convert_sources(envelope_sources(load(*documents)))
+    assert sorted(r.hive_schema for r in complete.collect()) == ["h0", "h2"]
+    assert {(r.hive_schema, r.missing) for r in incomplete.collect()} == {
+        ("h1", "driver_name,username"),
+        ("h3", "fileType,api_version"),
+        ("h4", "supported source type"),
+    }
+    assert "password" not in complete.columns
+
+
+def test_unknown_source_types_are_rejected(load):
+    _, rejected = convert(load, {}, source_type="file")
+    assert rejected == {"t0": "unsupported source type: file"}

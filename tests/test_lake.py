@@ -212,6 +212,23 @@ def test_overwrite_replaces_and_append_adds(spark, spec):
     assert spark.table(name).groupBy("id").count().where("count = 2").count() == 12
 
 
+def test_swap_keeps_the_former_table_when_a_load_fails(spark, spec):
+    swap = replace(spec, publish="swap")
+    first = migrate_table(spark, swap)
+    second = migrate_table(spark, swap)
+    assert first.target_dir != second.target_dir
+    assert spark.table(second.table_name).count() == 12
+    assert Path(first.target_dir).exists()
+    # An unreadable landed file ends the load in the middle of its write.
+    (Path(spec.src_dir) / "merged" / "parquet" / "zz.parquet").write_bytes(b"PAR1 broken PAR1")
+    with pytest.raises(Exception):
+        migrate_table(spark, swap)
+    assert spark.table(second.table_name).count() == 12
+    for bad in ({"mode": "append"}, {"register": False}, {"publish": "later"}):
+        with pytest.raises(ValueError):
+            migrate_table(spark, replace(swap, **bad))
+
+
 def test_active_only_is_pushed_to_the_scan(spark, spec):
     """D9."""
     assert prepare_table(spark, spec)[0].count() == 12
