@@ -108,12 +108,12 @@ def table_counts(tables: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("table_count"))
 
 
-def resolve_targets(plan: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Match plan rows to target documents by schema and table name.
+def match_targets(plan: DataFrame, target: DataFrame) -> DataFrame:
+    """Plan rows with the target document of their schema and table name.
 
-    Found rows gain ``target_id``, ``target_dir`` and the composed renames; rows
-    without a target come back unchanged. Where several documents share a name
-    the first by id is taken.
+    A row gains ``target_id`` and ``target_dir``, and its renames are composed
+    with the target's; without a target it keeps its renames and both are null.
+    Where several documents share a name the first by id is taken.
     """
     first = Window.partitionBy("hive_schema", "table").orderBy("table_id")
     documents = (
@@ -138,15 +138,18 @@ def resolve_targets(plan: DataFrame, target: DataFrame) -> tuple[DataFrame, Data
         "left",
     ).drop("_schema", "_table")
     onprem = F.from_json("override_columns", "map<string,string>")
-    found = (
-        joined.where(F.col("target_id").isNotNull())
-        .withColumn(
-            "override_columns", F.to_json(compose_renames(onprem, F.col("target_renames")))
-        )
-        .drop("target_renames")
-    )
-    missing = joined.where(F.col("target_id").isNull()).select(*plan.columns)
-    return found, missing
+    composed = F.to_json(compose_renames(onprem, F.col("target_renames")))
+    return joined.withColumn(
+        "override_columns",
+        F.when(F.col("target_id").isNotNull(), composed).otherwise(F.col("override_columns")),
+    ).drop("target_renames")
+
+
+def resolve_targets(plan: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Plan rows with a target, ready for ``migrate_batch``, and those without one."""
+    matched = match_targets(plan, target)
+    found = matched.where(F.col("target_id").isNotNull())
+    return found, matched.where(F.col("target_id").isNull()).select(*plan.columns)
 
 
 def source_dump(sources: DataFrame) -> tuple[DataFrame, DataFrame]:

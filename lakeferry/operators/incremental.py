@@ -110,6 +110,7 @@ def merge_upsert(
     watermark: str,
     tiebreak: Sequence[str] = (),
     base_unique: bool = False,
+    delta_unique: bool = False,
 ) -> DataFrame:
     """The latest row per natural key over both inputs; equal watermarks favour ``delta``.
 
@@ -119,26 +120,34 @@ def merge_upsert(
     ``base_unique`` states that the base holds one row per key, as every merged
     table does. Then the base is only joined: Spark broadcasts a small delta, and
     the base is neither shuffled nor sorted. Otherwise both are shuffled by key.
+    ``delta_unique`` spares reducing a delta that is reduced already.
     """
     require_columns(base, [*keys, watermark, *tiebreak])
     delta = delta.select(*[quote(c) for c in base.columns])
     valid, _ = split_null_keys(delta, keys)
-    newest = latest_per_key(valid, keys, watermark, tiebreak)
-    if base_unique:
-        return _merge_by_join(base, valid, newest, keys, watermark)
+    newest = valid if delta_unique else latest_per_key(valid, keys, watermark, tiebreak)
     keyed, keyless = split_null_keys(base, keys)
+    if base_unique:
+        changed = valid.select(*[quote(k) for k in keys])
+        if not delta_unique:
+            changed = changed.distinct()
+        return _merge_by_join(keyed, newest, changed, keys, watermark).unionByName(keyless)
     tagged = keyed.withColumn(ORIGIN, F.lit(0)).unionByName(newest.withColumn(ORIGIN, F.lit(1)))
     merged = _first_per_key(tagged, keys, [watermark, ORIGIN, *tiebreak]).drop(ORIGIN)
     return merged.unionByName(keyless)
 
 
 def _merge_by_join(
-    base: DataFrame, valid: DataFrame, newest: DataFrame, keys: Sequence[str], watermark: str
+    base: DataFrame, newest: DataFrame, changed: DataFrame, keys: Sequence[str], watermark: str
 ) -> DataFrame:
+    """Merge where both sides have unique keys; ``changed`` holds the delta's keys."""
     b, d = base.alias("b"), newest.withColumn(HIT, F.lit(True)).alias("d")
     same_key = [F.col(f"b.{quote(k)}") == F.col(f"d.{quote(k)}") for k in keys]
     old, new = F.col(f"b.{quote(watermark)}"), F.col(f"d.{quote(watermark)}")
     replaced = F.col(f"d.{HIT}") & (old.isNull() | (new >= old))
+    # Key columns too go through the expression. Passed on as they are, they would
+    # let Spark 4.1 plan the union below by partition, which fails at run time
+    # when adaptive execution has coalesced its inputs differently.
     kept_or_updated = b.join(d, same_key, "left").select(
         *[
             F.when(replaced, F.col(f"d.{quote(c)}")).otherwise(F.col(f"b.{quote(c)}")).alias(c)
@@ -148,7 +157,6 @@ def _merge_by_join(
     # Only key columns of the base are read for this, and at most the delta's
     # keys leave the semi join.
     names = [quote(k) for k in keys]
-    changed = valid.select(*names).distinct()
     known = base.select(*names).join(changed, list(keys), "left_semi")
     inserted = newest.join(known, list(keys), "left_anti").select(*[quote(c) for c in base.columns])
     return kept_or_updated.unionByName(inserted)

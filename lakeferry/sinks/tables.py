@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import posixpath
+import uuid
 from collections.abc import Sequence
 from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from lakeferry.functions.names import folded, qualified, quote, require_columns
-from lakeferry.model import WRITE_MODES
+from lakeferry.model import WRITE_MODES, MergeSpec
+from lakeferry.operators.incremental import latest_per_key, split_null_keys
 
 
 def default_table_format(spark: SparkSession) -> str:
@@ -83,6 +85,56 @@ def write_table(
     writer.save(path)
 
 
+def save_bucketed(
+    df: DataFrame, database: str, table: str, path: str, keys: Sequence[str], buckets: int
+) -> None:
+    """Save a table bucketed and sorted by its natural keys.
+
+    A later join or merge on these keys reads it without a shuffle, whatever the
+    size of the other side. Rows are brought together first, one file per bucket.
+    """
+    require_columns(df, keys)
+    spark = df.sparkSession
+    name = qualified(database, table)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(database)}")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    (
+        df.repartition(buckets, *[F.col(quote(k)) for k in keys])
+        .write.mode("overwrite")
+        .format("parquet")
+        .option("path", path)
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .saveAsTable(name)
+    )
+
+
+def merge_statement(table: str, source: str, spec: MergeSpec) -> str:
+    """The upsert of ``source`` (one row per key) into ``table``; ties favour the source."""
+    on = " AND ".join(f"t.{quote(k)} = s.{quote(k)}" for k in spec.keys)
+    stamp = quote(spec.watermark)
+    return (
+        f"MERGE INTO {table} t USING {source} s ON {on} "
+        f"WHEN MATCHED AND (t.{stamp} IS NULL OR s.{stamp} >= t.{stamp}) THEN UPDATE SET * "
+        "WHEN NOT MATCHED THEN INSERT *"
+    )
+
+
+def merge_into_table(spark: SparkSession, table: str, delta: DataFrame, spec: MergeSpec) -> None:
+    """Upsert into a table whose format supports ``MERGE``, such as Delta.
+
+    Same rule as ``merge_upsert``; rows with null keys are not merged.
+    """
+    valid, _ = split_null_keys(delta, spec.keys)
+    view = f"merge_source_{uuid.uuid4().hex}"
+    newest = latest_per_key(valid, spec.keys, spec.watermark, spec.tiebreak)
+    newest.createOrReplaceTempView(view)
+    try:
+        spark.sql(merge_statement(table, view, spec))
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def register_table(
     spark: SparkSession,
     database: str,

@@ -1,30 +1,18 @@
 """Incremental load as a file stream.
 
-A micro-batch must not rewrite a large base table. Each batch is reduced to the
-latest row per key and written to its own directory of the target,
-``delta/batch_id=<n>``; readers merge base and deltas, and ``compact`` folds
-deltas into a new base version now and then. Nothing that is being read is ever
-overwritten, and a replayed batch replaces exactly its own directory. A version
-or batch counts only once it is noted in ``commits``.
+The stream's checkpoint knows which files are loaded, so it stands in for the
+watermark. Every micro-batch becomes a batch of the merged table (see
+``plans.load``); a replayed one replaces its own directory.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from lakeferry.model import MergeSpec
-from lakeferry.operators.incremental import latest_per_key, merge_upsert, split_null_keys
-
-COMMIT = "kind string, id bigint"
-BASE, BATCH = "base", "batch"
-
-
-def publish_base(base: DataFrame, target: str, version: int = 0) -> None:
-    """Write a base version; it holds every batch with an id below ``version``."""
-    base.write.mode("overwrite").parquet(f"{target}/base/version={version}")
-    _commit(base.sparkSession, target, BASE, version)
+from lakeferry.plans.load import commit_batch, write_batch
 
 
 def stream_merge(
@@ -42,12 +30,8 @@ def stream_merge(
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        valid, keyless = split_null_keys(batch, spec.keys)
-        latest_per_key(valid, spec.keys, spec.watermark, spec.tiebreak).write.mode(
-            "overwrite"
-        ).parquet(f"{target}/delta/batch_id={batch_id}")
-        keyless.write.mode("overwrite").parquet(f"{target}/rejected/batch_id={batch_id}")
-        _commit(batch.sparkSession, target, BATCH, batch_id)
+        write_batch(batch, target, spec, batch_id)
+        commit_batch(batch.sparkSession, target, batch_id)
 
     return (
         reader.parquet(in_dir)
@@ -56,52 +40,3 @@ def stream_merge(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def read_merged(spark: SparkSession, target: str, spec: MergeSpec) -> DataFrame:
-    """The base with all committed deltas applied.
-
-    Deltas of several batches compete by watermark, and a later batch wins a tie.
-    """
-    version, batches = _committed(spark, target)
-    base = spark.read.parquet(f"{target}/base/version={version}")
-    if not batches:
-        return base
-    schema = StructType([*base.schema.fields, StructField("batch_id", LongType())])
-    delta = (
-        spark.read.schema(schema)
-        .option("basePath", f"{target}/delta")
-        .parquet(*[f"{target}/delta/batch_id={b}" for b in batches])
-    )
-    newest = latest_per_key(
-        delta, spec.keys, spec.watermark, ["batch_id", *spec.tiebreak]
-    ).drop("batch_id")
-    return merge_upsert(
-        base, newest, spec.keys, spec.watermark, spec.tiebreak, base_unique=True
-    )
-
-
-def compact(spark: SparkSession, target: str, spec: MergeSpec) -> int:
-    """Fold the committed deltas into a new base version; returns the version."""
-    version, batches = _committed(spark, target)
-    if not batches:
-        return version
-    following = max(batches) + 1
-    publish_base(read_merged(spark, target, spec), target, following)
-    return following
-
-
-def _commit(spark: SparkSession, target: str, kind: str, number: int) -> None:
-    spark.createDataFrame([(kind, number)], COMMIT).coalesce(1).write.mode("append").parquet(
-        f"{target}/commits"
-    )
-
-
-def _committed(spark: SparkSession, target: str) -> tuple[int, list[int]]:
-    """The current base version and the batches after it; one small row per commit."""
-    commits = spark.read.schema(COMMIT).parquet(f"{target}/commits")
-    version = commits.where(F.col("kind") == BASE).agg(F.max("id")).first()[0]
-    if version is None:
-        raise ValueError(f"no base version in {target}")
-    later = commits.where((F.col("kind") == BATCH) & (F.col("id") >= version))
-    return version, sorted(row.id for row in later.distinct().toLocalIterator())

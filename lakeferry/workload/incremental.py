@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lakeferry.operators import incremental as inc
 from lakeferry.operators.history import scd2_history
 from lakeferry.operators.reconcile import reconcile, row_differences
+from lakeferry.plans.load import compact, load_increment, publish_base, read_merged
 from lakeferry.session import fresh_dir
 from lakeferry.sources.jdbc import PeriodSplit, period_predicates
-from lakeferry.streaming.merge import compact, publish_base, read_merged, stream_merge
+from lakeferry.streaming.merge import stream_merge
 from lakeferry.workload import fixtures as fx
 
 LAST_TIME = "1998-01-01 00:00:00"
@@ -51,6 +52,15 @@ def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inc.incremental_merge(base, feed, KEYS, STAMP, LAST_TIME, base_unique=True)[0]
 
 
+def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored base, loaded twice from one feed: the second load finds nothing new."""
+    target = fresh_dir(spark, "load")
+    publish_base(fx.order_base(spark, sf_dir), target, watermark=LAST_TIME)
+    for _ in range(2):
+        load_increment(spark, fx.order_feed(spark, sf_dir), target, fx.ORDER_MERGE)
+    return read_merged(spark, target, fx.ORDER_MERGE)
+
+
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.event_versions(spark, sf_dir)
     return scd2_history(rows, VERSION_KEY, "ts", ["event_type"], ["event_id"])
@@ -131,6 +141,7 @@ QUERIES = {
     "merge_upsert": merge_upsert(False),
     "merge_upsert_unique": merge_upsert(True),
     "incremental_merge": incremental_merge,
+    "incremental_load": incremental_load,
     "scd2_history": history,
     "scd2_history_sliced": sliced_history,
     "archive_versions": archive,
@@ -214,6 +225,7 @@ ORACLES = {
     "merge_upsert": _merged(_FEED),
     "merge_upsert_unique": _merged(_FEED),
     "incremental_merge": _merged(_FRESH),
+    "incremental_load": _merged(_FRESH),
     "scd2_history": _history("SELECT * FROM events"),
     "scd2_history_sliced": _history(_SKEWED),
     "archive_versions": f"SELECT * EXCLUDE (rn) FROM ({_RANKED}) WHERE rn > 1",

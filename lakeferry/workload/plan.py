@@ -51,17 +51,12 @@ def plan_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def plan_target_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, missing = catalog.resolve_targets(
+    matched = catalog.match_targets(
         plan_join(spark, sf_dir), fx.target_documents(spark, sf_dir)
     )
     columns = ["table_id", "hive_schema", "table_name", "target_id", "target_dir"]
-    columns.append("override_columns")
-    unresolved = missing.withColumns(
-        {c: F.lit(None).cast("string") for c in ("target_id", "target_dir")}
-    )
-    return (
-        found.select(*columns, F.lit(True).alias("found"))
-        .unionByName(unresolved.select(*columns, F.lit(False).alias("found")))
+    return matched.select(
+        *columns, "override_columns", F.col("target_id").isNotNull().alias("found")
     )
 
 

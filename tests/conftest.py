@@ -23,6 +23,8 @@ def spark(tmp_path_factory):
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.driver.memory": "4g",
             "spark.ui.showConsoleProgress": "false",
+            # Spark's own default, harder than the recommended setting.
+            "spark.sql.unionOutputPartitioning": "true",
         },
     )
     session.sparkContext.setLogLevel("OFF")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lakeferry.operators import incremental as inc
 from lakeferry.operators.history import scd2_history
 from lakeferry.operators.reconcile import reconcile, row_differences
+from lakeferry.sinks.tables import save_bucketed
 
 SCHEMA = "k int, w int, t int, v string"
 KEYS, WM, TIE = ["k"], "w", ["t"]
@@ -102,6 +103,31 @@ def test_merge_equals_brute_force(spark, seed, broadcast):
         spark.conf.unset(setting)
 
 
+def test_results_can_be_joined_and_merged_on(spark):
+    """Unions of equally partitioned inputs, read by later shuffles on the same keys."""
+    base = spark.createDataFrame(latest(some_rows(1, n=400, keys=200, hot=False)), SCHEMA)
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(setting, "-1")
+    try:
+        table = base
+        for seed in (2, 3, 4):
+            delta = spark.createDataFrame(some_rows(seed, keys=250, hot=False), SCHEMA)
+            table = inc.merge_upsert(table, delta, KEYS, WM, TIE, base_unique=True)
+        keys = len({r.k for r in table.collect()})
+        results = [
+            table,
+            inc.merge_upsert(table, base, KEYS, WM, TIE),
+            inc.history_view(base, table.exceptAll(base)),
+            scd2_history(table, KEYS, WM, ["v"], TIE, max_rows_per_task=1),
+            scd2_history(table.union(table), KEYS, WM, ["v"], TIE),
+        ]
+        for result in results:
+            joined = result.join(base.select("k"), "k", "left").groupBy("k").count()
+            assert joined.count() == keys
+    finally:
+        spark.conf.unset(setting)
+
+
 def test_merge_dedupes_a_base_with_repeated_keys(spark):
     base, delta = some_rows(5), some_rows(6, n=20)
     b, d = spark.createDataFrame(base, SCHEMA), spark.createDataFrame(delta, SCHEMA)
@@ -138,6 +164,26 @@ def test_small_delta_leaves_the_base_unshuffled(spark, sf_dir):
     assert "ReadSchema: struct<o_orderkey:bigint>" in plan
 
 
+def test_bucketed_base_is_not_shuffled_for_a_large_delta(spark, sf_dir, tmp_path):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    save_bucketed(orders, "test_merge", "base", str(tmp_path / "b"), ["o_orderkey"], 8)
+    base = spark.table("test_merge.base")
+    delta = orders.where("o_orderkey % 3 = 0").withColumn("o_orderdate", F.expr("o_orderdate + interval 1 day"))
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(setting, "-1")
+    try:
+        merged = inc.merge_upsert(base, delta, ["o_orderkey"], "o_orderdate", base_unique=True)
+        expected = inc.merge_upsert(orders, delta, ["o_orderkey"], "o_orderdate")
+        plan = explained(merged)
+        assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+        unbucketed = inc.merge_upsert(orders, delta, ["o_orderkey"], "o_orderdate", base_unique=True)
+        # Both reads of the base, the whole one and the one of its keys, go unshuffled.
+        assert plan.count(") Exchange\n") == explained(unbucketed).count(") Exchange\n") - 2
+        assert bag(merged) == bag(expected)
+    finally:
+        spark.conf.unset(setting)
+
+
 def test_split_null_keys(spark):
     df = spark.createDataFrame([(1, None, 0, "a"), (None, 1, 0, "b"), (2, 2, 0, "c")], SCHEMA)
     valid, rejected = inc.split_null_keys(df, ["k", "w"])

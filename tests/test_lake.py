@@ -7,14 +7,17 @@ from pathlib import Path
 import pytest
 from helpers import bag, explained, rows
 from hypothesis import given, strategies as st
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
-from lakeferry.model import AuditProfile, PartitionSpec, TableSpec
+from lakeferry.model import AuditProfile, MergeSpec, PartitionSpec, TableSpec
 from lakeferry.operators.cleanse import apply_partition_spec, cleanse_audit, rename_columns
 from lakeferry.plans.migrate import migrate_batch, migrate_table, prepare_table
 from lakeferry.sinks.tables import (
     check_no_overlap,
     default_table_format,
+    merge_into_table,
+    merge_statement,
     register_table,
     write_table,
 )
@@ -272,6 +275,23 @@ def test_register_again_and_errors_propagate(spark, tmp_path):
         register_table(spark, "test_lake", "bad", str(tmp_path / "none"), "parquet")
 
 
+def test_merge_statement_needs_a_format_with_merge(spark, tmp_path):
+    spec = MergeSpec(("id", "k 2"), "w")
+    assert merge_statement("d.t", "v", spec) == (
+        "MERGE INTO d.t t USING v s ON t.`id` = s.`id` AND t.`k 2` = s.`k 2` "
+        "WHEN MATCHED AND (t.`w` IS NULL OR s.`w` >= t.`w`) THEN UPDATE SET * "
+        "WHEN NOT MATCHED THEN INSERT *"
+    )
+    df = spark.createDataFrame([(1, 1, 1)], "id int, `k 2` int, w int")
+    write_table(df, str(tmp_path / "t"), "overwrite", "parquet")
+    register_table(spark, "test_lake", "no_merge", str(tmp_path / "t"), "parquet")
+    views = len(spark.catalog.listTables())
+    # The statement is understood; Parquet tables have no MERGE.
+    with pytest.raises(UnsupportedOperationException, match="MERGE"):
+        merge_into_table(spark, "test_lake.no_merge", df, spec)
+    assert len(spark.catalog.listTables()) == views
+
+
 def test_default_table_format(spark):
     assert default_table_format(spark) == "parquet"
 

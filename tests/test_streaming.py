@@ -3,11 +3,12 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
-from helpers import bag, rows
+from helpers import bag, explained, rows
 
 from lakeferry.model import MergeSpec
 from lakeferry.operators.incremental import merge_upsert
-from lakeferry.streaming import merge as stream
+from lakeferry.plans import load
+from lakeferry.streaming.merge import stream_merge
 
 SCHEMA = "k int, w int, v string"
 SPEC = MergeSpec(("k",), "w")
@@ -17,7 +18,7 @@ SPEC = MergeSpec(("k",), "w")
 def target(spark, tmp_path):
     base = spark.createDataFrame([(1, 1, "a"), (2, 5, "b"), (3, 3, "c")], SCHEMA)
     path = str(tmp_path / "target")
-    stream.publish_base(base, path)
+    load.publish_base(base, path)
     return path
 
 
@@ -26,61 +27,109 @@ def feed(spark, tmp_path, data, name):
 
 
 def run(spark, tmp_path, target):
-    query = stream.stream_merge(
+    query = stream_merge(
         spark, str(tmp_path / "in" / "*"), target, SPEC, str(tmp_path / "checkpoint"), SCHEMA, 1
     )
     query.awaitTermination()
 
 
 def test_stream_equals_batch_merge(spark, tmp_path, target):
-    base = stream.read_merged(spark, target, SPEC)
+    base = load.read_merged(spark, target, SPEC)
     one, two = [(1, 2, "a2"), (2, 4, "late"), (1, 3, "a3")], [(4, 1, "d"), (3, 3, "tie"), (None, 1, "x")]
     feed(spark, tmp_path, one, "one")
     feed(spark, tmp_path, two, "two")
     run(spark, tmp_path, target)
     expected = bag(merge_upsert(base, spark.createDataFrame(one + two, SCHEMA), ["k"], "w"))
     assert expected == Counter([(1, 3, "a3"), (2, 5, "b"), (3, 3, "tie"), (4, 1, "d")])
-    assert bag(stream.read_merged(spark, target, SPEC)) == expected
+    assert bag(load.read_merged(spark, target, SPEC)) == expected
     assert rows(spark.read.parquet(f"{target}/rejected").select("v")) == [("x",)]
 
     # Compaction changes the files, not the result; earlier versions stay.
-    version = stream.compact(spark, target, SPEC)
+    version = load.compact(spark, target, SPEC)
     assert version == 2
-    assert bag(stream.read_merged(spark, target, SPEC)) == expected
+    assert bag(load.read_merged(spark, target, SPEC)) == expected
     assert bag(spark.read.parquet(f"{target}/base/version={version}")) == expected
-    assert stream.compact(spark, target, SPEC) == version
+    assert load.compact(spark, target, SPEC) == version
 
     # A later run takes new files only.
     feed(spark, tmp_path, [(5, 1, "e"), (1, 1, "older")], "three")
     run(spark, tmp_path, target)
-    assert bag(stream.read_merged(spark, target, SPEC)) == expected + Counter([(5, 1, "e")])
+    assert bag(load.read_merged(spark, target, SPEC)) == expected + Counter([(5, 1, "e")])
 
 
 def test_replayed_and_uncommitted_batches(spark, tmp_path, target):
     feed(spark, tmp_path, [(1, 2, "a2")], "one")
     run(spark, tmp_path, target)
-    once = bag(stream.read_merged(spark, target, SPEC))
+    once = bag(load.read_merged(spark, target, SPEC))
     # A batch that was written but not committed is not read.
     spark.createDataFrame([(9, 9, "z")], SCHEMA).write.parquet(f"{target}/delta/batch_id=7")
-    assert bag(stream.read_merged(spark, target, SPEC)) == once
+    assert bag(load.read_merged(spark, target, SPEC)) == once
     # A batch committed twice counts once.
-    stream._commit(spark, target, stream.BATCH, 0)
-    assert bag(stream.read_merged(spark, target, SPEC)) == once
+    load.commit_batch(spark, target, 0)
+    assert bag(load.read_merged(spark, target, SPEC)) == once
 
 
 def test_a_replayed_batch_replaces_its_own_directory(spark, tmp_path, target):
     feed(spark, tmp_path, [(1, 2, "a2")], "one")
     run(spark, tmp_path, target)
     # The same files under a lost checkpoint arrive as batch 0 again.
-    query = stream.stream_merge(
+    query = stream_merge(
         spark, str(tmp_path / "in" / "*"), target, SPEC, str(tmp_path / "other"), SCHEMA
     )
     query.awaitTermination()
-    assert rows(stream.read_merged(spark, target, SPEC)) == [(1, 2, "a2"), (2, 5, "b"), (3, 3, "c")]
+    assert rows(load.read_merged(spark, target, SPEC)) == [(1, 2, "a2"), (2, 5, "b"), (3, 3, "c")]
 
 
 def test_no_base_is_an_error(spark, tmp_path):
     path = str(tmp_path / "none")
-    stream._commit(spark, path, stream.BATCH, 0)
+    load.commit_batch(spark, path, 0)
     with pytest.raises(ValueError):
-        stream.read_merged(spark, path, SPEC)
+        load.read_merged(spark, path, SPEC)
+
+
+def test_load_increments(spark, tmp_path):
+    path = str(tmp_path / "t")
+    base = [(1, 1, "a"), (2, 5, "b")]
+    load.publish_base(spark.createDataFrame(base, SCHEMA), path, watermark="5")
+    feed = base + [(1, 6, "a2"), (None, 9, "x"), (3, 10, "c")]
+    result = load.load_increment(spark, spark.createDataFrame(feed, SCHEMA), path, SPEC)
+    # "10" is after "9" and "5": watermarks are compared as the column's type.
+    assert result == load.LoadResult(0, 2, "10")
+    merged = [(1, 6, "a2"), (2, 5, "b"), (3, 10, "c")]
+    assert rows(load.read_merged(spark, path, SPEC)) == merged
+    # Nothing new: the watermark stays.
+    result = load.load_increment(spark, spark.createDataFrame(feed, SCHEMA), path, SPEC)
+    assert result == load.LoadResult(1, 0, "10")
+    assert load.compact(spark, path, SPEC) == 2
+    feed.append((3, 11, "c2"))
+    result = load.load_increment(spark, spark.createDataFrame(feed, SCHEMA), path, SPEC)
+    assert result == load.LoadResult(2, 1, "11")
+    assert rows(load.read_merged(spark, path, SPEC)) == merged[:2] + [(3, 11, "c2")]
+
+
+def test_interrupted_load_is_repeated(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    load.publish_base(spark.createDataFrame([(1, 1, "a")], SCHEMA), path, watermark="1")
+    feed = spark.createDataFrame([(1, 2, "a2"), (2, 3, "b")], SCHEMA)
+    commit = load._commit
+
+    def lost(*_):
+        raise RuntimeError("lost before the commit")
+
+    monkeypatch.setattr(load, "_commit", lost)
+    with pytest.raises(RuntimeError):
+        load.load_increment(spark, feed, path, SPEC)
+    assert rows(load.read_merged(spark, path, SPEC)) == [(1, 1, "a")]
+    monkeypatch.setattr(load, "_commit", commit)
+    assert load.load_increment(spark, feed, path, SPEC).batch_id == 0
+    assert rows(load.read_merged(spark, path, SPEC)) == [(1, 2, "a2"), (2, 3, "b")]
+
+
+def test_reading_reduces_the_deltas_once(spark, tmp_path):
+    """Base unshuffled; the shuffled deltas are used by both joins."""
+    path = str(tmp_path / "t")
+    load.publish_base(spark.range(1000).selectExpr("cast(id as int) k", "1 w", "'a' v"), path)
+    load.load_increment(spark, spark.createDataFrame([(1, 2, "b"), (5000, 1, "n")], SCHEMA), path, SPEC)
+    merged = load.read_merged(spark, path, SPEC)
+    assert merged.count() == 1001
+    assert "SortMergeJoin" not in explained(merged)
