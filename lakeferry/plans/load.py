@@ -13,7 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from lakeferry.functions.names import quote
 from lakeferry.model import MergeSpec
@@ -26,6 +26,7 @@ from lakeferry.operators.incremental import (
 
 COMMIT = "kind string, id bigint, watermark string"
 BASE, BATCH = "base", "batch"
+REJECTED = "_rejected"
 
 
 @dataclass(frozen=True)
@@ -46,7 +47,10 @@ def publish_base(
 def write_batch(
     batch: DataFrame, target: str, spec: MergeSpec, batch_id: int, seen: Observation | None = None
 ) -> None:
-    """Write the latest row per key of a batch, and its rows with null keys apart."""
+    """Write the latest row per key of a batch, and its rows with null keys apart.
+
+    One job writes both, as two partitions of the batch's directory.
+    """
     valid, keyless = split_null_keys(batch, spec.keys)
     newest = latest_per_key(valid, spec.keys, spec.watermark, spec.tiebreak)
     if seen is not None:
@@ -55,8 +59,12 @@ def write_batch(
             F.count(F.lit(1)).alias("rows"),
             F.max(quote(spec.watermark)).cast("string").alias("watermark"),
         )
-    newest.write.mode("overwrite").parquet(f"{target}/delta/batch_id={batch_id}")
-    keyless.write.mode("overwrite").parquet(f"{target}/rejected/batch_id={batch_id}")
+    both = newest.withColumn(REJECTED, F.lit(False)).unionByName(
+        keyless.withColumn(REJECTED, F.lit(True))
+    )
+    both.write.mode("overwrite").partitionBy(REJECTED).parquet(
+        f"{target}/delta/batch_id={batch_id}"
+    )
 
 
 def load_increment(spark: SparkSession, feed: DataFrame, target: str, spec: MergeSpec) -> LoadResult:
@@ -88,12 +96,7 @@ def read_merged(spark: SparkSession, target: str, spec: MergeSpec) -> DataFrame:
     base = spark.read.parquet(f"{target}/base/version={version}")
     if not batches:
         return base
-    schema = StructType([*base.schema.fields, StructField("batch_id", LongType())])
-    delta = (
-        spark.read.schema(schema)
-        .option("basePath", f"{target}/delta")
-        .parquet(*[f"{target}/delta/batch_id={b}" for b in batches])
-    )
+    delta = _batches(spark, target, base.schema, batches).where(~F.col(REJECTED)).drop(REJECTED)
     newest = latest_per_key(
         delta, spec.keys, spec.watermark, ["batch_id", *spec.tiebreak]
     ).drop("batch_id")
@@ -102,6 +105,13 @@ def read_merged(spark: SparkSession, target: str, spec: MergeSpec) -> DataFrame:
     )
 
 
+def read_rejected(spark: SparkSession, target: str) -> DataFrame:
+    """Rows with null keys of the batches since the current base version."""
+    version, batches = _current(_commits(spark, target))
+    schema = spark.read.parquet(f"{target}/base/version={version}").schema
+    return _batches(spark, target, schema, batches).where(REJECTED).drop(REJECTED)
+
+
 def compact(spark: SparkSession, target: str, spec: MergeSpec) -> int:
     """Fold the committed deltas into a new base version; returns the version."""
     commits = _commits(spark, target)
@@ -113,11 +123,26 @@ def compact(spark: SparkSession, target: str, spec: MergeSpec) -> int:
     return following
 
 
+def _batches(
+    spark: SparkSession, target: str, schema: StructType, batches: list[int]
+) -> DataFrame:
+    partitions = [StructField("batch_id", LongType()), StructField(REJECTED, BooleanType())]
+    stored = StructType([*schema.fields, *partitions])
+    if not batches:
+        return spark.createDataFrame([], stored)
+    paths = [f"{target}/delta/batch_id={b}" for b in batches]
+    return spark.read.schema(stored).option("basePath", f"{target}/delta").parquet(*paths)
+
+
 def _commit(
     spark: SparkSession, target: str, kind: str, number: int, watermark: str | None
 ) -> None:
-    row = spark.createDataFrame([(kind, number, watermark)], COMMIT)
-    row.coalesce(1).write.mode("append").parquet(f"{target}/commits")
+    row = spark.range(0, 1, 1, 1).select(
+        F.lit(kind).alias("kind"),
+        F.lit(number).cast("bigint").alias("id"),
+        F.lit(watermark).cast("string").alias("watermark"),
+    )
+    row.write.mode("append").parquet(f"{target}/commits")
 
 
 def _commits(spark: SparkSession, target: str) -> list[Row]:

@@ -24,7 +24,7 @@ def test_every_query_has_sql():
 def test_query_equals_sql(spark, sf_dir, duck, name):
     df = QUERIES[name](spark, sf_dir)
     plan = explained(df)
-    for forbidden in ("Python", "Pandas", "ArrowEval", "CartesianProduct", "BroadcastNestedLoop"):
+    for forbidden in ("EvalPython", "InPandas", "CartesianProduct", "BroadcastNestedLoop"):
         assert forbidden not in plan
     assert compare(df, duck, ORACLES[name]) is None
 

@@ -42,7 +42,7 @@ def test_stream_equals_batch_merge(spark, tmp_path, target):
     expected = bag(merge_upsert(base, spark.createDataFrame(one + two, SCHEMA), ["k"], "w"))
     assert expected == Counter([(1, 3, "a3"), (2, 5, "b"), (3, 3, "tie"), (4, 1, "d")])
     assert bag(load.read_merged(spark, target, SPEC)) == expected
-    assert rows(spark.read.parquet(f"{target}/rejected").select("v")) == [("x",)]
+    assert rows(load.read_rejected(spark, target).select("v")) == [("x",)]
 
     # Compaction changes the files, not the result; earlier versions stay.
     version = load.compact(spark, target, SPEC)
@@ -62,7 +62,7 @@ def test_replayed_and_uncommitted_batches(spark, tmp_path, target):
     run(spark, tmp_path, target)
     once = bag(load.read_merged(spark, target, SPEC))
     # A batch that was written but not committed is not read.
-    spark.createDataFrame([(9, 9, "z")], SCHEMA).write.parquet(f"{target}/delta/batch_id=7")
+    load.write_batch(spark.createDataFrame([(9, 9, "z")], SCHEMA), target, SPEC, 7)
     assert bag(load.read_merged(spark, target, SPEC)) == once
     # A batch committed twice counts once.
     load.commit_batch(spark, target, 0)
@@ -122,6 +122,7 @@ def test_interrupted_load_is_repeated(spark, tmp_path, monkeypatch):
     assert rows(load.read_merged(spark, path, SPEC)) == [(1, 1, "a")]
     monkeypatch.setattr(load, "_commit", commit)
     assert load.load_increment(spark, feed, path, SPEC).batch_id == 0
+    assert load.read_rejected(spark, path).count() == 0
     assert rows(load.read_merged(spark, path, SPEC)) == [(1, 2, "a2"), (2, 3, "b")]
 
 
