@@ -10,6 +10,7 @@ from lakeferry.operators.incremental import orderable
 # Sums are exact decimals: a floating sum would depend on the order of rows.
 SUM_TYPE = "decimal(38,6)"
 ROWS = "*"
+SURPLUS = "_surplus"
 
 
 def reconcile(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -61,10 +62,21 @@ def _measures(df: DataFrame, side: str) -> DataFrame:
 
 
 def row_differences(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows of one side the other lacks, copies counted, with their ``side``."""
-    right = right.select(*[quote(c) for c in left.columns])
+    """Rows one side has more copies of, with that ``side`` and the surplus ``copies``.
+
+    One aggregate over both sides; copies are combined before the shuffle, and a
+    surplus is a number, not so many rows.
+    """
+    names = [quote(c) for c in left.columns]
+    signed = left.withColumn(SURPLUS, F.lit(1)).unionByName(right.withColumn(SURPLUS, F.lit(-1)))
+    surplus = F.col(SURPLUS)
     return (
-        left.exceptAll(right)
-        .withColumn("side", F.lit("left"))
-        .unionByName(right.exceptAll(left).withColumn("side", F.lit("right")))
+        signed.groupBy(*names)
+        .agg(F.sum(SURPLUS).alias(SURPLUS))
+        .where(surplus != 0)
+        .select(
+            *names,
+            F.when(surplus > 0, F.lit("left")).otherwise(F.lit("right")).alias("side"),
+            F.abs(surplus).alias("copies"),
+        )
     )

@@ -233,9 +233,11 @@ ORACLES = {
     "current_view": f"SELECT * FROM ({_merged(_FEED)}) WHERE NOT is_deleted",
     "reconcile": _reconciled(),
     "row_differences": f"""
-SELECT *, 'left' AS side FROM (({_BASE}) EXCEPT ALL ({_merged(_FEED)}))
-UNION ALL
-SELECT *, 'right' FROM (({_merged(_FEED)}) EXCEPT ALL ({_BASE}))""",
+SELECT *, count(*) AS copies FROM (
+  SELECT *, 'left' AS side FROM (({_BASE}) EXCEPT ALL ({_merged(_FEED)}))
+  UNION ALL
+  SELECT *, 'right' FROM (({_merged(_FEED)}) EXCEPT ALL ({_BASE})))
+GROUP BY ALL""",
     "split_predicates": """
 SELECT cast(CASE WHEN o_orderdate < timestamp '1996-02-01' THEN 0
                  WHEN o_orderdate >= timestamp '2001-01-01' THEN 60

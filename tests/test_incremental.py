@@ -352,6 +352,9 @@ def test_reconcile_sum_does_not_depend_on_row_order(spark):
 def test_row_differences_count_copies(spark):
     left = spark.createDataFrame(LEFT, KINDS)
     right = spark.createDataFrame([(1, "a", 1.5), (2, "b", 2.5), (3, None, None), (5, "n", 0.0)], KINDS)
+    more = left.union(left.where("k = 1")).union(left.where("k = 1"))
     assert bag(row_differences(left, right.select("d", "k", "s"))) == Counter(
-        [(2, "b", 2.5, "left"), (5, "n", 0.0, "right")]
+        [(2, "b", 2.5, "left", 1), (5, "n", 0.0, "right", 1)]
     )
+    assert bag(row_differences(left, more)) == Counter([(1, "a", 1.5, "right", 2)])
+    assert row_differences(left, left.repartition(3)).count() == 0
