@@ -1,8 +1,10 @@
-"""SCD2 history: one row per run of equal tracked values.
+"""Row history: superseded versions, the history view, and SCD2 intervals.
 
-Windows over a key put all its rows into one task. Keys with more rows than one
-task should sort are therefore cut into slices of their own timeline, and only
-the edges of the slices are compared across tasks.
+Windows over a key put all its rows into one task. Keys are therefore counted
+first, and those with more rows than one task should sort take another way: their
+latest row is found by a partial group limit and taken off their rows as a
+multiset, and their SCD2 timeline is cut into slices of which only the edges are
+compared across tasks.
 """
 
 from __future__ import annotations
@@ -13,14 +15,48 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakeferry.functions.names import quote, require_columns
+from lakeferry.operators.incremental import latest_per_key, rank
 from lakeferry.operators.joins import broadcast_if_small, join_null_safe
 from lakeferry.session import checkpoint_root
 
+CURRENT = "is_current"
 MAX_ROWS_PER_TASK = 5_000_000
 SLICE = "_slice"
 MAX_SLICES = 100_000
 
 
+def history_view(
+    df: DataFrame,
+    keys: Sequence[str],
+    watermark: str,
+    tiebreak: Sequence[str] = (),
+    max_rows_per_task: int = MAX_ROWS_PER_TASK,
+) -> DataFrame:
+    """All rows, the latest of every key marked by ``is_current``."""
+    ordinary, hot, _ = _split_by_load(df, keys, max_rows_per_task)
+    position = rank(df, keys, [watermark, *tiebreak])
+    marked = ordinary.withColumn(CURRENT, position == 1)
+    if hot is None:
+        return marked
+    newest = latest_per_key(hot, keys, watermark, tiebreak)
+    superseded = hot.exceptAll(newest)
+    return marked.unionByName(newest.withColumn(CURRENT, F.lit(True))).unionByName(
+        superseded.withColumn(CURRENT, F.lit(False))
+    )
+
+
+def archive_versions(
+    df: DataFrame,
+    keys: Sequence[str],
+    watermark: str,
+    tiebreak: Sequence[str] = (),
+    max_rows_per_task: int = MAX_ROWS_PER_TASK,
+) -> DataFrame:
+    """All rows but the latest of every key."""
+    view = history_view(df, keys, watermark, tiebreak, max_rows_per_task)
+    return view.where(~F.col(CURRENT)).drop(CURRENT)
+
+
 def scd2_history(
     df: DataFrame,
     keys: Sequence[str],
@@ -100,7 +136,7 @@ def _result(
         *[quote(c) for c in (*keys, *tracked)],
         F.col(quote(watermark)).alias("valid_from"),
         after[watermark].alias("valid_to"),
-        after.isNull().alias("is_current"),
+        after.isNull().alias(CURRENT),
     )
 
 

@@ -68,13 +68,16 @@ def latest_per_key(
 
 
 def _first_per_key(df: DataFrame, keys: Sequence[str], leading: Sequence[str]) -> DataFrame:
+    return df.withColumn(RANK, rank(df, keys, leading)).where(F.col(RANK) == 1).drop(RANK)
+
+
+def rank(df: DataFrame, keys: Sequence[str], leading: Sequence[str]) -> Column:
+    """Position of a row within its key, latest first."""
     require_columns(df, [*keys, *leading])
     newest_first = Window.partitionBy(*[quote(k) for k in keys]).orderBy(
         *recency(df, keys, leading)
     )
-    return (
-        df.withColumn(RANK, F.row_number().over(newest_first)).where(F.col(RANK) == 1).drop(RANK)
-    )
+    return F.row_number().over(newest_first)
 
 
 def has_null_key(df: DataFrame, keys: Sequence[str]) -> Column:
@@ -180,22 +183,3 @@ def incremental_merge(
 def current_view(df: DataFrame, deleted: str) -> DataFrame:
     """Rows not marked as deleted; an unknown flag counts as not deleted."""
     return df.where(~F.coalesce(to_boolean(F.col(quote(deleted))), F.lit(False)))
-
-
-def archive_versions(
-    df: DataFrame, keys: Sequence[str], watermark: str, tiebreak: Sequence[str] = ()
-) -> DataFrame:
-    """All rows but the latest of every key.
-
-    A multiset difference instead of ``row_number() > 1``: it spreads rows by
-    their whole content and combines copies before the shuffle, so a key holding
-    most rows is never sorted in one task.
-    """
-    return df.exceptAll(latest_per_key(df, keys, watermark, tiebreak))
-
-
-def history_view(current: DataFrame, archive: DataFrame) -> DataFrame:
-    """Current and archived rows, marked by ``is_current``."""
-    return current.withColumn("is_current", F.lit(True)).unionByName(
-        archive.withColumn("is_current", F.lit(False))
-    )

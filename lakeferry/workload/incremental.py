@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeferry.operators import incremental as inc
-from lakeferry.operators.history import scd2_history
+from lakeferry.operators.history import archive_versions, history_view, scd2_history
 from lakeferry.operators.reconcile import reconcile, row_differences
 from lakeferry.plans.load import compact, load_increment, publish_base, read_merged
 from lakeferry.session import fresh_dir
@@ -69,19 +69,34 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sliced_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One user holds a third of all events: its timeline is cut into slices."""
     rows = fx.skewed_versions(spark, sf_dir)
-    per_task = max(rows.count() // 16, 1)
     return scd2_history(
-        rows, VERSION_KEY, "ts", ["event_type"], ["event_id"], max_rows_per_task=per_task
+        rows, VERSION_KEY, "ts", ["event_type"], ["event_id"], max_rows_per_task=task_rows(rows)
     )
 
 
+def task_rows(rows: DataFrame) -> int:
+    """A limit that the user with a third of all rows exceeds."""
+    return max(rows.count() // 16, 1)
+
+
 def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fx.event_versions(spark, sf_dir)
+    return archive_versions(rows, VERSION_KEY, "ts", ["event_id"])
+
+
+def archive_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.skewed_versions(spark, sf_dir)
-    return inc.archive_versions(rows, VERSION_KEY, "ts", ["event_id"])
+    return archive_versions(rows, VERSION_KEY, "ts", ["event_id"], task_rows(rows))
+
+
+def view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fx.event_versions(spark, sf_dir)
+    return history_view(rows, VERSION_KEY, "ts", ["event_id"])
 
 
-def history_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inc.history_view(latest_per_key(spark, sf_dir), archive(spark, sf_dir))
+def view_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fx.skewed_versions(spark, sf_dir)
+    return history_view(rows, VERSION_KEY, "ts", ["event_id"], task_rows(rows))
 
 
 def current_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +160,9 @@ QUERIES = {
     "scd2_history": history,
     "scd2_history_sliced": sliced_history,
     "archive_versions": archive,
-    "history_view": history_view,
+    "archive_versions_skewed": archive_skewed,
+    "history_view": view,
+    "history_view_skewed": view_skewed,
     "current_view": current_view,
     "reconcile": reconciled,
     "row_differences": differences,
@@ -180,9 +197,15 @@ _FRESH = f"SELECT * FROM ({_FEED}) WHERE o_orderdate > timestamp '{LAST_TIME}'"
 _SKEWED = """
 SELECT event_id, ts, if(event_id % 3 = 0, -1, user_id) AS user_id, event_type, value, props
 FROM events"""
-_RANKED = f"""
+
+
+def _ranked(rows: str) -> str:
+    return f"""
 SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
-FROM ({_SKEWED})"""
+FROM ({rows})"""
+
+
+_EVENTS = "SELECT * FROM events"
 
 
 def _history(rows: str) -> str:
@@ -221,15 +244,17 @@ ORACLES = {
     "incremental_ts": _FRESH,
     "incremental_batch": f"SELECT * FROM ({_BASE}) WHERE o_orderkey > {LAST_BATCH}",
     "high_watermark": f"SELECT cast(max(o_orderdate) AS varchar) AS high_watermark FROM ({_FRESH})",
-    "latest_per_key": f"SELECT * EXCLUDE (rn) FROM ({_RANKED}) WHERE rn = 1",
+    "latest_per_key": f"SELECT * EXCLUDE (rn) FROM ({_ranked(_SKEWED)}) WHERE rn = 1",
     "merge_upsert": _merged(_FEED),
     "merge_upsert_unique": _merged(_FEED),
     "incremental_merge": _merged(_FRESH),
     "incremental_load": _merged(_FRESH),
-    "scd2_history": _history("SELECT * FROM events"),
+    "scd2_history": _history(_EVENTS),
     "scd2_history_sliced": _history(_SKEWED),
-    "archive_versions": f"SELECT * EXCLUDE (rn) FROM ({_RANKED}) WHERE rn > 1",
-    "history_view": f"SELECT * EXCLUDE (rn), rn = 1 AS is_current FROM ({_RANKED})",
+    "archive_versions": f"SELECT * EXCLUDE (rn) FROM ({_ranked(_EVENTS)}) WHERE rn > 1",
+    "archive_versions_skewed": f"SELECT * EXCLUDE (rn) FROM ({_ranked(_SKEWED)}) WHERE rn > 1",
+    "history_view": f"SELECT * EXCLUDE (rn), rn = 1 AS is_current FROM ({_ranked(_EVENTS)})",
+    "history_view_skewed": f"SELECT * EXCLUDE (rn), rn = 1 AS is_current FROM ({_ranked(_SKEWED)})",
     "current_view": f"SELECT * FROM ({_merged(_FEED)}) WHERE NOT is_deleted",
     "reconcile": _reconciled(),
     "row_differences": f"""

@@ -9,7 +9,7 @@ from helpers import bag, explained, rows
 from pyspark.sql import functions as F
 
 from lakeferry.operators import incremental as inc
-from lakeferry.operators.history import scd2_history
+from lakeferry.operators.history import archive_versions, history_view, scd2_history
 from lakeferry.operators.reconcile import reconcile, row_differences
 from lakeferry.sinks.tables import save_bucketed
 
@@ -40,15 +40,16 @@ def latest(data):
     return [max(g, key=newest_first) for g in groups.values()]
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_latest_and_archive_split_all_rows(spark, seed):
-    data = some_rows(seed)
-    df = spark.createDataFrame(data, SCHEMA)
+@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("per_task", [10_000, 40, 1])
+def test_latest_and_archive_split_all_rows(spark, seed, per_task):
+    data = some_rows(seed) + [(None, 1, 1, "x"), (None, 1, 1, "x"), (None, 2, 1, "y")]
+    df = spark.createDataFrame(data, SCHEMA).repartition(4)
     current = inc.latest_per_key(df, KEYS, WM, TIE)
-    archive = inc.archive_versions(df, KEYS, WM, TIE)
+    archive = archive_versions(df, KEYS, WM, TIE, per_task)
     assert bag(current) == Counter(latest(data))
     assert bag(archive) == Counter(data) - Counter(latest(data))
-    view = inc.history_view(current, archive)
+    view = history_view(df, KEYS, WM, TIE, per_task)
     assert bag(view.drop("is_current")) == Counter(data)
     assert bag(view.where("is_current").drop("is_current")) == bag(current)
 
@@ -117,7 +118,7 @@ def test_results_can_be_joined_and_merged_on(spark):
         results = [
             table,
             inc.merge_upsert(table, base, KEYS, WM, TIE),
-            inc.history_view(base, table.exceptAll(base)),
+            history_view(table, KEYS, WM, TIE, max_rows_per_task=1),
             scd2_history(table, KEYS, WM, ["v"], TIE, max_rows_per_task=1),
             scd2_history(table.union(table), KEYS, WM, ["v"], TIE),
         ]
