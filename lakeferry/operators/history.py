@@ -30,7 +30,7 @@ def history_view(
     keys: Sequence[str],
     watermark: str,
     tiebreak: Sequence[str] = (),
-    max_rows_per_task: int = MAX_ROWS_PER_TASK,
+    max_rows_per_task: int | None = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
     """All rows, the latest of every key marked by ``is_current``."""
     ordinary, hot, _ = _split_by_load(df, keys, max_rows_per_task)
@@ -50,7 +50,7 @@ def archive_versions(
     keys: Sequence[str],
     watermark: str,
     tiebreak: Sequence[str] = (),
-    max_rows_per_task: int = MAX_ROWS_PER_TASK,
+    max_rows_per_task: int | None = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
     """All rows but the latest of every key."""
     view = history_view(df, keys, watermark, tiebreak, max_rows_per_task)
@@ -63,7 +63,7 @@ def scd2_history(
     watermark: str,
     tracked: Sequence[str],
     tiebreak: Sequence[str] = (),
-    max_rows_per_task: int = MAX_ROWS_PER_TASK,
+    max_rows_per_task: int | None = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
     """Versions ``(keys, tracked, valid_from, valid_to, is_current)``.
 
@@ -85,12 +85,15 @@ def scd2_history(
 
 
 def _split_by_load(
-    df: DataFrame, keys: Sequence[str], max_rows: int
+    df: DataFrame, keys: Sequence[str], max_rows: int | None
 ) -> tuple[DataFrame, DataFrame | None, int]:
     """Rows of ordinary keys, rows of hot keys (None if there are none), and their count.
 
     The hot keys are cut from their lineage, so that both halves see the same.
+    ``None`` as limit states that no key is hot, and spares the count.
     """
+    if max_rows is None:
+        return df, None, 0
     checkpoint_root(df.sparkSession)
     hot_keys = (
         df.groupBy(*[quote(k) for k in keys])
