@@ -16,7 +16,7 @@ from lakeferry.model import AuditProfile, PartitionSpec
 
 def active_rows(df: DataFrame, audit: AuditProfile = AuditProfile()) -> DataFrame:
     """Only rows whose active flag is set; reaches the scan as a pushed filter."""
-    return df.where(F.col(quote(audit.name("active"))))
+    return df.where(to_boolean(F.col(quote(audit.name("active")))))
 
 
 def cleanse_audit(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -23,6 +24,24 @@ RECOMMENDED = {
 }
 
 
+# Aimed size of a shuffle partition, before and after adaptive coalescing.
+PARTITION_BYTES = 256 * 2**20
+
+
+def sized(shuffled_bytes: int, cores: int, partition_bytes: int = PARTITION_BYTES) -> dict[str, str]:
+    """Settings for a job that shuffles about ``shuffled_bytes``.
+
+    Shuffles start with enough partitions to fit one in a task's memory, at
+    least a few per core; adaptive execution joins small neighbours again.
+    """
+    partitions = max(math.ceil(shuffled_bytes / partition_bytes), 3 * cores)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
+
+
 def build_session(app_name: str = "lakeferry", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:

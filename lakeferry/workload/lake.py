@@ -13,7 +13,7 @@ from lakeferry.functions.dates import (
     add_derived_partitions,
     where_parent_between,
 )
-from lakeferry.model import PLAN_COLUMNS, PartitionSpec, TableSpec
+from lakeferry.model import PartitionSpec, TableSpec
 from lakeferry.operators.cleanse import cleanse_audit, rename_columns
 from lakeferry.plans.migrate import migrate_batch, migrate_table, prepare_table
 from lakeferry.session import fresh_dir
@@ -138,18 +138,19 @@ def batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("t3", "b_events", "parquet", events, "file", flat, "{}"),
         ("t4", "b_text", "csv", events, "file", flat, "{}"),
     ]
-    given = "table_id, table_name, storage_format, src_dir, source_type, partition_column, override_columns"
-    text = ", ".join(f"{name} string" for name in given.split(", "))
-    plan = spark.createDataFrame(rows, text).withColumns(
+    plan = spark.createDataFrame(
+        rows,
+        "table_id string, table_name string, storage_format string, src_dir string, "
+        "source_type string, partition_column string, override_columns string",
+    ).withColumns(
         {
             "hive_schema": F.lit(DATABASE),
             "target_dir": F.concat(F.lit(fresh_dir(spark, "batch") + "/"), "table_name"),
-            **{c: F.lit(None).cast("string") for c in PLAN_COLUMNS if c not in given + "hive_schema"},
         }
     )
-    results = migrate_batch(spark, plan)
-    return results.select(
-        "table_id", "table_name", "status", "rows_written", F.col("error").isNotNull().alias("failed")
+    failed = F.col("error").isNotNull().alias("failed")
+    return migrate_batch(spark, plan).select(
+        "table_id", "table_name", "status", "rows_written", failed
     )
 
 
