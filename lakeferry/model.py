@@ -111,11 +111,20 @@ class MigrationResult:
 
 @dataclass(frozen=True)
 class MergeSpec:
-    """Natural keys, watermark column and tie-break of an incremental table."""
+    """Natural keys, watermark column and tie-break of an incremental table.
+
+    With ``buckets``, stored base versions are also tables ``database.table_v<n>``,
+    bucketed by the keys, so that deltas of any size are merged without shuffling
+    the base. Use at least as many buckets as shuffle partitions: Spark shuffles
+    a table with fewer all the same.
+    """
 
     keys: tuple[str, ...]
     watermark: str
     tiebreak: tuple[str, ...] = ()
+    buckets: int = 0
+    database: str = ""
+    table: str = ""
 
 
 # Document schemas. Ids and watermarks stay text, so nothing is re-inferred.

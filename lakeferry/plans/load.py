@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from lakeferry.functions.names import quote
+from lakeferry.functions.names import qualified, quote
 from lakeferry.model import MergeSpec
 from lakeferry.operators.incremental import (
     incremental_filter,
@@ -23,6 +23,7 @@ from lakeferry.operators.incremental import (
     merge_upsert,
     split_null_keys,
 )
+from lakeferry.sinks.tables import save_bucketed
 
 COMMIT = "kind string, id bigint, watermark string"
 BASE, BATCH = "base", "batch"
@@ -37,10 +38,20 @@ class LoadResult:
 
 
 def publish_base(
-    base: DataFrame, target: str, version: int = 0, watermark: str | None = None
+    base: DataFrame,
+    target: str,
+    spec: MergeSpec,
+    version: int = 0,
+    watermark: str | None = None,
 ) -> None:
     """Write a base version; it holds every batch with an id below ``version``."""
-    base.write.mode("overwrite").parquet(f"{target}/base/version={version}")
+    path = _base_path(target, version)
+    if spec.buckets:
+        save_bucketed(
+            base, spec.database, _base_table(spec, version), path, spec.keys, spec.buckets
+        )
+    else:
+        base.write.mode("overwrite").parquet(path)
     _commit(base.sparkSession, target, BASE, version, watermark)
 
 
@@ -93,7 +104,7 @@ def read_merged(spark: SparkSession, target: str, spec: MergeSpec) -> DataFrame:
     Deltas of several batches compete by watermark, and a later batch wins a tie.
     """
     version, batches = _current(_commits(spark, target))
-    base = spark.read.parquet(f"{target}/base/version={version}")
+    base = _read_base(spark, target, spec, version)
     if not batches:
         return base
     delta = _batches(spark, target, base.schema, batches).where(~F.col(REJECTED)).drop(REJECTED)
@@ -108,7 +119,7 @@ def read_merged(spark: SparkSession, target: str, spec: MergeSpec) -> DataFrame:
 def read_rejected(spark: SparkSession, target: str) -> DataFrame:
     """Rows with null keys of the batches since the current base version."""
     version, batches = _current(_commits(spark, target))
-    schema = spark.read.parquet(f"{target}/base/version={version}").schema
+    schema = spark.read.parquet(_base_path(target, version)).schema
     return _batches(spark, target, schema, batches).where(REJECTED).drop(REJECTED)
 
 
@@ -119,10 +130,28 @@ def compact(spark: SparkSession, target: str, spec: MergeSpec) -> int:
     if not batches:
         return version
     following = max(batches) + 1
-    publish_base(read_merged(spark, target, spec), target, following, commits[-1].watermark)
+    merged = read_merged(spark, target, spec)
+    publish_base(merged, target, spec, following, commits[-1].watermark)
     return following
 
 
+def _base_path(target: str, version: int) -> str:
+    return f"{target}/base/version={version}"
+
+
+def _base_table(spec: MergeSpec, version: int) -> str:
+    return f"{spec.table}_v{version}"
+
+
+def _read_base(spark: SparkSession, target: str, spec: MergeSpec, version: int) -> DataFrame:
+    """The bucketed table where this session's catalog knows it, else the plain files."""
+    if spec.buckets:
+        name = qualified(spec.database, _base_table(spec, version))
+        if spark.catalog.tableExists(name):
+            return spark.table(name)
+    return spark.read.parquet(_base_path(target, version))
+
+
 def _batches(
     spark: SparkSession, target: str, schema: StructType, batches: list[int]
 ) -> DataFrame:

@@ -91,7 +91,8 @@ def save_bucketed(
     """Save a table bucketed and sorted by its natural keys.
 
     A later join or merge on these keys reads it without a shuffle, whatever the
-    size of the other side. Rows are brought together first, one file per bucket.
+    size of the other side, given at least as many buckets as shuffle partitions.
+    Rows are brought together first, one file per bucket.
     """
     require_columns(df, keys)
     spark = df.sparkSession

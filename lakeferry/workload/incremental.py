@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -55,10 +56,11 @@ def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored base, loaded twice from one feed: the second load finds nothing new."""
     target = fresh_dir(spark, "load")
-    publish_base(fx.order_base(spark, sf_dir), target, watermark=LAST_TIME)
+    spec = replace(fx.ORDER_MERGE, buckets=8, database="lakeferry_check", table="order_base")
+    publish_base(fx.order_base(spark, sf_dir), target, spec, watermark=LAST_TIME)
     for _ in range(2):
-        load_increment(spark, fx.order_feed(spark, sf_dir), target, fx.ORDER_MERGE)
-    return read_merged(spark, target, fx.ORDER_MERGE)
+        load_increment(spark, fx.order_feed(spark, sf_dir), target, spec)
+    return read_merged(spark, target, spec)
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,7 +132,7 @@ def streamed(compacted: bool):
         root = fresh_dir(spark, "stream")
         feed = fx.order_feed(spark, sf_dir)
         feed.repartition(3, "o_orderkey").write.parquet(f"{root}/in")
-        publish_base(fx.order_base(spark, sf_dir), f"{root}/target")
+        publish_base(fx.order_base(spark, sf_dir), f"{root}/target", fx.ORDER_MERGE)
         stream = stream_merge(
             spark,
             f"{root}/in",

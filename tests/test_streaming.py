@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from helpers import bag, explained, rows
@@ -18,7 +19,7 @@ SPEC = MergeSpec(("k",), "w")
 def target(spark, tmp_path):
     base = spark.createDataFrame([(1, 1, "a"), (2, 5, "b"), (3, 3, "c")], SCHEMA)
     path = str(tmp_path / "target")
-    load.publish_base(base, path)
+    load.publish_base(base, path, SPEC)
     return path
 
 
@@ -90,7 +91,7 @@ def test_no_base_is_an_error(spark, tmp_path):
 def test_load_increments(spark, tmp_path):
     path = str(tmp_path / "t")
     base = [(1, 1, "a"), (2, 5, "b")]
-    load.publish_base(spark.createDataFrame(base, SCHEMA), path, watermark="5")
+    load.publish_base(spark.createDataFrame(base, SCHEMA), path, SPEC, watermark="5")
     feed = base + [(1, 6, "a2"), (None, 9, "x"), (3, 10, "c")]
     result = load.load_increment(spark, spark.createDataFrame(feed, SCHEMA), path, SPEC)
     # "10" is after "9" and "5": watermarks are compared as the column's type.
@@ -109,7 +110,7 @@ def test_load_increments(spark, tmp_path):
 
 def test_interrupted_load_is_repeated(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
-    load.publish_base(spark.createDataFrame([(1, 1, "a")], SCHEMA), path, watermark="1")
+    load.publish_base(spark.createDataFrame([(1, 1, "a")], SCHEMA), path, SPEC, watermark="1")
     feed = spark.createDataFrame([(1, 2, "a2"), (2, 3, "b")], SCHEMA)
     commit = load._commit
 
@@ -129,8 +130,38 @@ def test_interrupted_load_is_repeated(spark, tmp_path, monkeypatch):
 def test_reading_reduces_the_deltas_once(spark, tmp_path):
     """Base unshuffled; the shuffled deltas are used by both joins."""
     path = str(tmp_path / "t")
-    load.publish_base(spark.range(1000).selectExpr("cast(id as int) k", "1 w", "'a' v"), path)
+    base = spark.range(1000).selectExpr("cast(id as int) k", "1 w", "'a' v")
+    load.publish_base(base, path, SPEC)
     load.load_increment(spark, spark.createDataFrame([(1, 2, "b"), (5000, 1, "n")], SCHEMA), path, SPEC)
     merged = load.read_merged(spark, path, SPEC)
     assert merged.count() == 1001
     assert "SortMergeJoin" not in explained(merged)
+
+
+def test_bucketed_base_versions(spark, tmp_path):
+    """Merged without shuffling the base; compacted into a bucketed version again."""
+    path = str(tmp_path / "t")
+    spec = replace(SPEC, buckets=8, database="test_load", table="facts")
+    base = spark.range(1000).selectExpr("cast(id as int) k", "1 w", "'a' v")
+    load.publish_base(base, path, spec)
+    feed = spark.range(500, 1500).selectExpr("cast(id as int) k", "2 w", "'b' v")
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(setting, "-1")
+    try:
+        for _ in range(2):
+            load.load_increment(spark, feed, path, spec)
+            merged = load.read_merged(spark, path, spec)
+            plan = explained(merged)
+            assert "Bucketed: true" in plan and "SortMergeJoin" in plan
+            # Deltas are shuffled; the base, whole or keys only, is not.
+            plain = explained(load.read_merged(spark, path, SPEC))
+            assert plan.count(") Exchange\n") < plain.count(") Exchange\n")
+            assert merged.groupBy("v").count().orderBy("v").collect() == [("a", 500), ("b", 1000)]
+            load.compact(spark, path, spec)
+            feed = spark.range(1500, 1500).selectExpr("cast(id as int) k", "3 w", "'c' v")
+    finally:
+        spark.conf.unset(setting)
+    # Without the table in the catalog the plain files are read.
+    for version in (0, 1, 2):
+        spark.sql(f"DROP TABLE IF EXISTS test_load.facts_v{version}")
+    assert load.read_merged(spark, path, spec).count() == 1500
