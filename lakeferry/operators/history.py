@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakeferry.functions.names import quote, require_columns
 from lakeferry.operators.incremental import latest_per_key, rank
-from lakeferry.operators.joins import broadcast_if_small, join_null_safe
+from lakeferry.operators.joins import join_lookup, join_null_safe
 from lakeferry.session import checkpoint_root
 
 CURRENT = "is_current"
@@ -32,8 +32,11 @@ def history_view(
     tiebreak: Sequence[str] = (),
     max_rows_per_task: int | None = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
-    """All rows, the latest of every key marked by ``is_current``."""
-    ordinary, hot, _ = _split_by_load(df, keys, max_rows_per_task)
+    """All rows, the latest of every key marked by ``is_current``.
+
+    Runs a count per key first. Rows of hot keys cannot hold map columns.
+    """
+    ordinary, hot, _ = _split_by_load(df, keys, [watermark, *tiebreak], max_rows_per_task)
     position = rank(df, keys, [watermark, *tiebreak])
     marked = ordinary.withColumn(CURRENT, position == 1)
     if hot is None:
@@ -75,7 +78,7 @@ def scd2_history(
     needed = list(dict.fromkeys([*keys, watermark, *tiebreak, *tracked]))
     rows = df.select(*[quote(c) for c in needed])
     order = [c for c in [watermark, *tiebreak, *tracked] if c not in keys]
-    ordinary, hot, hot_rows = _split_by_load(rows, keys, max_rows_per_task)
+    ordinary, hot, hot_rows = _split_by_load(rows, keys, order, max_rows_per_task)
     versions = _plain_versions(ordinary, keys, watermark, tracked, order)
     if hot is None:
         return versions
@@ -85,7 +88,7 @@ def scd2_history(
 
 
 def _split_by_load(
-    df: DataFrame, keys: Sequence[str], max_rows: int | None
+    df: DataFrame, keys: Sequence[str], spread_by: Sequence[str], max_rows: int | None
 ) -> tuple[DataFrame, DataFrame | None, int]:
     """Rows of ordinary keys, rows of hot keys (None if there are none), and their count.
 
@@ -105,8 +108,11 @@ def _split_by_load(
     found, total = hot_keys.agg(F.count(F.lit(1)), F.sum(SLICE)).first()
     if not found:
         return df, None, 0
-    listed = broadcast_if_small(hot_keys.select(*[quote(k) for k in keys]), found)
-    ordinary, hot = (join_null_safe(df, listed, keys, how) for how in ("left_anti", "left_semi"))
+    listed = hot_keys.select(*[quote(k) for k in keys])
+    ordinary, hot = (
+        join_lookup(df, listed, {k: k for k in keys}, spread_by, how, null_safe=True)
+        for how in ("left_anti", "left_semi")
+    )
     return ordinary, hot, total
 
 

@@ -31,11 +31,6 @@ def join_null_safe(
     return left.join(right, condition, how).drop(*renamed)
 
 
-def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
-    """Hint a broadcast where the counted ``rows`` allow it; else Spark shuffles."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 LOOKUP_JOINS = ("inner", "left", "left_semi", "left_anti")
 
 
@@ -47,6 +42,7 @@ def join_lookup(
     how: str = "inner",
     salts: int = DEFAULT_SALTS,
     broadcast_rows: int = BROADCAST_ROWS,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Join rows to a lookup that has one row per key, where one key may hold most rows.
 
@@ -54,7 +50,8 @@ def join_lookup(
     most ``broadcast_rows`` is broadcast, and no fact is shuffled. A larger one
     is joined by a shuffle that spreads each key over ``salts`` tasks: the lookup
     row is repeated per salt, and every fact takes the salt its ``spread_by``
-    columns hash to. The lookup's key columns are not returned.
+    columns hash to. The lookup's key columns are not returned. Nulls match nulls
+    where ``null_safe`` is set.
     """
     if how not in LOOKUP_JOINS:
         raise ValueError(f"a lookup join cannot be {how!r}")
@@ -62,7 +59,8 @@ def join_lookup(
     for i, (fact_key, lookup_key) in enumerate(on.items()):
         keys.append(f"_lookup_{i}")
         lookup = lookup.withColumnRenamed(lookup_key, keys[-1])
-        condition = condition & (F.col(quote(fact_key)) == F.col(keys[-1]))
+        fact, other = F.col(quote(fact_key)), F.col(keys[-1])
+        condition = condition & (fact.eqNullSafe(other) if null_safe else fact == other)
     if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
         return facts.join(F.broadcast(lookup), condition, how).drop(*keys)
     salt = F.pmod(F.xxhash64(*[F.col(quote(c)) for c in spread_by]), F.lit(salts)).cast("int")

@@ -116,6 +116,25 @@ def test_salted_lookup_equals_broadcast_lookup(spark, how):
         joins.join_lookup(facts, lookup, {"k": "k"}, ["id"], "right")
 
 
+@pytest.mark.parametrize("broadcast_rows", [0, 10])
+def test_null_safe_lookup(spark, broadcast_rows):
+    facts = spark.createDataFrame([(1, None), (2, 5), (3, 6)], "id int, k int")
+    lookup = spark.createDataFrame([(None,), (5,)], "k int")
+    found = {
+        (safe, how): [
+            r.id
+            for r in joins.join_lookup(
+                facts, lookup, {"k": "k"}, ["id"], how,
+                broadcast_rows=broadcast_rows, null_safe=safe,
+            ).orderBy("id").collect()
+        ]
+        for safe in (True, False)
+        for how in ("left_semi", "left_anti")
+    }
+    assert found[True, "left_semi"] == [1, 2] and found[True, "left_anti"] == [3]
+    assert found[False, "left_semi"] == [2] and found[False, "left_anti"] == [1, 3]
+
+
 def test_salt_spreads_a_hot_key(spark):
     facts = spark.range(0, 4000).selectExpr("id", "0 as k")
     lookup = spark.range(0, 50).selectExpr("id as k", "id as name")
