@@ -51,13 +51,22 @@ def build_session(app_name: str = "lakeferry", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def one_machine(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process (``local-cluster`` is not)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests on one machine) is a temporary
-    folder made and set.
+    A session on one machine (master ``local``) that names none gets a temporary
+    folder; on a cluster that folder would be another one on every executor, so
+    there it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root and not one_machine(spark):
+        raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="lakeferry-")
         spark.sparkContext.setCheckpointDir(root)
