@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakeferry.session import fresh_dir
@@ -14,6 +20,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the Python workers, once per application.
+
+    Functions that run in tasks are found by module name there, whether or not the
+    executors have the package installed. Spark itself serves the file.
+    """
+    context, package = spark.sparkContext, Path(__file__).resolve().parent.parent
+    if getattr(context, "_lakeferry_shipped", False):
+        return
+    folder = Path(tempfile.mkdtemp(prefix="code-")).resolve()
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = folder / f"{package.name}-code.zip"
+    with zipfile.ZipFile(archive, "w") as target:
+        for file in sorted(package.rglob("*.py")):
+            target.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._lakeferry_shipped = True
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 

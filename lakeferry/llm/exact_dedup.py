@@ -20,6 +20,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from lakeferry.llm.common import ship
+
 KEEP = {"smallest": F.min, "largest": F.max}
 
 
@@ -41,6 +43,7 @@ def exact_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest"
 ) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
+    ship(docs.sparkSession)
     chosen = KEEP[keep]
     texts = docs.select(F.col(id_col).alias("doc_id"), normalised(text_col).alias("norm"))
     classes = (

@@ -2,21 +2,103 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from lakeferry.llm import bpe, quality, toxicity, url_filter
 from lakeferry.llm.common import table
 from lakeferry.llm.exact_dedup import exact_groups
+from lakeferry.llm.mixing import mix
 from lakeferry.llm.sharding import shard
 
+TOKENIZER = "word_bpe_49k.json"
+
 
 def op1_exact_dedup(spark, sf_dir):
     return exact_groups(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def _scored(spark, sf_dir, module, parts, part, threshold):
+    docs = table(spark, sf_dir, "documents")
+    model = module.fit(docs, table(spark, sf_dir, "labels"), learn=~toxicity.held_out("doc_id", parts, part))
+    return docs.select(
+        "doc_id", toxicity.held_out("doc_id", parts, part).alias("held_out"),
+        module.scorer(docs, model)("text").alias("score"),
+    ).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def op2_toxicity(spark, sf_dir):
+    return _scored(spark, sf_dir, toxicity, 4, 2, 0.3)
+
+
+def op3_quality(spark, sf_dir):
+    return _scored(spark, sf_dir, quality, 3, 1, 0.5)
+
+
+#: The tree of op4 and of the pipeline: two domains by a digit of the source's hash.
+MIX_LEVELS = {
+    "domain": F.expr("if(substring(md5(coalesce(source, '')), 1, 1) < '8', 'web', 'curated')"),
+    "lang": F.col("lang"),
+    "source": F.col("source"),
+}
+MIX_WEIGHTS = {
+    "domain": F.expr("if(domain = 'web', 3, 2)"),
+    "lang": F.expr("case lang when 'en' then 5 when 'de' then 2 when 'fr' then 2 else 1 end"),
+    "source": F.lit(1),
+}
+MIX_EPOCHS = 3
+
+
+def op4_mixing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return mix(docs, MIX_LEVELS, MIX_WEIGHTS, max_epochs=MIX_EPOCHS, seed=11)
+
+
+def digests(docs, vocabulary):
+    """Encode, decode what was encoded, and reduce both to digests."""
+    ids = bpe.encode(docs, vocabulary)
+    decoded = bpe.decode(vocabulary, docs.sparkSession)("ids")
+    return ids.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(decoded, 256).alias("decoded_sha256"),
+    )
+
+
+def op5_bpe(spark, sf_dir):
+    vocabulary = bpe.load_vocabulary(public_tokenizers.path(TOKENIZER))
+    return digests(table(spark, sf_dir, "documents"), vocabulary)
+
+
+RULES = (
+    url_filter.Rule("net", "/", "block"),
+    url_filter.Rule("example.net", "/en/", "allow"),
+    url_filter.Rule("example.com", "/de/", "block"),
+    url_filter.Rule("org", "/fr/", "allow"),
+)
+
+
+def op9_url_filter(spark, sf_dir):
+    """Labels are weak: a URL is bad if its host has one of the listed spam words."""
+    pages = table(spark, sf_dir, "pages")
+    labelled = pages.select(
+        "url", url_filter.has_spam_word(url_filter.host_of(F.col("url"))).cast("int").alias("label")
+    )
+    return url_filter.decide(pages, url_filter.fit(labelled), RULES)
+
+
 def op10_sharding(spark, sf_dir):
     return shard(table(spark, sf_dir, "documents"), shards=40)
 
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_toxicity": op2_toxicity,
+    "op3_quality": op3_quality,
+    "op4_mixing": op4_mixing,
+    "op5_bpe": op5_bpe,
+    "op9_url_filter": op9_url_filter,
     "op10_sharding": op10_sharding,
 }
 
@@ -30,3 +112,43 @@ ORACLES = {
                doc_id = max(doc_id) OVER (PARTITION BY norm) AS kept, sha256(norm) AS text_sha256
         FROM n""",
 }
+
+#: A level's share of its parents' budgets; the children that are full take what they have.
+_LEVEL = """
+    {name}_n AS (SELECT {path}, sum(capacity)::HUGEINT AS capacity, any_value({weight})::HUGEINT AS weight
+        FROM leaves GROUP BY {path}),
+    {name}_b AS (SELECT {nodes}, n.capacity, n.weight, p.budget,
+            coalesce(sum(n.capacity) OVER w, 0)::HUGEINT AS before_c, coalesce(sum(n.weight) OVER w, 0)::HUGEINT AS before_w,
+            (sum(n.weight) OVER (PARTITION BY {parent}))::HUGEINT AS all_w
+        FROM {name}_n n JOIN {above} p ON {on}
+        WINDOW w AS (PARTITION BY {parent} ORDER BY n.capacity::DOUBLE / n.weight::DOUBLE, n.{level}
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    {name}_f AS (SELECT *, capacity * (all_w - before_w) <= (budget - before_c) * weight AS filled FROM {name}_b),
+    {name} AS (SELECT {path}, CASE WHEN filled THEN capacity ELSE
+            ((budget - sum(CASE WHEN filled THEN capacity ELSE 0 END) OVER f)::HUGEINT * weight)
+            // (sum(CASE WHEN filled THEN 0 ELSE weight END) OVER f)::HUGEINT END AS budget
+        FROM {name}_f WINDOW f AS (PARTITION BY {own}))"""
+
+ORACLES["op4_mixing"] = f"""
+    WITH docs AS (SELECT doc_id, CASE WHEN substr(md5(coalesce(source, '')), 1, 1) < '8' THEN 'web' ELSE 'curated' END AS domain,
+            coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(doc_id::VARCHAR, '') AS id,
+            md5(coalesce(text, '')) AS digest,
+            len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS tokens
+        FROM documents),
+    leaves AS (SELECT domain, lang, source, sum(tokens)::HUGEINT AS supply, {MIX_EPOCHS} * sum(tokens)::HUGEINT AS capacity
+        FROM docs GROUP BY ALL),
+    root AS (SELECT 0 AS z, sum(supply)::HUGEINT AS budget FROM leaves),
+    {_LEVEL.format(name="d", path="domain", nodes="n.domain", own="1", parent="p.z", level="domain", above="root", on="true",
+                   weight="CASE WHEN domain = 'web' THEN 3 ELSE 2 END")},
+    {_LEVEL.format(name="l", path="domain, lang", nodes="n.domain, n.lang", own="domain", parent="n.domain", level="lang",
+                   above="d", on="n.domain = p.domain", weight="CASE lang WHEN 'en' THEN 5 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END")},
+    {_LEVEL.format(name="s", path="domain, lang, source", nodes="n.domain, n.lang, n.source", own="domain, lang",
+                   parent="n.domain, n.lang", level="source", above="l", on="n.domain = p.domain AND n.lang = p.lang", weight="1")},
+    gives AS (SELECT domain, lang, source, (budget // supply)::BIGINT AS whole, (budget % supply)::BIGINT AS rest
+        FROM s JOIN leaves USING (domain, lang, source) WHERE supply > 0),
+    placed AS (SELECT d.*, whole, rest, sum(tokens) OVER (PARTITION BY domain, lang, source
+            ORDER BY md5('11:' || whole || ':' || id || ':' || digest)) AS upto
+        FROM docs d JOIN gives g USING (domain, lang, source)),
+    epochs AS (SELECT doc_id, domain, lang, source, tokens,
+            unnest(range(whole + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END)) AS epoch FROM placed)
+    SELECT doc_id, domain, lang, source, tokens, epoch::INTEGER AS epoch FROM epochs"""

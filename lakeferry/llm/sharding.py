@@ -136,7 +136,7 @@ def communication_matrix(sizes: DataFrame, parts: int, shard_sizes: list[int], s
     spark = sizes.sparkSession
     levels = max(parts - 1, 0).bit_length()
     nodes = spark.range(1).select(
-        F.lit(0).cast("long").alias("node"), F.array(*[F.lit(s).cast("long") for s in shard_sizes]).alias("caps")
+        F.col("id").alias("node"), F.array(*[F.lit(s).cast("long") for s in shard_sizes]).alias("caps")
     )
     for level in range(levels):
         below = levels - level - 1  # bits of a partition's number under the children's
