@@ -9,7 +9,9 @@ from lakeferry.llm import bpe, quality, toxicity, url_filter
 from lakeferry.llm.common import table
 from lakeferry.llm.exact_dedup import exact_groups
 from lakeferry.llm.mixing import mix
+from lakeferry.llm.ngram_join import similar_documents
 from lakeferry.llm.sharding import shard
+from lakeferry.llm.topk import top_k
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -71,6 +73,14 @@ def op5_bpe(spark, sf_dir):
     return digests(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op7_ngram_join(spark, sf_dir):
+    return similar_documents(table(spark, sf_dir, "documents"), size=5, percent=80)
+
+
+def op8_top_k(spark, sf_dir):
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
 RULES = (
     url_filter.Rule("net", "/", "block"),
     url_filter.Rule("example.net", "/en/", "allow"),
@@ -98,6 +108,8 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_mixing": op4_mixing,
     "op5_bpe": op5_bpe,
+    "op7_ngram_join": op7_ngram_join,
+    "op8_top_k": op8_top_k,
     "op9_url_filter": op9_url_filter,
     "op10_sharding": op10_sharding,
 }
@@ -152,3 +164,12 @@ ORACLES["op4_mixing"] = f"""
     epochs AS (SELECT doc_id, domain, lang, source, tokens,
             unnest(range(whole + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END)) AS epoch FROM placed)
     SELECT doc_id, domain, lang, source, tokens, epoch::INTEGER AS epoch FROM epochs"""
+
+ORACLES["op8_top_k"] = """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::BIGINT AS score
+        FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e))
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+    FROM s QUALIFY rank <= 10"""
