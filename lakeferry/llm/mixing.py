@@ -54,15 +54,22 @@ def _order(seed: int, epoch: Column, id_: str = "_id", text_md5: str = "_text_md
 
 
 def budgets(
-    leaves: DataFrame, levels: list[str], weights: Mapping[str, Column], target: int | None, max_epochs: int
+    leaves: DataFrame,
+    levels: list[str],
+    weights: Mapping[str, Column],
+    target: int | None,
+    max_epochs: int,
+    percent: int = 100,
 ) -> DataFrame:
     """``leaves`` (path, supply) with a column ``budget``.
 
-    ``target`` tokens enter at the root; null means as many as there are.
+    ``target`` tokens enter at the root; null means ``percent`` of those there are.
     """
     root = "_root"
     tree = leaves.withColumns({"capacity": F.col("supply").cast(_BIG) * max_epochs, root: F.lit(0) * F.col("supply")})
-    wanted = F.lit(target).cast(_BIG) if target is not None else F.sum("supply").cast(_BIG)
+    wanted = F.lit(target).cast(_BIG) if target is not None else F.expr(
+        f"cast(cast(sum(supply) as {_BIG}) * {int(percent)} div 100 as {_BIG})"
+    )
     budget = tree.groupBy(root).agg(
         F.least(wanted, F.coalesce(F.sum("capacity"), F.lit(0)).cast(_BIG)).cast(_BIG).alias("budget")
     )
@@ -103,6 +110,7 @@ def plan(
     weights: Mapping[str, Column],
     target: int | None = None,
     max_epochs: int = 4,
+    percent: int = 100,
     seed: int = 11,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -126,7 +134,7 @@ def plan(
         "mix-rows",
     )
     supply = rows.groupBy(*names).agg(F.sum("tokens").alias("supply"), F.count("*").alias("n"))
-    leaves = stored(budgets(supply, names, weights, target, max_epochs), "mix-budgets")
+    leaves = stored(budgets(supply, names, weights, target, max_epochs, percent), "mix-budgets")
     leaves = leaves.filter("supply > 0").withColumns(
         {"whole": F.expr("budget div supply"), "rest": F.expr("budget % supply")}
     )

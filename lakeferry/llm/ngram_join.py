@@ -39,16 +39,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeferry.llm import words
-from lakeferry.llm.common import ceil_div, ship, stored
+from lakeferry.llm.common import ship, stored
 from lakeferry.llm.components import components
+from lakeferry.llm.meeting import deal, met
 
-CHUNK_BYTES = 4_000_000
-#: Shingles dealt to one reducing group in step 1; never fewer groups than MIN_GROUPS.
-GROUP_SHINGLES, MIN_GROUPS = 1_000_000, 64
+CHUNK_BYTES = 2_000_000
 #: Orders that a candidate pair must pass.
 ORDERS = 3
-#: Stands for the owner of a shingle whose owners have been counted already.
-NOBODY = np.iinfo(np.int64).min
 
 
 def shingle_sets(texts: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -99,71 +96,25 @@ def _least_overlap(n, percent: int):
     return -(-n * percent // 100)
 
 
-def _with_partner(docs: DataFrame, size: int, percent: int, groups: int) -> DataFrame:
-    """(doc_id, shared): how many shingles of a document's hash-order prefix others have in theirs."""
+def _prefixes(size: int, percent: int):
+    """(shingle, text number) of the hash-order prefixes, for ``meeting.deal``."""
+
+    def entries(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        seen = set()
+        for first, code, bounds in shingle_sets(texts, size):
+            found = []
+            for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+                whole = hashlib.md5(code[a:b].tobytes()).digest()
+                if b > a and whole not in seen:  # equal sets met in this task speak with one voice
+                    seen.add(whole)
+                    found.append((first + i, code[a : b - _least_overlap(b - a, percent) - (a - b) // 20]))
+            if found:
+                yield (
+                    np.concatenate([p for _, p in found]),
+                    np.repeat(np.array([i for i, _ in found]), [len(p) for _, p in found]),
+                )
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            found, seen = [], set()
-            for first, code, bounds in shingle_sets(batch.column(1), size):
-                for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
-                    n = b - a
-                    if not n:
-                        continue
-                    prefix = code[a : a + n - _least_overlap(n, percent) + -(-n // 20)]
-                    copy = hashlib.md5(code[a:b].tobytes()).digest()
-                    if copy not in seen:  # equal sets met in this task speak with one voice
-                        seen.add(copy)
-                        found.append((ids[first + i], prefix))
-            if not found:
-                continue
-            token = np.concatenate([p for _, p in found])
-            owner = np.repeat(np.array([i for i, _ in found], dtype=np.int64), [len(p) for _, p in found])
-            order = np.argsort(token, kind="stable")
-            token, owner = token[order], owner[order]
-            new = np.concatenate([[True], token[1:] != token[:-1]])
-            many = np.diff(np.append(np.flatnonzero(new), len(token))) > 1
-            often = np.repeat(many, np.diff(np.append(np.flatnonzero(new), len(token))))
-            # Met twice here: counted here; others learn of it by one entry without an owner.
-            own, count = np.unique(owner[often], return_counts=True)
-            yield _dealt([-1 - int(token[0] % np.uint64(groups))], [own], [count])
-            token, owner, often = token[new], owner[new], often[new]
-            group = (words.mixed(token) % np.uint64(groups)).astype(np.int64)
-            order = np.argsort(group, kind="stable")
-            token, owner, group = token[order], np.where(often, NOBODY, owner)[order], group[order]
-            cuts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-            yield _dealt(group[cuts].tolist(), np.split(token, cuts[1:]), np.split(owner, cuts[1:]))
-
-    def meet(table: pa.Table) -> pa.Table:
-        group = table.column("part")[0].as_py()
-        token = np.concatenate([np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in table.column("tokens")])
-        owner = np.concatenate([np.frombuffer(x.as_buffer(), dtype=np.int64) for x in table.column("owners")])
-        if group < 0:
-            ids, counts = token.view(np.int64), owner
-        else:
-            order = np.argsort(token, kind="stable")
-            token, owner = token[order], owner[order]
-            new = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-            times = np.diff(np.append(new, len(token)))
-            shared = np.repeat(times > 1, times) & (owner != NOBODY)
-            ids, counts = np.unique(owner[shared], return_counts=True)
-        return pa.table({"doc_id": pa.array(ids, pa.int64()), "shared": pa.array(counts, pa.int64())})
-
-    dealt = docs.mapInArrow(deal, "part int, tokens binary, owners binary")
-    met = dealt.groupBy("part").applyInArrow(meet, "doc_id long, shared long")
-    return met.groupBy("doc_id").agg(F.sum("shared").alias("shared"))
-
-
-def _dealt(parts: list[int], tokens: list[np.ndarray], owners: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(parts, pa.int32()),
-            pa.array([t.tobytes() for t in tokens], pa.binary()),
-            pa.array([o.astype(np.int64).tobytes() for o in owners], pa.binary()),
-        ],
-        names=["part", "tokens", "owners"],
-    )
+    return entries
 
 
 def _tokens(docs: DataFrame, size: int) -> DataFrame:
@@ -286,10 +237,9 @@ def similar_documents(
     total, rows, ids = described.agg(
         F.sum("n"), F.count("doc_id"), F.countDistinct("doc_id")
     ).first()
-    # A quarter of the shingles goes through step 1.
-    groups = max(MIN_GROUPS, ceil_div((total or 0) // 4, GROUP_SHINGLES))
     known = texts.where("doc_id is not null")
-    shared = _with_partner(known, size, percent, groups)
+    # A quarter of the shingles goes through step 1.
+    shared = met(deal(known, _prefixes(size, percent), (total or 0) // 4))
     alive = described.join(shared, "doc_id").where(
         F.col("shared") >= F.greatest(F.lit(1), F.ceil(F.col("n") * percent / F.lit(2000.0)))
     )

@@ -11,6 +11,7 @@ from lakeferry.llm.exact_dedup import exact_groups
 from lakeferry.llm.mixing import mix
 from lakeferry.llm.ngram_join import similar_documents
 from lakeferry.llm.sharding import shard
+from lakeferry.llm.substring_dedup import repeats
 from lakeferry.llm.topk import top_k
 
 TOKENIZER = "word_bpe_49k.json"
@@ -73,6 +74,10 @@ def op5_bpe(spark, sf_dir):
     return digests(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op6_substring_dedup(spark, sf_dir):
+    return repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_ngram_join(spark, sf_dir):
     return similar_documents(table(spark, sf_dir, "documents"), size=5, percent=80)
 
@@ -108,6 +113,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_mixing": op4_mixing,
     "op5_bpe": op5_bpe,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_ngram_join": op7_ngram_join,
     "op8_top_k": op8_top_k,
     "op9_url_filter": op9_url_filter,
