@@ -6,18 +6,25 @@ readers merge base and deltas, and ``compact`` folds deltas into a new base
 version now and then. Nothing that is being read is ever overwritten, and a
 repeated batch replaces exactly its own directory. A version or batch counts only
 once it is noted in ``commits``, one small row each. A target has one writer.
+
+Loads and streams share one numbering: a batch gets its number at its commit. A
+micro-batch is known by its stream and epoch, never by its epoch alone, so that two
+streams, or one with a new checkpoint, cannot take each other for a repetition.
+Watermarks of zoned timestamps are kept in UTC with their zone.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
+from pyspark.sql.types import BooleanType, DataType, LongType, StructField, StructType, TimestampType
 
 from lakeferry.functions.names import qualified, quote
 from lakeferry.model import MergeSpec
 from lakeferry.operators.incremental import (
+    has_null_key,
     incremental_filter,
     latest_per_key,
     merge_upsert,
@@ -25,7 +32,7 @@ from lakeferry.operators.incremental import (
 )
 from lakeferry.sinks.tables import save_bucketed
 
-COMMIT = "kind string, id bigint, watermark string"
+COMMIT = "kind string, id bigint, watermark string, stream string, epoch bigint"
 BASE, BATCH = "base", "batch"
 REJECTED = "_rejected"
 
@@ -43,9 +50,22 @@ def publish_base(
     spec: MergeSpec,
     version: int = 0,
     watermark: str | None = None,
+    unique: bool = False,
 ) -> None:
-    """Write a base version; it holds every batch with an id below ``version``."""
+    """Write a base version; it holds every batch with an id below ``version``.
+
+    A base has one row per key, its latest; rows with null keys pass through.
+    ``unique`` states that ``base`` is so already. A watermark without a zone is
+    taken in the session's zone.
+    """
     path = _base_path(target, version)
+    kind = base.schema[spec.watermark].dataType
+    if watermark and isinstance(kind, TimestampType):
+        bound = base.sparkSession.range(1).select(_mark(F.lit(watermark).cast(kind), kind))
+        watermark = _mark_text(bound.first()[0], kind)
+    if not unique:
+        keyed, keyless = split_null_keys(base, spec.keys)
+        base = latest_per_key(keyed, spec.keys, spec.watermark, spec.tiebreak).unionByName(keyless)
     if spec.buckets:
         save_bucketed(
             base, spec.database, _base_table(spec, version), path, spec.keys, spec.buckets
@@ -60,19 +80,20 @@ def write_batch(
 ) -> None:
     """Write the latest row per key of a batch, and its rows with null keys apart.
 
-    One job writes both, as two partitions of the batch's directory.
+    The batch is read once and staged, valid and rejected rows apart: a feed that
+    changes while it is read cannot give its halves different rows, and what ``seen``
+    observes (rows with a key, watermark of all rows) is what was written.
     """
-    valid, keyless = split_null_keys(batch, spec.keys)
-    newest = latest_per_key(valid, spec.keys, spec.watermark, spec.tiebreak)
+    spark, staged = batch.sparkSession, f"{target}/staging/batch_id={batch_id}"
+    kind = batch.schema[spec.watermark].dataType
+    marked = batch.withColumn(REJECTED, has_null_key(batch, spec.keys))
     if seen is not None:
-        newest = newest.observe(
-            seen,
-            F.count(F.lit(1)).alias("rows"),
-            F.max(quote(spec.watermark)).cast("string").alias("watermark"),
-        )
-    both = newest.withColumn(REJECTED, F.lit(False)).unionByName(
-        keyless.withColumn(REJECTED, F.lit(True))
-    )
+        marked = marked.observe(seen, F.max(_mark(F.col(quote(spec.watermark)), kind)).alias("watermark"))
+    marked.write.mode("overwrite").partitionBy(REJECTED).parquet(staged)
+    stored = spark.read.schema(StructType([*batch.schema.fields, StructField(REJECTED, BooleanType())])).parquet(staged)
+    valid = stored.where(~F.col(REJECTED)).drop(REJECTED)
+    newest = latest_per_key(valid, spec.keys, spec.watermark, spec.tiebreak)
+    both = newest.withColumn(REJECTED, F.lit(False)).unionByName(stored.where(REJECTED))
     both.write.mode("overwrite").partitionBy(REJECTED).parquet(
         f"{target}/delta/batch_id={batch_id}"
     )
@@ -82,22 +103,67 @@ def load_increment(spark: SparkSession, feed: DataFrame, target: str, spec: Merg
     """Load the rows of ``feed`` after the last committed watermark, as the next batch.
 
     The watermark moves with the batch's commit: a load that failed midway is
-    simply repeated. It stays when nothing new was found.
+    simply repeated. It stays when nothing new was found. Rows rejected for a null
+    key move it too, else every later load would reject them again.
     """
     commits = _commits(spark, target)
-    batch_id = commits[-1].id if commits[-1].kind == BASE else commits[-1].id + 1
-    last = commits[-1].watermark
+    batch_id, last = _next_id(commits), _last_watermark(commits)
     seen = Observation()
     write_batch(incremental_filter(feed, spec.watermark, last), target, spec, batch_id, seen)
-    watermark = seen.get["watermark"] or last
+    kind = feed.schema[spec.watermark].dataType
+    watermark = _mark_text(seen.get["watermark"], kind) or last
     _commit(spark, target, BATCH, batch_id, watermark)
-    return LoadResult(batch_id, seen.get["rows"], watermark)
+    written = spark.read.schema(_stored(feed.schema)).parquet(f"{target}/delta/batch_id={batch_id}")
+    return LoadResult(batch_id, written.where(~F.col(REJECTED)).count(), watermark)
+
+
+def load_epoch(batch: DataFrame, target: str, spec: MergeSpec, stream: str, epoch: int) -> int:
+    """Load a micro-batch as the next batch, unless it was committed before; its number."""
+    spark = batch.sparkSession
+    commits = _commits(spark, target)
+    known = [c.id for c in commits if (c.stream, c.epoch) == (stream, epoch)]
+    if known:
+        return known[0]
+    batch_id = _next_id(commits)
+    write_batch(batch, target, spec, batch_id)
+    _commit(spark, target, BATCH, batch_id, None, stream, epoch)
+    return batch_id
 
 
 def commit_batch(spark: SparkSession, target: str, batch_id: int) -> None:
+    """Note a batch as loaded; refused where the current base would hide it."""
+    version, _ = _current(_commits(spark, target))
+    if batch_id < version:
+        raise ValueError(f"batch {batch_id} comes before base version {version} of {target}")
     _commit(spark, target, BATCH, batch_id, None)
 
 
+def _next_id(commits: list[Row]) -> int:
+    """The number after every committed batch, and not before the current base."""
+    version, _ = _current(commits)
+    return max([version, *(c.id + 1 for c in commits if c.kind == BATCH)])
+
+
+def _last_watermark(commits: list[Row]) -> str | None:
+    """Of the last load; batches of a stream have none and leave it as it was."""
+    return next((c.watermark for c in reversed(commits) if c.watermark), None)
+
+
+def _mark(column: Column, kind: DataType) -> Column:
+    """A watermark to take the maximum of: microseconds where it has a zone."""
+    return F.unix_micros(column) if isinstance(kind, TimestampType) else column
+
+
+def _mark_text(value: object, kind: DataType) -> str | None:
+    """A watermark as text that means the same in every session."""
+    if value is None:
+        return None
+    if not isinstance(kind, TimestampType):
+        return str(value)
+    moment = dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=int(value))
+    return f"{moment.isoformat(sep=' ', timespec='microseconds')}Z"
+
+
 def read_merged(spark: SparkSession, target: str, spec: MergeSpec) -> DataFrame:
     """The base with all committed deltas applied.
 
@@ -131,7 +197,7 @@ def compact(spark: SparkSession, target: str, spec: MergeSpec) -> int:
         return version
     following = max(batches) + 1
     merged = read_merged(spark, target, spec)
-    publish_base(merged, target, spec, following, commits[-1].watermark)
+    publish_base(merged, target, spec, following, _last_watermark(commits), unique=True)
     return following
 
 
@@ -155,21 +221,32 @@ def _read_base(spark: SparkSession, target: str, spec: MergeSpec, version: int)
 def _batches(
     spark: SparkSession, target: str, schema: StructType, batches: list[int]
 ) -> DataFrame:
-    partitions = [StructField("batch_id", LongType()), StructField(REJECTED, BooleanType())]
-    stored = StructType([*schema.fields, *partitions])
+    stored = _stored(schema, StructField("batch_id", LongType()))
     if not batches:
         return spark.createDataFrame([], stored)
     paths = [f"{target}/delta/batch_id={b}" for b in batches]
     return spark.read.schema(stored).option("basePath", f"{target}/delta").parquet(*paths)
 
 
+def _stored(schema: StructType, *partitions: StructField) -> StructType:
+    return StructType([*schema.fields, *partitions, StructField(REJECTED, BooleanType())])
+
+
 def _commit(
-    spark: SparkSession, target: str, kind: str, number: int, watermark: str | None
+    spark: SparkSession,
+    target: str,
+    kind: str,
+    number: int,
+    watermark: str | None,
+    stream: str | None = None,
+    epoch: int | None = None,
 ) -> None:
     row = spark.range(0, 1, 1, 1).select(
         F.lit(kind).alias("kind"),
         F.lit(number).cast("bigint").alias("id"),
         F.lit(watermark).cast("string").alias("watermark"),
+        F.lit(stream).cast("string").alias("stream"),
+        F.lit(epoch).cast("bigint").alias("epoch"),
     )
     row.write.mode("append").parquet(f"{target}/commits")
 

@@ -1,8 +1,9 @@
 """Incremental load as a file stream.
 
 The stream's checkpoint knows which files are loaded, so it stands in for the
-watermark. Every micro-batch becomes a batch of the merged table (see
-``plans.load``); a replayed one replaces its own directory.
+watermark. Every micro-batch becomes the next batch of the merged table (see
+``plans.load``). It is known by the stream's id, which Spark keeps in the checkpoint,
+and its epoch: one that was committed before is not loaded again.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from lakeferry.model import MergeSpec
-from lakeferry.plans.load import commit_batch, write_batch
+from lakeferry.plans.load import load_epoch
 
 
 def stream_merge(
@@ -29,9 +30,10 @@ def stream_merge(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, target, spec, batch_id)
-        commit_batch(batch.sparkSession, target, batch_id)
+    def apply(batch: DataFrame, epoch: int) -> None:
+        # Written before the first batch, and gone with the checkpoint.
+        identity = spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+        load_epoch(batch, target, spec, identity, epoch)
 
     return (
         reader.parquet(in_dir)

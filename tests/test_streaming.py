@@ -83,9 +83,80 @@ def test_a_replayed_batch_replaces_its_own_directory(spark, tmp_path, target):
 
 def test_no_base_is_an_error(spark, tmp_path):
     path = str(tmp_path / "none")
-    load.commit_batch(spark, path, 0)
+    load._commit(spark, path, load.BATCH, 0, None)
     with pytest.raises(ValueError):
         load.read_merged(spark, path, SPEC)
+    with pytest.raises(ValueError):
+        load.commit_batch(spark, path, 0)
+
+
+def merged_stream(spark, tmp_path, target, folder, checkpoint):
+    stream_merge(
+        spark, str(tmp_path / "in" / folder), target, SPEC, str(tmp_path / checkpoint), SCHEMA
+    ).awaitTermination()
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_a_second_checkpoint_loses_no_rows(spark, tmp_path, target, compacted):
+    feed(spark, tmp_path, [(8, 1, "first")], "one")
+    feed(spark, tmp_path, [(9, 1, "second")], "two")
+    merged_stream(spark, tmp_path, target, "one", "a")
+    if compacted:
+        load.compact(spark, target, SPEC)
+    merged_stream(spark, tmp_path, target, "two", "b")
+    found = rows(load.read_merged(spark, target, SPEC))
+    assert found == [(1, 1, "a"), (2, 5, "b"), (3, 3, "c"), (8, 1, "first"), (9, 1, "second")]
+    # A load joins the same numbering.
+    more = spark.createDataFrame([(10, 99, "load")], SCHEMA)
+    assert load.load_increment(spark, more, target, SPEC).batch_id == 2
+    assert rows(load.read_merged(spark, target, SPEC)) == sorted([*found, (10, 99, "load")], key=repr)
+
+
+def test_a_committed_epoch_is_not_loaded_again(spark, target):
+    first = spark.createDataFrame([(8, 1, "x")], SCHEMA)
+    assert load.load_epoch(first, target, SPEC, "s", 0) == 0
+    assert load.load_epoch(first, target, SPEC, "other", 0) == 1
+    load.compact(spark, target, SPEC)
+    assert load.load_epoch(first, target, SPEC, "s", 0) == 0
+    assert load.load_epoch(first, target, SPEC, "s", 1) == 2
+
+
+def test_a_number_before_the_base_is_refused(spark, target):
+    load.load_epoch(spark.createDataFrame([(8, 1, "x")], SCHEMA), target, SPEC, "s", 0)
+    assert load.compact(spark, target, SPEC) == 1
+    with pytest.raises(ValueError):
+        load.commit_batch(spark, target, 0)
+
+
+def test_watermark_keeps_its_zone(spark, tmp_path):
+    path, spec, zone = str(tmp_path / "t"), MergeSpec(("k",), "w"), "spark.sql.session.timeZone"
+    stamps = spark.createDataFrame([(1, "2024-01-01 10:00:00Z"), (2, "2024-01-01 12:00:00Z")], "k int, w string")
+    stamps = stamps.withColumn("w", stamps["w"].cast("timestamp"))
+    load.publish_base(stamps.limit(0), path, spec, watermark="2024-01-01 00:00:00")
+    result = load.load_increment(spark, stamps.where("k = 1"), path, spec)
+    assert result == load.LoadResult(0, 1, "2024-01-01 10:00:00.000000Z")
+    try:
+        spark.conf.set(zone, "America/New_York")
+        assert load.load_increment(spark, stamps, path, spec).rows == 1
+    finally:
+        spark.conf.set(zone, "UTC")
+
+
+def test_a_base_has_one_row_per_key(spark, tmp_path):
+    path = str(tmp_path / "t")
+    versions = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (None, 1, "x"), (None, 1, "x")], SCHEMA)
+    load.publish_base(versions, path, SPEC)
+    load.load_epoch(spark.createDataFrame([(1, 3, "c")], SCHEMA), path, SPEC, "s", 0)
+    assert rows(load.read_merged(spark, path, SPEC)) == [(1, 3, "c"), (None, 1, "x"), (None, 1, "x")]
+
+
+def test_rejected_rows_are_rejected_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    load.publish_base(spark.createDataFrame([(1, 1, "a")], SCHEMA), path, SPEC, watermark="1")
+    feed_ = spark.createDataFrame([(None, 9, "x"), (2, 2, "b")], SCHEMA)
+    assert load.load_increment(spark, feed_, path, SPEC) == load.LoadResult(0, 1, "9")
+    assert load.load_increment(spark, feed_, path, SPEC) == load.LoadResult(1, 0, "9")
+    assert load.read_rejected(spark, path).count() == 1
 
 
 def test_load_increments(spark, tmp_path):
