@@ -6,6 +6,8 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from lakeferry.functions.names import quote
+
 # Derive function -> date pattern.
 DERIVE_FORMATS = {
     "day num in month": "dd",
@@ -40,7 +42,7 @@ def derived_value(df: DataFrame, parent: str, fmt: str) -> Column:
     """
     if fmt not in DERIVE_FORMATS.values():
         raise ValueError(f"unsupported derive format {fmt!r}")
-    column = F.col(parent)
+    column = F.col(quote(parent))
     if isinstance(df.schema[parent].dataType, T.TimestampNTZType):
         column = column.cast("date")
     return F.date_format(column, fmt)
@@ -64,9 +66,9 @@ def where_parent_between(
     parent, fmt, partition = spec
     kind = df.schema[parent].dataType
     bounds = [F.lit(bound.isoformat(sep=" ")).cast(kind) for bound in (lo, hi)]
-    kept = df.where(F.col(parent).between(*bounds))
+    kept = df.where(F.col(quote(parent)).between(*bounds))
     digits = ORDERED_FORMATS.get(fmt)
     if digits is None:
         return kept
     first, last = (bound.date().isoformat().replace("-", "")[:digits] for bound in (lo, hi))
-    return kept.where(F.col(partition).between(first, last))
+    return kept.where(F.col(quote(partition)).between(first, last))

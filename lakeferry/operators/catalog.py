@@ -126,9 +126,11 @@ def match_targets(plan: DataFrame, target: DataFrame) -> DataFrame:
             F.col("hive_schema").alias("_schema"),
             F.col("table").alias("_table"),
             F.col("table_id").alias("target_id"),
-            F.concat_ws("/", F.rtrim("hdfs_path", F.lit("/")), F.lit(TARGET_SUBDIR)).alias(
-                "target_dir"
-            ),
+            # Null without a path: ``merged`` alone would be one folder for all such tables.
+            F.when(
+                F.trim("hdfs_path") != "",
+                F.concat_ws("/", F.rtrim("hdfs_path", F.lit("/")), F.lit(TARGET_SUBDIR)),
+            ).alias("target_dir"),
             F.col("m").alias("target_renames"),
         )
     )
@@ -146,10 +148,21 @@ def match_targets(plan: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def resolve_targets(plan: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Plan rows with a target, ready for ``migrate_batch``, and those without one."""
+    """Plan rows ready for ``migrate_batch``, and those that must not run, with a ``reason``.
+
+    A row needs a target document with a path. Of rows that would write to one path
+    the first by table id is ready; the others would overwrite it.
+    """
     matched = match_targets(plan, target)
-    found = matched.where(F.col("target_id").isNotNull())
-    return found, matched.where(F.col("target_id").isNull()).select(*plan.columns)
+    same_path = Window.partitionBy("target_dir").orderBy("table_id", "source_id")
+    judged = matched.withColumn("_n", F.row_number().over(same_path)).withColumn(
+        "reason",
+        F.when(F.col("target_id").isNull(), "no target")
+        .when(F.col("target_dir").isNull(), "no target path")
+        .when(F.col("_n") > 1, "shared target"),
+    )
+    ready = judged.where(F.col("reason").isNull()).drop("_n", "reason")
+    return ready, judged.where(F.col("reason").isNotNull()).select(*plan.columns, "reason")
 
 
 def source_dump(sources: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,10 +1,12 @@
 """Row history: superseded versions, the history view, and SCD2 intervals.
 
-Windows over a key put all its rows into one task. Keys are therefore counted
-first, and those with more rows than one task should sort take another way: their
-latest row is found by a partial group limit and taken off their rows as a
-multiset, and their SCD2 timeline is cut into slices of which only the edges are
-compared across tasks.
+Windows over a key put all its rows into one task. The history view therefore finds
+each key's latest order by a partial aggregate and joins it back, the rows being the
+streamed side, which adaptive execution splits where a key is hot; only rows that
+agree in everything are numbered, to settle copies. For SCD2 keys are counted first,
+and the timelines of those with more rows than one task should sort are cut into
+slices of which only the edges are compared across tasks. The count chooses the plan,
+never the result.
 """
 
 from __future__ import annotations
@@ -15,14 +17,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakeferry.functions.names import quote, require_columns
-from lakeferry.operators.incremental import latest_per_key, rank
+from lakeferry.operators.incremental import orderable
 from lakeferry.operators.joins import join_lookup, join_null_safe
 from lakeferry.session import checkpoint_root
 
 CURRENT = "is_current"
 MAX_ROWS_PER_TASK = 5_000_000
 SLICE = "_slice"
-MAX_SLICES = 100_000
+PLACE, NEWEST = "_place", "_newest"
 
 
 def history_view(
@@ -30,22 +32,19 @@ def history_view(
     keys: Sequence[str],
     watermark: str,
     tiebreak: Sequence[str] = (),
-    max_rows_per_task: int | None = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
-    """All rows, the latest of every key marked by ``is_current``.
-
-    Runs a count per key first. Rows of hot keys cannot hold map columns.
-    """
-    ordinary, hot, _ = _split_by_load(df, keys, [watermark, *tiebreak], max_rows_per_task)
-    position = rank(df, keys, [watermark, *tiebreak])
-    marked = ordinary.withColumn(CURRENT, position == 1)
-    if hot is None:
-        return marked
-    newest = latest_per_key(hot, keys, watermark, tiebreak)
-    superseded = hot.exceptAll(newest)
-    return marked.unionByName(newest.withColumn(CURRENT, F.lit(True))).unionByName(
-        superseded.withColumn(CURRENT, F.lit(False))
-    )
+    """All rows, the latest of every key marked by ``is_current``; copies of it but one are not."""
+    require_columns(df, [*keys, watermark, *tiebreak])
+    leading = [watermark, *tiebreak]
+    rest = [f.name for f in df.schema.fields if f.name not in (*leading, *keys) and orderable(f.dataType)]
+    # Structs compare field by field, a null before any value: the greatest is the latest.
+    place = F.struct(*[F.col(quote(c)).alias(f"c{i}") for i, c in enumerate([*leading, *rest])])
+    placed = df.withColumn(PLACE, place)
+    newest = placed.groupBy(*[quote(k) for k in keys]).agg(F.max(PLACE).alias(NEWEST))
+    copies = Window.partitionBy(*[quote(k) for k in keys], PLACE).orderBy(F.lit(0))
+    found = join_null_safe(placed, newest, list(keys))
+    current = F.col(PLACE).eqNullSafe(F.col(NEWEST)) & (F.row_number().over(copies) == 1)
+    return found.withColumn(CURRENT, current).drop(PLACE, NEWEST)
 
 
 def archive_versions(
@@ -53,10 +52,9 @@ def archive_versions(
     keys: Sequence[str],
     watermark: str,
     tiebreak: Sequence[str] = (),
-    max_rows_per_task: int | None = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
     """All rows but the latest of every key."""
-    view = history_view(df, keys, watermark, tiebreak, max_rows_per_task)
+    view = history_view(df, keys, watermark, tiebreak)
     return view.where(~F.col(CURRENT)).drop(CURRENT)
 
 
@@ -128,7 +126,7 @@ def _slice_timelines(
     ranges = [F.col(quote(c)).asc_nulls_first() for c in [*keys, *order]]
     return (
         hot.distinct()
-        .repartitionByRange(min(slices, MAX_SLICES), *ranges)
+        .repartitionByRange(slices, *ranges)
         .withColumn(SLICE, F.spark_partition_id())
         .checkpoint()
     )

@@ -11,9 +11,6 @@ from lakeferry.functions.names import quote
 SALT = "_salt"
 DEFAULT_SALTS = 32
 
-# A relation with at most this many (narrow) rows may be sent to every executor.
-BROADCAST_ROWS = 100_000
-
 
 def join_null_safe(
     left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "left"
@@ -31,6 +28,17 @@ def join_null_safe(
     return left.join(right, condition, how).drop(*renamed)
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Upper estimate of a relation's size by Spark's statistics; runs no job."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def _threshold(df: DataFrame, limit: int | None) -> int:
+    if limit is not None:
+        return limit
+    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
 LOOKUP_JOINS = ("inner", "left", "left_semi", "left_anti")
 
 
@@ -41,13 +49,14 @@ def join_lookup(
     spread_by: Sequence[str],
     how: str = "inner",
     salts: int = DEFAULT_SALTS,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int | None = None,
     null_safe: bool = False,
 ) -> DataFrame:
     """Join rows to a lookup that has one row per key, where one key may hold most rows.
 
-    ``on`` names the lookup column of each fact column. A lookup counted to at
-    most ``broadcast_rows`` is broadcast, and no fact is shuffled. A larger one
+    ``on`` names the lookup column of each fact column. A lookup that Spark's
+    statistics hold to ``broadcast_bytes`` (by default the session's broadcast
+    threshold) is left to Spark to broadcast; no job runs to find out. A larger one
     is joined by a shuffle that spreads each key over ``salts`` tasks: the lookup
     row is repeated per salt, and every fact takes the salt its ``spread_by``
     columns hash to. The lookup's key columns are not returned. Nulls match nulls
@@ -61,8 +70,8 @@ def join_lookup(
         lookup = lookup.withColumnRenamed(lookup_key, keys[-1])
         fact, other = F.col(quote(fact_key)), F.col(keys[-1])
         condition = condition & (fact.eqNullSafe(other) if null_safe else fact == other)
-    if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        return facts.join(F.broadcast(lookup), condition, how).drop(*keys)
+    if estimated_bytes(lookup) <= _threshold(lookup, broadcast_bytes):
+        return facts.join(lookup, condition, how).drop(*keys)
     salt = F.pmod(F.xxhash64(*[F.col(quote(c)) for c in spread_by]), F.lit(salts)).cast("int")
     repeated = lookup.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = facts.withColumn("_fact_salt", salt)

@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from lakeferry.functions.names import quote
 from lakeferry.operators.incremental import orderable
 
-# Sums are exact decimals: a floating sum would depend on the order of rows.
-SUM_TYPE = "decimal(38,6)"
+# Sums are exact decimals: a floating sum would depend on the order of rows. Floats are
+# rounded for it, so their equality is judged by a sum over hashes of all their digits.
 ROWS = "*"
 SURPLUS = "_surplus"
 
@@ -17,7 +17,9 @@ def reconcile(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows ``(column_name, measure, left_value, right_value, matches)``.
 
     Measures are the row count, and per column the non-null count, minimum,
-    maximum and, for numbers, the sum. Each table is scanned once.
+    maximum and, for numbers, the sum; for floating numbers also ``bits``, which
+    differs wherever any digit does. A sum that does not fit, or that leaves out
+    numbers no decimal can hold, matches nothing. Each table is scanned once.
     """
     both = _measures(left, "left").unionByName(_measures(right, "right"))
     value = lambda side: F.max(F.when(F.col("side") == side, F.col("value")))
@@ -46,7 +48,9 @@ def _measures(df: DataFrame, side: str) -> DataFrame:
             measures.append((f.name, "min", F.min(column)))
             measures.append((f.name, "max", F.max(column)))
         if isinstance(f.dataType, T.NumericType):
-            measures.append((f.name, "sum", F.try_sum(column.try_cast(SUM_TYPE))))
+            measures.append((f.name, "sum", _exact_sum(column, f.dataType, side)))
+        if isinstance(f.dataType, T.FractionalType) and not isinstance(f.dataType, T.DecimalType):
+            measures.append((f.name, "bits", F.sum(F.when(column.isNotNull(), F.xxhash64(column).cast("decimal(38,0)")))))
     aggregated = df.agg(*[m.cast("string").alias(f"m{i}") for i, (_, _, m) in enumerate(measures)])
     listed = F.array(
         *[
@@ -61,6 +65,14 @@ def _measures(df: DataFrame, side: str) -> DataFrame:
     return aggregated.select(F.lit(side).alias("side"), F.inline(listed))
 
 
+def _exact_sum(column: Column, kind: T.DataType, side: str) -> Column:
+    scale = max(kind.scale, 6) if isinstance(kind, T.DecimalType) else 6
+    summand = f"decimal(38,{scale})"
+    held = column.try_cast(summand)
+    total = F.when(F.count(held) == F.count(column), F.try_sum(held)).cast("string")
+    return F.when(F.count(column) > 0, F.coalesce(total, F.lit(f"not a sum ({side})")))
+
+
 def row_differences(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows one side has more copies of, with that ``side`` and the surplus ``copies``.
 

@@ -19,14 +19,18 @@ FLAGS = ("state_export_data", "state_fetch_delta", "state_merge_delta", "state_r
 def apply_state(state: DataFrame, plan: DataFrame, results: DataFrame) -> DataFrame:
     """The state table after a batch: a succeeded table becomes ready with the plan's watermarks.
 
-    Tables that failed, or were not in the batch, keep their state. Repeated
-    results of one table count once.
+    A resolved plan moves the state of the target's document (``target_id``), a plain
+    one that of the table itself. Tables that failed, or were not in the batch, keep
+    their state. Repeated results count once, and of several plan rows of one
+    document the one with the later watermarks.
     """
     done = results.where(F.col("status") == SUCCEEDED).select("table_id").distinct()
-    carried = plan.join(done, "table_id", "left_semi").select(
-        F.col("table_id").alias("_id"),
-        F.col("last_ingested_cdc_value").alias("_cdc"),
-        F.col("last_merged_timestamp").alias("_merged"),
+    document = "target_id" if "target_id" in plan.columns else "table_id"
+    carried = (
+        plan.join(done, "table_id", "left_semi")
+        .groupBy(F.col(document).alias("_id"))
+        .agg(F.max(F.struct(F.col("last_merged_timestamp").alias("m"), F.col("last_ingested_cdc_value").alias("c"))).alias("_last"))
+        .select("_id", F.col("_last.c").alias("_cdc"), F.col("_last.m").alias("_merged"))
     )
     joined = state.join(carried, state["table_id"] == carried["_id"], "left")
     moved = F.col("_id").isNotNull()

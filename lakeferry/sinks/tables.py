@@ -31,19 +31,34 @@ def write_mode(mode: str) -> str:
 def check_no_overlap(source: str, target: str) -> None:
     """Refuse a target that holds, equals or lies in its source.
 
-    Spark empties an overwritten path before it has read it all.
+    Spark empties an overwritten path before it has read it all. Two paths are told
+    apart by their stores only if both name theirs: a scheme or an authority left
+    out may be the other's.
     """
     (source_store, source_path), (target_store, target_path) = _located(source), _located(target)
-    if source_store and target_store and source_store != target_store:
+    if any(one and other and one != other for one, other in zip(source_store, target_store)):
         return
     if source_path.startswith(target_path) or target_path.startswith(source_path):
         raise ValueError(f"source {source} and target {target} overlap")
 
 
-def _located(path: str) -> tuple[str, str]:
+# Schemes that lead to the same store.
+SAME_STORE = {
+    "s3a": "s3", "s3n": "s3", "abfss": "abfs", "wasbs": "wasb",
+    "webhdfs": "hdfs", "swebhdfs": "hdfs", "viewfs": "hdfs",
+}
+
+
+def _located(path: str) -> tuple[tuple[str, str], str]:
+    """((scheme, authority), normal path); either is empty where it is not known.
+
+    The ports of one host's services differ, and mounted views name other hosts, so
+    that of these schemes only the path is compared.
+    """
     parts = urlsplit(path)
-    store = f"{parts.scheme}://{parts.netloc}" if parts.scheme else ""
-    return store, posixpath.normpath("/" + parts.path.lstrip("/")).rstrip("/") + "/"
+    scheme = SAME_STORE.get(parts.scheme.lower(), parts.scheme.lower())
+    authority = "" if scheme == "hdfs" else parts.netloc.lower()
+    return (scheme, authority), posixpath.normpath("/" + parts.path.lstrip("/")).rstrip("/") + "/"
 
 
 def check_partitioning(df: DataFrame, partition_by: Sequence[str]) -> None:

@@ -6,7 +6,7 @@ is spent on inference.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lakeferry.functions.documents import millis_date, typed_id
 from lakeferry.functions.names import quote
@@ -129,7 +129,18 @@ def write_plan(plan: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def read_source_dump(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SOURCE_DUMP).options(sep=DUMP_SEPARATOR, **QUOTING).csv(path)
+    """The known columns of a source file, found by the names in its header.
+
+    Other columns, a credential above all, are not read; a missing one is an error,
+    and so are files of one folder whose headers differ.
+    """
+    reader = spark.read.options(sep=DUMP_SEPARATOR, enforceSchema="false", **QUOTING)
+    written = reader.csv(path)
+    wanted = T._parse_datatype_string(SOURCE_DUMP)
+    missing = [f.name for f in wanted if f.name not in written.columns]
+    if missing:
+        raise ValueError(f"source file {path} has no column {', '.join(missing)}")
+    return written.select(*[F.col(quote(f.name)).cast(f.dataType).alias(f.name) for f in wanted])
 
 
 def write_source_dump(dump: DataFrame, path: str, mode: str = "errorifexists") -> None:

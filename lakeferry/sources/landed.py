@@ -36,11 +36,13 @@ def scan_landed(
     level per partition column and three more. Neither reads values from
     directory names: landed files hold their partition columns. ``named`` is for
     trees that do not, and infers them from ``name=value`` directories.
+
+    Without ``schema`` the columns of all files are taken together, a column that
+    a file lacks being null in its rows; files that disagree on a type are an error.
     """
     root = landed_root(src_dir, fmt)
     reader = spark.read.format(landed_format(fmt))
-    if schema:
-        reader = reader.schema(schema)
+    reader = reader.schema(schema) if schema else reader.option("mergeSchema", "true")
     if layout == "recursive":
         return reader.option("recursiveFileLookup", "true").load(root)
     if layout == "exact":

@@ -34,6 +34,18 @@ def scan(fmt: str, layout: str):
     return query
 
 
+def scan_drifted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed files of which some lack a column and some have one more."""
+
+    def write(path: str) -> None:
+        orders, top = fx.table(spark, sf_dir, "orders"), f"{path}/merged/parquet"
+        orders.where("o_orderkey % 3 = 0").drop("o_orderstatus").write.parquet(f"{top}/a")
+        orders.where("o_orderkey % 3 = 1").write.parquet(f"{top}/b")
+        orders.where("o_orderkey % 3 = 2").withColumn("newcol", F.col("o_custkey") * 2).write.parquet(f"{top}/c")
+
+    return scan_landed(spark, fx.once(spark, sf_dir, "drifted-orders", write), "parquet")
+
+
 def cleansed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fx.landed_orders(spark, sf_dir, "parquet")
     return cleanse_audit(scan_landed(spark, root, "parquet"))
@@ -185,6 +197,7 @@ def derived_between(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "scan_parquet": scan("parquet", "recursive"),
     "scan_orc": scan("orc", "exact"),
+    "scan_drifted": scan_drifted,
     "cleanse_audit": cleansed_orders,
     "cleanse_file_source": cleanse_file_source,
     "rename_map": renamed(fx.ORDER_RENAMES),
@@ -225,6 +238,10 @@ FROM orders"""
 ORACLES = {
     "scan_parquet": _SCAN,
     "scan_orc": _SCAN,
+    "scan_drifted": """
+SELECT o_orderkey, o_custkey, if(o_orderkey % 3 = 0, NULL, o_orderstatus) AS o_orderstatus, o_totalprice,
+       o_orderdate, o_orderpriority, if(o_orderkey % 3 = 2, o_custkey * 2, NULL) AS newcol
+FROM orders""",
     "cleanse_audit": f"""
 SELECT orders.*, {_YEAR} AS o_year, substring(o_orderpriority, 1, 1) AS o_prio_rx,
        o_orderdate AS ziw_target_timestamp, {_DELETED} AS ziw_is_deleted

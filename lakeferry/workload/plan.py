@@ -10,6 +10,8 @@ from lakeferry.operators import catalog
 from lakeferry.session import fresh_dir
 from lakeferry.sources.documents import (
     read_plan,
+    DUMP_SEPARATOR,
+    QUOTING,
     read_source_dump,
     write_plan,
     write_source_dump,
@@ -114,6 +116,31 @@ def _dump_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_source_dump(spark, fx.once(spark, sf_dir, "source-dump", write))
 
 
+def source_dump_foreign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source file written elsewhere: other order, more columns, a credential among them."""
+
+    def write(path: str) -> None:
+        dump = catalog.source_dump(fx.source_documents(spark, sf_dir))[0]
+        names = list(reversed(dump.columns))
+        foreign = dump.withColumns({"connection.secret": F.lit("S3CRET"), "note": F.lit("x,y")})
+        columns = [*names[:6], "connection.secret", *names[6:], "note"]
+        options = {"sep": DUMP_SEPARATOR, **QUOTING}
+        foreign.select(*[quote(c) for c in columns]).write.options(**options).csv(path)
+
+    return _flat_names(read_source_dump(spark, fx.once(spark, sf_dir, "foreign-dump", write)))
+
+
+def plan_target_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plan rows that must not run: no target, a target without a path, a path shared."""
+    number = F.substring("table_id", 3, 20).cast("bigint")
+    target = fx.target_documents(spark, sf_dir).withColumn(
+        "hdfs_path",
+        F.when(number % 13 == 0, None).when(number % 17 == 0, "/target/shared/").otherwise(F.col("hdfs_path")),
+    )
+    rejected = catalog.resolve_targets(plan_join(spark, sf_dir), target)[1]
+    return rejected.select("table_id", "reason")
+
+
 def source_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_names(_dump_files(spark, sf_dir))
 
@@ -148,6 +175,8 @@ QUERIES = {
     "rename_maps": rename_maps,
     "compose_renames": composed_renames,
     "source_dump": source_dump,
+    "source_dump_foreign": source_dump_foreign,
+    "plan_target_rejected": plan_target_rejected,
     "source_rejected": source_rejected,
     "source_descriptors": source_descriptors,
     "existing_sources": existing_sources,
@@ -245,3 +274,15 @@ SELECT c_custkey AS job_id, 'idle' AS status FROM customer
 WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')
 ORDER BY job_id DESC""",
 }
+
+ORACLES["source_dump_foreign"] = ORACLES["source_dump"]
+ORACLES["plan_target_rejected"] = f"""
+SELECT table_id, reason FROM (
+  SELECT table_id,
+         CASE WHEN p_partkey % 11 = 0 THEN 'no target'
+              WHEN p_partkey % 13 = 0 THEN 'no target path'
+              WHEN p_partkey % 17 = 0 AND row_number() OVER (
+                PARTITION BY p_partkey % 11 <> 0 AND p_partkey % 13 <> 0 AND p_partkey % 17 = 0
+                ORDER BY table_id, source_id) > 1 THEN 'shared target' END AS reason
+  FROM ({_PLAN}) plan JOIN part ON table_id = 't' || p_partkey)
+WHERE reason IS NOT NULL"""

@@ -105,7 +105,7 @@ def test_salted_lookup_equals_broadcast_lookup(spark, how):
     lookup = spark.range(0, 500).selectExpr("id as k", "concat('n', id) as name")
     small = joins.join_lookup(facts, lookup, {"k": "k"}, ["id"], how)
     large = joins.join_lookup(
-        facts, lookup, {"k": "k"}, ["id"], how, salts=4, broadcast_rows=10
+        facts, lookup, {"k": "k"}, ["id"], how, salts=4, broadcast_bytes=0
     )
     looked_up = ["name"] if how in ("inner", "left") else []
     assert small.columns == large.columns == ["id", "k", "v", *looked_up]
@@ -116,8 +116,8 @@ def test_salted_lookup_equals_broadcast_lookup(spark, how):
         joins.join_lookup(facts, lookup, {"k": "k"}, ["id"], "right")
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 10])
-def test_null_safe_lookup(spark, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [0, None])
+def test_null_safe_lookup(spark, broadcast_bytes):
     facts = spark.createDataFrame([(1, None), (2, 5), (3, 6)], "id int, k int")
     lookup = spark.createDataFrame([(None,), (5,)], "k int")
     found = {
@@ -125,7 +125,7 @@ def test_null_safe_lookup(spark, broadcast_rows):
             r.id
             for r in joins.join_lookup(
                 facts, lookup, {"k": "k"}, ["id"], how,
-                broadcast_rows=broadcast_rows, null_safe=safe,
+                broadcast_bytes=broadcast_bytes, null_safe=safe,
             ).orderBy("id").collect()
         ]
         for safe in (True, False)
@@ -138,7 +138,7 @@ def test_null_safe_lookup(spark, broadcast_rows):
 def test_salt_spreads_a_hot_key(spark):
     facts = spark.range(0, 4000).selectExpr("id", "0 as k")
     lookup = spark.range(0, 50).selectExpr("id as k", "id as name")
-    joined = joins.join_lookup(facts, lookup, {"k": "k"}, ["id"], salts=16, broadcast_rows=0)
+    joined = joins.join_lookup(facts, lookup, {"k": "k"}, ["id"], salts=16, broadcast_bytes=0)
     setting = "spark.sql.adaptive.coalescePartitions.enabled"
     spark.conf.set(setting, "false")
     try:
@@ -192,8 +192,44 @@ def test_resolve_targets(spark):
     # The first document by id wins; b, renamed on-prem only, has no entry.
     assert (row.target_id, row.target_dir) == ("n1", "/new1/merged")
     assert row.override_columns == '{"a1":"A","c":"C"}'
-    assert missing.columns == plan.columns
-    assert [r.table_id for r in missing.collect()] == ["t2"]
+    assert missing.columns == [*plan.columns, "reason"]
+    assert [(r.table_id, r.reason) for r in missing.collect()] == [("t2", "no target")]
+
+
+def test_targets_without_a_path_or_of_one_path(spark):
+    """A null path would give one folder, ``merged``, to all such tables."""
+    plan = catalog.plan_migration(
+        tables(spark, *[table(f"t{i}", table=f"x{i}") for i in range(5)]), sources(spark, source("s1"))
+    )
+    paths = [None, "  ", "/l", "/l/", "/own"]
+    target = tables(spark, *[table(f"n{i}", table=f"x{i}", path=p) for i, p in enumerate(paths)])
+    ready, rejected = catalog.resolve_targets(plan, target)
+    assert sorted((r.table_id, r.target_dir) for r in ready.collect()) == [("t2", "/l/merged"), ("t4", "/own/merged")]
+    assert sorted((r.table_id, r.reason) for r in rejected.collect()) == [
+        ("t0", "no target path"), ("t1", "no target path"), ("t3", "shared target"),
+    ]
+
+
+def test_lookups_run_no_job_while_planned(spark):
+    facts, lookup = spark.range(10).selectExpr("id", "id as k"), spark.range(5).selectExpr("id as k")
+    spark.sparkContext.setJobGroup("planning", "planning")
+    joined = joins.join_lookup(facts, lookup, {"k": "k"}, ["id"])
+    assert "SinglePartition" not in explained(joined)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_foreign_source_file_is_read_by_its_header(spark, tmp_path):
+    """Thirteen columns in another order, a credential seventh."""
+    names = [n for n in catalog.SOURCE_DUMP_COLUMNS]
+    header = [*names[6:], *names[:3], "connection.secret", *names[3:6]]
+    cells = ["true" if n == "isPublic" else "SECRET" if n == "connection.secret" else f"v {n}" for n in header]
+    (tmp_path / "f.csv").write_text(",".join(header) + "\n" + ",".join(cells) + "\n")
+    (row,) = read_source_dump(spark, str(tmp_path / "f.csv")).collect()
+    assert row.asDict() == {n: True if n == "isPublic" else f"v {n}" for n in names}
+    (tmp_path / "g.csv").write_text(",".join(header[1:]) + "\n" + ",".join(cells[1:]) + "\n")
+    with pytest.raises(ValueError, match=header[0]):
+        read_source_dump(spark, str(tmp_path / "g.csv"))
 
 
 def test_source_dump_filters_and_rejects(spark):
@@ -311,5 +347,17 @@ def test_state_moves_on_success_only(spark):
     assert len(after) == 4
 
 
+def test_state_moves_in_the_target_document(spark):
+    before = (False, "new", None, None, True, True, True, True)
+    state = spark.createDataFrame([(i, *before) for i in ("t0", "n0", "n1")], STATE)
+    plan = spark.createDataFrame(
+        [("t0", "n0", "5", "2020"), ("t0", "n0", "7", "2021"), ("t1", "n1", "1", "2020")],
+        "table_id string, target_id string, last_ingested_cdc_value string, last_merged_timestamp string",
+    )
+    results = spark.createDataFrame([("t0", "SUCCEEDED"), ("t1", "FAILED")], "table_id string, status string")
+    after = rows(apply_state(state, plan, results))
+    assert after == [("n0", True, "ready", "7", "2021", *[False] * 4), ("n1", *before), ("t0", *before)]
+
+
 def test_plan_tables_is_shuffle_free(spark):
     assert "Exchange" not in explained(catalog.plan_tables(tables(spark, table("t1"))))

@@ -10,6 +10,7 @@ from hypothesis import given, strategies as st
 from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
+from lakeferry.functions.dates import add_derived_partitions, where_parent_between
 from lakeferry.model import AuditProfile, MergeSpec, PartitionSpec, TableSpec
 from lakeferry.operators.cleanse import apply_partition_spec, cleanse_audit, rename_columns
 from lakeferry.plans.migrate import migrate_batch, migrate_table, prepare_table
@@ -113,6 +114,12 @@ def test_overlap_paths():
         ("file:/a/b", "/a"),
         ("abfss://c@x/a/b", "abfss://c@x/a"),
         ("/a", "/"),
+        ("s3a://b/t/merged/parquet", "s3://b/t/merged"),
+        ("s3n://b/t", "s3a://b/t/x"),
+        ("hdfs:///t/x", "hdfs://nn/t"),
+        ("hdfs://nn:8020/t", "webhdfs://nn:9870/t/x"),
+        ("viewfs://c/t", "hdfs://nn/t"),
+        ("abfss://c@x/a", "abfs://c@x/a"),
     ]:
         with pytest.raises(ValueError):
             check_no_overlap(source, target)
@@ -125,6 +132,26 @@ def test_a_path_overlaps_all_below_it(path, below):
         check_no_overlap(top, "/".join([top, *below]))
 
 
+def test_scan_takes_the_columns_of_all_files(spark, tmp_path):
+    top = tmp_path / "merged" / "parquet"
+    spark.createDataFrame([(1, "a")], "k int, old string").write.parquet(str(top / "x"))
+    spark.createDataFrame([(2, 5)], "k int, newcol int").write.parquet(str(top / "y"))
+    landed = scan_landed(spark, str(tmp_path), "parquet")
+    assert {c: t for c, t in landed.dtypes} == {"k": "int", "old": "string", "newcol": "int"}
+    assert sorted((r.k, r.old, r.newcol) for r in landed.collect()) == [(1, "a", None), (2, None, 5)]
+    spark.createDataFrame([("text",)], "newcol string").write.parquet(str(top / "z"))
+    with pytest.raises(Exception, match="(?i)merge"):
+        scan_landed(spark, str(tmp_path), "parquet").count()
+
+
+def test_parents_with_dots(spark):
+    df = spark.createDataFrame([(dt.date(2024, 3, 9),)], ["a.b"])
+    out = add_derived_partitions(df, [("a.b", "yyyyMM", "p.q")])
+    assert [tuple(r) for r in out.collect()] == [(dt.date(2024, 3, 9), "202403")]
+    day = dt.datetime(2024, 3, 9)
+    assert where_parent_between(out, ("a.b", "yyyyMM", "p.q"), day, day).count() == 1
+
+
 def test_cleanse_drops_renames_and_casts(spark):
     df = spark.createDataFrame(landed_rows(3), LANDED)
     out = cleanse_audit(df)
