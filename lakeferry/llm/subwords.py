@@ -15,7 +15,7 @@ SEPARATES = np.zeros(256, dtype=bool)
 SEPARATES[list(_SEPARATORS)] = True
 
 #: Bytes worked on at once.
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_000_000
 
 
 def spaced_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -28,12 +28,12 @@ def spaced_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[: bounds[-1]], bounds
 
 
-def chunks(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """``spaced_bytes`` in pieces of whole texts of about ``CHUNK_BYTES``."""
+def chunks(texts: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``spaced_bytes`` in pieces of whole texts of about ``size`` bytes."""
     data, bounds = spaced_bytes(texts)
     start = 0
     while start < len(bounds) - 1:
-        stop = max(start + 1, int(np.searchsorted(bounds, bounds[start] + CHUNK_BYTES, side="right")) - 1)
+        stop = max(start + 1, int(np.searchsorted(bounds, bounds[start] + size, side="right")) - 1)
         yield data[bounds[start] : bounds[stop]], bounds[start : stop + 1] - bounds[start]
         start = stop
 

@@ -32,6 +32,8 @@ from lakeferry.llm.common import crc_of_id, ship
 
 SIZES, BITS, DIMENSIONS = (3, 4, 5, 6), 18, 4
 MAX_DOCUMENTS = 4_000
+#: Bytes of text turned into bags at once; bounds the driver's memory.
+BAG_BYTES = 300_000
 
 
 @dataclass(frozen=True)
@@ -57,7 +59,7 @@ class ToxicityModel:
 def bags(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per text: its buckets and the share of each among all its n-grams."""
     out = []
-    for data, bounds in subwords.chunks(texts):
+    for data, bounds in subwords.chunks(texts, BAG_BYTES):
         found = list(subwords.buckets(data, SIZES, BITS))
         at, bucket = (np.concatenate([f[i] for f in found]) for i in (0, 1))
         row = np.searchsorted(bounds, at, side="right") - 1
@@ -132,15 +134,28 @@ def train(
     )
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, learn: Column, id_col: str, text_col: str) -> DataFrame:
-    """(text, label) of the rows that may be learned from."""
+def labelled_ids(docs: DataFrame, labels: DataFrame, label: str, learn: Column, id_col: str) -> DataFrame:
+    """(_id, label) of the labelled documents that may be learned from, each id once."""
     known = labels.where(F.col(label).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(
         F.max(F.col(label).cast("int")).alias("label")
     )
-    rows = docs.where(learn).select(
-        F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
-    )
-    return rows.join(known, "_id")
+    return known.join(learnable_ids(docs, learn, id_col), "_id")
+
+
+def learnable_ids(docs: DataFrame, learn: Column, id_col: str) -> DataFrame:
+    """_id of the documents for which ``learn`` holds, each once; no text is read."""
+    return docs.where(learn).select(F.col(id_col).alias("_id")).distinct()
+
+
+def texts_of(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> pa.Array:
+    """Whole texts of the ``chosen`` ids, in order of id; of repeated rows the least text.
+
+    ``chosen`` is limited by its caller, so that it may be sent to every task.
+    """
+    texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    found = texts.join(F.broadcast(chosen.select("_id")), "_id").groupBy("_id").agg(F.min("text").alias("text"))
+    table = found.toArrow().sort_by("_id")
+    return table["text"].combine_chunks() if len(table) else pa.array([], pa.string())
 
 
 def fit(
@@ -154,17 +169,16 @@ def fit(
     seed: int = 3,
 ) -> ToxicityModel:
     """Train on at most ``max_documents`` labelled rows for which ``learn`` holds."""
-    rows = labelled_rows(docs, labels, label, F.lit(True) if learn is None else learn, id_col, text_col)
-    order = [F.xxhash64(F.lit(seed), "_id"), F.col("_id"), F.md5("text")]
-    counts = {r["label"]: r["count"] for r in rows.groupBy(F.col("label") == 1).count().toDF("label", "count").collect()}
+    ids = labelled_ids(docs, labels, label, F.lit(True) if learn is None else learn, id_col)
+    order = [F.xxhash64(F.lit(seed), "_id"), F.col("_id")]
+    counts = {r["label"]: r["n"] for r in ids.groupBy((F.col("label") == 1).alias("label")).agg(F.count("*").alias("n")).collect()}
     half = max_documents // 2
-    positive = rows.where("label = 1").orderBy(*order).limit(half).toArrow()
-    negative = rows.where("label <> 1").orderBy(*order).limit(max_documents - half).toArrow()
+    positive = texts_of(docs, ids.where("label = 1").orderBy(*order).limit(half), id_col, text_col)
+    negative = texts_of(docs, ids.where("label <> 1").orderBy(*order).limit(max_documents - half), id_col, text_col)
     if not len(positive) or not len(negative):
         return ToxicityModel(np.zeros(1 << BITS, dtype=np.float32), 500.0 if len(positive) else -500.0)
-    texts = pa.concat_arrays([*negative["text"].chunks, *positive["text"].chunks])
     truth = np.concatenate([np.zeros(len(negative)), np.ones(len(positive))])
-    return train(texts, truth, positives=counts[True] / sum(counts.values()), seed=seed)
+    return train(pa.concat_arrays([negative, positive]), truth, positives=counts[True] / sum(counts.values()), seed=seed)
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
