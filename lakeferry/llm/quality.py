@@ -32,9 +32,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeferry.llm import words
 from lakeferry.llm.common import ship
-from lakeferry.llm.toxicity import labelled_rows
+from lakeferry.llm.toxicity import labelled_ids, learnable_ids, texts_of
 
-MAX_DOCUMENTS, HIDDEN, CHUNK_BYTES = 5_000, 16, 4_000_000
+MAX_DOCUMENTS, HIDDEN, CHUNK_BYTES = 5_000, 16, 2_000_000
 
 #: Byte classes whose shares of a text are figures.
 CLASSES = {
@@ -181,18 +181,19 @@ def fit(
 ) -> QualityModel:
     """Train on at most ``max_documents`` trusted positives and as many unlabelled texts."""
     learn = F.lit(True) if learn is None else learn
-    order = [F.xxhash64(F.lit(seed), "_id"), F.col("_id"), F.md5("text")]
-    trusted = labelled_rows(docs, labels, label, learn, id_col, text_col).where("label = 1")
-    positive = trusted.orderBy(*order).limit(max_documents).toArrow()
-    web = docs.where(learn).select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    order[0] = F.xxhash64(F.lit(seed + 1), "_id")
-    unlabelled = web.orderBy(*order).limit(max_documents).toArrow()
+
+    def some(ids: DataFrame, salt: int) -> pa.Array:
+        chosen = ids.orderBy(F.xxhash64(F.lit(salt), "_id"), "_id").limit(max_documents)
+        return texts_of(docs, chosen, id_col, text_col)
+
+    positive = some(labelled_ids(docs, labels, label, learn, id_col).where("label = 1"), seed)
+    unlabelled = some(learnable_ids(docs, learn, id_col), seed + 1)
     if len(positive) < 2 or len(unlabelled) < 2:
         width = len(CLASSES) + 9
         nothing = np.zeros(width)
         sure = 500.0 if len(positive) else -500.0
         return QualityModel(nothing, nothing + 1, np.zeros((width, 1)), np.zeros(1), np.zeros(1), sure)
-    return train(positive["text"].combine_chunks(), unlabelled["text"].combine_chunks(), seed=seed)
+    return train(positive, unlabelled, seed=seed)
 
 
 def scorer(docs: DataFrame, model: QualityModel):
