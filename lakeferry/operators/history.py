@@ -25,6 +25,7 @@ CURRENT = "is_current"
 MAX_ROWS_PER_TASK = 5_000_000
 SLICE = "_slice"
 PLACE, NEWEST = "_place", "_newest"
+GONE = "_gone"
 
 
 def history_view(
@@ -85,6 +86,77 @@ def scd2_history(
     return versions.unionByName(_sliced_versions(sliced, keys, watermark, tracked, order))
 
 
+def archive_increment(
+    current: DataFrame,
+    delta: DataFrame,
+    keys: Sequence[str],
+    watermark: str,
+    tiebreak: Sequence[str] = (),
+) -> DataFrame:
+    """Rows that a load adds to the archive: all versions it brings or replaces but the latest.
+
+    ``current`` holds the latest row per key before the load. Only keys of the delta
+    are touched; an archived row never becomes current again, so appending these rows
+    gives what ``archive_versions`` would give over everything.
+    """
+    touched = _semi(current, delta, keys)
+    return archive_versions(touched.unionByName(delta), keys, watermark, tiebreak)
+
+
+def scd2_increment(
+    history: DataFrame,
+    delta: DataFrame,
+    keys: Sequence[str],
+    watermark: str,
+    tracked: Sequence[str],
+    tiebreak: Sequence[str] = (),
+    deleted: str | None = None,
+    max_rows_per_task: int | None = MAX_ROWS_PER_TASK,
+) -> tuple[DataFrame, DataFrame]:
+    """The history after a load, and the delta's late rows, which it does not hold.
+
+    The open version of every key of the delta is closed by the first change and the
+    delta's versions follow it; all other versions pass through unread by key. A row
+    that is true in ``deleted`` ends the current version and opens none. A row at or
+    before its key's latest change is late: versions keep changes only, so it cannot
+    be placed exactly and the key's rows must be taken anew.
+    """
+    open_ = history.where(CURRENT)
+    started = open_.groupBy(*[quote(k) for k in keys]).agg(F.max("valid_from").alias("_start"))
+    ended = history.where(f"not {CURRENT}").groupBy(*[quote(k) for k in keys]).agg(F.max("valid_to").alias("_end"))
+    placed = join_null_safe(join_null_safe(delta, started, list(keys)), ended, list(keys))
+    reached = F.greatest("_start", "_end")
+    late = reached.isNotNull() & F.coalesce(F.col(quote(watermark)) <= reached, F.lit(True))
+    fresh = placed.where(~late).drop("_start", "_end")
+    gone = F.coalesce(F.col(quote(deleted)), F.lit(False)) if deleted else F.lit(False)
+    needed = list(dict.fromkeys([*keys, watermark, *tiebreak, *tracked]))
+    rows = fresh.select(*[quote(c) for c in needed], gone.alias(GONE))
+    touched = _semi(open_, rows, keys)
+    before = touched.select(
+        *[quote(k) for k in keys], F.col("valid_from").alias(watermark),
+        *[quote(c) for c in tracked], F.lit(False).alias(GONE),
+    )
+    for column in tiebreak:
+        if column not in before.columns:  # the open version comes before all of the delta
+            before = before.withColumn(column, F.lit(None).cast(delta.schema[column].dataType))
+    versions = scd2_history(
+        before.unionByName(rows), keys, watermark, [*tracked, GONE], tiebreak, max_rows_per_task
+    )
+    versions = versions.where(f"not {GONE}").drop(GONE).select(*history.columns)
+    kept = history.where(f"not {CURRENT}").unionByName(_semi(open_, rows, keys, "left_anti"))
+    return kept.unionByName(versions), placed.where(late).drop("_start", "_end")
+
+
+def _semi(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "left_semi") -> DataFrame:
+    """Rows whose key is, or is not, among ``other``'s; nulls match nulls."""
+    names = [f"_key_{i}" for i in range(len(keys))]
+    listed = other.select(*[F.col(quote(k)).alias(n) for k, n in zip(keys, names)]).distinct()
+    condition = F.lit(True)
+    for key, name in zip(keys, names):
+        condition = condition & df[quote(key)].eqNullSafe(listed[name])
+    return df.join(listed, condition, how)
+
+
 def _split_by_load(
     df: DataFrame, keys: Sequence[str], spread_by: Sequence[str], max_rows: int | None
 ) -> tuple[DataFrame, DataFrame | None, int]:

@@ -225,8 +225,8 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
             " 'connection_method', connection.connection_method,"
             " 'connection_string', connection.connection_string,"
             " 'username', connection.username, 'fileType', 'salesforce',"
-            " 'environment', 'sandbox', 'fetch_mechanism', 'rest',"
-            " 'api_version', if(cast(src_id as int) % 20 = 4, '43.0', null)))"
+            " 'environment', 'trial', 'fetch_mechanism', 'rest',"
+            " 'api_version', if(cast(src_id as int) % 20 = 4, '7.1', null)))"
             " as source_struct",
             "array(named_struct('entity_type', 'table_group', 'entity_id',"
             " named_struct('$type', 'oid', '$value', concat('g', src_id)), 'configuration',"
@@ -257,7 +257,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         listed.unionByName(grouped, allowMissingColumns=True).withColumn(
             "export",
             F.expr(
-                "named_struct('exportedAt', named_struct('$date', 1588055625711),"
+                "named_struct('exportedAt', named_struct('$date', 1700000000123),"
                 " 'exportedBy', 'admin')"
             ),
         ).write.json(path)

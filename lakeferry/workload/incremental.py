@@ -8,7 +8,13 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeferry.operators import incremental as inc
-from lakeferry.operators.history import archive_versions, history_view, scd2_history
+from lakeferry.operators.history import (
+    archive_increment,
+    archive_versions,
+    history_view,
+    scd2_history,
+    scd2_increment,
+)
 from lakeferry.operators.reconcile import reconcile, row_differences
 from lakeferry.plans.load import compact, load_increment, publish_base, read_merged
 from lakeferry.session import fresh_dir
@@ -101,6 +107,29 @@ def view_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history_view(rows, VERSION_KEY, "ts", ["event_id"])
 
 
+def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Events up to the middle of their time, and those after it."""
+    rows = fx.event_versions(spark, sf_dir)
+    middle = rows.select(F.expr("percentile(unix_micros(cast(ts as timestamp)), 0.5)")).first()[0]
+    early = F.unix_micros(F.col("ts").cast("timestamp")) <= F.lit(int(middle))
+    return rows.where(early), rows.where(~early)
+
+
+def scd2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history of the first half, carried on by the second, is the history of all."""
+    early, late = _halves(spark, sf_dir)
+    before = scd2_history(early, VERSION_KEY, "ts", ["event_type"], ["event_id"])
+    return scd2_increment(before, late, VERSION_KEY, "ts", ["event_type"], ["event_id"])[0]
+
+
+def archive_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first half's archive and what the second half adds to it."""
+    early, late = _halves(spark, sf_dir)
+    current = inc.latest_per_key(early, VERSION_KEY, "ts", ["event_id"])
+    archived = archive_versions(early, VERSION_KEY, "ts", ["event_id"])
+    return archived.unionByName(archive_increment(current, late, VERSION_KEY, "ts", ["event_id"]))
+
+
 def current_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inc.current_view(merge_upsert(True)(spark, sf_dir), "is_deleted")
 
@@ -214,6 +243,8 @@ QUERIES = {
     "archive_versions_skewed": archive_skewed,
     "history_view": view,
     "history_view_skewed": view_skewed,
+    "scd2_incremental": scd2_incremental,
+    "archive_incremental": archive_incremental,
     "current_view": current_view,
     "reconcile": reconciled,
     "row_differences": differences,
@@ -310,6 +341,8 @@ ORACLES = {
     "archive_versions_skewed": f"SELECT * EXCLUDE (rn) FROM ({_ranked(_SKEWED)}) WHERE rn > 1",
     "history_view": f"SELECT * EXCLUDE (rn), rn = 1 AS is_current FROM ({_ranked(_EVENTS)})",
     "history_view_skewed": f"SELECT * EXCLUDE (rn), rn = 1 AS is_current FROM ({_ranked(_SKEWED)})",
+    "scd2_incremental": _history(_EVENTS),
+    "archive_incremental": f"SELECT * EXCLUDE (rn) FROM ({_ranked(_EVENTS)}) WHERE rn > 1",
     "current_view": f"SELECT * FROM ({_merged(_FEED)}) WHERE NOT is_deleted",
     "reconcile": _reconciled(),
     "row_differences": f"""

@@ -45,7 +45,7 @@ def envelope(tables, source_type="rdbms", subtype="netezza", groups=()):
             }
             for i, g in enumerate(groups)
         ],
-        "export": {"exportedAt": {"$date": 1588055625711}, "exportedBy": "admin"},
+        "export": {"exportedAt": {"$date": 1700000000123}, "exportedBy": "admin"},
     }
 
 
@@ -192,7 +192,7 @@ def test_export_stamp(load):
     (row,) = envelope_exports(load(envelope([{}]))).withColumn(
         "exported_at", F.col("exported_at").cast("string")
     ).collect()
-    assert tuple(row) == ("h", "2020-04-28 06:33:45.711", "admin")
+    assert tuple(row) == ("h", "2023-11-14 22:13:20.123", "admin")
 
 
 def test_strict_overlay(load):

@@ -9,7 +9,13 @@ from helpers import bag, explained, rows
 from pyspark.sql import functions as F
 
 from lakeferry.operators import incremental as inc
-from lakeferry.operators.history import archive_versions, history_view, scd2_history
+from lakeferry.operators.history import (
+    archive_increment,
+    archive_versions,
+    history_view,
+    scd2_history,
+    scd2_increment,
+)
 from lakeferry.operators.reconcile import reconcile, row_differences
 from lakeferry.sinks.tables import save_bucketed
 
@@ -323,6 +329,40 @@ def test_history_tracks_several_columns_over_two_keys(spark):
     ])
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_history_carried_on_equals_history_of_all(spark, seed):
+    data = [r for r in some_rows(seed, n=150, keys=6) if r[1] is not None and r[0] is not None]
+    cut = sorted(r[1] for r in data)[len(data) // 2]
+    early, late = [r for r in data if r[1] <= cut], [r for r in data if r[1] > cut]
+    one, other = (spark.createDataFrame(part, SCHEMA) for part in (early, late))
+    before = scd2_history(one, KEYS, WM, ["v"], TIE)
+    after, behind = scd2_increment(before, other, KEYS, WM, ["v"], TIE)
+    assert bag(after) == versions(data) and behind.count() == 0
+    archived = archive_versions(one, KEYS, WM, TIE).unionByName(
+        archive_increment(inc.latest_per_key(one, KEYS, WM, TIE), other, KEYS, WM, TIE)
+    )
+    assert bag(archived) == Counter(data) - Counter(latest(data))
+
+
+def test_a_tombstone_ends_the_current_version_and_late_rows_are_told(spark):
+    history = spark.createDataFrame(
+        [(1, "a", 1, 5, False), (1, "b", 5, None, True), (2, "x", 3, None, True)],
+        "k int, v string, valid_from int, valid_to int, is_current boolean",
+    )
+    delta = spark.createDataFrame(
+        [(1, 9, None, True), (2, 2, "late", False), (3, 1, "new", None)], "k int, w int, v string, gone boolean"
+    )
+    after, late = scd2_increment(history, delta, ["k"], "w", ["v"], deleted="gone")
+    assert rows(after) == [
+        (1, "a", 1, 5, False), (1, "b", 5, 9, False), (2, "x", 3, None, True), (3, "new", 1, None, True),
+    ]
+    assert [(r.k, r.w) for r in late.collect()] == [(2, 2)]
+    # After a tombstone the key may come back.
+    again = spark.createDataFrame([(1, 12, "c", False)], delta.schema)
+    back = scd2_increment(after, again, ["k"], "w", ["v"], deleted="gone")[0]
+    assert (1, "c", 12, None, True) in rows(back)
+
+
 # --- reconciliation -----------------------------------------------------------
 
 LEFT = [(1, "a", 1.5), (2, "b", 2.5), (2, "b", 2.5), (3, None, None)]
