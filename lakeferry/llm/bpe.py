@@ -37,9 +37,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lakeferry.llm.common import ship
 
 #: Rows and characters of one block; words remembered by a task.
-BLOCK_ROWS, BLOCK_CHARS, MAX_WORDS = 4_000, 12_000_000, 400_000
-
-SCHEMA = "doc_id {id_type}, ids array<int>"
+BLOCK_ROWS, BLOCK_CHARS, MAX_WORDS = 1_000, 3_000_000, 120_000
+#: Ids decoded at once.
+BLOCK_IDS = 2_000_000
 
 
 def byte_symbols() -> list[str]:
@@ -117,8 +117,8 @@ class Encoder:
     def merge(self, symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Symbols after all merges; -1 where one was absorbed. ``ends`` marks each word's last."""
         n = len(symbols)
-        after = np.where(ends, n, np.arange(1, n + 1))  # n: no neighbour
-        before = np.empty(n + 1, dtype=np.int64)
+        after = np.where(ends, n, np.arange(1, n + 1)).astype(np.int32)  # n: no neighbour
+        before = np.empty(n + 1, dtype=np.int32)
         before[0], before[1:] = -1, np.where(ends, -1, np.arange(n))
         sym = np.append(symbols, -1)
         here = np.flatnonzero(~ends)
@@ -274,8 +274,17 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             start = stop
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and ids (array<int>) of every row's whole text."""
+def encode(
+    docs: DataFrame,
+    vocabulary: Vocabulary,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    decoded: bool = False,
+) -> DataFrame:
+    """doc_id and ids (array<int>) of every row's whole text.
+
+    With ``decoded`` also ``text``, what those ids decode to, in the same pass.
+    """
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
@@ -284,12 +293,18 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
         for block in _blocks(batches):
             ids, closed = encoder.encode([t or "" for t in block.column(1).to_pylist()])
             offsets = pa.array(np.concatenate([[0], closed]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [block.column(0), pa.ListArray.from_arrays(offsets, pa.array(ids))], names=["doc_id", "ids"]
-            )
+            rows = pa.ListArray.from_arrays(offsets, pa.array(ids))
+            if decoded:
+                spelled = _spelled(rows, pa.array(encoder.v.tokens, pa.string()))
+                yield pa.RecordBatch.from_arrays([block.column(0), rows, spelled], names=["doc_id", "ids", "text"])
+            else:
+                yield pa.RecordBatch.from_arrays([block.column(0), rows], names=["doc_id", "ids"])
+            # Workers live on after their task; what they do not need goes back.
+            pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, SCHEMA.format(id_type=rows.schema["doc_id"].dataType.simpleString()))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>" + ", text string" * decoded)
 
 
 def decode(vocabulary: Vocabulary, spark: SparkSession):
@@ -299,7 +314,22 @@ def decode(vocabulary: Vocabulary, spark: SparkSession):
 
     @F.arrow_udf("string")
     def text(ids: pa.Array) -> pa.Array:
-        name = shared.value.__getitem__
-        return pa.array([" ".join(map(name, row)) if row else "" for row in ids.to_pylist()], pa.string())
+        names = pa.array(shared.value, pa.string())
+        size = np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))
+        out, start = [pa.array([], pa.string())], 0
+        while start < len(ids):
+            base = size[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(size, base + BLOCK_IDS, side="right")))
+            out.append(_spelled(ids.slice(start, stop - start), names))
+            start = stop
+        return pa.concat_arrays(out)
 
     return text
+
+
+def _spelled(rows: pa.ListArray, names: pa.Array) -> pa.Array:
+    """Tokens of each row of ids, joined by spaces."""
+    rows = pc.fill_null(rows, pa.scalar([], rows.type))
+    lengths = pc.list_value_length(rows).to_numpy(zero_copy_only=False)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, names.take(rows.flatten())), " ")

@@ -38,34 +38,36 @@ def op3_quality(spark, sf_dir):
     return _scored(spark, sf_dir, quality, 3, 1, 0.5)
 
 
-#: The tree of op4 and of the pipeline: two domains by a digit of the source's hash.
-MIX_LEVELS = {
-    "domain": F.expr("if(substring(md5(coalesce(source, '')), 1, 1) < '8', 'web', 'curated')"),
-    "lang": F.col("lang"),
-    "source": F.col("source"),
-}
-MIX_WEIGHTS = {
-    "domain": F.expr("if(domain = 'web', 3, 2)"),
-    "lang": F.expr("case lang when 'en' then 5 when 'de' then 2 when 'fr' then 2 else 1 end"),
-    "source": F.lit(1),
-}
+def mix_tree():
+    """Levels and weights of op4 and of the pipeline: two domains by a digit of the source's hash."""
+    levels = {
+        "domain": F.expr("if(substring(md5(coalesce(source, '')), 1, 1) < '8', 'web', 'curated')"),
+        "lang": F.col("lang"),
+        "source": F.col("source"),
+    }
+    weights = {
+        "domain": F.expr("if(domain = 'web', 3, 2)"),
+        "lang": F.expr("case lang when 'en' then 5 when 'de' then 2 when 'fr' then 2 else 1 end"),
+        "source": F.lit(1),
+    }
+    return levels, weights
+
+
 MIX_EPOCHS = 3
 
 
 def op4_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return mix(docs, MIX_LEVELS, MIX_WEIGHTS, max_epochs=MIX_EPOCHS, seed=11)
+    return mix(docs, *mix_tree(), max_epochs=MIX_EPOCHS, seed=11)
 
 
 def digests(docs, vocabulary):
     """Encode, decode what was encoded, and reduce both to digests."""
-    ids = bpe.encode(docs, vocabulary)
-    decoded = bpe.decode(vocabulary, docs.sparkSession)("ids")
-    return ids.select(
+    return bpe.encode(docs, vocabulary, decoded=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2(decoded, 256).alias("decoded_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
     )
 
 
