@@ -15,7 +15,7 @@ from lakeferry.llm.common import stored, table
 from lakeferry.llm.exact_dedup import drop_copies
 from lakeferry.llm.mixing import mixed_rows
 from lakeferry.llm.ngram_join import similar_documents
-from lakeferry.llm.queries import MIX_LEVELS, MIX_WEIGHTS, TOKENIZER, digests
+from lakeferry.llm.queries import TOKENIZER, digests, mix_tree
 
 #: Documents at or above this score are rejected; token share that the mix passes on.
 REJECT_FROM, MIX_PERCENT = 0.5, 80
@@ -36,12 +36,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of similar documents the one with the smallest id."""
     linked = similar_documents(docs)
     gone = linked.groupBy("doc_id").agg(F.max("component_id").alias("to")).where("to <> doc_id")
-    return docs.join(stored(gone.select("doc_id"), "near-copies"), "doc_id", "left_anti").select(*docs.columns)
+    gone = stored(gone.select(F.col("doc_id").alias("_near_copy")), "near-copies")
+    return docs.join(gone, docs["doc_id"] == gone["_near_copy"], "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents by the target weights, none more than once."""
-    return mixed_rows(docs, MIX_LEVELS, MIX_WEIGHTS, max_epochs=1, percent=MIX_PERCENT)
+    return mixed_rows(docs, *mix_tree(), max_epochs=1, percent=MIX_PERCENT)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,14 +18,14 @@ from __future__ import annotations
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from lakeferry.llm.common import ship
+from lakeferry.llm.common import ship, stored
 
 KEEP = {"smallest": F.min, "largest": F.max}
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def ascii_lower(text: pa.Array) -> pa.Array:
     return pc.ascii_lower(text)
 
@@ -63,6 +63,8 @@ def exact_groups(
             ),
         )
     )
+    # Stored, so that the join has a shuffle of its own on both sides and a hot group can be split.
+    classes = stored(classes.drop("texts"), "text-groups")
     return _signed(docs, id_col, text_col).join(classes, ["hash", "text_sha256"]).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
@@ -76,10 +78,15 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .select(F.col("doc_id").alias("_keep_id"), F.col("text_sha256").alias("_keep_sha"))
         .distinct()
     )
-    keyed = docs.withColumn("_sha", F.sha2(normalised(text_col), 256))
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]
+    keyed = docs.select(
+        F.struct("*").alias("row"),
+        F.col(id_col).alias("doc_id"),
+        F.sha2(normalised(text_col), 256).alias("sha"),
+        (F.to_json(F.struct(*others)) if others else F.lit("")).alias("rest"),
+    )
     joined = keyed.join(
-        stay, F.col(id_col).eqNullSafe(F.col("_keep_id")) & (F.col("_sha") == F.col("_keep_sha")), "left_semi"
+        stay, F.col("doc_id").eqNullSafe(F.col("_keep_id")) & (F.col("sha") == F.col("_keep_sha")), "left_semi"
     )
-    others = [F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]
-    order = W.partitionBy(id_col, "_sha").orderBy(text_col, F.to_json(F.struct(*others)) if others else F.lit(0))
-    return joined.withColumn("_copy", F.row_number().over(order)).filter("_copy = 1").select(*docs.columns)
+    order = W.partitionBy("doc_id", "sha").orderBy(F.col("row").getField(text_col), "rest")
+    return joined.withColumn("copy", F.row_number().over(order)).where("copy = 1").select("row.*")

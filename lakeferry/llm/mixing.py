@@ -161,7 +161,8 @@ def plan(
     last = inside.groupBy(*names).agg(F.max(F.expr("if(end <= rest, place, null)")).alias("last"), F.max("range").alias("range"))
     # Where the cut range gives nothing, all that precedes it still does.
     last = last.select(*names, F.coalesce("last", "range").alias("last"))
-    return rows, leaves.join(last, names, "left")
+    # Stored, so that its small size is known where rows are joined to it.
+    return rows, stored(leaves.join(last, names, "left"), "mix-leaves")
 
 
 def _copies(seed: int, whole: str, last: str, id_: str, text_md5: str) -> Column:
