@@ -10,10 +10,11 @@ Each paragraph's distinct five-word shingles get ``BANDS`` keys, each from
 ``ROWS`` minima. Equal paragraphs collide surely; paragraphs of Jaccard
 similarity 0.8 with a chance of 0.88, of 0.9 with 0.99, and a passage has several.
 
-1. Keys are dealt out by hash; documents none of whose keys another document has
-   are done with. Only narrow key entries are shuffled.
-2. In the others, equal shingle sets are one node. Nodes that share a key are joined
-   (first to one node per key; then only across what is not yet connected), exact
+1. Keys are dealt out by hash; those that several documents have are noted in a
+   bitmap of fixed size. Only narrow key entries are shuffled, never texts.
+2. A second pass over the texts keeps the paragraphs with a noted key. Equal shingle
+   sets are one node. Nodes that share a key are joined (first to the node with most
+   copies, the likeliest original; then only across what is not yet connected), exact
    Jaccard decides, and components of the links are clusters.
 3. A cluster that more than one document has is a repeat. It stays in the document
    with the smallest id and is to go from the others. Overlapping windows of a
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from lakeferry.llm import words
 from lakeferry.llm.common import ceil_div, ship, stored
 from lakeferry.llm.components import components
-from lakeferry.llm.meeting import deal, met
+from lakeferry.llm.meeting import deal, is_shared, shared_tokens
 
 WORDS, SPREAD, SIZE = 26, 25, 5
 BANDS, ROWS = 4, 4
@@ -142,34 +143,46 @@ def _keys(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield key[new], text[new]
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    """One row per paragraph: doc_id, start, end, mark (128 bits of the shingle set), keys, shingles."""
+def _rows(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
+    """Paragraphs with a shared key: doc_id, start, end, mark (128 bits of the shingle set), keys, shingles.
+
+    ``keys`` are the shared ones. Overlapping paragraphs of one text with equal sets,
+    as a run of one repeated word has, are one row.
+    """
+    ship(docs.sparkSession)
+    noted = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for found in paragraphs(batch.column(1)):
+                shared = is_shared(noted.value, found["keys"])
+                kept = np.flatnonzero(shared.any(axis=1))
+                found, shared = {name: values[kept] for name, values in found.items()}, shared[kept]
                 shingles = found["shingles"]
                 fresh = np.ones(shingles.shape, dtype=bool)
                 fresh[:, 1:] = shingles[:, 1:] != shingles[:, :-1]
                 mark = np.column_stack(
                     [np.where(fresh, words.mixed(shingles * s), np.uint64(0)).sum(axis=1, dtype=np.uint64) for s in _SEEDS[:2]]
                 )
-                n = len(mark)
+                text, start, end = found["text"], found["start"], found["end"]
+                new = np.ones(len(text), dtype=bool)
+                new[1:] = (text[1:] != text[:-1]) | (mark[1:] != mark[:-1]).any(axis=1) | (start[1:] > end[:-1])
+                first = np.flatnonzero(new)
+                last = np.append(first[1:], len(text))[: len(first)] - 1
+                shared, fresh = shared[first], fresh[first]
 
-                def lists(values: np.ndarray) -> pa.Array:
-                    width = values.shape[1]
-                    return pa.ListArray.from_arrays(
-                        pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(values.ravel())
-                    )
+                def lists(values: np.ndarray, chosen: np.ndarray) -> pa.Array:
+                    bounds = np.concatenate([[0], np.cumsum(chosen.sum(axis=1))]).astype(np.int32)
+                    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(values[chosen]))
 
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(pa.array(found["text"], pa.int64())),
-                        pa.array(found["start"], pa.int64()),
-                        pa.array(found["end"], pa.int64()),
-                        pa.array([m.tobytes() for m in mark], pa.binary()),
-                        lists(found["keys"].view(np.int64)),
-                        lists((shingles >> np.uint64(32)).astype(np.uint32).view(np.int32)),
+                        batch.column(0).take(pa.array(text[first], pa.int64())),
+                        pa.array(start[first], pa.int64()),
+                        pa.array(end[last], pa.int64()),
+                        pa.array([m.tobytes() for m in mark[first]], pa.binary()),
+                        lists(found["keys"][first].view(np.int64), shared),
+                        lists((shingles[first] >> np.uint64(32)).astype(np.uint32).view(np.int32), fresh),
                     ],
                     names=["doc_id", "start", "end", "mark", "keys", "shingles"],
                 )
@@ -180,8 +193,8 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    one = nodes.select(F.col("node").alias("a"), F.array_distinct("shingles").alias("a_set"))
-    two = nodes.select(F.col("node").alias("b"), F.array_distinct("shingles").alias("b_set"))
+    one = nodes.select(F.col("node").alias("a"), F.col("shingles").alias("a_set"))
+    two = nodes.select(F.col("node").alias("b"), F.col("shingles").alias("b_set"))
     joined = pairs.join(one, "a").join(two, "b")
     both = F.size(F.array_intersect("a_set", "b_set"))
     whole = F.size("a_set") + F.size("b_set") - both
@@ -190,9 +203,11 @@ def _verified(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 def _links(nodes: DataFrame, percent: int) -> DataFrame:
     """Verified pairs of nodes that share a key; what is connected already is not paired again."""
-    postings = stored(nodes.select("node", F.explode("keys").alias("key")), "keys")
-    leaders = postings.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
-    shared = postings.join(leaders, "key")
+    postings = nodes.select("node", "copies", F.explode("keys").alias("key"))
+    leaders = postings.groupBy("key").agg(
+        F.max(F.struct("copies", "node")).alias("most"), F.count("*").alias("n")
+    ).where("n > 1").select("key", F.col("most.node").alias("a"))
+    shared = stored(postings.join(leaders, "key").select("key", "node", "a"), "keys")
     star = shared.where("node <> a").select("a", F.col("node").alias("b")).distinct()
     first = stored(_verified(star, nodes, percent), "links")
     named = stored(
@@ -227,11 +242,10 @@ def repeats(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col
     texts = texts.where("doc_id is not null")
     # About one key entry per three words of six bytes; a guess only sizes the groups.
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    alive = met(deal(texts, _keys, ceil_div(total, 20)))
-    alive = stored(alive.select("doc_id").distinct(), "alive")
-    rows = stored(_rows(texts.join(alive, "doc_id").select("doc_id", "text")), "paragraphs")
+    bitmap = shared_tokens(deal(texts, _keys, ceil_div(total, 20)))
+    rows = stored(_rows(texts, bitmap), "paragraphs")
     marks = rows.groupBy("mark").agg(
-        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"),
+        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("copies"),
         F.first("keys").alias("keys"), F.first("shingles").alias("shingles"),
     )
     nodes = stored(marks.select(F.monotonically_increasing_id().alias("node"), "*"), "nodes")
