@@ -145,8 +145,9 @@ def _tokens(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _sets(tokens: DataFrame, percent: int) -> DataFrame:
-    """(node, n, shared, pre0, pre1, ...) of nodes that can have a partner.
+    """(node, n, weight, shared, pre0, pre1, ...) of nodes that can have a partner.
 
+    ``weight`` is the mean logarithm of its shingles' counts;
     ``shared`` are the shingles that at least two nodes have; ``pre`` are the
     prefixes under the orders, without the shingles that only this node has, which
     come first in every order.
@@ -167,7 +168,9 @@ def _sets(tokens: DataFrame, percent: int) -> DataFrame:
         return F.slice(F.transform(ordered, lambda m: m["token"]), F.lit(1), first)
 
     return met.where(F.size("met") >= least).select(
-        "node", "n", F.array_sort(F.transform("met", lambda m: m["token"])).alias("shared"),
+        "node", "n",
+        (F.aggregate("met", F.lit(0), lambda a, m: a + m["rarity"]) / F.col("n")).alias("weight"),
+        F.array_sort(F.transform("met", lambda m: m["token"])).alias("shared"),
         *[prefix(k).alias(f"pre{k}") for k in range(ORDERS)],
     )
 
@@ -183,45 +186,66 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.where(both * 100 >= (F.col("a_n") + F.col("b_n") - both) * percent).select("a", "b")
 
 
-def _sized(a: str, b: str, percent: int) -> Column:
-    return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
+def _postings(sets: DataFrame) -> DataFrame:
+    """(token, node, n, place, weight): prefix shingles of the first order, placed in the whole set's order."""
+    return sets.select("node", "n", "weight", F.size("shared").alias("met"), F.posexplode("pre0").alias("i", "token")).select(
+        "token", "node", "n", (F.col("n") - F.col("met") + F.col("i")).alias("place"), "weight"
+    )
+
+
+def _may_match(percent: int) -> Column:
+    """Whether a and b can be similar if this shingle is the first that they share.
+
+    Shingles before it are not shared, so the overlap is at most what follows on
+    either side; it must reach t / (1 + t) of both sizes together.
+    """
+    least = (F.col("a_n") + F.col("b_n")) * percent
+    return ((F.col("a_n") - F.col("a_place")) * (100 + percent) >= least) & (
+        (F.col("b_n") - F.col("b_place")) * (100 + percent) >= least
+    )
+
+
+def _side(postings: DataFrame, name: str) -> DataFrame:
+    return postings.select("token", *[F.col(c).alias(f"{name}_{c}") for c in ("node", "n", "place", "label")])
 
 
 def links(sets: DataFrame, percent: int) -> DataFrame:
     """Verified pairs (a, b) that connect all nodes that similar pairs connect."""
-    postings = sets.select("node", "n", F.explode("pre0").alias("token"))
-    leaders = postings.groupBy("token").agg(
-        F.min(F.struct("node", "n")).alias("leader"), F.count("*").alias("nodes")
+    postings = stored(_postings(sets).withColumn("label", F.col("node")), "postings")
+    # The heaviest document of a shingle, the one most of whose shingles are widely met, is
+    # the likeliest original of the others.
+    heaviest = postings.groupBy("token").agg(
+        F.max(F.struct("weight", "node", "n", "place")).alias("m"), F.count("*").alias("nodes")
     ).where("nodes > 1")
     star = (
-        postings.join(leaders.select("token", "leader.node", "leader.n").toDF("token", "a", "a_n"), "token")
-        .where((F.col("node") != F.col("a")) & _sized("a_n", "n", percent))
-        .select("a", F.col("node").alias("b"))
+        _side(postings, "b")
+        .join(heaviest.select("token", "m.node", "m.n", "m.place").toDF("token", "a_node", "a_n", "a_place"), "token")
+        .where((F.col("a_node") != F.col("b_node")) & _may_match(percent))
+        .select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
         .distinct()
     )
     first = stored(_verified(star, sets, percent), "links")
-    labels = components(first)
     named = stored(
-        postings.join(labels, "node", "left").select(
-            "token", "node", "n", F.coalesce("label", "node").alias("label")
+        postings.drop("label").join(components(first), "node", "left").withColumn(
+            "label", F.coalesce("label", "node")
         ),
         "postings",
     )
     spread = named.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     sizes = named.join(spread.select("token"), "token").groupBy("token", "label").agg(F.count("*").alias("size"))
-    largest = stored(sizes.groupBy("token").agg(F.max(F.struct("size", "label")).alias("most")).select(
-        "token", F.col("most.label").alias("main")), "largest")
-    open_ = named.join(largest, "token")
-    one = open_.where("label <> main").select("token", "node", "n", "label").toDF("token", "a", "a_n", "a_label")
-    two = open_.select(
-        "token", F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("label").alias("b_label"),
-        (F.col("label") == F.col("main")).alias("b_main"),
+    largest = stored(
+        sizes.groupBy("token").agg(F.max(F.struct("size", "label")).alias("most")).select(
+            "token", F.col("most.label").alias("main")
+        ),
+        "largest",
     )
+    open_ = named.join(largest, "token")
+    one, two = _side(open_.where("label <> main"), "a"), _side(open_, "b").join(largest, "token")
     across = (
         one.join(two, "token")
-        .where((F.col("a_label") != F.col("b_label")) & _sized("a_n", "b_n", percent))
-        .where(F.col("b_main") | (F.col("a") < F.col("b")))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .where("a_label <> b_label and (b_label = main or a_node < b_node)")
+        .where(_may_match(percent))
+        .select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
         .distinct()
     )
     return first.union(stored(_verified(across, sets, percent), "links"))
