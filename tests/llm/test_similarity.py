@@ -1,0 +1,205 @@
+"""N-gram join, substring deduplication, components and top-k against brute force."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lakeferry.llm.components import components
+from lakeferry.llm.ngram_join import similar_documents
+from lakeferry.llm.substring_dedup import repeats
+from lakeferry.llm.topk import top_k
+
+UPPER = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+
+
+def words_of(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(UPPER))
+
+
+def shingles(text, size=5):
+    w = words_of(text)
+    return frozenset(tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))) if w else frozenset()
+
+
+def brute_components(rows):
+    """(doc_id, n, component) by comparing every pair."""
+    sets = [(i, shingles(t)) for i, t in rows]
+    parent = list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(sets)):
+        for b in range(a):
+            x, y = sets[a][1], sets[b][1]
+            if x and y and 100 * len(x & y) >= 80 * len(x | y) and sets[a][0] is not None and sets[b][0] is not None:
+                parent[find(a)] = find(b)
+    least = defaultdict(list)
+    for a, (i, _) in enumerate(sets):
+        least[find(a)].append(i)
+    return Counter((i, len(s), min((x for x in least[find(a)] if x is not None), default=None)) for a, (i, s) in enumerate(sets))
+
+
+def varied(seed, n=60, length=60):
+    """Families of edited copies, chains, exact copies, and texts that share a passage."""
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randrange(4000)}"
+    passage = [word() for _ in range(30)]
+    rows = []
+    for i in range(n):
+        kind = i % 5
+        if kind and rows and rng.random() < 0.8:
+            base = words_of(rng.choice(rows)[1]) or [word()]
+            base = list(base)
+            for _ in range(rng.choice([0, 0, 1, 1, 2, 4])):
+                base[rng.randrange(len(base))] = word()
+            if rng.random() < 0.2:
+                base = base[: int(len(base) * rng.uniform(0.7, 1))]
+        else:
+            base = [word() for _ in range(rng.randrange(1, length))] + (passage if rng.random() < 0.5 else [])
+        rows.append((i * 3 % 101, " ".join(base).upper() if rng.random() < 0.2 else "\n".join(base)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components_equal_brute_force(spark, seed):
+    rows = varied(seed) + [(500, ""), (501, None), (502, " \n"), (503, "a b"), (504, "A  b"), (505, "a b c"), (506, "x " * 9_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"n": F.lit(0), "mark": F.lit("clash")})
+    got = Counter(map(tuple, similar_documents(docs).collect()))
+    assert got == brute_components(rows)
+
+
+def test_given_documents_equal_brute_force_on_their_near_copies(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    sets = {i: shingles(t) for i, t in rows}
+    owners = defaultdict(set)
+    for i, s in sets.items():
+        for x in s:
+            owners[x].add(i)
+    # Pairs that share any shingle at all; no other pair can be similar.
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    pairs = Counter((a, b) for o in owners.values() for a in o for b in o if a < b)
+    for (a, b), both in pairs.items():
+        if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+            parent[find(max(find(a), find(b)))] = min(find(a), find(b))
+    least = defaultdict(lambda: 10**9)
+    for i in sets:
+        least[find(i)] = min(least[find(i)], i)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in similar_documents(docs).collect()}
+    assert got == {i: (len(s), least[find(i)]) for i, s in sets.items()}
+
+
+def test_odd_ids_and_empty_tables(spark):
+    rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (1, "other words here"), (None, "a b c d e f g"), (None, None), (2, "A b c d e f g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, similar_documents(docs).collect()), key=str)
+    assert got == sorted([(1, 3, 1), (1, 3, 1), (1, 1, 1), (None, 3, 1), (None, 0, None), (2, 3, 1)], key=str)
+    assert similar_documents(docs.limit(0)).count() == repeats(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("n", [2, 50, 300])
+def test_components_of_chains_and_stars(spark, n):
+    rng = random.Random(n)
+    order = list(range(n))
+    rng.shuffle(order)
+    edges = [(order[i], order[i + 1]) for i in range(n - 1)] + [(1_000, 1_000 + i) for i in range(n)] + [(5_000, 5_000)]
+    got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert {got[i] for i in range(n)} == {0}
+    assert {got[1_000 + i] for i in range(n)} == {1_000}
+
+
+def passage(seed, n):
+    rng = random.Random(seed)
+    return " ".join(f"p{rng.randrange(10**6)}" for _ in range(n))
+
+
+def test_repeated_passages_are_found_wherever_they_stand(spark):
+    rows, planted = [], {}
+    for k in range(40):
+        shared = passage(1_000 + k, 51 + k % 30)
+        for copy in range(2):
+            i = 10 * k + copy
+            rows.append((i, f"{passage(i, 5 + 7 * copy + k)} {shared} {passage(i + 5_000, 3 + k * copy)}"))
+            planted[i] = shared
+    rows += [(1_000 + k, passage(9_000 + k, 300)) for k in range(20)]  # clean
+    rows += [(2_000 + k, "this common line is in all of them today\n" + passage(20_000 + k, 80)) for k in range(20)]  # clean but for a line
+    rows += [(3_000, None), (3_001, ""), (3_002, "short text"), (None, passage(1_000, 60)), (3_003, passage(7, 30_000))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"start": F.lit(0), "mark": F.lit("clash")})
+    texts = {i: t for i, t in rows}
+    found = repeats(docs).collect()
+    assert {r["doc_id"] for r in found} == set(planted)
+    for r in found:
+        inside = texts[r["doc_id"]][r["start"] : r["end"]].split()
+        # Similar paragraphs may reach over an edge of the passage by a few words.
+        foreign = set(inside) - set(planted[r["doc_id"]].split())
+        assert len(inside) >= 26 and len(foreign) <= 8
+        assert r["kept"] == (r["doc_id"] == r["keep_doc_id"]) and r["keep_doc_id"] == r["doc_id"] // 10 * 10
+
+
+def test_near_copies_of_a_passage_and_accents(spark):
+    base = passage(5, 90).split()
+    edited = list(base)
+    edited[40] = "changed"
+    rows = [(1, "É é " + " ".join(base)), (2, "ß\n" + " ".join(edited).upper()), (3, passage(6, 90))]
+    found = repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in found} == {1, 2}
+    for r in found:
+        assert dict(rows)[r["doc_id"]][r["start"] : r["end"]].split()[0].lower().startswith("p")
+
+
+def test_many_documents_share_one_passage(spark):
+    shared = passage(77, 60)
+    rows = [(i, f"{passage(i, 20)} {shared}") for i in range(300)]
+    found = repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in found} == set(range(300))
+    # Paragraphs that reach over an edge by a word or two may form clusters of their own.
+    whole = [r for r in found if r["end"] - r["start"] > 200]
+    assert 0 in {r["doc_id"] for r in whole if r["kept"]}
+    assert len({r["doc_id"] for r in found if not r["kept"]}) >= 298
+
+
+def brute_top(rows, k=10, scale=1024):
+    usable = [(i, np.floor(np.array(v, dtype=float) * scale).astype(np.int64)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
+    out = set()
+    for q, a in usable:
+        if q % 100 == 0:
+            scored = sorted((-int(a @ b), i) for i, b in usable if i != q and len(a) == len(b))
+            out |= {(q, rank, i, -s) for rank, (s, i) in enumerate(scored[:k], start=1)}
+    return out
+
+
+@pytest.mark.parametrize("spread", [0.0, 1.0, 3.0])
+def test_top_k_equals_brute_force(spark, spread, monkeypatch):
+    import lakeferry.llm.topk as module
+
+    monkeypatch.setattr(module, "BUCKET", 64)
+    monkeypatch.setattr(module, "BLOCK", 3)
+    rng = np.random.default_rng(int(spread))
+    centres = rng.normal(size=(5, 8))
+    vectors = [
+        (centres[i % 5] + rng.normal(0, 0.05, 8)) * np.exp(spread * rng.normal()) if i % 3 else centres[0] for i in range(700)
+    ]
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    rows += [(900, None), (1_000, []), (1_100, [1.0, None]), (1_200, [float("nan")] * 8), (1_300, [float("inf")] * 8), (1_400, [0.0] * 8)]
+    rows += [(1_500, [1.0, 2.0]), (1_501, [3.0, 4.0]), (None, [1.0] * 8), (1_600, [1e30] * 8), (1_700, [-1.0] * 8)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({"norm": F.lit(0), "score": F.lit(0)})
+    got = {tuple(r) for r in top_k(table, F.col("id") % 100 == 0).collect()}
+    want = brute_top([r for r in rows if r[0] != 1_600])
+    assert got == want
+    assert top_k(table.limit(0), F.col("id") % 100 == 0).count() == 0
