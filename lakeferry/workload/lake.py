@@ -34,6 +34,13 @@ def scan(fmt: str, layout: str):
     return query
 
 
+def scan_format_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Formats are named in any case; the columns' names need quoting."""
+    root = fx.landed_orders(spark, sf_dir, "orc")
+    landed = scan_landed(spark, root, "ORC").select("o_orderkey", "o_year")
+    return rename_columns(landed, {"o_orderkey": "order key", "o_year": "a.year"})
+
+
 def scan_drifted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed files of which some lack a column and some have one more."""
 
@@ -198,6 +205,7 @@ QUERIES = {
     "scan_parquet": scan("parquet", "recursive"),
     "scan_orc": scan("orc", "exact"),
     "scan_drifted": scan_drifted,
+    "scan_format_case": scan_format_case,
     "cleanse_audit": cleansed_orders,
     "cleanse_file_source": cleanse_file_source,
     "rename_map": renamed(fx.ORDER_RENAMES),
@@ -238,6 +246,8 @@ FROM orders"""
 ORACLES = {
     "scan_parquet": _SCAN,
     "scan_orc": _SCAN,
+    "scan_format_case": f"""
+SELECT o_orderkey AS "order key", {_YEAR} AS "a.year" FROM orders""",
     "scan_drifted": """
 SELECT o_orderkey, o_custkey, if(o_orderkey % 3 = 0, NULL, o_orderstatus) AS o_orderstatus, o_totalprice,
        o_orderdate, o_orderpriority, if(o_orderkey % 3 = 2, o_custkey * 2, NULL) AS newcol

@@ -9,10 +9,12 @@ from lakeferry.functions.names import quote
 from lakeferry.operators import catalog
 from lakeferry.session import fresh_dir
 from lakeferry.sources.documents import (
-    read_plan,
     DUMP_SEPARATOR,
+    LOG_SEPARATOR,
     QUOTING,
+    read_plan,
     read_source_dump,
+    write_job_log,
     write_plan,
     write_source_dump,
 )
@@ -163,6 +165,32 @@ def idle_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.idle_jobs(*fx.job_records(spark, sf_dir))
 
 
+def find_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first source of a kind, by name."""
+    sources = fx.source_documents(spark, sf_dir)
+    return catalog.find_one(sources, {"sourceType": "file"}, ["name"]).select("src_id", "name")
+
+
+def grant_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Access lists as arrays: missing, without the source, and with it already."""
+    source = F.concat(F.lit("n"), "s_nationkey")
+    granted = (
+        F.when(F.col("s_suppkey") % 3 == 1, F.array(F.lit("a")))
+        .when(F.col("s_suppkey") % 3 == 2, F.array(source, F.lit("a")))
+    )
+    lists = fx.table(spark, sf_dir, "supplier").select("s_suppkey", granted.alias("access"), source.alias("source"))
+    after = catalog.grant(F.col("access"), F.col("source"))
+    return lists.select("s_suppkey", F.array_join(after, ",").alias("access"))
+
+
+def job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outcome log of the idle jobs, written and read back."""
+    path = fresh_dir(spark, "job-log")
+    write_job_log(idle_jobs(spark, sf_dir), path)
+    options = {"sep": LOG_SEPARATOR, **QUOTING}
+    return spark.read.schema("job_id bigint, status string").options(**options).csv(path)
+
+
 QUERIES = {
     "plan_tables": plan_tables,
     "plan_for_sources": plan_for_sources,
@@ -181,6 +209,9 @@ QUERIES = {
     "source_descriptors": source_descriptors,
     "existing_sources": existing_sources,
     "idle_jobs": idle_jobs,
+    "job_log": job_log,
+    "find_one": find_one,
+    "grant_lists": grant_lists,
 }
 
 SOURCE = "if(p_partkey % 3 = 0, '0', cast(p_partkey // 16 AS varchar))"
@@ -286,3 +317,11 @@ SELECT table_id, reason FROM (
                 ORDER BY table_id, source_id) > 1 THEN 'shared target' END AS reason
   FROM ({_PLAN}) plan JOIN part ON table_id = 't' || p_partkey)
 WHERE reason IS NOT NULL"""
+ORACLES["job_log"] = ORACLES["idle_jobs"]
+ORACLES["find_one"] = """
+SELECT cast(s_suppkey AS varchar) AS src_id, s_name AS name FROM supplier WHERE s_suppkey % 2 <> 0
+ORDER BY s_name LIMIT 1"""
+ORACLES["grant_lists"] = """
+SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'n' || s_nationkey WHEN 1 THEN 'a,n' || s_nationkey
+                  ELSE 'n' || s_nationkey || ',a' END AS access
+FROM supplier"""
