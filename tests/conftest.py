@@ -22,6 +22,8 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "8",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.driver.memory": "4g",
+            # Long chains of predicates are analysed recursively, deepest while code is interpreted.
+            "spark.driver.extraJavaOptions": "-Xss8m",
             "spark.ui.showConsoleProgress": "false",
             # Spark's own default, harder than the recommended setting.
             "spark.sql.unionOutputPartitioning": "true",
