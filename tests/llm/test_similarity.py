@@ -203,3 +203,20 @@ def test_top_k_equals_brute_force(spark, spread, monkeypatch):
     want = brute_top([r for r in rows if r[0] != 1_600])
     assert got == want
     assert top_k(table.limit(0), F.col("id") % 100 == 0).count() == 0
+
+
+@pytest.mark.parametrize("spread", [0.0, 0.3])
+def test_top_k_of_vectors_near_the_axes(spark, spread, monkeypatch):
+    import lakeferry.llm.topk as module
+
+    monkeypatch.setattr(module, "BUCKET", 64)
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(900):
+        v = rng.normal(0, spread, 3)
+        v[i % 3] += 1 if i % 2 else -1
+        if i % 100 == 0:  # queries lean away from an axis whose one-hot vectors are near
+            v = np.array([0.95, 0.312, 0.0]) * (1 if i % 200 else -1)
+        rows.append((i, [float(x) for x in v / np.linalg.norm(v) * (1 + 0.0001 * i)]))
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert {tuple(r) for r in top_k(table, F.col("id") % 100 == 0).collect()} == brute_top(rows)
