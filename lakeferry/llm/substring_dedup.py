@@ -1,13 +1,19 @@
-"""Passages that repeat across documents: MinHash banding over paragraphs.
+"""Passages that repeat: MinHash banding over paragraphs.
 
-Line breaks say little about where a copied passage begins, so a paragraph is a
+There are two kinds of paragraphs, and each is compared with its own kind. A line
+paragraph is what stands between line breaks, or a whole text without any, of ``WORDS``
+words or more. Its shingles of five words get ``LINE_BANDS`` keys, each from
+``LINE_ROWS`` minima: at Jaccard similarity 0.8 two of them collide with a chance of
+0.999.
+
+Line breaks say little about where a copied passage begins, so the other kind is a
 window of ``WORDS`` words that starts at an anchor: a word whose five-word shingle
 has the least hash within some ``SPREAD`` neighbouring starts. Equal passages of
 ``WORDS + SPREAD - 1`` (50) words or more have an anchor, and so a paragraph, in
 common, wherever they stand; shorter ones down to ``WORDS`` words may have.
 
-Each paragraph's distinct five-word shingles get ``BANDS`` keys, each from
-``ROWS`` minima. Equal paragraphs collide surely; paragraphs of Jaccard
+Each window's distinct five-word shingles get ``BANDS`` keys, each from
+``ROWS`` minima. Equal windows collide surely; windows of Jaccard
 similarity 0.8 with a chance of 0.88, of 0.9 with 0.99, and a passage has several.
 
 1. Keys are dealt out by hash; those that several documents have are noted in a
@@ -17,11 +23,12 @@ similarity 0.8 with a chance of 0.88, of 0.9 with 0.99, and a passage has severa
    copies, the likeliest original; then only across what is not yet connected), exact
    Jaccard decides, and components of the links are clusters.
 3. A cluster that more than one document has is a repeat. It stays in the document
-   with the smallest id and is to go from the others. Overlapping windows of a
-   document that share that fate are one span.
+   with the smallest id and is to go from the others. Overlapping paragraphs of a
+   document that share that fate are one span. A line paragraph that is no exact copy
+   counts from the first to the last shingle that one like it has too.
 
-Defined cases: texts of fewer than ``WORDS`` words, null and empty ones have no
-paragraph; repeats inside a single document alone are not reported; rows that share
+Defined cases: lines of fewer than ``WORDS`` words are no paragraph, and texts of
+fewer, null and empty ones have none; repeats inside a single document alone are not reported; rows that share
 an id are one document; rows without an id take no part; an empty table gives an
 empty result; extra columns are not read. Positions count characters of the text.
 Ids are integers.
@@ -34,7 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from lakeferry.llm import words
 from lakeferry.llm.common import ceil_div, ship, stored
@@ -43,10 +50,17 @@ from lakeferry.llm.meeting import deal, is_shared, shared_tokens
 
 WORDS, SPREAD, SIZE = 26, 25, 5
 BANDS, ROWS = 4, 4
+#: Bands of line paragraphs: similarity 0.8 collides with a chance of 0.999.
+LINE_BANDS, LINE_ROWS = 10, 3
 CHUNK_BYTES = 2_000_000
 SHINGLES = WORDS - SIZE + 1
 _SEEDS = np.random.default_rng(77).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_LINE_SEEDS = np.random.default_rng(78).integers(1, 1 << 63, LINE_BANDS * LINE_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MOST = np.uint64(0xFFFFFFFFFFFFFFFF)
+_ROWS = (
+    "doc_id long, start long, `end` long, mark binary, n int, keys array<long>, shingles array<int>, "
+    "begins array<int>, finishes array<int>"
+)
 
 
 def _sliding(values: np.ndarray, width: int, choose) -> np.ndarray:
@@ -84,11 +98,13 @@ def _anchors(order: np.ndarray, valid: np.ndarray, text: np.ndarray) -> np.ndarr
     return np.flatnonzero(chosen)
 
 
-def paragraphs(texts: pa.Array) -> Iterator[dict[str, np.ndarray]]:
-    """For pieces of the texts, one entry per paragraph.
+def paragraphs(texts: pa.Array) -> Iterator[tuple[dict[str, np.ndarray], dict[str, np.ndarray]]]:
+    """For pieces of the texts, one entry per window and one per line paragraph.
 
-    text: number of its text; start, end: characters; words: its first word's
-    number; keys: BANDS numbers; shingles: SHINGLES numbers.
+    text: number of its text; start, end: characters; keys: BANDS or LINE_BANDS numbers;
+    word: its first word's number in the piece. Windows: shingles: SHINGLES numbers.
+    Line paragraphs: stop: the number behind its
+    last word's; grams, begins, finishes: of all words of the piece.
     """
     space, edge = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
     lowered = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), edge))
@@ -102,7 +118,23 @@ def paragraphs(texts: pa.Array) -> Iterator[dict[str, np.ndarray]]:
         start = stop
 
 
-def _paragraphs(data: np.ndarray, bounds: np.ndarray, offset: int) -> dict[str, np.ndarray]:
+def _line_keys(grams: np.ndarray, first: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """LINE_BANDS keys of every run of words from ``first`` to before ``stop``, by its whole shingle set."""
+    keys = np.empty((len(first), LINE_BANDS), dtype=np.uint64)
+    if not len(first):
+        return keys
+    edges = np.column_stack([first, stop - SIZE + 1]).ravel()
+    padded = np.append(grams, _MOST)
+    for band in range(LINE_BANDS):
+        key = np.full(len(first), np.uint64(BANDS + band + 1))
+        for row in range(LINE_ROWS):
+            low = np.minimum.reduceat(padded * _LINE_SEEDS[band * LINE_ROWS + row], edges)[::2]
+            key = words.mixed(key * np.uint64(0x9E3779B97F4A7C15) + low)
+        keys[:, band] = key
+    return keys
+
+
+def _paragraphs(data: np.ndarray, bounds: np.ndarray, offset: int) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
     begins, finishes, of = words.spans(data, bounds)
     n = len(begins)
     count = np.bincount(of, minlength=len(bounds) - 1)
@@ -122,83 +154,163 @@ def _paragraphs(data: np.ndarray, bounds: np.ndarray, offset: int) -> dict[str,
         keys[:, band] = key
     letters = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # characters before a byte
     shingles = np.sort(window[at[:, None] + np.arange(SHINGLES)], axis=1)
-    base = letters[bounds[of[at]]]
-    return {
+    base = letters[bounds[of]]
+    from_, to = letters[begins] - base, letters[finishes] - base
+    line = np.cumsum((data == 10) | (data == 13))[begins]
+    edge = np.flatnonzero((line[1:] != line[:-1]) | (of[1:] != of[:-1])) + 1
+    first, stop = (np.append(0, edge), np.append(edge, n)) if n else (edge, edge)
+    long_ = stop - first >= WORDS
+    first, stop = first[long_], stop[long_]
+    windows = {
         "text": of[at] + offset,
-        "start": letters[begins[at]] - base,
-        "end": letters[finishes[at + WORDS - 1]] - base if len(at) else at,
+        "start": from_[at],
+        "end": to[at + WORDS - 1] if len(at) else at,
+        "word": at,
         "keys": keys,
         "shingles": shingles,
     }
+    lines = {
+        "text": of[first] + offset,
+        "start": from_[first],
+        "end": to[stop - 1],
+        "word": first,
+        "stop": stop,
+        "keys": _line_keys(grams, first, stop),
+        "grams": grams,
+        "begins": from_,
+        "finishes": to,
+    }
+    return windows, lines
 
 
 def _keys(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(key, text number), each pair once, for ``meeting.deal``."""
-    for found in paragraphs(texts):
-        key, text = found["keys"].ravel(), np.repeat(found["text"], BANDS)
-        order = np.lexsort((key, text))
-        key, text = key[order], text[order]
+    for pair in paragraphs(texts):
+        key, text, word = (
+            np.concatenate([x.ravel() for x in cells])
+            for cells in zip(
+                *[(f["keys"], np.repeat(f["text"], f["keys"].shape[1]), np.repeat(f["word"], f["keys"].shape[1])) for f in pair]
+            )
+        )
+        order = np.lexsort((word, key, text))
+        key, text, word = key[order], text[order], word[order]
         new = np.ones(len(key), dtype=bool)
         new[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1])
-        yield key[new], text[new]
+        first = np.flatnonzero(new)
+        yield key[first], text[first]
+
+
+def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), pa.array(values))
+
+
+def _marks(shingles: np.ndarray, owner: np.ndarray, count: int, salt: int) -> tuple[list[bytes], np.ndarray]:
+    """128 bits and the size of each owner's set of shingles; ``owner`` ascends from 0."""
+    order = np.lexsort((shingles, owner))
+    shingles, owner = shingles[order], owner[order]
+    fresh = np.ones(len(owner), dtype=bool)
+    fresh[1:] = (shingles[1:] != shingles[:-1]) | (owner[1:] != owner[:-1])
+    shingles, owner = shingles[fresh], owner[fresh]
+    if not count:
+        return [], np.empty(0, dtype=np.int64)
+    first = np.searchsorted(owner, np.arange(count))
+    mark = np.column_stack([np.add.reduceat(words.mixed(shingles * s), first) for s in _SEEDS[salt : salt + 2]])
+    return [m.tobytes() for m in mark], np.bincount(owner, minlength=count)
+
+
+def _window_rows(found: dict[str, np.ndarray], ids: pa.Array, noted: np.ndarray) -> pa.RecordBatch:
+    shared = is_shared(noted, found["keys"])
+    kept = np.flatnonzero(shared.any(axis=1))
+    found, shared = {name: values[kept] for name, values in found.items()}, shared[kept]
+    shingles = found["shingles"]
+    marks, _ = _marks(shingles.ravel(), np.repeat(np.arange(len(kept)), SHINGLES), len(kept), 0)
+    text, start, end = (found[c] for c in ("text", "start", "end"))
+    new = np.ones(len(text), dtype=bool)
+    new[1:] = (text[1:] != text[:-1]) | (start[1:] > end[:-1])
+    new[1:] |= np.fromiter((a != b for a, b in zip(marks[1:], marks[:-1])), bool, max(len(marks) - 1, 0))
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(text))[: len(first)] - 1
+    at, starts, ends = first, start[first], end[last]
+    shared = shared[at]
+    fresh = np.ones((len(at), SHINGLES), dtype=bool)
+    fresh[:, 1:] = shingles[at][:, 1:] != shingles[at][:, :-1]
+    none = pa.nulls(len(at), pa.list_(pa.int32()))
+    return _batch(
+        ids.take(pa.array(text[at], pa.int64())), starts, ends, [marks[i] for i in at], fresh.sum(axis=1),
+        _lists(found["keys"][at][shared].view(np.int64), shared.sum(axis=1)),
+        _lists((shingles[at][fresh] >> np.uint64(32)).astype(np.uint32).view(np.int32), fresh.sum(axis=1)), none, none,
+    )
+
+
+def _line_rows(found: dict[str, np.ndarray], ids: pa.Array, noted: np.ndarray) -> pa.RecordBatch:
+    shared = is_shared(noted, found["keys"])
+    kept = np.flatnonzero(shared.any(axis=1))
+    shared, first, stop = shared[kept], found["word"][kept], found["stop"][kept]
+    size = stop - first
+    runs = size - SIZE + 1
+    inside = np.arange(runs.sum()) + np.repeat(first - np.cumsum(runs) + runs, runs)
+    places = np.arange(size.sum()) + np.repeat(first - np.cumsum(size) + size, size)
+    grams = found["grams"][inside]
+    marks, n = _marks(grams, np.repeat(np.arange(len(kept)), runs), len(kept), 2)
+    return _batch(
+        ids.take(pa.array(found["text"][kept], pa.int64())), found["start"][kept], found["end"][kept], marks, n,
+        _lists(found["keys"][kept][shared].view(np.int64), shared.sum(axis=1)),
+        _lists((grams >> np.uint64(32)).astype(np.uint32).view(np.int32), runs),
+        _lists(found["begins"][places].astype(np.int32), size), _lists(found["finishes"][places].astype(np.int32), size),
+    )
+
+
+def _batch(ids, start, end, marks, n, keys, shingles, begins, finishes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            ids, pa.array(start, pa.int64()), pa.array(end, pa.int64()), pa.array(marks, pa.binary()),
+            pa.array(n, pa.int32()), keys, shingles, begins, finishes,
+        ],
+        names=["doc_id", "start", "end", "mark", "n", "keys", "shingles", "begins", "finishes"],
+    )
 
 
 def _rows(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
-    """Paragraphs with a shared key: doc_id, start, end, mark (128 bits of the shingle set), keys, shingles.
+    """Paragraphs with a shared key: doc_id, start, end, mark (128 bits of the shingle set), n (its size), keys, shingles.
 
-    ``keys`` are the shared ones. Overlapping paragraphs of one text with equal sets,
-    as a run of one repeated word has, are one row.
+    ``keys`` are the shared ones. Overlapping windows of one text with equal sets, as a
+    run of one repeated word has, are one row. Line paragraphs have their shingles in the order of words, and with begins and
+    finishes the characters of each word; these are null for windows.
     """
     ship(docs.sparkSession)
     noted = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for found in paragraphs(batch.column(1)):
-                shared = is_shared(noted.value, found["keys"])
-                kept = np.flatnonzero(shared.any(axis=1))
-                found, shared = {name: values[kept] for name, values in found.items()}, shared[kept]
-                shingles = found["shingles"]
-                fresh = np.ones(shingles.shape, dtype=bool)
-                fresh[:, 1:] = shingles[:, 1:] != shingles[:, :-1]
-                mark = np.column_stack(
-                    [np.where(fresh, words.mixed(shingles * s), np.uint64(0)).sum(axis=1, dtype=np.uint64) for s in _SEEDS[:2]]
-                )
-                text, start, end = found["text"], found["start"], found["end"]
-                new = np.ones(len(text), dtype=bool)
-                new[1:] = (text[1:] != text[:-1]) | (mark[1:] != mark[:-1]).any(axis=1) | (start[1:] > end[:-1])
-                first = np.flatnonzero(new)
-                last = np.append(first[1:], len(text))[: len(first)] - 1
-                shared, fresh = shared[first], fresh[first]
-
-                def lists(values: np.ndarray, chosen: np.ndarray) -> pa.Array:
-                    bounds = np.concatenate([[0], np.cumsum(chosen.sum(axis=1))]).astype(np.int32)
-                    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(values[chosen]))
-
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(pa.array(text[first], pa.int64())),
-                        pa.array(start[first], pa.int64()),
-                        pa.array(end[last], pa.int64()),
-                        pa.array([m.tobytes() for m in mark[first]], pa.binary()),
-                        lists(found["keys"][first].view(np.int64), shared),
-                        lists((shingles[first] >> np.uint64(32)).astype(np.uint32).view(np.int32), fresh),
-                    ],
-                    names=["doc_id", "start", "end", "mark", "keys", "shingles"],
-                )
-
-    return docs.mapInArrow(
-        run, "doc_id long, start long, `end` long, mark binary, keys array<long>, shingles array<int>"
-    )
+            for windows, lines in paragraphs(batch.column(1)):
+                yield _window_rows(windows, batch.column(0), noted.value)
+                yield _line_rows(lines, batch.column(0), noted.value)
+
+    return docs.mapInArrow(run, _ROWS)
+
+
+def _extent(own: str, other: str) -> tuple[Column, Column]:
+    """Places of the first and the last shingle of ``own`` that ``other`` has, from 0."""
+    backward = F.reverse(own)
+    first = F.array_position(own, F.element_at(F.array_intersect(own, other), 1)) - 1
+    last = F.size(own) - F.array_position(backward, F.element_at(F.array_intersect(backward, F.col(other)), 1))
+    return first, last
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    one = nodes.select(F.col("node").alias("a"), F.col("shingles").alias("a_set"))
-    two = nodes.select(F.col("node").alias("b"), F.col("shingles").alias("b_set"))
+    """The similar pairs (a, b), with what line paragraphs have in common: a_from, a_to, b_from, b_to."""
+    one, two = (
+        nodes.select(*[F.col(c).alias(f"{side}_{c}") for c in ("node", "n", "line", "shingles")]).withColumnRenamed(f"{side}_node", side)
+        for side in "ab"
+    )
     joined = pairs.join(one, "a").join(two, "b")
-    both = F.size(F.array_intersect("a_set", "b_set"))
-    whole = F.size("a_set") + F.size("b_set") - both
-    return joined.where(both * 100 >= whole * percent).select("a", "b")
+    both = F.size(F.array_intersect("a_shingles", "b_shingles"))
+    similar = joined.where(both * 100 >= (F.col("a_n") + F.col("b_n") - both) * percent)
+    cells = []
+    for side, other in ("ab", "ba"):
+        for name, place in zip(("from", "to"), _extent(f"{side}_shingles", f"{other}_shingles")):
+            cells.append(F.when(F.col("a_line"), place).cast("int").alias(f"{side}_{name}"))
+    return similar.select("a", "b", *cells)
 
 
 def _links(nodes: DataFrame, percent: int) -> DataFrame:
@@ -211,7 +323,7 @@ def _links(nodes: DataFrame, percent: int) -> DataFrame:
     star = shared.where("node <> a").select("a", F.col("node").alias("b")).distinct()
     first = stored(_verified(star, nodes, percent), "links")
     named = stored(
-        shared.select("key", "node").join(components(first), "node", "left").select(
+        shared.select("key", "node").join(components(first.select("a", "b")), "node", "left").select(
             "key", "node", F.coalesce("label", "node").alias("label")
         ),
         "postings",
@@ -240,24 +352,42 @@ def repeats(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col
     ship(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     texts = texts.where("doc_id is not null")
-    # About one key entry per three words of six bytes; a guess only sizes the groups.
+    # About one key entry per three words of six bytes for windows, fewer for lines; a guess only sizes the groups.
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bitmap = shared_tokens(deal(texts, _keys, ceil_div(total, 20)))
+    bitmap = shared_tokens(deal(texts, _keys, ceil_div(total, 15)))
     rows = stored(_rows(texts, bitmap), "paragraphs")
     marks = rows.groupBy("mark").agg(
-        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("copies"),
-        F.first("keys").alias("keys"), F.first("shingles").alias("shingles"),
+        F.min(F.struct("doc_id", "start", "end")).alias("low"), F.max(F.struct("doc_id", "start")).alias("high"),
+        F.count("*").alias("copies"), F.first("keys").alias("keys"), F.first("shingles").alias("shingles"),
+        F.first("n").alias("n"), F.first(F.col("begins").isNotNull()).alias("line"),
     )
     nodes = stored(marks.select(F.monotonically_increasing_id().alias("node"), "*"), "nodes")
-    labels = components(_links(nodes, percent))
-    named = nodes.select("node", "mark", "low", "high").join(labels, "node", "left").select(
-        "mark", "low", "high", F.coalesce("label", "node").alias("cluster")
+    links = _links(nodes, percent)
+    labels = components(links.select("a", "b"))
+    ends = [links.select(F.col(x).alias("node"), F.col(f"{x}_from").alias("from"), F.col(f"{x}_to").alias("to")) for x in "ab"]
+    extents = ends[0].union(ends[1]).groupBy("node").agg(F.min("from").alias("from"), F.max("to").alias("to"))
+    named = nodes.select("node", "mark", "low", "high", "copies").join(labels, "node", "left").join(extents, "node", "left")
+    named = named.select(
+        "mark", "low", "high", F.coalesce("label", "node").alias("cluster"),
+        # Exact copies are repeated in full.
+        *[F.when(F.col("copies") == 1, F.col(c)).alias(c) for c in ("from", "to")],
+    )
+    wide = named.groupBy("cluster").agg(F.min("low").alias("keep"), F.max("high").alias("high")).where(
+        "high.doc_id <> keep.doc_id"
+    )
+    clusters = stored(
+        named.select("mark", "cluster", "from", "to").join(wide.select("cluster", "keep"), "cluster"), "clusters"
+    )
+    found = rows.select("doc_id", "start", "end", "mark", "begins", "finishes").join(clusters, "mark")
+    judged = stored(
+        found.select(
+            "doc_id", "cluster", F.col("keep.doc_id").alias("keep_doc_id"),
+            (F.col("doc_id") == F.col("keep.doc_id")).alias("kept"),
+            F.coalesce(F.get("begins", F.col("from")).cast("long"), "start").alias("start"),
+            F.coalesce(F.get("finishes", F.col("to") + (SIZE - 1)).cast("long"), "end").alias("end"),
+        ),
+        "occurrences",
     )
-    wide = named.groupBy("cluster").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high")
-    clusters = stored(named.select("mark", "cluster").join(wide.select("cluster"), "cluster"), "clusters")
-    found = stored(rows.select("doc_id", "start", "end", "mark").join(clusters, "mark"), "occurrences")
-    first = found.groupBy("cluster").agg(F.min("doc_id").alias("keep_doc_id"))
-    judged = found.join(first, "cluster").withColumn("kept", F.col("doc_id") == F.col("keep_doc_id"))
     # Windows that overlap and share their fate become one span.
     along = W.partitionBy("doc_id", "kept").orderBy("start", "end", "cluster")
     reach = F.max("end").over(along.rowsBetween(W.unboundedPreceding, -1))

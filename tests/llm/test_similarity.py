@@ -220,3 +220,22 @@ def test_top_k_of_vectors_near_the_axes(spark, spread, monkeypatch):
         rows.append((i, [float(x) for x in v / np.linalg.norm(v) * (1 + 0.0001 * i)]))
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     assert {tuple(r) for r in top_k(table, F.col("id") % 100 == 0).collect()} == brute_top(rows)
+
+
+def test_near_copies_of_line_paragraphs(spark):
+    rows = []
+    for k in range(60):
+        base = passage(40_000 + k, 60).split()
+        edited = [*base[:30], "changed", *base[31:]]  # similarity 0.836
+        other = passage(50_000 + k, 40)
+        rows.append((10 * k, f"{other}\n{' '.join(base)}" if k % 2 else " ".join(base)))
+        rows.append((10 * k + 1, f"{' '.join(edited)}\r\n{passage(60_000 + k, 30)}" if k % 3 else " ".join(edited)))
+    rows.append((5_000, passage(70_000, 400)))
+    texts = dict(rows)
+    found = repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in found} == set(texts) - {5_000}
+    for i in set(texts) - {5_000}:
+        spans = [r for r in found if r["doc_id"] == i]
+        assert {(r["kept"], r["keep_doc_id"]) for r in spans} == {(i % 10 == 0, i // 10 * 10)}
+        want = texts[i].split("\n")[-1] if i % 10 == 0 else texts[i].split("\r\n")[0]
+        assert want in [texts[i][r["start"] : r["end"]] for r in spans]
