@@ -17,14 +17,14 @@ from lakeferry.llm.mixing import mixed_rows
 from lakeferry.llm.ngram_join import similar_documents
 from lakeferry.llm.queries import TOKENIZER, digests, mix_tree
 
-#: Documents at or above this score are rejected; token share that the mix passes on.
-REJECT_FROM, MIX_PERCENT = 0.5, 80
+#: Token share that the mix passes on.
+MIX_PERCENT = 80
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not toxic. The held-out part of the labels is not learned from."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), learn=~toxicity.held_out("doc_id", 4, 2))
-    return docs.where(toxicity.scorer(docs, model)(F.col("text")) < REJECT_FROM)
+    return docs.where(toxicity.scorer(docs, model)(F.col("text")) < toxicity.TOXIC_FROM)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

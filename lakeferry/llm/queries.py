@@ -31,7 +31,7 @@ def _scored(spark, sf_dir, module, parts, part, threshold):
 
 
 def op2_toxicity(spark, sf_dir):
-    return _scored(spark, sf_dir, toxicity, 4, 2, 0.3)
+    return _scored(spark, sf_dir, toxicity, 4, 2, toxicity.TOXIC_FROM)
 
 
 def op3_quality(spark, sf_dir):

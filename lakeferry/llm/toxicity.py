@@ -32,6 +32,8 @@ from lakeferry.llm.common import crc_of_id, ship
 
 SIZES, BITS, DIMENSIONS = (3, 4, 5, 6), 18, 4
 MAX_DOCUMENTS, DAMPING = 4_000, 1e-9
+#: Scores from which a document counts as toxic.
+TOXIC_FROM = 0.3
 #: Bytes of text turned into bags at once; bounds the driver's memory.
 BAG_BYTES = 300_000
 

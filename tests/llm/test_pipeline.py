@@ -15,6 +15,7 @@ from test_text_models import library
 import corpus_pipeline
 from lakeferry.llm import toxicity
 from lakeferry.llm.common import stored
+from lakeferry.llm.queries import QUERIES
 
 UPPER = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
 
@@ -126,3 +127,8 @@ def test_nothing_else_needs_the_subpackage(monkeypatch):
     }
     others = [p for p in Path("lakeferry").rglob("*.py") if "llm" not in p.parts]
     assert not any("lakeferry.llm" in p.read_text() for p in others)
+
+
+def test_what_op2_calls_toxic_goes(spark, sf_dir, steps):
+    toxic = QUERIES["op2_toxicity"](spark, sf_dir).where("predicted = 1")
+    assert set(ids(toxic)) and not set(ids(toxic)) & set(ids(steps[0][2]))
