@@ -38,7 +38,8 @@ Entries = Callable[[pa.Array], Iterator[tuple[np.ndarray, np.ndarray]]]
 def deal(texts: DataFrame, entries: Entries, expected: int) -> DataFrame:
     """Entries of (doc_id, text) rows in groups.
 
-    ``entries`` yields (tokens, numbers of their texts), no pair twice.
+    ``entries`` yields (tokens, numbers of their texts), no pair twice unless one text
+    is to make a token shared by itself.
     """
     groups = max(MIN_GROUPS, ceil_div(expected, GROUP_ENTRIES))
 

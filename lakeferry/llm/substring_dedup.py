@@ -22,14 +22,16 @@ similarity 0.8 with a chance of 0.88, of 0.9 with 0.99, and a passage has severa
    sets are one node. Nodes that share a key are joined (first to the node with most
    copies, the likeliest original; then only across what is not yet connected), exact
    Jaccard decides, and components of the links are clusters.
-3. A cluster that more than one document has is a repeat. It stays in the document
-   with the smallest id and is to go from the others. Overlapping paragraphs of a
+3. A cluster with two places that do not overlap is a repeat, in one document or in
+   several. It stays at the smallest place (document, start) and is to go from the
+   others. Overlapping paragraphs of a
    document that share that fate are one span. A line paragraph that is no exact copy
    counts from the first to the last shingle that one like it has too.
 
 Defined cases: lines of fewer than ``WORDS`` words are no paragraph, and texts of
-fewer, null and empty ones have none; repeats inside a single document alone are not reported; rows that share
-an id are one document; rows without an id take no part; an empty table gives an
+fewer, null and empty ones have none; of windows of one document that overlap the place kept, all are kept; a
+run of overlapping equal windows is two places, its first window and the rest; rows
+that share an id are one document; rows without an id take no part; an empty table gives an
 empty result; extra columns are not read. Positions count characters of the text.
 Ids are integers.
 """
@@ -102,8 +104,8 @@ def paragraphs(texts: pa.Array) -> Iterator[tuple[dict[str, np.ndarray], dict[st
     """For pieces of the texts, one entry per window and one per line paragraph.
 
     text: number of its text; start, end: characters; keys: BANDS or LINE_BANDS numbers;
-    word: its first word's number in the piece. Windows: shingles: SHINGLES numbers.
-    Line paragraphs: stop: the number behind its
+    word: its first word's number in the piece. Windows: shingles: SHINGLES numbers;
+    after: the start of the word behind. Line paragraphs: stop: the number behind its
     last word's; grams, begins, finishes: of all words of the piece.
     """
     space, edge = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
@@ -165,6 +167,7 @@ def _paragraphs(data: np.ndarray, bounds: np.ndarray, offset: int) -> tuple[dict
         "text": of[at] + offset,
         "start": from_[at],
         "end": to[at + WORDS - 1] if len(at) else at,
+        "after": from_[np.minimum(at + WORDS, n - 1)],
         "word": at,
         "keys": keys,
         "shingles": shingles,
@@ -184,7 +187,7 @@ def _paragraphs(data: np.ndarray, bounds: np.ndarray, offset: int) -> tuple[dict
 
 
 def _keys(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(key, text number), each pair once, for ``meeting.deal``."""
+    """(key, text number) for ``meeting.deal``: once, or twice where a text has it at two places that do not overlap."""
     for pair in paragraphs(texts):
         key, text, word = (
             np.concatenate([x.ravel() for x in cells])
@@ -197,7 +200,9 @@ def _keys(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         new = np.ones(len(key), dtype=bool)
         new[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1])
         first = np.flatnonzero(new)
-        yield key[first], text[first]
+        last = np.append(first[1:], len(key))[: len(first)] - 1
+        again = first[word[last] - word[first] >= WORDS]
+        yield np.concatenate([key[first], key[again]]), np.concatenate([text[first], text[again]])
 
 
 def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
@@ -224,13 +229,18 @@ def _window_rows(found: dict[str, np.ndarray], ids: pa.Array, noted: np.ndarray)
     found, shared = {name: values[kept] for name, values in found.items()}, shared[kept]
     shingles = found["shingles"]
     marks, _ = _marks(shingles.ravel(), np.repeat(np.arange(len(kept)), SHINGLES), len(kept), 0)
-    text, start, end = (found[c] for c in ("text", "start", "end"))
+    text, start, end, word = (found[c] for c in ("text", "start", "end", "word"))
     new = np.ones(len(text), dtype=bool)
     new[1:] = (text[1:] != text[:-1]) | (start[1:] > end[:-1])
     new[1:] |= np.fromiter((a != b for a, b in zip(marks[1:], marks[:-1])), bool, max(len(marks) - 1, 0))
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(text))[: len(first)] - 1
-    at, starts, ends = first, start[first], end[last]
+    # A run that reaches beyond its first window repeats it: the first window, and the rest.
+    rest = np.flatnonzero(word[last] - word[first] >= WORDS)
+    tail = np.where(word[last] - word[first] >= WORDS, end[first], end[last])
+    at = np.concatenate([first, first[rest]])
+    starts = np.concatenate([start[first], found["after"][first[rest]]])
+    ends = np.concatenate([tail, end[last][rest]])
     shared = shared[at]
     fresh = np.ones((len(at), SHINGLES), dtype=bool)
     fresh[:, 1:] = shingles[at][:, 1:] != shingles[at][:, :-1]
@@ -274,7 +284,8 @@ def _rows(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
     """Paragraphs with a shared key: doc_id, start, end, mark (128 bits of the shingle set), n (its size), keys, shingles.
 
     ``keys`` are the shared ones. Overlapping windows of one text with equal sets, as a
-    run of one repeated word has, are one row. Line paragraphs have their shingles in the order of words, and with begins and
+    run of one repeated word has, are one row, or two if the run holds its first window
+    again. Line paragraphs have their shingles in the order of words, and with begins and
     finishes the characters of each word; these are null for windows.
     """
     ship(docs.sparkSession)
@@ -347,7 +358,7 @@ def _links(nodes: DataFrame, percent: int) -> DataFrame:
 def repeats(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per occurrence of a repeated passage: doc_id, start, end, kept, keep_doc_id, cluster_id.
 
-    ``end`` is exclusive; each cluster is kept in the document ``keep_doc_id`` alone.
+    ``end`` is exclusive; each cluster is kept at one place alone, in the document ``keep_doc_id``.
     """
     ship(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -373,7 +384,7 @@ def repeats(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col
         *[F.when(F.col("copies") == 1, F.col(c)).alias(c) for c in ("from", "to")],
     )
     wide = named.groupBy("cluster").agg(F.min("low").alias("keep"), F.max("high").alias("high")).where(
-        "high.doc_id <> keep.doc_id"
+        "high.doc_id <> keep.doc_id or high.start >= keep.end"
     )
     clusters = stored(
         named.select("mark", "cluster", "from", "to").join(wide.select("cluster", "keep"), "cluster"), "clusters"
@@ -382,7 +393,7 @@ def repeats(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col
     judged = stored(
         found.select(
             "doc_id", "cluster", F.col("keep.doc_id").alias("keep_doc_id"),
-            (F.col("doc_id") == F.col("keep.doc_id")).alias("kept"),
+            ((F.col("doc_id") == F.col("keep.doc_id")) & (F.col("start") < F.col("keep.end"))).alias("kept"),
             F.coalesce(F.get("begins", F.col("from")).cast("long"), "start").alias("start"),
             F.coalesce(F.get("finishes", F.col("to") + (SIZE - 1)).cast("long"), "end").alias("end"),
         ),

@@ -239,3 +239,27 @@ def test_near_copies_of_line_paragraphs(spark):
         assert {(r["kept"], r["keep_doc_id"]) for r in spans} == {(i % 10 == 0, i // 10 * 10)}
         want = texts[i].split("\n")[-1] if i % 10 == 0 else texts[i].split("\r\n")[0]
         assert want in [texts[i][r["start"] : r["end"]] for r in spans]
+
+
+def test_repeats_inside_one_document(spark):
+    shared, line = passage(81, 60), passage(82, 60)
+    rows = [
+        (1, " ".join([shared] * 1_000)),
+        (2, "\n".join([passage(83, 40), line, passage(84, 90), line, line])),
+        (3, f"{passage(85, 60)} " * 2 + passage(86, 30)),
+        (4, passage(85, 60)),
+        (5, passage(87, 500)),
+        (6, "la " * 500),
+        (7, " ".join(["on and on we go again"] * 5) + " " + passage(88, 60)),  # 30 words, none of 26 twice
+    ]
+    texts = dict(rows)
+    found = repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    kept = {i: [r for r in found if r["doc_id"] == i and r["kept"]] for i in texts}
+    gone = {i: [r for r in found if r["doc_id"] == i and not r["kept"]] for i in texts}
+    assert {r["doc_id"] for r in found} == {1, 2, 3, 4, 6}
+    for i in (1, 6):  # a window may reach over the first passage's end, and none reach the text's
+        assert min(r["start"] for r in gone[i]) <= 2 * len(shared) and max(r["end"] for r in gone[i]) >= len(texts[i]) - len(shared) // 2
+        assert kept[i][0]["start"] < len(shared) // 2 and min(r["start"] for r in gone[i]) > 25 * 2
+    assert [texts[2][r["start"] : r["end"]] for r in kept[2]] == [line]
+    assert sum(texts[2][r["start"] : r["end"]].count(line) for r in gone[2]) == 2
+    assert kept[3] and gone[3] and not kept[4] and {r["keep_doc_id"] for r in gone[4]} == {3}
