@@ -3,11 +3,13 @@
 Features are DataFrame expressions over the URL alone: lengths, path depth, digit
 ratio, hyphens, character entropy, parameter count, vowel ratio, and how often
 labelled URLs with the same suffix (last label of the host; extension of the
-path) were bad. The trees are Spark ML's, fitted on at most ``max_labelled``
-labelled URLs taken in hash order, so the same table gives the same model.
+path) were bad, counted over all labelled rows. The trees are Spark ML's, fitted on
+at most ``max_labelled`` distinct labelled URLs taken in hash order, so the same
+table gives the same model.
 
-``decide`` works row by row: no shuffle, no Python, the model travels with the
-task and its size is bounded by trees and depth.
+``decide`` has no Python: the trees travel with the task, their size is bounded by
+number and depth, and the suffix rates are joined (broadcast only where Spark's own
+size check allows it).
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path and
 is judged by the model on those; a rule needs its host or a subdomain of it and a
@@ -27,6 +29,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lakeferry.llm.common import stored
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 MAX_LABELLED = 20_000
@@ -123,21 +127,17 @@ def featurise(urls: DataFrame, url_col: str = "url") -> DataFrame:
 class UrlModel:
     """Fitted suffix statistics and trees; ``bad`` gives the probability of a bad URL."""
 
-    def __init__(self, constant: float | None, rates: dict[str, dict[str, float]], prior: float, trees=None):
+    def __init__(self, constant: float | None, rates: dict[str, DataFrame], prior: float, trees=None):
         self.constant, self.rates, self.prior, self.trees = constant, rates, prior, trees
 
     def _vector(self, rows: DataFrame) -> DataFrame:
-        def rate(name: str) -> Column:
-            known = self.rates[name]
-            keys, values = F.array(*map(F.lit, known)), F.array(*map(F.lit, known.values()))
-            place = F.array_position(keys, F.col(f"_f.{name}"))
-            return F.coalesce(F.when(place > 0, F.element_at(values, F.greatest(place, F.lit(1)).cast("int"))), F.lit(self.prior))
-
-        cells = [F.col(f"_f.{name}").alias(name) for name in LEXICAL]
-        cells += [rate(name).alias(f"{name}_rate") for name in SUFFIXES]
-        return rows.withColumn("_x", F.struct(*cells)).select(
-            "*", *[F.col(f"_x.{name}").alias(f"_x_{name}") for name in FEATURES]
-        ).drop("_x")
+        for name in SUFFIXES:
+            known = self.rates[name].select(F.col("suffix").alias(f"_{name}"), F.col("rate").alias(f"_x_{name}_rate"))
+            rows = rows.join(known, F.col(f"_f.{name}") == F.col(f"_{name}"), "left").drop(f"_{name}")
+        return rows.withColumns(
+            {f"_x_{name}": F.col(f"_f.{name}") for name in LEXICAL}
+            | {f"_x_{name}_rate": F.coalesce(f"_x_{name}_rate", F.lit(self.prior)) for name in SUFFIXES}
+        )
 
     def bad(self, rows: DataFrame) -> DataFrame:
         """``rows`` of ``featurise`` with a column ``_bad``."""
@@ -152,6 +152,10 @@ class UrlModel:
         )
 
 
+def _lowest(urls: DataFrame, n: int, seed: int) -> DataFrame:
+    return urls.orderBy(F.xxhash64(F.lit(seed), "url"), "url").limit(n)
+
+
 def fit(
     labelled: DataFrame,
     url_col: str = "url",
@@ -160,35 +164,50 @@ def fit(
     trees: int = 20,
     depth: int = 4,
     smoothing: float = 20.0,
-    max_suffixes: int = 200,
     seed: int = 7,
 ) -> UrlModel:
-    """Fit on at most ``max_labelled`` rows of (url, label 1 = bad), taken in hash order.
+    """Fit on rows of (url, label 1 = bad).
 
-    Suffix rates are shrunk towards the overall rate by ``smoothing`` rows; the
-    ``max_suffixes`` most frequent suffixes keep a rate of their own, the rest
-    have the overall one.
+    Suffix rates count all rows and are shrunk towards the overall rate by ``smoothing``
+    rows. The trees learn from at most ``max_labelled`` distinct URLs, taken in hash
+    order; a URL's label is that of most of its rows. Where all of them are of one kind,
+    each kind gives half.
     """
-    sample = featurise(
-        labelled.where(F.col(label_col).isNotNull())
-        .select(F.col(url_col).alias("url"), F.col(label_col).cast("double").alias("_label"))
-        .orderBy(F.xxhash64(F.lit(seed), "url"), "url", "_label")
-        .limit(max_labelled)
-    ).persist()
+    known = labelled.where(F.col(label_col).isNotNull()).select(
+        F.col(url_col).alias("url"), F.col(label_col).cast("double").alias("_label")
+    )
+    counts = {
+        name: stored(
+            featurise(known).groupBy(F.col(f"_f.{name}").alias("suffix")).agg(
+                F.count("*").alias("n"), F.sum("_label").alias("bad")
+            ),
+            "suffixes",
+        )
+        for name in SUFFIXES
+    }
+    whole = counts["host_suffix"].agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
+    prior = whole["bad"] / whole["n"] if whole["n"] else 0.0
+    if prior in (0.0, 1.0):
+        return UrlModel(prior, {}, 0.0)
+    rates = {
+        name: stored(
+            rows.select("suffix", ((F.col("bad") + prior * smoothing) / (F.col("n") + smoothing)).alias("rate")),
+            "rates",
+        )
+        for name, rows in counts.items()
+    }
+    urls = stored(
+        known.groupBy("url").agg((F.avg("_label") >= 0.5).cast("double").alias("_label")), "urls"
+    )
+    chosen = stored(_lowest(urls, max_labelled, seed), "sample")
+    if chosen.agg(F.countDistinct("_label")).first()[0] < 2:
+        half = max_labelled // 2
+        chosen = stored(
+            _lowest(urls.where("_label = 1"), half, seed).union(_lowest(urls.where("_label = 0"), max_labelled - half, seed)),
+            "sample",
+        )
+    sample = featurise(chosen).persist()
     try:
-        whole = sample.agg(F.count("*").alias("n"), F.avg("_label").alias("rate")).first()
-        if not whole["n"] or whole["rate"] in (0.0, 1.0):
-            return UrlModel(whole["rate"] or 0.0, {}, 0.0)
-        prior, rates = whole["rate"], {}
-        for name in SUFFIXES:
-            rows = (
-                sample.groupBy(F.col(f"_f.{name}").alias("suffix"))
-                .agg(F.count("*").alias("n"), F.sum("_label").alias("bad"))
-                .orderBy(F.desc("n"), "suffix")
-                .limit(max_suffixes)
-                .collect()
-            )
-            rates[name] = {r["suffix"]: (r["bad"] + prior * smoothing) / (r["n"] + smoothing) for r in rows}
         model = UrlModel(None, rates, prior)
         assembled = VectorAssembler(inputCols=[f"_x_{n}" for n in FEATURES], outputCol="_features").transform(
             model._vector(sample)

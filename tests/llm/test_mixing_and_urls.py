@@ -127,3 +127,29 @@ def test_without_labels_everything_is_allowed(spark):
     only_bad = pages.select("url", F.lit(1).alias("label"))
     assert {r["verdict"] for r in url_filter.decide(pages, url_filter.fit(only_bad), ()).collect()} == {"block"}
     assert url_filter.decide(pages.limit(0), url_filter.fit(only_bad), RULES).count() == 0
+
+
+def labelled_pages(spark, n, suffixes, suffix_bad):
+    """Hosts alike in form; only the suffix tells the label."""
+    number = F.format_string("%06d", (F.col("id") * 7919) % 1_000_000)
+    suffix = F.concat(F.lit("s"), F.format_string("%03d", F.col("id") % suffixes))
+    return spark.range(n).select(
+        F.col("id").alias("page_id"), F.concat(F.lit("http://site"), number, F.lit("."), suffix, F.lit("/x")).alias("url"),
+        suffix_bad(F.col("id") % suffixes).cast("int").alias("label"),
+    )
+
+
+def test_rare_suffixes_have_their_own_rate(spark):
+    pages = labelled_pages(spark, 8_000, 400, lambda s: F.crc32(s.cast("string")) % 2 == 0)
+    model = url_filter.fit(pages.select("url", "label"), max_labelled=1_000)
+    right = url_filter.decide(pages, model, ()).join(pages.select("page_id", "label"), "page_id")
+    assert right.where((F.col("verdict") == "block") == (F.col("label") == 1)).count() >= 0.95 * 8_000
+
+
+def test_one_url_on_a_third_of_the_rows(spark):
+    pages = labelled_pages(spark, 2_000, 10, lambda s: s % 2 == 0)
+    hot = pages.orderBy(F.xxhash64(F.lit(7), "url")).limit(1).select("url", "label").first()
+    known = pages.select("url", "label").union(spark.range(1_000).select(F.lit(hot["url"]), F.lit(hot["label"])))
+    model = url_filter.fit(known, max_labelled=500)
+    right = url_filter.decide(pages, model, ()).join(pages.select("page_id", "label"), "page_id")
+    assert right.where((F.col("verdict") == "block") == (F.col("label") == 1)).count() >= 0.95 * 2_000
