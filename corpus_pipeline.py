@@ -8,13 +8,13 @@ folder and reads them again for the next, so a lost executor costs one stage at
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from lakeferry.llm import bpe, toxicity
 from lakeferry.llm.common import stored, table
 from lakeferry.llm.exact_dedup import drop_copies
 from lakeferry.llm.mixing import mixed_rows
-from lakeferry.llm.ngram_join import similar_documents
+from lakeferry.llm.ngram_join import linked_rows, text_sha
 from lakeferry.llm.queries import TOKENIZER, digests, mix_tree
 
 #: Token share that the mix passes on.
@@ -33,11 +33,26 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents the one with the smallest id."""
-    linked = similar_documents(docs)
-    gone = linked.groupBy("doc_id").agg(F.max("component_id").alias("to")).where("to <> doc_id")
-    gone = stored(gone.select(F.col("doc_id").alias("_near_copy")), "near-copies")
-    return docs.join(gone, docs["doc_id"] == gone["_near_copy"], "left_anti")
+    """Of each group of similar documents one row: the smallest id, then the smallest digest of the text."""
+    rows = stored(linked_rows(docs).where("component is not null and doc_id is not null"), "linked")
+    one = F.struct("doc_id", "sha")
+    named = rows.select(one.alias("one"), "component")
+    first = named.groupBy("component").agg(F.min("one").alias("first"))
+    judged = named.join(first, "component").select("one.*", (F.col("one") == F.col("first")).alias("kept"))
+    judged = stored(judged.groupBy("doc_id", "sha").agg(F.first("kept").alias("kept"), F.count("*").alias("n")), "judged")
+
+    def same(other: DataFrame) -> Column:
+        return (docs["doc_id"] == other["doc_id"]) & (text_sha(docs["text"]) == other["sha"])
+
+    gone, twins = judged.where("not kept"), judged.where("kept and n > 1")
+    left = docs.join(gone, same(gone), "left_anti")
+    if twins.isEmpty():
+        return left
+    # Rows with the same id and text: of each such pair of values one row.
+    alike = docs.join(twins, same(twins), "left_semi")
+    order = W.partitionBy(alike["doc_id"], text_sha(alike["text"])).orderBy(F.xxhash64(*[alike[c] for c in docs.columns]))
+    alike = alike.withColumn("_twin", F.row_number().over(order)).where("_twin = 1").drop("_twin")
+    return left.join(twins, same(twins), "left_anti").unionByName(alike)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -71,8 +71,13 @@ def shingle_sets(texts: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray,
         start = stop
 
 
+def text_sha(text: Column) -> Column:
+    """What tells the texts of rows with the same id apart."""
+    return F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256)
+
+
 def _described(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n (distinct shingles), mark (128 bits of the set; null without shingles)."""
+    """doc_id, sha (of the text), n (distinct shingles), mark (128 bits of the set; null without shingles)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -85,10 +90,13 @@ def _described(docs: DataFrame, size: int) -> DataFrame:
                 ]
             n = np.concatenate(counts) if counts else np.empty(0, dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n), pa.array(marks, pa.binary())], names=["doc_id", "n", "mark"]
+                [batch.column(0), batch.column(2), pa.array(n), pa.array(marks, pa.binary())],
+                names=["doc_id", "sha", "n", "mark"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, n long, mark binary")
+    return docs.select("doc_id", "text", text_sha(F.col("text")).alias("sha")).mapInArrow(
+        run, "doc_id long, sha string, n long, mark binary"
+    )
 
 
 def _least_overlap(n, percent: int):
@@ -255,6 +263,14 @@ def similar_documents(
     docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id that links reach)."""
+    return linked_rows(docs, size, percent, id_col, text_col).select("doc_id", "n_shingles", "component_id")
+
+
+def linked_rows(
+    docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``similar_documents`` with sha (see ``text_sha``) and component, which differs between
+    components that share their smallest id; null without a partner."""
     ship(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     described = stored(_described(texts, size), "sets")
@@ -287,9 +303,12 @@ def similar_documents(
     )
     smallest = of_mark.where("label is not null").groupBy("label").agg(F.min("first").alias("least"))
     of_mark = stored(
-        of_mark.join(smallest, "label", "left").select("mark", F.coalesce("least", "first").alias("component")),
+        of_mark.join(smallest, "label", "left").select(
+            "mark", F.coalesce("least", "first").alias("least"),
+            F.coalesce(F.concat(F.lit("n"), F.col("label").cast("string")), F.hex("mark")).alias("component"),
+        ),
         "components",
     )
     return described.join(of_mark, "mark", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"), "sha", "component"
     )

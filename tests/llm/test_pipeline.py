@@ -132,3 +132,20 @@ def test_nothing_else_needs_the_subpackage(monkeypatch):
 def test_what_op2_calls_toxic_goes(spark, sf_dir, steps):
     toxic = QUERIES["op2_toxicity"](spark, sf_dir).where("predicted = 1")
     assert set(ids(toxic)) and not set(ids(toxic)) & set(ids(steps[0][2]))
+
+
+def test_rows_of_one_id_are_told_apart(spark, sf_dir):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [
+        (1, a), (5, f"{a} end"), (5, "a text that no other row is like"),
+        (7, b), (7, f"{b} end"), (8, f"{b} other"), (9, "twice the same id and text"), (9, "twice the same id and text"),
+        (1, "also of the first id but on its own"), (1, "also of the first id and twice there"), (2, "also of the first id and twice there"),
+        (None, a),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = Counter(map(tuple, corpus_pipeline.near_dedup(spark, docs, sf_dir).collect()))
+    seven = {t for i, t in left if i == 7}
+    assert len(seven) == 1 and seven <= {b, f"{b} end"}
+    assert Counter({k: n for k, n in left.items() if k[0] != 7}) == Counter(
+        [rows[0], rows[2], rows[6], rows[8], rows[9], rows[11]]
+    )
