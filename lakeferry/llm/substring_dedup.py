@@ -24,9 +24,9 @@ similarity 0.8 with a chance of 0.88, of 0.9 with 0.99, and a passage has severa
    Jaccard decides, and components of the links are clusters.
 3. A cluster with two places that do not overlap is a repeat, in one document or in
    several. It stays at the smallest place (document, start) and is to go from the
-   others. Overlapping paragraphs of a
-   document that share that fate are one span. A line paragraph that is no exact copy
-   counts from the first to the last shingle that one like it has too.
+   others. Overlapping paragraphs of a document that share that fate are one span. A
+   line paragraph that is no exact copy counts from the first to the last shingle that
+   one like it has too.
 
 Defined cases: lines of fewer than ``WORDS`` words are no paragraph, and texts of
 fewer, null and empty ones have none; of windows of one document that overlap the place kept, all are kept; a
