@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from lakeferry.llm import bpe, quality, toxicity, url_filter
 from lakeferry.llm.common import table
 from lakeferry.llm.exact_dedup import exact_groups
+from lakeferry.llm.fingerprints import fingerprint_documents
 from lakeferry.llm.mixing import mix
 from lakeferry.llm.ngram_join import similar_documents
 from lakeferry.llm.sharding import shard
 from lakeferry.llm.substring_dedup import repeats
 from lakeferry.llm.topk import top_k
+from lakeferry.llm.vector_codes import compress
+from lakeferry.llm.whitening import whiten
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -109,6 +112,18 @@ def op10_sharding(spark, sf_dir):
     return shard(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op11_vector_codes(spark, sf_dir):
+    return compress(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256)[0]
+
+
+def op12_whitening(spark, sf_dir):
+    return whiten(table(spark, sf_dir, "embeddings"), components=8, scale=1024, offset=100_000)[0]
+
+
+def op13_fingerprints(spark, sf_dir):
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_toxicity": op2_toxicity,
@@ -120,6 +135,9 @@ QUERIES = {
     "op8_top_k": op8_top_k,
     "op9_url_filter": op9_url_filter,
     "op10_sharding": op10_sharding,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_whitening": op12_whitening,
+    "op13_fingerprints": op13_fingerprints,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -181,3 +199,34 @@ ORACLES["op8_top_k"] = """
         FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e))
     SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
     FROM s QUALIFY rank <= 10"""
+
+#: One part's nearest entry: squared distances to all entries, ties to the lower one.
+_NEAREST = """
+    {to} AS MATERIALIZED (SELECT vec_id, part, arg_min(entry, d * 64 + entry) AS entry, min(d) AS d
+        FROM (SELECT p.vec_id, p.part, b.entry,
+                list_sum(list_transform(list_zip(p.v, b.v), lambda x: (x[1] - x[2]) * (x[1] - x[2])))::BIGINT AS d
+            FROM parts p JOIN {books} b USING (part)) GROUP BY ALL)"""
+#: The floor of the mean of what is nearest to an entry; unused entries stay.
+_MEANS = """
+    {to} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.v, b.v) AS v FROM {books} b LEFT JOIN (
+        SELECT part, entry, list(floor_mean ORDER BY k) AS v
+        FROM (SELECT part, entry, k, (sum(x)::HUGEINT - ((sum(x)::HUGEINT % count(*)) + count(*)) % count(*)) // count(*) AS floor_mean
+            FROM (SELECT part, entry, unnest(v) AS x, unnest(range(len(v))) AS k FROM {near} JOIN parts USING (vec_id, part))
+            GROUP BY part, entry, k) GROUP BY part, entry) m USING (part, entry))"""
+
+ORACLES["op11_vector_codes"] = f"""
+    WITH whole AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    parts AS MATERIALIZED (SELECT vec_id, part, v[part * (len(v) // 16) + 1 : (part + 1) * (len(v) // 16)] AS v
+        FROM whole, (SELECT unnest(range(16)) AS part)),
+    c0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, v FROM parts
+        QUALIFY entry < 64),
+    {_NEAREST.format(to="n0", books="c0")}, {_MEANS.format(to="c1", books="c0", near="n0")},
+    {_NEAREST.format(to="n1", books="c1")}, {_MEANS.format(to="c2", books="c1", near="n1")},
+    {_NEAREST.format(to="n2", books="c2")},
+    coded AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+        FROM n2 GROUP BY vec_id),
+    digest AS (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, k)) AS codebooks_sha256
+        FROM (SELECT part, entry, unnest(v) AS x, unnest(range(len(v))) AS k FROM c2))
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+    FROM coded JOIN whole USING (vec_id), digest"""
