@@ -69,10 +69,10 @@ class PartitionSpec:
 class TableSpec:
     """Everything needed to migrate one landed table.
 
-    ``cluster`` chooses how rows reach the partitioned write: ``"none"`` keeps
-    the scan's own splits (no shuffle; right when the landed tree is already
-    grouped by partition), ``"rebalance"`` shuffles by partition value and lets
-    adaptive execution cut hot partitions into evenly sized files.
+    ``cluster`` chooses how rows reach the write: ``"none"`` keeps the scan's own
+    splits (no shuffle; right when the landed tree is already grouped by partition),
+    ``"rebalance"`` shuffles by partition value and lets adaptive execution cut hot
+    partitions into evenly sized files, ``"auto"`` does so for partitioned tables only.
 
     ``publish`` is ``"direct"`` (write into ``target_dir``) or ``"swap"``: write a
     new directory below it and point the table there once it is complete, so that
@@ -92,7 +92,7 @@ class TableSpec:
     table_format: str | None = None
     audit: AuditProfile = field(default_factory=AuditProfile)
     layout: str = "recursive"
-    cluster: str = "none"
+    cluster: str = "auto"
     strict_reference: bool = False
     active_only: bool = False
     register: bool = True
@@ -117,11 +117,17 @@ class MergeSpec:
     bucketed by the keys, so that deltas of any size are merged without shuffling
     the base. Use at least as many buckets as shuffle partitions: Spark shuffles
     a table with fewer all the same.
+
+    With ``partition_by``, base versions are partitioned by these columns instead, and
+    ``compact`` rewrites only the partitions that the deltas touch. ``keep_hours`` makes
+    it remove what no reader that began within that time can need.
     """
 
     keys: tuple[str, ...]
     watermark: str
     tiebreak: tuple[str, ...] = ()
+    partition_by: tuple[str, ...] = ()
+    keep_hours: float | None = None
     buckets: int = 0
     database: str = ""
     table: str = ""

@@ -13,28 +13,37 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from lakeferry.functions.columns import to_boolean
 from lakeferry.functions.names import quote, require_columns
+from lakeferry.operators.watermarks import Watermark, typed_watermark
 
 RANK = "_rank"
 ORIGIN = "_origin"
 HIT = "_hit"
 
 
-def incremental_filter(df: DataFrame, watermark: str, last: str | None) -> DataFrame:
+def incremental_filter(
+    df: DataFrame, watermark: str, last: str | Watermark | None, upto: Watermark | None = None
+) -> DataFrame:
     """Rows strictly after the last ingested value; all rows when there is none.
 
-    The value text is cast to the column's own type, so the predicate is pushed
-    to the scan.
+    The value is cast to the column's own type, so the predicate is pushed to the
+    scan. Text of a timestamp without a zone is in the session's zone; a ``Watermark``
+    means the same in all of them. ``upto`` is the last value still taken: a source that
+    grows meanwhile then gives the same rows however often a part of it is read.
     """
-    if last is None or last == "":
-        return df
-    bound = F.lit(last).cast(df.schema[watermark].dataType)
-    return df.where(F.col(quote(watermark)) > bound)
+    column, kind = F.col(quote(watermark)), df.schema[watermark].dataType
+    after = last is not None and last != ""
+    if after:
+        df = df.where(column > (last.bound(kind) if isinstance(last, Watermark) else F.lit(last).cast(kind)))
+    if upto is not None:
+        within = column <= upto.bound(kind)
+        # Without a last value rows that have no watermark are taken too.
+        df = df.where(within if after else within | column.isNull())
+    return df
 
 
-def high_watermark(df: DataFrame, watermark: str, last: str | None = None) -> DataFrame:
-    """The highest watermark as text; the former one when ``df`` has none."""
-    reached = F.max(quote(watermark)).cast("string")
-    return df.agg(F.coalesce(reached, F.lit(last).cast("string")).alias("high_watermark"))
+def high_watermark(df: DataFrame, watermark: str, last: str | Watermark | None = None) -> DataFrame:
+    """The highest watermark as text (``typed_watermark`` has type and zone too); the former one when ``df`` has none."""
+    return typed_watermark(df, watermark, last).select(F.col("watermark.value").alias("high_watermark"))
 
 
 def orderable(kind: T.DataType) -> bool:
@@ -170,7 +179,7 @@ def incremental_merge(
     feed: DataFrame,
     keys: Sequence[str],
     watermark: str,
-    last: str | None,
+    last: str | Watermark | None,
     tiebreak: Sequence[str] = (),
     base_unique: bool = False,
 ) -> tuple[DataFrame, DataFrame]:

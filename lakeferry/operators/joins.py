@@ -28,6 +28,17 @@ def join_null_safe(
     return left.join(right, condition, how).drop(*renamed)
 
 
+def semi_null_safe(
+    df: DataFrame, other: DataFrame, names: Sequence[str], how: str = "left_semi"
+) -> DataFrame:
+    """Rows whose columns ``names`` are, or with ``left_anti`` are not, among ``other``'s; nulls match nulls."""
+    listed = other.select(*[F.col(quote(n)).alias(f"_key_{i}") for i, n in enumerate(names)]).distinct()
+    condition = F.lit(True)
+    for i, name in enumerate(names):
+        condition = condition & df[quote(name)].eqNullSafe(listed[f"_key_{i}"])
+    return df.join(listed, condition, how)
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Upper estimate of a relation's size by Spark's statistics; runs no job."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
