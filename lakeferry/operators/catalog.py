@@ -154,7 +154,9 @@ def resolve_targets(plan: DataFrame, target: DataFrame) -> tuple[DataFrame, Data
     the first by table id is ready; the others would overwrite it.
     """
     matched = match_targets(plan, target)
-    same_path = Window.partitionBy("target_dir").orderBy("table_id", "source_id")
+    # Rows without a path share none: each is a group of its own, so that they do not meet in one task.
+    alone = F.when(F.col("target_dir").isNull(), F.col("table_id"))
+    same_path = Window.partitionBy("target_dir", alone).orderBy("table_id", "source_id")
     judged = matched.withColumn("_n", F.row_number().over(same_path)).withColumn(
         "reason",
         F.when(F.col("target_id").isNull(), "no target")
