@@ -1,12 +1,15 @@
 """Row history: superseded versions, the history view, and SCD2 intervals.
 
 Windows over a key put all its rows into one task. The history view therefore finds
-each key's latest order by a partial aggregate and joins it back, the rows being the
-streamed side, which adaptive execution splits where a key is hot; only rows that
-agree in everything are numbered, to settle copies. For SCD2 keys are counted first,
-and the timelines of those with more rows than one task should sort are cut into
-slices of which only the edges are compared across tasks. The count chooses the plan,
-never the result.
+each key's highest watermark by an aggregate that works in the map tasks already and
+joins it back, the rows being the streamed side, which adaptive execution splits where
+a key is hot; only rows at the highest watermark are looked at further, equal ones as
+one row with a count. For SCD2 keys are counted first, and the timelines of those with
+more rows than one task should sort are cut into slices of which only the edges are
+compared across tasks. The count chooses the plan, never the result.
+
+Rows without a watermark come first, at one unknown instant: of a key's rows at that
+instant only the last makes a version.
 """
 
 from __future__ import annotations
@@ -18,13 +21,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakeferry.functions.names import quote, require_columns
 from lakeferry.operators.incremental import orderable
-from lakeferry.operators.joins import join_lookup, join_null_safe
+from lakeferry.operators.joins import join_lookup, join_null_safe, semi_null_safe
 from lakeferry.session import checkpoint_root
 
 CURRENT = "is_current"
 MAX_ROWS_PER_TASK = 5_000_000
 SLICE = "_slice"
-PLACE, NEWEST = "_place", "_newest"
+PLACE, NEWEST, COPIES = "_place", "_newest", "_copies"
+COPIES_AT_ONCE = 1_000
 GONE = "_gone"
 
 
@@ -34,18 +38,43 @@ def history_view(
     watermark: str,
     tiebreak: Sequence[str] = (),
 ) -> DataFrame:
-    """All rows, the latest of every key marked by ``is_current``; copies of it but one are not."""
+    """All rows, the latest of every key marked by ``is_current``; copies of it but one are not.
+
+    The rows are shuffled once at most, for the join with their keys' highest watermark.
+    """
     require_columns(df, [*keys, watermark, *tiebreak])
     leading = [watermark, *tiebreak]
-    rest = [f.name for f in df.schema.fields if f.name not in (*leading, *keys) and orderable(f.dataType)]
+    others = [f for f in df.schema.fields if f.name not in (*leading, *keys)]
+    rest = [f.name for f in others if orderable(f.dataType)]
+    newest = df.groupBy(*[quote(k) for k in keys]).agg(F.max(quote(watermark)).alias(NEWEST))
+    found = join_null_safe(df, newest, list(keys))
+    last = F.col(quote(watermark)).eqNullSafe(F.col(NEWEST))
+    before = found.where(~last).drop(NEWEST).withColumn(CURRENT, F.lit(False))
     # Structs compare field by field, a null before any value: the greatest is the latest.
     place = F.struct(*[F.col(quote(c)).alias(f"c{i}") for i, c in enumerate([*leading, *rest])])
-    placed = df.withColumn(PLACE, place)
-    newest = placed.groupBy(*[quote(k) for k in keys]).agg(F.max(PLACE).alias(NEWEST))
-    copies = Window.partitionBy(*[quote(k) for k in keys], PLACE).orderBy(F.lit(0))
-    found = join_null_safe(placed, newest, list(keys))
-    current = F.col(PLACE).eqNullSafe(F.col(NEWEST)) & (F.row_number().over(copies) == 1)
-    return found.withColumn(CURRENT, current).drop(PLACE, NEWEST)
+    candidates = found.where(last).drop(NEWEST)
+    if len(rest) < len(others):
+        # Maps cannot be compared, so rows with them are no copies of each other and keep their identity.
+        latest = Window.partitionBy(*[quote(k) for k in keys]).orderBy(place.desc())
+        return before.unionByName(candidates.withColumn(CURRENT, F.row_number().over(latest) == 1))
+    counted = candidates.groupBy(*[quote(c) for c in df.columns]).agg(F.count(F.lit(1)).alias(COPIES))
+    counted = counted.withColumn(PLACE, place)
+    best = counted.groupBy(*[quote(k) for k in keys]).agg(F.max(PLACE).alias(NEWEST))
+    judged = join_null_safe(counted, best, list(keys)).withColumn(CURRENT, F.col(PLACE).eqNullSafe(F.col(NEWEST)))
+    judged = judged.drop(PLACE, NEWEST)
+    current = judged.where(CURRENT).drop(COPIES)
+    copies = judged.withColumns({COPIES: F.col(COPIES) - F.col(CURRENT).cast("int"), CURRENT: F.lit(False)})
+    return before.unionByName(current).unionByName(_repeated(copies.where(f"{COPIES} > 0")))
+
+
+def _repeated(df: DataFrame) -> DataFrame:
+    """Every row as often as its count says; of a large count each piece may be another task's."""
+    few, many = df.where(f"{COPIES} <= {COPIES_AT_ONCE}"), df.where(f"{COPIES} > {COPIES_AT_ONCE}")
+    start = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(COPIES) - 1, F.lit(COPIES_AT_ONCE).cast("bigint")))
+    pieces = many.withColumn(SLICE, start).withColumn(COPIES, F.least(F.col(COPIES) - F.col(SLICE), F.lit(COPIES_AT_ONCE)))
+    pieces = pieces.repartition(F.xxhash64(SLICE)).drop(SLICE)
+    times = F.explode(F.array_repeat(F.lit(0), F.col(COPIES).cast("int")))
+    return few.unionByName(pieces).withColumn(SLICE, times).drop(SLICE, COPIES)
 
 
 def archive_versions(
@@ -99,10 +128,50 @@ def archive_increment(
     are touched; an archived row never becomes current again, so appending these rows
     gives what ``archive_versions`` would give over everything.
     """
-    touched = _semi(current, delta, keys)
+    touched = semi_null_safe(current, delta, keys)
     return archive_versions(touched.unionByName(delta), keys, watermark, tiebreak)
 
 
+def scd2_late(
+    history: DataFrame,
+    archive: DataFrame,
+    current: DataFrame,
+    delta: DataFrame,
+    keys: Sequence[str],
+    watermark: str,
+    tracked: Sequence[str],
+    tiebreak: Sequence[str] = (),
+    deleted: str | None = None,
+    max_rows_per_task: int | None = MAX_ROWS_PER_TASK,
+) -> DataFrame:
+    """The history after a load that brings late rows too.
+
+    A late row cuts a stored interval in two, and what comes after it depends on rows
+    that changed nothing when they came, which a history does not hold. ``archive`` and
+    ``current`` hold all rows before the load; keys with a late row are taken anew from
+    these and the delta, all other keys are carried on by ``scd2_increment``. Equals
+    ``scd2_history`` of all rows.
+    """
+    late = scd2_increment(history, delta, keys, watermark, tracked, tiebreak, deleted, None)[1]
+    checkpoint_root(delta.sparkSession)
+    touched = late.select(*[quote(k) for k in keys]).distinct().checkpoint()
+    other_delta = semi_null_safe(delta, touched, keys, "left_anti")
+    other_history = semi_null_safe(history, touched, keys, "left_anti")
+    carried, _ = scd2_increment(
+        other_history, other_delta, keys, watermark, tracked, tiebreak, deleted, max_rows_per_task
+    )
+    needed = list(dict.fromkeys([*keys, watermark, *tiebreak, *tracked, *([deleted] if deleted else [])]))
+    known = archive.select(*[quote(c) for c in needed]).unionByName(current.select(*[quote(c) for c in needed]))
+    rows = semi_null_safe(known.unionByName(delta.select(*[quote(c) for c in needed])), touched, keys)
+    if deleted is None:
+        again = scd2_history(rows, keys, watermark, tracked, tiebreak, max_rows_per_task)
+    else:
+        gone = rows.withColumn(GONE, F.coalesce(F.col(quote(deleted)), F.lit(False)))
+        again = scd2_history(gone, keys, watermark, [*tracked, GONE], tiebreak, max_rows_per_task)
+        again = again.where(f"not {GONE}").drop(GONE)
+    return carried.unionByName(again.select(*history.columns))
+
+
 def scd2_increment(
     history: DataFrame,
     delta: DataFrame,
@@ -131,7 +200,7 @@ def scd2_increment(
     gone = F.coalesce(F.col(quote(deleted)), F.lit(False)) if deleted else F.lit(False)
     needed = list(dict.fromkeys([*keys, watermark, *tiebreak, *tracked]))
     rows = fresh.select(*[quote(c) for c in needed], gone.alias(GONE))
-    touched = _semi(open_, rows, keys)
+    touched = semi_null_safe(open_, rows, keys)
     before = touched.select(
         *[quote(k) for k in keys], F.col("valid_from").alias(watermark),
         *[quote(c) for c in tracked], F.lit(False).alias(GONE),
@@ -143,20 +212,10 @@ def scd2_increment(
         before.unionByName(rows), keys, watermark, [*tracked, GONE], tiebreak, max_rows_per_task
     )
     versions = versions.where(f"not {GONE}").drop(GONE).select(*history.columns)
-    kept = history.where(f"not {CURRENT}").unionByName(_semi(open_, rows, keys, "left_anti"))
+    kept = history.where(f"not {CURRENT}").unionByName(semi_null_safe(open_, rows, keys, "left_anti"))
     return kept.unionByName(versions), placed.where(late).drop("_start", "_end")
 
 
-def _semi(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "left_semi") -> DataFrame:
-    """Rows whose key is, or is not, among ``other``'s; nulls match nulls."""
-    names = [f"_key_{i}" for i in range(len(keys))]
-    listed = other.select(*[F.col(quote(k)).alias(n) for k, n in zip(keys, names)]).distinct()
-    condition = F.lit(True)
-    for key, name in zip(keys, names):
-        condition = condition & df[quote(key)].eqNullSafe(listed[name])
-    return df.join(listed, condition, how)
-
-
 def _split_by_load(
     df: DataFrame, keys: Sequence[str], spread_by: Sequence[str], max_rows: int | None
 ) -> tuple[DataFrame, DataFrame | None, int]:
@@ -211,10 +270,12 @@ def _packed(names: Sequence[str]) -> Column:
 def _result(
     df: DataFrame, keys: Sequence[str], watermark: str, tracked: Sequence[str], after: Column
 ) -> DataFrame:
-    return df.select(
+    start, end = F.col(quote(watermark)), after[watermark]
+    # Rows without a watermark share one instant, and the last of them stands for it.
+    return df.where(after.isNull() | start.isNotNull() | end.isNotNull()).select(
         *[quote(c) for c in (*keys, *tracked)],
-        F.col(quote(watermark)).alias("valid_from"),
-        after[watermark].alias("valid_to"),
+        start.alias("valid_from"),
+        end.alias("valid_to"),
         after.isNull().alias(CURRENT),
     )
 
