@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 TEXT_MAP = "map<string,string>"
@@ -17,16 +19,29 @@ def non_empty(value: Column) -> Column:
     return F.nullif(value, F.lit(""))
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value that is computed once; inside a lambda it would be once per element."""
+    return F.transform(F.array(value), body)[0]
+
+
 def map_last_wins(entries: Column) -> Column:
-    """Fold ``array<struct<key,value>>`` into a map; a repeated key keeps its last value."""
-    return F.reduce(
-        F.coalesce(entries, F.array().cast("array<struct<key:string,value:string>>")),
-        F.create_map().cast(TEXT_MAP),
-        lambda acc, e: F.map_concat(
-            F.map_filter(acc, lambda k, _: k != e["key"]),
-            F.create_map(e["key"], e["value"]),
-        ).cast(TEXT_MAP),
+    """A map of ``array<struct<key,value>>``; a repeated key keeps its last value, at its last place.
+
+    Entries are sorted by key and place, so that an entry counts if another key follows.
+    """
+    listed = F.coalesce(entries, F.array().cast("array<struct<key:string,value:string>>"))
+    placed = F.transform(
+        listed, lambda e, i: F.struct(e["key"].alias("key"), i.alias("place"), e["value"].alias("value"))
+    )
+    last = bound(
+        F.array_sort(placed),
+        lambda s: F.filter(s, lambda e, i: ~F.coalesce(F.get(s, i + 1)["key"] == e["key"], F.lit(False))),
+    )
+    ordered = F.array_sort(
+        F.transform(last, lambda e: F.struct(e["place"].alias("place"), e["key"].alias("key"), e["value"].alias("value")))
     )
+    pairs = F.transform(ordered, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
+    return F.map_from_entries(pairs).cast(TEXT_MAP)
 
 
 def rename_map(columns: Column) -> Column:
@@ -43,17 +58,29 @@ def compose_renames(onprem: Column, target: Column) -> Column:
     """Re-key the target renames by the name each column carries in the landed data.
 
     A key renamed on-prem is looked up there; a column renamed on-prem only has
-    no entry and so keeps its on-prem name.
+    no entry and so keeps its on-prem name. Both maps are sorted into one list by key,
+    where a target entry's on-prem one, if there is any, comes just before it.
     """
-    return map_last_wins(
-        F.transform(
-            F.map_entries(target),
-            lambda e: F.struct(
-                F.coalesce(F.try_element_at(onprem, e["key"]), e["key"]).alias("key"),
-                e["value"].alias("value"),
+
+    def tagged(entries: Column, tag: int) -> Column:
+        return F.transform(
+            F.coalesce(F.map_entries(entries), F.array().cast("array<struct<key:string,value:string>>")),
+            lambda e, i: F.struct(
+                e["key"].alias("key"), F.lit(tag).alias("tag"), i.alias("place"), e["value"].alias("value")
             ),
         )
-    )
+
+    def landed(s: Column) -> Column:
+        def renamed(e: Column, i: Column) -> Column:
+            former = F.get(s, i - 1)
+            known = (former["key"] == e["key"]) & (former["tag"] == 0)
+            key = F.when(known, F.coalesce(former["value"], e["key"])).otherwise(e["key"])
+            return F.struct(e["tag"].alias("tag"), e["place"].alias("place"), key.alias("key"), e["value"].alias("value"))
+
+        return F.array_sort(F.filter(F.transform(s, renamed), lambda e: e["tag"] == 1))
+
+    rekeyed = bound(F.array_sort(F.concat(tagged(onprem, 0), tagged(target, 1))), landed)
+    return map_last_wins(F.transform(rekeyed, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"))))
 
 
 def is_extracted(key: Column) -> Column:

@@ -7,14 +7,17 @@ bad table never ends the conversion of the others.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
 from lakeferry.functions.columns import PARTITION_KEYS, is_extracted, is_regex, non_empty
 from lakeferry.functions.dates import derive_format, spaced
+from lakeferry.functions.names import quote
 from lakeferry.model import FULL_LOAD, INCREMENTAL_SYNC_TYPES, REQUIRED_SOURCE_FIELDS
 from lakeferry.operators.catalog import overlay
+from lakeferry.operators.joins import join_lookup
 
 # Defaults of a target table and of a target table group.
 TABLE_DEFAULTS: Mapping[str, object] = {
@@ -40,6 +43,31 @@ SPLIT_KEY_STRUCT = (
     "is_derived_split:boolean,split_column:string>"
 )
 
+#: A converted table, flat (``convert_tables``).
+TABLE_CONFIGURATION = (
+    "target_table_name string, target_schema_name string, read_supported_engines array<string>, "
+    "write_supported_engines array<string>, sync_type string, is_scd2_table boolean, is_archive_enabled boolean, "
+    "generate_history_view boolean, storage_format string, natural_keys array<string>, update_strategy string, "
+    "watermark_column string, use_capture_table boolean, fetch_mechanism string, enable_pk_chunk boolean, "
+    "use_jdbc boolean, exclude_legacy_audit_columns boolean, "
+    f"partition_keys array<{PARTITION_KEY_STRUCT}>, split_by_key {SPLIT_KEY_STRUCT}"
+)
+_OID = "struct<`$type`:string,`$value`:string>"
+
+
+def document_schema(connection: Sequence[str]) -> str:
+    """The schema of a document whose source has these connection fields."""
+    inner = StructType.fromDDL(TABLE_CONFIGURATION).simpleString()
+    fields = ",".join(f"{c}:string" for c in connection)
+    return (
+        f"source struct<hive_schema:string,sourceType:string,sourceSubtype:string,connection:struct<{fields}>>, "
+        f"tables array<struct<entity_type:string,entity_id:{_OID},configuration:struct<`table`:string,configuration:{inner}>>>, "
+        f"table_groups array<struct<entity_type:string,entity_id:{_OID},configuration:struct<name:string,"
+        "max_connections:int,max_parallel_entities:int,cluster_template:struct<cluster_id:string>,"
+        f"tables:array<struct<table_id:{_OID},connection_quota:int>>,source:{_OID},job_name:string,"
+        "is_table_group_job:boolean>>>"
+    )
+
 
 def ingestion(name: str) -> Column:
     return F.col("ingestion_configuration")[name]
@@ -204,10 +232,35 @@ def convert_tables(
     return configs, rejected
 
 
+def bind_clusters(groups: DataFrame, templates: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Groups with the ``cluster_id`` of the template they name, and those that name none there is.
+
+    ``groups`` have ``cluster_name``, ``templates`` have ``cluster_name`` and
+    ``cluster_id``; of templates that share a name the first by id is taken. A name that
+    most groups use is no hot key (``join_lookup``).
+    """
+    first = templates.where(F.col("cluster_name").isNotNull()).groupBy("cluster_name").agg(
+        F.min("cluster_id").alias("cluster_id")
+    )
+    found = join_lookup(groups, first, {"cluster_name": "cluster_name"}, ["group_id"], "left")
+    missing = F.concat(F.lit("unknown cluster template: "), F.coalesce("cluster_name", F.lit("none")))
+    return (
+        found.where(F.col("cluster_id").isNotNull()),
+        found.where(F.col("cluster_id").isNull()).select("group_id", "name", missing.alias("reason")),
+    )
+
+
 def convert_groups(
-    groups: DataFrame, cluster_id: str, defaults: Mapping[str, object] = GROUP_DEFAULTS
+    groups: DataFrame,
+    cluster_id: str | Column,
+    defaults: Mapping[str, object] = GROUP_DEFAULTS,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
-    """Target table groups, bound to a cluster template."""
+    """Target table groups, bound to a cluster template: one for all, or a column (``bind_clusters``).
+
+    ``carried`` names further columns to keep.
+    """
+    cluster_id = cluster_id if isinstance(cluster_id, Column) else F.lit(cluster_id)
     name = overlay(F.col("name"), defaults["name"])
     return groups.select(
         F.lit("table_group").alias("entity_type"),
@@ -219,10 +272,107 @@ def convert_groups(
         ],
         "tables",
         "source",
-        F.lit(cluster_id).alias("cluster_id"),
+        cluster_id.alias("cluster_id"),
         F.when(is_sfdc(), name).alias("job_name"),
         F.when(is_sfdc(), F.lit(True)).alias("is_table_group_job"),
+        *[quote(c) for c in carried],
+    )
+
+
+# --- documents ------------------------------------------------------------------
+
+#: Tables, or table groups, of one document. A source may own millions.
+PIECE = 1_000
+#: Rows of a source that are numbered in one task, in pieces.
+PIECES_PER_TASK = 100
+
+
+def typed(column: str) -> Column:
+    """An id as the documents write it."""
+    return F.struct(F.lit("oid").alias("$type"), F.col(column).cast("string").alias("$value"))
+
+
+def _table_entry() -> Column:
+    """A converted table in the nested form of a document."""
+    outer = ("entity_type", "table_id", "table")
+    inner = [f.name for f in StructType.fromDDL(TABLE_CONFIGURATION).fields]
+    return F.struct(
+        F.col("entity_type").alias("entity_type"),
+        typed("table_id").alias("entity_id"),
+        F.struct(
+            F.col("table").alias("table"),
+            F.struct(*[F.col(quote(c)) for c in inner if c not in outer]).alias("configuration"),
+        ).alias("configuration"),
+    )
+
+
+def _group_entry() -> Column:
+    """A converted table group in the nested form of a document."""
+    return F.struct(
+        F.col("entity_type").alias("entity_type"),
+        typed("group_id").alias("entity_id"),
+        F.struct(
+            *[F.col(c) for c in ("name", "max_connections", "max_parallel_entities")],
+            F.struct(F.col("cluster_id").alias("cluster_id")).alias("cluster_template"),
+            F.transform(
+                "tables",
+                lambda t: F.struct(
+                    F.struct(F.lit("oid").alias("$type"), t["table_id"].alias("$value")).alias("table_id"),
+                    t["connection_quota"].alias("connection_quota"),
+                ),
+            ).alias("tables"),
+            typed("source").alias("source"),
+            F.col("job_name"),
+            F.col("is_table_group_job"),
+        ).alias("configuration"),
+    )
+
+
+def _pieces(rows: DataFrame, source: str, entry: Column, id_col: str, name: str, size: int) -> DataFrame:
+    """(source, piece, ``name``: at most ``size`` entries in order of id).
+
+    Sources are counted first. One with more rows than a task should number is dealt
+    over several by its ids, each of which makes pieces of its own.
+    """
+    counts = rows.groupBy(source).agg(F.ceil(F.count(F.lit(1)) / (size * PIECES_PER_TASK)).alias("_parts"))
+    dealt = join_lookup(rows, counts, {source: source}, [id_col], null_safe=True)
+    part = F.pmod(F.xxhash64(id_col), "_parts")
+    number = F.row_number().over(Window.partitionBy(source, "_part").orderBy(id_col)) - 1
+    placed = dealt.withColumn("_part", part).withColumn("_at", F.floor(number / size))
+    entries = placed.select(
+        source, F.struct("_part", "_at").alias("piece"), F.struct(F.col(id_col).alias("id"), entry.alias("entry")).alias("e")
+    )
+    listed = F.transform(F.array_sort(F.collect_list("e")), lambda e: e["entry"])
+    return entries.groupBy(source, "piece").agg(listed.alias(name))
+
+
+def config_documents(sources: DataFrame, tables: DataFrame, groups: DataFrame, size: int = PIECE) -> DataFrame:
+    """Target configurations as documents: ``source``, ``tables``, ``table_groups``.
+
+    ``sources`` are complete ones (``convert_sources``), ``tables`` and ``groups``
+    converted ones; the last carry the ``hive_schema`` of their source. A document holds
+    at most ``size`` tables or groups, so that none grows with its source; a source
+    without any has one that is empty. Entries of sources that are not complete stay out.
+    """
+    connection = [f.name for f in sources.schema.fields if f.name not in ("hive_schema", "source_type", "sourceType", "sourceSubtype")]
+    source = F.struct(
+        "hive_schema", "sourceType", "sourceSubtype", F.struct(*[F.col(quote(c)) for c in connection]).alias("connection")
+    )
+    described = sources.select(F.col("hive_schema").alias("_schema"), source.alias("source"))
+    table_pieces = _pieces(
+        tables.withColumnRenamed("target_schema_name", "_schema").withColumn("target_schema_name", F.col("_schema")),
+        "_schema", _table_entry(), "table_id", "tables", size,
+    )
+    group_pieces = _pieces(
+        groups.withColumnRenamed("hive_schema", "_schema"), "_schema", _group_entry(), "group_id", "table_groups", size
     )
+    empty = described.select("_schema", F.lit(None).alias("piece"))
+    listed = table_pieces.drop("piece").unionByName(group_pieces.drop("piece"), allowMissingColumns=True)
+    alone = join_lookup(empty, listed.select("_schema").distinct(), {"_schema": "_schema"}, ["_schema"], "left_anti")
+    every = listed.unionByName(alone.select("_schema"), allowMissingColumns=True)
+    joined = join_lookup(every, described, {"_schema": "_schema"}, ["tables", "table_groups"])
+    nothing = lambda c: F.coalesce(c, F.array().cast(listed.schema[c].dataType)).alias(c)
+    return joined.select("source", nothing("tables"), nothing("table_groups"))
 
 
 def convert_sources(sources: DataFrame) -> tuple[DataFrame, DataFrame]:

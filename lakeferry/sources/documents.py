@@ -6,6 +6,8 @@ is spent on inference.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lakeferry.functions.documents import millis_date, typed_id
@@ -20,6 +22,7 @@ from lakeferry.model import (
     SOURCE_DUMP_COLUMNS,
     TABLE_DOCUMENT,
 )
+from lakeferry.operators.config import document_schema
 
 # One separator per file kind, for its writer and its reader alike.
 PLAN_SEPARATOR = "|"
@@ -91,6 +94,7 @@ def envelope_groups(envelopes: DataFrame) -> DataFrame:
     """One row per table group of every envelope."""
     group = F.col("g.configuration")
     return envelopes.select("source", F.explode("table_groups").alias("g")).select(
+        F.col("source.hive_schema").alias("hive_schema"),
         typed_id(F.col("g.entity_id")).alias("group_id"),
         source_kind().alias("source_type"),
         group["name"].alias("name"),
@@ -115,6 +119,16 @@ def envelope_exports(envelopes: DataFrame) -> DataFrame:
     )
 
 
+def write_documents(documents: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Converted configurations, one document a line; fields without a value are left out."""
+    documents.write.mode(mode).json(path)
+
+
+def read_documents(spark: SparkSession, path: str, connection: Sequence[str]) -> DataFrame:
+    """Converted configurations whose sources have these connection fields."""
+    return spark.read.schema(document_schema(connection)).json(path)
+
+
 def read_plan(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PLAN).options(sep=PLAN_SEPARATOR, **QUOTING).csv(path)
 
