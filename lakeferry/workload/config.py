@@ -5,13 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeferry.operators.catalog import grant_sources, update_where
-from lakeferry.operators.config import convert_groups, convert_sources, convert_tables
+from lakeferry.functions.documents import typed_id
+from lakeferry.operators.config import (
+    bind_clusters,
+    config_documents,
+    convert_groups,
+    convert_sources,
+    convert_tables,
+)
 from lakeferry.operators.state import FAILED, STATE, SUCCEEDED, apply_state
-from lakeferry.sources.documents import envelope_groups, envelope_sources, envelope_tables
+from lakeferry.session import fresh_dir
+from lakeferry.sources.documents import (
+    envelope_groups,
+    envelope_sources,
+    envelope_tables,
+    read_documents,
+    write_documents,
+)
 from lakeferry.workload import fixtures as fx
 from lakeferry.workload.plan import SOURCE, SUBTYPE, SYNC
 
 CLUSTER = "cluster-1"
+DOCUMENT_TABLES = 50
 
 
 def converted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -68,6 +83,53 @@ def config_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def clustered_groups(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Groups whose source names a cluster template; two templates share a name, and one name is unknown."""
+    named = envelope_groups(fx.envelopes(spark, sf_dir)).withColumn(
+        "cluster_name", F.expr("nullif(concat('cluster_', cast(source as bigint) % 6), 'cluster_5')")
+    )
+    templates = fx.table(spark, sf_dir, "nation").where("n_nationkey % 5 <> 4").select(
+        F.concat(F.lit("cluster_"), F.col("n_nationkey") % 5).alias("cluster_name"),
+        F.concat(F.lit("c"), F.lpad(F.col("n_nationkey").cast("string"), 3, "0")).alias("cluster_id"),
+    )
+    return bind_clusters(named, templates)
+
+
+def config_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound, missed = clustered_groups(spark, sf_dir)
+    groups = convert_groups(bound, F.col("cluster_id")).select("group_id", "name", "cluster_id", F.lit("").alias("reason"))
+    return groups.unionByName(missed, allowMissingColumns=True)
+
+
+def config_documents_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All converted configurations as documents, written and read back; one row per table, group or empty source."""
+    envelopes = fx.envelopes(spark, sf_dir)
+    sources, _ = convert_sources(envelope_sources(envelopes))
+    configs, _ = converted(spark, sf_dir)
+    bound, _ = clustered_groups(spark, sf_dir)
+    groups = convert_groups(bound, F.col("cluster_id"), carried=["hive_schema"])
+    documents = config_documents(sources, configs, groups, DOCUMENT_TABLES)
+    path = fresh_dir(spark, "config-documents")
+    write_documents(documents, path)
+    connection = [f.name for f in documents.schema["source"].dataType["connection"].dataType.fields]
+    read = read_documents(spark, path, connection)
+    schema = F.col("source.hive_schema").alias("hive_schema")
+    held = (F.size("tables") + F.size("table_groups") <= DOCUMENT_TABLES).alias("within")
+    entry = F.col("e.configuration")
+    tables = read.select(schema, held, F.explode("tables").alias("e")).select(
+        "hive_schema", "within", F.lit("table").alias("kind"), typed_id(F.col("e.entity_id")).alias("id"),
+        entry["table"].alias("name"), entry["configuration"]["sync_type"].alias("detail"),
+        entry["configuration"]["split_by_key"]["split_column"].alias("more"),
+    )
+    listed = read.select(schema, held, F.explode("table_groups").alias("e")).select(
+        "hive_schema", "within", F.lit("group").alias("kind"), typed_id(F.col("e.entity_id")).alias("id"),
+        entry["name"].alias("name"), entry["cluster_template"]["cluster_id"].alias("detail"),
+        typed_id(entry["tables"][0]["table_id"]).alias("more"),
+    )
+    empty = read.where("size(tables) = 0 and size(table_groups) = 0").select(schema, held, F.lit("empty").alias("kind"))
+    return tables.unionByName(listed).unionByName(empty, allowMissingColumns=True)
+
+
 def updated(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = fx.table_documents(spark, sf_dir).select("table_id", "source", "state", "hdfs_path")
     moved = {"state": "ready", "hdfs_path": F.concat(F.lit("/moved/"), F.col("table_id"))}
@@ -80,7 +142,7 @@ def granted(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").cast("string").alias("source_id"),
     )
     number = F.col("source_id").cast("bigint")
-    return grant_sources(rows.where(number % 2 == 0), rows.where(number % 3 == 0))
+    return grant_sources(rows.where(number % 2 == 0), rows.where((number % 2 == 1) | (number % 3 == 0)))
 
 
 def state_update(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,6 +174,8 @@ QUERIES = {
     "config_rejected": config_rejected,
     "config_groups": config_groups,
     "config_sources": config_sources,
+    "config_clusters": config_clusters,
+    "config_documents": config_documents_read,
     "update_where": updated,
     "grant_sources": granted,
     "state_update": state_update,
@@ -131,6 +195,10 @@ _WATERMARK = f"""
 CASE WHEN {_SFDC} THEN 'SystemModstamp' WHEN p_size % 4 = 2 THEN 'batch_id'
      WHEN p_size % 4 = 1 THEN 'upd_ts' END"""
 
+# Templates 0 to 3 exist; 4 and, as no name, 5 do not.
+_CLUSTERED = "s_suppkey % 6 < 4"
+_COMPLETE = "s_suppkey % 10 <> 9 AND NOT (s_suppkey % 20 = 14 OR s_suppkey % 6 = 0)"
+
 ORACLES = {
     "config_tables": f"""
 SELECT 'table' AS entity_type, 't' || p_partkey AS table_id, 'tbl_' || p_partkey AS "table",
@@ -168,7 +236,27 @@ SELECT 't' || p_partkey AS table_id, {_SYNC_TYPE} AS sync_type, {_WATERMARK} AS
 FROM ({_TABLES}) WHERE reason IS NULL""",
     "config_rejected": f"""
 SELECT 't' || p_partkey AS table_id, 'tbl_' || p_partkey AS "table", reason
-FROM ({_TABLES}) WHERE reason IS NOT NULL""",
+FROM ({_TABLES}) WHERE reason IS NOT NULL
+UNION ALL
+SELECT 't' || p_partkey, 'tbl_' || p_partkey, 'unsupported source type: none'
+FROM part WHERE {SOURCE} NOT IN (SELECT cast(s_suppkey AS varchar) FROM supplier)""",
+    "config_clusters": f"""
+SELECT 'g' || s_suppkey AS group_id, 'group_' || s_suppkey AS name,
+       if({_CLUSTERED}, 'c' || lpad(cast(s_suppkey % 6 AS varchar), 3, '0'), NULL) AS cluster_id,
+       if({_CLUSTERED}, '', 'unknown cluster template: ' || if(s_suppkey % 6 = 5, 'none', 'cluster_' || s_suppkey % 6)) AS reason
+FROM supplier""",
+    "config_documents": f"""
+WITH complete AS (SELECT * FROM supplier WHERE {_COMPLETE}),
+tables AS (SELECT 'supp_' || s_suppkey AS hive_schema, true AS within, 'table' AS kind, 't' || p_partkey AS id,
+       'tbl_' || p_partkey AS name, {_SYNC_TYPE} AS detail,
+       CASE WHEN {_DERIVED} THEN 'c1_ym' WHEN p_partkey % 4 = 1 THEN 'c1' END AS more
+    FROM ({_TABLES}) WHERE reason IS NULL AND {_COMPLETE}),
+groups AS (SELECT 'supp_' || s_suppkey, true, 'group', 'g' || s_suppkey, 'group_' || s_suppkey,
+       'c' || lpad(cast(s_suppkey % 6 AS varchar), 3, '0'), 't' || (s_suppkey * 16)
+    FROM complete WHERE {_CLUSTERED})
+SELECT * FROM tables UNION ALL SELECT * FROM groups
+UNION ALL SELECT 'supp_' || s_suppkey, true, 'empty', NULL, NULL, NULL, NULL FROM complete
+WHERE NOT {_CLUSTERED} AND 'supp_' || s_suppkey NOT IN (SELECT hive_schema FROM tables)""",
     "config_groups": f"""
 SELECT 'table_group' AS entity_type, 'g' || s_suppkey AS group_id, 'group_' || s_suppkey AS name,
        cast(s_suppkey + 1 AS integer) AS max_connections,
@@ -184,7 +272,10 @@ SELECT 'supp_' || s_suppkey AS hive_schema,
        CASE WHEN s_suppkey % 10 = 9 THEN 'supported source type'
             ELSE concat_ws(',', if(s_suppkey % 20 = 14, 'api_version', NULL),
                            if(s_suppkey % 6 = 0, 'username', NULL)) END AS missing
-FROM supplier""",
+FROM supplier
+UNION ALL
+SELECT DISTINCT NULL, NULL, 'supported source type'
+FROM part WHERE """ + SOURCE + """ NOT IN (SELECT cast(s_suppkey AS varchar) FROM supplier)""",
     "update_where": f"""
 SELECT 't' || p_partkey AS table_id, {SOURCE} AS source,
        if({SOURCE} = '0' OR p_partkey % 5 <> 0, 'ready', 'new') AS state,
@@ -192,7 +283,7 @@ SELECT 't' || p_partkey AS table_id, {SOURCE} AS source,
 FROM part""",
     "grant_sources": """
 SELECT DISTINCT cast(c_nationkey AS varchar) AS template_id, cast(c_custkey AS varchar) AS source_id
-FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0""",
+FROM customer""",
     "state_update": """
 SELECT 't' || p_partkey AS table_id, ok AS full_load_performed,
        if(ok, 'ready', 'migrating') AS state,

@@ -246,7 +246,8 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
             " ingestion_configuration)) as t",
         )
         pieces = tables.groupBy("source", "span").agg(F.collect_list("t").alias("tables"))
-        listed = pieces.join(sources, pieces["source"] == sources["src_id"]).select(
+        # Tables whose source is not known are exported without one.
+        listed = pieces.join(sources, pieces["source"] == sources["src_id"], "left").select(
             F.col("source_struct").alias("source"),
             "tables",
             F.expr("filter(groups, g -> false)").alias("table_groups"),
@@ -327,3 +328,62 @@ def skewed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_versions(spark, sf_dir).withColumn(
         "user_id", F.expr("if(event_id % 3 = 0, -1, user_id)")
     )
+
+
+def unmarked_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event history with some rows of every user that have no time."""
+    return event_versions(spark, sf_dir).withColumn("ts", F.expr("if(event_id % 11 = 0, null, ts)"))
+
+
+def repeated_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event history in which a third of all rows are one and the same, the latest of its user."""
+    events = event_versions(spark, sf_dir)
+    last = events.orderBy(F.desc("ts"), F.desc("event_id")).first()
+    same = {f.name: F.when(F.expr("event_id % 3 = 0"), F.lit(last[f.name]).cast(f.dataType)).otherwise(F.col(f.name)) for f in events.schema}
+    return events.select(*[column.alias(name) for name, column in same.items()])
+
+
+# --- H: customers of each region as landed tables, with their documents ---------
+
+
+def customers_of_regions(spark: SparkSession, sf_dir: str) -> str:
+    """A landed tree per region, ``<n>/merged/parquet``; nations stay inside the files."""
+
+    def write(path: str) -> None:
+        customers = table(spark, sf_dir, "customer").join(
+            table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+        )
+        landed = audited(
+            customers.select("c_custkey", "c_name", "n_name", "n_regionkey"),
+            {"is_deleted": "'0'", "target_start_timestamp": "timestamp_ntz'2020-01-01 00:00:00'", "row_id": "'r'"},
+        )
+        for region in table(spark, sf_dir, "region").select("r_regionkey").collect():
+            rows = landed.where(F.col("n_regionkey") == region[0]).drop("n_regionkey")
+            levels = {"p1": F.col("n_name"), **{k: F.lit(0) for k in ("k1", "k2", "k3")}}
+            rows.withColumns(levels).write.partitionBy(*levels).parquet(f"{path}/{region[0]}/merged/parquet")
+
+    return once(spark, sf_dir, "landed-regions", write)
+
+
+def region_documents(spark: SparkSession, sf_dir: str, lake: str) -> tuple[DataFrame, DataFrame]:
+    """(documents of the landed region tables, documents of their targets below ``lake``)."""
+    landed = customers_of_regions(spark, sf_dir)
+    key = _partition_key("n_name")
+    document = table(spark, sf_dir, "region").selectExpr(
+        "concat('r', r_regionkey) as table_id", "'0' as source", "concat('customers_', r_regionkey) as `table`",
+        "'supp_0' as hive_schema", "'ready' as state", f"concat('{landed}/', r_regionkey) as hdfs_path",
+        "cast(r_regionkey as string) as last_ingested_cdc_value", "'2020-01-01 00:00:00' as last_merged_timestamp",
+        "array(named_struct('origName', 'c_name', 'name', 'customer')) as columns",
+        "named_struct('sync_type', 'cdc-batch-id', 'storage_format', 'parquet',"
+        f" 'partition_key', array({key})) as ingestion_configuration",
+    )
+    path = once(spark, sf_dir, f"region-documents-{lake.rsplit('/', 1)[-1]}", lambda p: document.write.json(p))
+    onprem = read_tables(spark, path)
+    target = onprem.withColumns(
+        {
+            "table_id": F.concat(F.lit("n"), "table_id"),
+            "hdfs_path": F.concat(F.lit(f"{lake}/"), F.substring("table_id", 2, 20)),
+            "columns": F.expr("array(named_struct('origName', 'c_custkey', 'name', 'customer_id'))"),
+        }
+    )
+    return onprem, target

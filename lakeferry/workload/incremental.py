@@ -14,11 +14,13 @@ from lakeferry.operators.history import (
     history_view,
     scd2_history,
     scd2_increment,
+    scd2_late,
 )
 from lakeferry.operators.reconcile import reconcile, row_differences
-from lakeferry.plans.load import compact, load_increment, publish_base, read_merged
+from lakeferry.operators.watermarks import reached
+from lakeferry.plans.load import clean, compact, load_increment, publish_base, read_merged
 from lakeferry.session import fresh_dir
-from lakeferry.sources.jdbc import PeriodSplit, period_predicates
+from lakeferry.sources.jdbc import PeriodSplit, bound_predicates, period_predicates, quantile_bounds
 from lakeferry.streaming.merge import stream_merge
 from lakeferry.workload import fixtures as fx
 
@@ -110,8 +112,9 @@ def view_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Events up to the middle of their time, and those after it."""
     rows = fx.event_versions(spark, sf_dir)
-    middle = rows.select(F.expr("percentile(unix_micros(cast(ts as timestamp)), 0.5)")).first()[0]
-    early = F.unix_micros(F.col("ts").cast("timestamp")) <= F.lit(int(middle))
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = rows.agg(F.min(micros), F.max(micros)).first()
+    early = micros <= F.lit((first + last) // 2)
     return rows.where(early), rows.where(~early)
 
 
@@ -122,6 +125,26 @@ def scd2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2_increment(before, late, VERSION_KEY, "ts", ["event_type"], ["event_id"])[0]
 
 
+def scd2_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh event of the first half comes with the second half: the history is that of all rows."""
+    early, late = _halves(spark, sf_dir)
+    held, delta = early.where("event_id % 7 <> 0"), late.unionByName(early.where("event_id % 7 = 0"))
+    before = scd2_history(held, VERSION_KEY, "ts", ["event_type"], ["event_id"])
+    archived = archive_versions(held, VERSION_KEY, "ts", ["event_id"])
+    current = inc.latest_per_key(held, VERSION_KEY, "ts", ["event_id"])
+    return scd2_late(before, archived, current, delta, VERSION_KEY, "ts", ["event_type"], ["event_id"])
+
+
+def scd2_unmarked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fx.unmarked_versions(spark, sf_dir)
+    return scd2_history(rows, VERSION_KEY, "ts", ["event_type"], ["event_id"])
+
+
+def view_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of all rows are equal, and the latest of their user: one of them is current."""
+    return history_view(fx.repeated_versions(spark, sf_dir), VERSION_KEY, "ts", ["event_id"])
+
+
 def archive_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first half's archive and what the second half adds to it."""
     early, late = _halves(spark, sf_dir)
@@ -144,6 +167,56 @@ def differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_differences(fx.order_base(spark, sf_dir), merge_upsert(True)(spark, sf_dir))
 
 
+def watermark_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The typed watermark of a zoned column and the rows after it, under sessions of two zones."""
+    zone, found = "spark.sql.session.timeZone", []
+    before = spark.conf.get(zone)
+    stored = fresh_dir(spark, "zones")
+    feed = fx.order_feed(spark, sf_dir)
+    try:
+        spark.conf.set(zone, "UTC")
+        feed.withColumn(STAMP, F.col(STAMP).cast("timestamp")).write.parquet(stored)
+        rows = spark.read.parquet(stored)
+        last = reached(rows.where("o_orderkey % 2 = 0"), STAMP)
+        for session in ("America/New_York", "Asia/Tokyo"):
+            spark.conf.set(zone, session)
+            mark = reached(rows, STAMP)
+            late = inc.incremental_filter(rows, STAMP, last).count()
+            upto = inc.incremental_filter(rows, STAMP, None, last).count()
+            found.append((session, mark.type, mark.value, mark.zone, late, upto))
+    finally:
+        spark.conf.set(zone, before)
+    return spark.createDataFrame(found, "session string, type string, value string, zone string, late long, upto long")
+
+
+SKEWED_PARTS = 16
+
+
+def split_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a skewed key by equal-height ranges: each row in one range, no range above twice the mean."""
+    skewed = fx.table(spark, sf_dir, "orders").withColumn("k", F.expr("cast(pow(o_totalprice / 1000, 3) as bigint)"))
+    predicates = bound_predicates(quantile_bounds(skewed, "k", SKEWED_PARTS))
+    met = [F.when(F.expr(p), F.lit(i)) for i, p in enumerate(predicates)]
+    rows = skewed.groupBy(F.array_compact(F.array(*met)).alias("met")).agg(F.count(F.lit(1)).alias("n"))
+    return rows.agg(
+        F.count(F.lit(1)).alias("ranges"), F.sum("n").alias("orders"), F.max(F.size("met")).alias("ranges_of_a_row"),
+        (F.max("n") <= 2 * F.avg("n")).alias("even"),
+    )
+
+
+def compact_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A base partitioned by month, loaded and compacted twice; former versions are removed at the end."""
+    target, month = fresh_dir(spark, "by-month"), F.date_format(STAMP, "yyyyMM")
+    spec = replace(fx.ORDER_MERGE, partition_by=("o_month",))
+    publish_base(fx.order_base(spark, sf_dir).withColumn("o_month", month), target, spec, watermark=LAST_TIME)
+    feed = fx.order_feed(spark, sf_dir).withColumn("o_month", month)
+    for rows in (feed.where(f"{STAMP} < timestamp_ntz'1998-04-01'"), feed):
+        load_increment(spark, rows, target, spec)
+        compact(spark, target, spec)
+    clean(spark, target, spec, keep_seconds=0)
+    return read_merged(spark, target, spec)
+
+
 SPLIT = PeriodSplit("o_orderdate", "yyyyMM", dt.date(1996, 2, 1), dt.date(2000, 12, 31))
 
 
@@ -255,6 +328,12 @@ QUERIES = {
     "stream_after_compact": restarted(True),
     "load_zoned_watermark": load_zoned_watermark,
     "load_base_with_versions": load_base_with_versions,
+    "compact_partitioned": compact_partitioned,
+    "scd2_late": scd2_late_rows,
+    "scd2_null_watermark": scd2_unmarked,
+    "history_view_repeated": view_repeated,
+    "watermark_zones": watermark_zones,
+    "split_bounds": split_bounds,
 }
 
 _COLUMNS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
@@ -292,6 +371,11 @@ FROM ({rows})"""
 
 
 _EVENTS = "SELECT * FROM events"
+_REPEATED = """
+SELECT * FROM events WHERE event_id % 3 <> 0
+UNION ALL
+SELECT last.* FROM events, (SELECT * FROM events ORDER BY ts DESC, event_id DESC LIMIT 1) last
+WHERE events.event_id % 3 = 0"""
 
 
 def _history(rows: str) -> str:
@@ -364,4 +448,24 @@ FROM orders GROUP BY 1""",
     "stream_after_compact": _merged(_FEED),
     "load_zoned_watermark": _merged(_FRESH),
     "load_base_with_versions": _merged(_FEED),
+    "compact_partitioned": f"SELECT *, strftime(o_orderdate, '%Y%m') AS o_month FROM ({_merged(_FRESH)})",
+    "scd2_late": _history(_EVENTS),
+    "scd2_null_watermark": f"""
+SELECT * FROM (
+  SELECT user_id, event_type, ts AS valid_from, lead(ts) OVER w AS valid_to, lead(event_id) OVER w IS NULL AS is_current
+  FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id) AS before
+        FROM (SELECT * REPLACE (if(event_id % 11 = 0, NULL, ts) AS ts) FROM events))
+  WHERE event_type IS DISTINCT FROM before
+  WINDOW w AS (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id))
+WHERE is_current OR valid_from IS NOT NULL OR valid_to IS NOT NULL""",
+    "history_view_repeated": f"SELECT * EXCLUDE (rn), rn = 1 AS is_current FROM ({_ranked(_REPEATED)})",
+    "watermark_zones": f"""
+SELECT session, 'timestamp' AS type, strftime(top, '%Y-%m-%d %H:%M:%S.%f') || 'Z' AS value, 'UTC' AS zone, late, upto
+FROM (VALUES ('America/New_York'), ('Asia/Tokyo')) s(session),
+     (SELECT max(o_orderdate) AS top, count(*) FILTER (o_orderdate > last) AS late,
+             count(*) FILTER (o_orderdate <= last) AS upto
+      FROM ({_FEED}), (SELECT max(o_orderdate) AS last FROM ({_FEED}) WHERE o_orderkey % 2 = 0))""",
+    "split_bounds": f"""
+SELECT cast({SKEWED_PARTS} AS bigint) AS ranges, count(*) AS orders, cast(1 AS integer) AS ranges_of_a_row, true AS even
+FROM orders""",
 }

@@ -14,8 +14,10 @@ from lakeferry.functions.dates import (
     where_parent_between,
 )
 from lakeferry.model import PartitionSpec, TableSpec
+from lakeferry.operators.catalog import plan_migration, resolve_targets
 from lakeferry.operators.cleanse import cleanse_audit, rename_columns
-from lakeferry.plans.migrate import migrate_batch, migrate_table, prepare_table
+from lakeferry.operators.state import FLAGS, apply_state
+from lakeferry.plans.migrate import migrate_batch, migrate_table, outcomes, prepare_table
 from lakeferry.session import fresh_dir
 from lakeferry.sinks.tables import register_table, write_table
 from lakeferry.sources.landed import scan_landed
@@ -37,7 +39,7 @@ def scan(fmt: str, layout: str):
 def scan_format_case(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Formats are named in any case; the columns' names need quoting."""
     root = fx.landed_orders(spark, sf_dir, "orc")
-    landed = scan_landed(spark, root, "ORC").select("o_orderkey", "o_year")
+    landed = cleanse_audit(scan_landed(spark, root, "ORC"))
     return rename_columns(landed, {"o_orderkey": "order key", "o_year": "a.year"})
 
 
@@ -65,10 +67,7 @@ def cleanse_file_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def renamed(renames: dict[str, str]):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        kept = cleansed_orders(spark, sf_dir).select(
-            "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"
-        )
-        return rename_columns(kept, renames)
+        return rename_columns(cleansed_orders(spark, sf_dir), renames)
 
     return query
 
@@ -173,6 +172,68 @@ def batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def appended(wider: bool):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Two landed trees of which one lacks a column: the table has the columns of both, whichever came first."""
+        name = f"orders_{'wider' if wider else 'narrower'}"
+        full = replace(order_spec(spark, sf_dir, name), partitions=fx.ORDER_PARTITIONS)
+
+        def write(path: str) -> None:
+            rows = scan_landed(spark, full.src_dir, "parquet", fx.ORDER_PARTITIONS).drop("o_totalprice")
+            rows.write.parquet(f"{path}/merged/parquet")
+
+        narrow = replace(full, src_dir=fx.once(spark, sf_dir, "landed-orders-narrow", write))
+        first, second = (narrow, full) if wider else (full, narrow)
+        migrate_table(spark, first)
+        result = migrate_table(spark, replace(second, mode="append"))
+        return spark.table(result.table_name)
+
+    return query
+
+
+def swap_registered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A partitioned table swapped twice: by rows of one year less and one column more, then by all."""
+    spec = replace(order_spec(spark, sf_dir, "orders_swapped"), publish="swap")
+
+    def write(path: str) -> None:
+        rows = scan_landed(spark, spec.src_dir, "parquet", fx.ORDER_PARTITIONS)
+        rows.where("o_year <> '1995'").withColumn("extra", F.lit(1)).write.parquet(f"{path}/merged/parquet")
+
+    part = replace(spec, src_dir=fx.once(spark, sf_dir, "landed-orders-part", write))
+    for load in (spec, part, spec):
+        result = migrate_table(spark, load)
+    return spark.table(result.table_name)
+
+
+def migrate_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch planned from documents, broken off after half its tables and taken up again by its log.
+
+    Rows of all migrated tables, each with its table's outcomes and state.
+    """
+    lake = fresh_dir(spark, "resumed")
+    onprem, target = fx.region_documents(spark, sf_dir, lake)
+    sources = spark.createDataFrame([("0", "regions", "supp_0", "rdbms", "oracle")], "src_id string, name string, hive_schema string, sourceType string, sourceSubtype string")
+    ready, _ = resolve_targets(plan_migration(onprem, sources), target)
+    ready = ready.withColumn("hive_schema", F.lit(DATABASE))
+    log = f"{lake}/log"
+    migrate_batch(spark, ready.where("cast(substring(table_id, 2) as int) % 2 = 0"), log=log)
+    results = migrate_batch(spark, ready, log=log)
+    before = target.select(
+        "table_id", F.lit(False).alias("full_load_performed"), F.lit("new").alias("state"),
+        *[F.lit(None).cast("string").alias(c) for c in ("last_ingested_cdc_value", "last_merged_watermark")],
+        *[F.lit(True).alias(c) for c in FLAGS],
+    )
+    state = apply_state(before, ready, results).select(F.col("table_id").alias("target_id"), "state", "last_ingested_cdc_value")
+    times = outcomes(spark, log).groupBy("table_id").agg(F.count(F.lit(1)).alias("attempts"))
+    told = results.join(times, "table_id").join(ready.select("table_id", "target_id"), "table_id").join(state, "target_id")
+    told = told.select("table_name", "status", "rows_written", "attempts", "target_id", "state", "last_ingested_cdc_value")
+    rows = None
+    for r in ready.select("table_name").collect():
+        one = spark.table(f"{DATABASE}.{r[0]}").withColumn("table_name", F.lit(r[0]))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows.join(told, "table_name")
+
+
 def derived_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     specs = [("l_shipdate", fmt, f"ship_{fmt.lower()}") for fmt in DERIVE_FORMATS.values()]
     derived = add_derived_partitions(fx.table(spark, sf_dir, "lineitem"), specs)
@@ -216,7 +277,11 @@ QUERIES = {
     "migrate_rows_orc": migrated_rows("orc"),
     "append_mode": append_mode,
     "register_table": register,
+    "append_wider": appended(True),
+    "append_narrower": appended(False),
+    "swap_registered": swap_registered,
     "migrate_batch": batch,
+    "migrate_resumed": migrate_resumed,
     "derived_partitions": derived_partitions,
     "derived_between": derived_between,
 }
@@ -237,17 +302,28 @@ SELECT orders.*, {_YEAR} AS o_year, substring(o_orderpriority, 1, 1) AS o_prio_r
        o_orderstatus <> 'F' AS ziw_active, 'I' AS ziw_status_flag,
        case o_orderstatus when 'F' then 'true' when 'O' then '0' else 'N' end AS ziw_is_deleted
 FROM orders"""
+_CLEANSED = f"""
+{_YEAR} AS o_year, substring(o_orderpriority, 1, 1) AS o_prio_rx,
+o_orderdate AS ziw_target_timestamp, {_DELETED} AS ziw_is_deleted"""
 _MIGRATED = f"""
 SELECT o_orderkey, o_custkey AS customer_id, o_orderstatus, o_totalprice AS total_price,
        o_orderdate, o_orderpriority, o_orderdate AS ziw_target_timestamp,
        {_DELETED} AS ziw_is_deleted, {_YEAR} AS o_year
 FROM orders"""
 
+_APPENDED = f"""
+SELECT o_orderkey, customer_id, o_orderstatus, price AS total_price, o_orderdate, o_orderpriority,
+       ziw_target_timestamp, ziw_is_deleted, o_year
+FROM (SELECT *, total_price AS price FROM ({_MIGRATED}) UNION ALL SELECT *, NULL FROM ({_MIGRATED}))"""
+
 ORACLES = {
     "scan_parquet": _SCAN,
     "scan_orc": _SCAN,
     "scan_format_case": f"""
-SELECT o_orderkey AS "order key", {_YEAR} AS "a.year" FROM orders""",
+SELECT o_orderkey AS "order key", o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       {_YEAR} AS "a.year", substring(o_orderpriority, 1, 1) AS o_prio_rx,
+       o_orderdate AS ziw_target_timestamp, {_DELETED} AS ziw_is_deleted
+FROM orders""",
     "scan_drifted": """
 SELECT o_orderkey, o_custkey, if(o_orderkey % 3 = 0, NULL, o_orderstatus) AS o_orderstatus, o_totalprice,
        o_orderdate, o_orderpriority, if(o_orderkey % 3 = 2, o_custkey * 2, NULL) AS newcol
@@ -260,13 +336,12 @@ FROM orders""",
 SELECT events.*, 'events_' || event_type || '.json' AS ziw_file_name, ts AS ziw_target_timestamp,
        event_id % 10 = 0 AS ziw_is_deleted, ts AS ziw_file_modified_timestamp
 FROM events""",
-    "rename_map": """
+    "rename_map": f"""
 SELECT o_orderkey, o_custkey AS customer_id, o_orderstatus, o_totalprice AS total_price,
-       o_orderdate
-FROM orders""",
-    "rename_swap": """
-SELECT o_orderkey AS o_custkey, o_custkey AS o_orderkey, o_orderstatus, o_totalprice, o_orderdate
-FROM orders""",
+       o_orderdate, o_orderpriority, {_CLEANSED} FROM orders""",
+    "rename_swap": f"""
+SELECT o_orderkey AS o_custkey, o_custkey AS o_orderkey, o_orderstatus, o_totalprice, o_orderdate,
+       o_orderpriority, {_CLEANSED} FROM orders""",
     "migrate_flat": """
 SELECT event_id, ts, user_id, event_type AS kind, value, props,
        'events_' || event_type || '.json' AS ziw_file_name, ts AS ziw_target_timestamp,
@@ -288,6 +363,15 @@ SELECT 't1' AS table_id, 'b_orders' AS table_name, 'SUCCEEDED' AS status,
 UNION ALL SELECT 't2', 'b_orders_orc', 'SUCCEEDED', count(*), false FROM orders
 UNION ALL SELECT 't3', 'b_events', 'SUCCEEDED', count(*), false FROM events
 UNION ALL SELECT 't4', 'b_text', 'FAILED', NULL, true""",
+    "append_wider": _APPENDED,
+    "append_narrower": _APPENDED,
+    "swap_registered": _MIGRATED,
+    "migrate_resumed": """
+SELECT c_custkey AS customer_id, c_name, n_name, timestamp '2020-01-01' AS ziw_target_timestamp,
+       false AS ziw_is_deleted, 'customers_' || n_regionkey AS table_name, 'SUCCEEDED' AS status,
+       count(*) OVER (PARTITION BY n_regionkey) AS rows_written, cast(1 AS bigint) AS attempts,
+       'nr' || n_regionkey AS target_id, 'ready' AS state, cast(n_regionkey AS varchar) AS last_ingested_cdc_value
+FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "derived_partitions": """
 SELECT strftime(l_shipdate, '%d') AS ship_dd, strftime(l_shipdate, '%m') AS ship_mm,
        strftime(l_shipdate, '%Y') AS ship_yyyy, strftime(l_shipdate, '%Y%m') AS ship_yyyymm,

@@ -99,12 +99,27 @@ def composed_renames(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = fx.target_documents(spark, sf_dir).select(
         F.substring("table_id", 2, 20).alias("table_id"), rename_map(F.col("columns")).alias("target")
     )
-    return onprem.join(target, "table_id").select(
-        "table_id",
-        F.explode(compose_renames(F.col("onprem"), F.col("target"))).alias("landed_name", "new_name"),
+    composed = F.when(F.col("target").isNotNull(), compose_renames(F.col("onprem"), F.col("target")))
+    return onprem.join(target, "table_id", "left").select(
+        "table_id", F.explode_outer(composed).alias("landed_name", "new_name")
     )
 
 
+def rename_maps_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document per supplier with a rename for each of its parts, some of them given twice."""
+    lines = fx.table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey")
+    one = F.struct(
+        "l_orderkey", "l_linenumber", F.concat(F.lit("p"), "l_partkey").alias("origName"),
+        F.concat(F.lit("o"), "l_orderkey", F.lit("_"), "l_linenumber").alias("name"),
+    )
+    columns = F.transform(
+        F.array_sort(F.collect_list(one)),
+        lambda c: F.struct(c["origName"].alias("origName"), c["name"].alias("name")),
+    )
+    documents = lines.groupBy("l_suppkey").agg(columns.alias("columns"))
+    return documents.select("l_suppkey", F.explode(rename_map(F.col("columns"))).alias("orig_name", "new_name"))
+
+
 def _flat_names(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(quote(c)).alias(c.replace(".", "_")) for c in df.columns])
 
@@ -201,6 +216,7 @@ QUERIES = {
     "table_counts": table_counts,
     "partition_spec": partition_specs,
     "rename_maps": rename_maps,
+    "rename_maps_wide": rename_maps_wide,
     "compose_renames": composed_renames,
     "source_dump": source_dump,
     "source_dump_foreign": source_dump_foreign,
@@ -276,7 +292,11 @@ UNION ALL SELECT 't' || p_partkey, 'c3', 'c3_new' FROM part""",
     "compose_renames": """
 SELECT 't' || p_partkey AS table_id, landed_name, new_name
 FROM part, (VALUES ('c1', 'c1_t'), ('c3_new', 'c3_t')) v(landed_name, new_name)
-WHERE p_partkey % 11 <> 0""",
+WHERE p_partkey % 11 <> 0
+UNION ALL SELECT 't' || p_partkey, NULL, NULL FROM part WHERE p_partkey % 11 = 0""",
+    "rename_maps_wide": """
+SELECT l_suppkey, 'p' || l_partkey AS orig_name, 'o' || l_orderkey || '_' || l_linenumber AS new_name
+FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_suppkey, l_partkey ORDER BY l_orderkey DESC, l_linenumber DESC) = 1""",
     "source_dump": f"""
 SELECT 'drv' AS connection_driver_name, 'dbo' AS connection_schema, s_name AS connection_database,
        if(s_suppkey % 4 = 0, 'jdbc', 'tpt') AS connection_connection_method,
