@@ -49,15 +49,17 @@ def history_view(
     newest = df.groupBy(*[quote(k) for k in keys]).agg(F.max(quote(watermark)).alias(NEWEST))
     found = join_null_safe(df, newest, list(keys))
     last = F.col(quote(watermark)).eqNullSafe(F.col(NEWEST))
-    before = found.where(~last).drop(NEWEST).withColumn(CURRENT, F.lit(False))
     # Structs compare field by field, a null before any value: the greatest is the latest.
     place = F.struct(*[F.col(quote(c)).alias(f"c{i}") for i, c in enumerate([*leading, *rest])])
-    candidates = found.where(last).drop(NEWEST)
     if len(rest) < len(others):
         # Maps cannot be compared, so rows with them are no copies of each other and keep their identity.
-        latest = Window.partitionBy(*[quote(k) for k in keys]).orderBy(place.desc())
-        return before.unionByName(candidates.withColumn(CURRENT, F.row_number().over(latest) == 1))
-    counted = candidates.groupBy(*[quote(c) for c in df.columns]).agg(F.count(F.lit(1)).alias(COPIES))
+        # Rows below the highest watermark are a group each.
+        alone = F.when(~last, F.monotonically_increasing_id())
+        grouped = found.withColumns({PLACE: place, SLICE: alone, CURRENT: last})
+        latest = Window.partitionBy(*[quote(k) for k in keys], SLICE).orderBy(F.col(PLACE).desc())
+        return grouped.withColumn(CURRENT, F.col(CURRENT) & (F.row_number().over(latest) == 1)).drop(NEWEST, PLACE, SLICE)
+    before = found.where(~last).drop(NEWEST).withColumn(CURRENT, F.lit(False))
+    counted = found.where(last).drop(NEWEST).groupBy(*[quote(c) for c in df.columns]).agg(F.count(F.lit(1)).alias(COPIES))
     counted = counted.withColumn(PLACE, place)
     best = counted.groupBy(*[quote(k) for k in keys]).agg(F.max(PLACE).alias(NEWEST))
     judged = join_null_safe(counted, best, list(keys)).withColumn(CURRENT, F.col(PLACE).eqNullSafe(F.col(NEWEST)))

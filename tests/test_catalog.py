@@ -361,3 +361,11 @@ def test_state_moves_in_the_target_document(spark):
 
 def test_plan_tables_is_shuffle_free(spark):
     assert "Exchange" not in explained(catalog.plan_tables(tables(spark, table("t1"))))
+
+
+def test_rows_without_a_path_do_not_meet_in_one_window_group(spark):
+    plan = catalog.plan_migration(tables(spark, *[table(f"t{i}") for i in range(8)]), sources(spark, source("s1")))
+    target = tables(spark, table("n1", table="other"))
+    ready, rejected = catalog.resolve_targets(plan, target)
+    assert ready.count() == 0 and {r.reason for r in rejected.collect()} == {"no target"}
+    assert "CASE WHEN isnull(target_dir" in explained(rejected)

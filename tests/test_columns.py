@@ -175,3 +175,31 @@ def test_grant_is_idempotent(spark):
     df = spark.createDataFrame([(["a"],), (None,)], "l array<string>")
     granted = df.select(grant(grant(F.col("l"), F.lit("b")), F.lit("b")).alias("l"))
     assert [r.l for r in granted.collect()] == [["a", "b"], ["b"]]
+
+
+def test_thousands_of_renames_in_one_document(spark):
+    """Time grows about as the number of renames does."""
+    import time
+
+    def seconds(n):
+        entries = [(f"o{i % (n - 10)}", f"n{i}") for i in range(n)]
+        doc = spark.createDataFrame([(entries,)], "columns array<struct<origName:string,name:string>>")
+        first, other = rename_map(F.col("columns")), F.transform_keys(rename_map(F.col("columns")), lambda k, v: F.concat(k, F.lit("")))
+        start = time.perf_counter()
+        found, composed = doc.select(first, compose_renames(first, other)).first()
+        spent = time.perf_counter() - start
+        assert len(found) == n - 10 and found["o3"] == f"n{n - 10 + 3}" and found["o11"] == "n11"
+        assert composed == {found[k]: v for k, v in found.items()}
+        return spent
+
+    seconds(2_000)  # code is compiled
+    small, large = min(seconds(2_000) for _ in range(2)), min(seconds(16_000) for _ in range(2))
+    assert large < 40 * small  # a quadratic fold takes 64 times as long, and much longer at all
+
+
+def test_composing_takes_the_last_of_equal_new_names(spark):
+    maps = spark.sql("select map('a', 'x', 'b', 'y') as onprem, map('x', '1', 'a', '2', 'c', '3') as target")
+    assert maps.select(compose_renames(F.col("onprem"), F.col("target"))).first()[0] == {"x": "2", "c": "3"}
+    empty = spark.sql("select cast(map() as map<string,string>) as e, map('a', '1') as t, cast(null as map<string,string>) as n")
+    assert empty.select(compose_renames(F.col("e"), F.col("t"))).first()[0] == {"a": "1"}
+    assert empty.select(compose_renames(F.col("n"), F.col("t")), compose_renames(F.col("t"), F.col("n"))).first()[1] == {}

@@ -5,13 +5,16 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from lakeferry.operators.config import convert_groups, convert_sources, convert_tables
+from lakeferry.operators import config
+from lakeferry.operators.config import bind_clusters, config_documents, convert_groups, convert_sources, convert_tables
 from lakeferry.sources.documents import (
     envelope_exports,
     envelope_groups,
     envelope_sources,
     envelope_tables,
+    read_documents,
     read_envelopes,
+    write_documents,
 )
 
 DERIVED = {
@@ -223,3 +226,54 @@ def test_strict_overlay(load):
 def test_unknown_source_types_are_rejected(load):
     _, rejected = convert(load, {}, source_type="file")
     assert rejected == {"t0": "unsupported source type: file"}
+
+
+def test_clusters_by_name(spark):
+    groups = spark.createDataFrame([(f"g{i}", f"n{i}", name) for i, name in enumerate(["a", "b", "a", "c", None])], "group_id string, name string, cluster_name string")
+    templates = spark.createDataFrame([("a", "2"), ("a", "1"), ("b", "7"), (None, "9")], "cluster_name string, cluster_id string")
+    bound, missed = bind_clusters(groups, templates)
+    assert sorted((r.group_id, r.cluster_id) for r in bound.collect()) == [("g0", "1"), ("g1", "7"), ("g2", "1")]
+    assert sorted((r.group_id, r.reason) for r in missed.collect()) == [
+        ("g3", "unknown cluster template: c"), ("g4", "unknown cluster template: none"),
+    ]
+
+
+@pytest.mark.parametrize("size", [3, 1_000])
+def test_documents_come_in_pieces_and_read_back(spark, load, tmp_path, size, monkeypatch):
+    monkeypatch.setattr(config, "PIECES_PER_TASK", 2)  # numbered in several parts
+    group = {"name": "g", "max_connections": 3, "source": {"$type": "oid", "$value": "s"}, "tables": [{"table_id": {"$type": "oid", "$value": "t0"}, "connection_quota": 50}]}
+    connection = {c: "v" for c in ("driver_name", "schema", "database", "connection_method", "connection_string", "username")}
+    big = envelope([{"partition_key": [DERIVED]}] * 20, groups=[group] * 5)
+    alone = envelope([])
+    for e, name in ((big, "h"), (alone, "lonely")):
+        e["source"] |= {"hive_schema": name, "connection": connection}
+    envelopes = load(big, alone)
+    sources, _ = convert_sources(envelope_sources(envelopes))
+    configs, _ = convert_tables(envelope_tables(envelopes))
+    groups = convert_groups(envelope_groups(envelopes), "c1", carried=["hive_schema"])
+    documents = config_documents(sources, configs, groups, size)
+    write_documents(documents, str(tmp_path / "out"))
+    fields = [f.name for f in documents.schema["source"].dataType["connection"].dataType.fields]
+    read = read_documents(spark, str(tmp_path / "out"), fields)
+    key = lambda r: json.dumps(r.asDict(recursive=True), sort_keys=True)
+    assert sorted(map(key, read.collect())) == sorted(map(key, documents.select(*read.columns).collect()))
+    sizes = [(r.source.hive_schema, len(r.tables), len(r.table_groups)) for r in read.collect()]
+    assert max(t + g for _, t, g in sizes) <= size and ("lonely", 0, 0) in sizes and len({s for s in sizes if s[0] == "lonely"}) == 1
+    ids = sorted(t.entity_id["$value"] for r in read.collect() for t in r.tables)
+    assert ids == sorted(f"t{i}" for i in range(20))
+    first = next(r for r in read.collect() if r.table_groups)
+    assert first.table_groups[0].configuration.cluster_template.cluster_id == "c1"
+    assert first.table_groups[0].configuration.tables[0].connection_quota == 50
+    table = next(r for r in read.collect() if r.tables).tables[0].configuration
+    assert table.configuration.partition_keys[0].derive_format == "yyyyMM" and table.configuration.target_schema_name == "h"
+
+
+def test_an_array_of_pieces_is_one_for_a_small_source(spark, load):
+    sources = envelope([{}] * 4)
+    sources["source"] |= {"hive_schema": "h", "connection": {c: "v" for c in ("driver_name", "schema", "database", "connection_method", "connection_string", "username")}}
+    envelopes = load(sources)
+    done = config_documents(
+        convert_sources(envelope_sources(envelopes))[0], convert_tables(envelope_tables(envelopes))[0],
+        convert_groups(envelope_groups(envelopes), "c", carried=["hive_schema"]),
+    )
+    assert [len(r.tables) for r in done.collect()] == [4]

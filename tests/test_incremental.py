@@ -15,6 +15,7 @@ from lakeferry.operators.history import (
     history_view,
     scd2_history,
     scd2_increment,
+    scd2_late,
 )
 from lakeferry.operators.reconcile import reconcile, row_differences
 from lakeferry.sinks.tables import save_bucketed
@@ -261,7 +262,7 @@ def test_current_view(spark):
 
 
 def versions(data):
-    """Brute force over (k, w, t, v) rows: nulls first, v last in the order."""
+    """Brute force over (k, w, t, v) rows: nulls first, v last in the order; one version at most begins without a watermark."""
     groups = defaultdict(set)
     for row in data:
         groups[row[0]].add(row)
@@ -274,6 +275,8 @@ def versions(data):
             before = v
         for i, (v, start) in enumerate(changes):
             last = i + 1 == len(changes)
+            if not last and start is None and changes[i + 1][1] is None:
+                continue  # rows without a watermark share one instant: the last of them stands for it
             out.append((k, v, start, None if last else changes[i + 1][1], last))
     return Counter(out)
 
@@ -363,6 +366,60 @@ def test_a_tombstone_ends_the_current_version_and_late_rows_are_told(spark):
     assert (1, "c", 12, None, True) in rows(back)
 
 
+def test_rows_without_a_watermark_share_one_instant(spark):
+    data = [(1, None, 0, "a"), (1, None, 1, "b"), (1, 5, 0, "c"), (2, None, 0, "x"), (2, None, 1, "y"), (3, None, 0, "z"), (3, 4, 0, "z")]
+    df = spark.createDataFrame(data, SCHEMA)
+    for per_task in (100, 1):
+        out = scd2_history(df, KEYS, WM, ["v"], TIE, max_rows_per_task=per_task)
+        assert rows(out) == [(1, "b", None, 5, False), (1, "c", 5, None, True), (2, "y", None, None, True), (3, "z", None, None, True)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_late_rows_give_the_history_of_all_rows(spark, seed):
+    rng = random.Random(seed)
+    data = [r for r in some_rows(seed, n=160, keys=8) if r[1] is not None and r[0] is not None]
+    # Late rows: before, inside and after stored intervals, and new keys.
+    early = [r for r in data if r[1] <= 18 and rng.random() < 0.8]
+    rest = list((Counter(data) - Counter(early)).elements()) + [(99, 3, 0, "n"), (99, 1, 0, "m")]
+    one, delta = (spark.createDataFrame(part, SCHEMA) for part in (early, rest))
+    before = scd2_history(one, KEYS, WM, ["v"], TIE)
+    archive, current = archive_versions(one, KEYS, WM, TIE), inc.latest_per_key(one, KEYS, WM, TIE)
+    assert bag(scd2_late(before, archive, current, delta, KEYS, WM, ["v"], TIE)) == versions(data + rest[-2:])
+
+
+def test_a_late_row_cuts_an_interval_in_two_and_leaves_other_keys_alone(spark):
+    schema = "k int, w int, t int, v string, gone boolean"
+    seen = [(1, 1, 0, "a", False), (1, 5, 0, "a", False), (1, 7, 0, "b", False), (2, 1, 0, "x", False)]
+    one = spark.createDataFrame(seen, schema)
+    before = scd2_history(one, KEYS, WM, ["v"], TIE)
+    archive, current = archive_versions(one, KEYS, WM, TIE), inc.latest_per_key(one, KEYS, WM, TIE)
+    delta = spark.createDataFrame([(1, 3, 0, "c", False), (2, 9, 0, None, True)], schema)
+    out = scd2_late(before, archive, current, delta, KEYS, WM, ["v"], TIE, deleted="gone")
+    # The row at 5 changed nothing when it came, and does now.
+    assert rows(out) == [
+        (1, "a", 1, 3, False), (1, "a", 5, 7, False), (1, "b", 7, None, True), (1, "c", 3, 5, False), (2, "x", 1, 9, False),
+    ]
+
+
+def test_a_third_of_equal_rows_is_spread_over_tasks(spark):
+    """One of the equal rows is current; the others are not made, or gathered, in one task."""
+    others = spark.range(0, 60_000, 1, 8).selectExpr("cast(id % 50 as int) k", "cast(id as int) w", "0 t", "'o' v")
+    same = spark.range(0, 30_000, 1, 8).selectExpr("7 k", "1000000 w", "0 t", "'same' v")
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        out = history_view(others.union(same), KEYS, WM, TIE)
+        assert out.count() == 90_000 and out.where("is_current").count() == 50
+        copies = out.where("v = 'same'")
+        assert copies.where("is_current").count() == 1
+        parts = sorted(r["n"] for r in copies.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect())
+        assert len(parts) > 4 and parts[-1] <= 30_000 // 3
+    finally:
+        spark.conf.unset(setting)
+    plan = explained(out)
+    assert "Window" not in plan
+
+
 # --- reconciliation -----------------------------------------------------------
 
 LEFT = [(1, "a", 1.5), (2, "b", 2.5), (2, "b", 2.5), (3, None, None)]

@@ -72,3 +72,40 @@ def test_read_requests():
     asked = read_jdbc_split(Reader(), options, split)
     assert (asked["url"], asked["table"], asked["properties"]) == ("jdbc:x", "t", {"driver": "d"})
     assert asked["predicates"] == jdbc.period_predicates(split)
+
+
+def test_sql_server_has_its_own_words():
+    month = PeriodSplit("d", "MM", dt.date(2020, 1, 1), dt.date(2020, 1, 1))
+    day = PeriodSplit("d", "MMdd", dt.date(2020, 1, 1), dt.date(2020, 1, 1))
+    year = PeriodSplit("d", "yyyy", dt.date(2020, 1, 1), dt.date(2020, 1, 1))
+    assert period_predicates(month, jdbc.SQL_SERVER)[0] == "MONTH(d) = 1"
+    assert period_predicates(day, jdbc.SQL_SERVER)[0] == "MONTH(d) = 1 AND DAY(d) = 1"
+    assert period_predicates(year, jdbc.SQL_SERVER) == [
+        "d < CAST('2020-01-01T00:00:00' AS datetime2) OR d IS NULL",
+        "d >= CAST('2020-01-01T00:00:00' AS datetime2) AND d < CAST('2021-01-01T00:00:00' AS datetime2)",
+        "d >= CAST('2021-01-01T00:00:00' AS datetime2)",
+    ]
+    asked = read_jdbc_split(Reader(), {"url": "jdbc:sqlserver://h", "dbtable": "t"}, year)
+    assert asked["predicates"] == period_predicates(year, jdbc.SQL_SERVER)
+    assert "EXTRACT" in read_jdbc_split(Reader(), {"url": "jdbc:oracle:x", "dbtable": "t"}, month)["predicates"][0]
+
+
+@pytest.mark.parametrize("kind", ["bigint", "double", "date", "timestamp_ntz"])
+def test_quantile_bounds_are_even_on_a_skewed_key(spark, kind):
+    value = {
+        "bigint": "cast(pow(id, 3) as bigint)", "double": "pow(1.01, id % 1500)", "date": "date'2000-01-01' + cast(sqrt(id) as int)",
+        "timestamp_ntz": "timestamp_ntz'2000-01-01' + make_dt_interval(0, 0, 0, cast(sqrt(id) * 1000 as decimal(18,6)))",
+    }[kind]
+    df = spark.range(0, 6_000).selectExpr(f"if(id % 400 = 0, null, {value}) as c")
+    split = jdbc.quantile_bounds(df, "c", 10)
+    met = [F.coalesce(F.expr(p), F.lit(False)).cast("int") for p in jdbc.bound_predicates(split)]
+    assert len(met) == 10 and df.where(sum(met[1:], met[0]) != 1).count() == 0
+    sizes = df.select(*[F.sum(m) for m in met]).first()
+    assert max(sizes) <= 2 * 600
+
+
+def test_bounds_of_few_or_no_values(spark):
+    df = spark.createDataFrame([(5,), (5,), (None,)], "c int")
+    assert jdbc.quantile_bounds(df, "c", 4) == jdbc.BoundSplit("c", ("5",))
+    assert jdbc.bound_predicates(jdbc.quantile_bounds(df.limit(0), "c", 4)) == ["1 = 1"]
+    assert jdbc.quantile_bounds(df, "c", 1).bounds == ()

@@ -15,6 +15,7 @@ from lakeferry.model import AuditProfile, MergeSpec, PartitionSpec, TableSpec
 from lakeferry.operators.cleanse import apply_partition_spec, cleanse_audit, rename_columns
 from lakeferry.plans.migrate import migrate_batch, migrate_table, prepare_table
 from lakeferry.sinks.tables import (
+    check_append,
     check_no_overlap,
     default_table_format,
     merge_into_table,
@@ -357,3 +358,112 @@ def test_partition_spec_json_round_trip():
     spec = PartitionSpec(("a", "b"), ("c",))
     assert PartitionSpec.from_json(spec.to_json()) == spec
     assert PartitionSpec.from_json('{"normal": [], "drop": []}').depth == 0
+
+
+def columns_of(spark, name):
+    return {c.name: c.dataType for c in spark.catalog.listColumns(name)}
+
+
+@pytest.mark.parametrize("partition_by", [[], ["p"]])
+def test_append_keeps_all_columns_and_refuses_other_types(spark, tmp_path, partition_by):
+    path = str(tmp_path / "t")
+
+    def load(ddl, values, mode):
+        df = spark.createDataFrame([values], ddl)
+        check_append(spark, "test_lake", f"append_{len(partition_by)}", df, partition_by)
+        write_table(df, path, mode, "parquet", partition_by)
+        written = [{"p": values[-1]}] if partition_by else []
+        register_table(spark, "test_lake", f"append_{len(partition_by)}", path, "parquet", df.schema.toDDL(), partition_by, mode, written)
+
+    name = f"test_lake.append_{len(partition_by)}"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    load("id int, keep string, p string", (1, "k", "01"), "overwrite")
+    load("id int, p string", (2, "02"), "append")
+    load("id int, more double, p string", (3, 0.5, "01"), "append")
+    assert rows(spark.table(name).select("id", "keep", "more", "p")) == [(1, "k", None, "01"), (2, None, None, "02"), (3, None, 0.5, "01")]
+    for bad in ("id string, p string", "id int, keep int, p string"):
+        with pytest.raises(ValueError):
+            check_append(spark, "test_lake", f"append_{len(partition_by)}", spark.createDataFrame([], bad), partition_by)
+    with pytest.raises(ValueError):
+        check_append(spark, "test_lake", f"append_{len(partition_by)}", spark.createDataFrame([], "id int, q string"), ["q"])
+
+
+def test_a_swap_never_drops_the_table(spark, tmp_path, monkeypatch):
+    """Statements of a swap: locations change, written partitions come, others go; the table stays."""
+    import lakeferry.sinks.tables as module
+
+    name = "test_lake.swapped"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    def load(folder, data, written):
+        df = spark.createDataFrame(data, "id int, p string")
+        path = str(tmp_path / folder)
+        write_table(df, path, "overwrite", "parquet", ["p"])
+        register_table(spark, "test_lake", "swapped", path, "parquet", df.schema.toDDL(), ["p"], written=written)
+
+    odd = "a/b='c' [%]"
+    load("one", [(1, "x"), (2, "y"), (3, None), (4, odd)], None)
+    assert rows(spark.table(name)) == rows(spark.createDataFrame([(1, "x"), (2, "y"), (3, None), (4, odd)], "id int, p string"))
+    said = []
+    sql = type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **k: said.append(text) or sql(self, text, *a, **k))
+    load("two", [(11, "x"), (13, None), (14, odd), (15, "new")], [{"p": v} for v in ("x", None, odd, "new")])
+    assert not any(s.startswith(("DROP", "CREATE TABLE", "MSCK")) for s in said)
+    assert sum("SET LOCATION" in s for s in said) == 1 + 3
+    assert rows(spark.table(name)) == rows(spark.createDataFrame([(11, "x"), (13, None), (14, odd), (15, "new")], "id int, p string"))
+    # Registered again without a list of what was written: the folder is listed.
+    load("three", [(21, "z")], None)
+    assert rows(spark.table(name)) == [(21, "z")]
+    assert module.registered(spark, "test_lake", "swapped").location.endswith("three")
+
+
+def test_an_overwrite_may_lose_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for ddl, values in (("id int, extra string", (1, "e")), ("id int", (2,)), ("id string", ("3",))):
+        df = spark.createDataFrame([values], ddl)
+        write_table(df, path, "overwrite", "parquet")
+        register_table(spark, "test_lake", "narrowed", path, "parquet", df.schema.toDDL())
+        assert rows(spark.table("test_lake.narrowed")) == [values]
+
+
+def test_a_partitioned_write_is_clustered_by_default(spark, spec):
+    from lakeferry.plans.migrate import clustering
+
+    assert clustering(spec, ["region"]) == "rebalance" and clustering(spec, []) == "none"
+    assert clustering(replace(spec, cluster="none"), ["region"]) == "none"
+    migrate_table(spark, spec)
+    assert {len(list(d.glob("*.parquet"))) for d in Path(spec.target_dir).glob("region=*")} == {1}
+
+
+def test_a_batch_goes_on_where_it_was_broken_off(spark, spec, tmp_path, monkeypatch):
+    import lakeferry.plans.migrate as module
+
+    columns = (
+        "table_id string, table_name string, storage_format string, src_dir string, "
+        "source_type string, partition_column string, override_columns string, "
+        "hive_schema string, target_dir string"
+    )
+    row = lambda i, src: (f"t{i}", f"r{i}", "parquet", src, "rdbms", spec.partitions.to_json(), "{}", "test_lake", str(tmp_path / f"r{i}"))
+    plan = spark.createDataFrame([row(i, spec.src_dir if i != 2 else str(tmp_path / "later")) for i in range(6)], columns).coalesce(1)
+    log, done = str(tmp_path / "log"), []
+    migrate = module.migrate_table
+
+    def broken(spark_, one):
+        if len(done) >= 3:
+            raise KeyboardInterrupt
+        done.append(one.table)
+        return migrate(spark_, one)
+
+    monkeypatch.setattr(module, "migrate_table", broken)
+    with pytest.raises(KeyboardInterrupt):
+        migrate_batch(spark, plan, concurrency=1, log=log)
+    assert done == ["r0", "r1", "r2"]
+    assert {(r.table_id, r.status) for r in module.outcomes(spark, log).collect()} == {("t0", "SUCCEEDED"), ("t1", "SUCCEEDED"), ("t2", "FAILED")}
+    # The missing tree has landed meanwhile.
+    spark.read.parquet(str(Path(spec.src_dir) / "merged" / "parquet")).write.parquet(str(tmp_path / "later" / "merged" / "parquet"))
+    again = []
+    monkeypatch.setattr(module, "migrate_table", lambda s, one: again.append(one.table) or migrate(s, one))
+    results = migrate_batch(spark, plan, concurrency=2, log=log)
+    assert sorted(again) == ["r2", "r3", "r4", "r5"]
+    assert {(r.table_id, r.status, r.rows_written) for r in results.collect()} == {(f"t{i}", "SUCCEEDED", 12) for i in range(6)}
+    assert migrate_batch(spark, plan, log=log).count() == 6 and len(again) == 4
