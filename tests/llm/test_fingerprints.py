@@ -1,0 +1,141 @@
+"""Prefix hashes against direct comparison, and the fingerprint query against plain Python."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from lakeferry.llm import fingerprints as module
+from lakeferry.llm.fingerprints import Fingerprint, fingerprint_documents, fingerprints, likeness, parsed
+from lakeferry.llm.prefix_hashes import BASES, PRIME, PrefixHashes, common_end, common_start
+
+TEXTS = st.lists(st.text(alphabet="ab\0é😀 ", max_size=40), min_size=1, max_size=6)
+
+
+def one(text: str) -> Fingerprint:
+    return fingerprints(PrefixHashes([text]))[0]
+
+
+def plain_hash(text: str) -> int:
+    p, out = int(PRIME), 0
+    for base in BASES:
+        out = out << 31 | sum((ord(c) + 1) * pow(base, j, p) for j, c in enumerate(text)) % p
+    return out
+
+
+@given(TEXTS, st.randoms(use_true_random=False))
+@settings(max_examples=80, deadline=None)
+def test_spans_are_polynomials_wherever_they_stand(texts, rng):
+    hashes, joint = PrefixHashes(texts), "".join(texts)
+    cuts = [sorted(rng.choices(range(len(joint) + 1), k=2)) for _ in range(20)]
+    start, stop = (np.array([c[i] for c in cuts]) for i in (0, 1))
+    assert hashes.spans(start, stop).tolist() == [plain_hash(joint[a:b]) for a, b in cuts]
+    size = rng.randrange(1, 8)
+    assert hashes.runs(size).tolist() == [plain_hash(joint[a : a + size]) for a in range(len(joint) - size + 1)]
+
+
+@given(st.text(alphabet="ab", max_size=60), st.text(alphabet="ab", max_size=60), st.randoms(use_true_random=False))
+@settings(max_examples=120, deadline=None)
+def test_longest_common_extensions(a, b, rng):
+    one_, two = PrefixHashes(["x", a]), PrefixHashes([b])
+    i, j = rng.randrange(len(a) + 1), rng.randrange(len(b) + 1)
+
+    def length(x, y):
+        return next((k for k, (c, d) in enumerate(zip(x, y)) if c != d), min(len(x), len(y)))
+
+    at, bt = np.array([1 + i]), np.array([j])
+    assert common_start(one_, at, two, bt, np.array([min(len(a) - i, len(b) - j)]))[0] == length(a[i:], b[j:])
+    assert common_end(one_, at, two, bt, np.array([min(i, j)]))[0] == length(a[:i][::-1], b[:j][::-1])
+
+
+def test_fingerprints_are_written_and_read():
+    for text in ("", "a", "short", "x" * 1_000, "Größe 😀 " * 300):
+        assert parsed(str(one(text))) == one(text)
+
+
+def brute_likeness(a: str, b: str) -> float:
+    """The two shares, from the texts themselves."""
+    if a == b:
+        return 1.0
+    if not a or not b:
+        return 0.0
+    reach = [max([s for s in module.steps() if s <= min(len(a), len(b)) and same(s)], default=0)
+             for same in (lambda s: a[:s] == b[:s], lambda s: a[-s:] == b[-s:])]
+    covered = min(sum(reach), len(a), len(b)) / max(len(a), len(b))
+    spans = [{t[i : i + module.SPAN] for i in range(len(t) - module.SPAN + 1)} for t in (a, b)]
+    both, all_ = len(spans[0] & spans[1]), len(spans[0] | spans[1])
+    return max(covered, 2 * both / (all_ + both) if all_ else 0.0)
+
+
+def test_likeness_follows_the_texts():
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9)))
+    off = []
+    for _ in range(150):
+        a = [word() for _ in range(rng.randrange(30, 400))]
+        b = [word() if rng.random() < rng.choice([0, 0.02, 0.1, 0.5]) else w for w in a]
+        if rng.random() < 0.3:
+            b = a[: len(a) // 2] + [word() for _ in a[len(a) // 2 :]]
+        x, y = " ".join(a), " ".join(b)
+        assert likeness(one(x), one(y)) == likeness(one(y), one(x))
+        off.append(abs(likeness(one(x), one(y)) - brute_likeness(x, y)))
+    assert np.mean(off) < 0.05 and max(off) < 0.25
+    # With no more spans than are kept nothing is estimated.
+    for a, b in [("abc", "abd"), ("", "x"), ("same", "same"), ("a" * 70, "a" * 71), ("x" * 11, "x" * 12), ("left middle right", "left muddle right")]:
+        assert likeness(one(a), one(b)) == pytest.approx(brute_likeness(a, b))
+
+
+def brute_rows(rows):
+    texts = [(i, t or "") for i, t in rows]
+    order = sorted(texts, key=lambda r: (r[0] is None, -(r[0] or 0)))
+    out = []
+    for k, (i, t) in enumerate(order):
+        following = order[(k + 1) % len(order)][1]
+        changed = t[: len(t) - len(t) // 2] + following[: len(t) // 2]
+        out.append(
+            (i, len(t), hashlib.sha256(changed.encode()).hexdigest(), str(one(t)), str(one(changed)),
+             likeness(one(t), one(changed)), likeness(one(t), one(following)),
+             next((p for p, (c, d) in enumerate(zip(t, changed)) if c != d), min(len(t), len(changed))),
+             next((p for p, (c, d) in enumerate(zip(t, following)) if c != d), min(len(t), len(following))))
+        )
+    return sorted(out, key=repr)
+
+
+def test_rows_equal_plain_python(spark, monkeypatch):
+    monkeypatch.setattr(module, "PIECE", 3_000)  # many pieces, and texts longer than one
+    rng = random.Random(8)
+    rows = [(i * 7 % 1_009, " ".join(rng.choice(["red", "größe", "😀", "plain"]) for _ in range(rng.randrange(0, 90)))) for i in range(300)]
+    rows += [(2_000, None), (2_001, ""), (2_002, "x"), (-5, "long " * 30_000), (None, "last")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7).withColumns({"id": F.lit(0), "part": F.lit("clash")})
+    assert sorted(map(tuple, fingerprint_documents(docs).collect()), key=repr) == brute_rows(rows)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, "alone and its own next")], [(None, None)], [(None, "a b")] * 3, [(4, "equal rows")] * 5, [(1, "ab"), (2, None)]])
+def test_small_and_odd_tables(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, fingerprint_documents(docs).collect()), key=repr) == brute_rows(rows)
+
+
+def test_equal_ids_stay_in_one_order(spark):
+    rows = [(i % 3, f"text number {i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [sorted(map(tuple, fingerprint_documents(d).collect()), key=repr) for d in (docs, docs.repartition(5))]
+    assert got[0] == got[1] and len(got[0]) == 60
+
+
+def test_given_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    got = fingerprint_documents(docs).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_rows(rows)
+    by_text = {}
+    for r in got:
+        by_text.setdefault(r["fingerprint"], set()).add(dict(rows)[r["doc_id"]])
+    assert all(len(t) == 1 for t in by_text.values())
+    long_ = [r for r in got if r["n_chars"] > 200]
+    assert np.mean([r["near_edited"] >= 0.4 for r in long_]) > 0.98 and np.median([r["near_next"] for r in long_]) < 0.1
