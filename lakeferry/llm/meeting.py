@@ -9,9 +9,7 @@ task, and no group grows with it.
 Inside a group only 32 bits of a token are kept; the few chance meetings make the
 result a slight superset, which is what a filter may be.
 
-``met`` tells how many shared tokens each document has. ``shared_tokens`` tells which
-tokens are shared, as a bitmap of fixed size that may go to every task: where it fills
-up it lets more tokens pass, never fewer.
+``met`` tells how many shared tokens each document has.
 """
 
 from __future__ import annotations
@@ -27,8 +25,6 @@ from lakeferry.llm.common import ceil_div
 
 #: Entries of one group as expected, and the least number of groups.
 GROUP_ENTRIES, MIN_GROUPS = 1_000_000, 64
-#: Bits of a slot number: 8 MB of bitmap at any size of the input.
-SLOT_BITS = 26
 #: Stands for the owner of a token whose owners have been counted already.
 NOBODY = np.iinfo(np.int64).min
 
@@ -96,45 +92,6 @@ def _meet(table: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.array(ids, pa.int64()), "shared": pa.array(counts, pa.int64())})
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """Slots of the tokens of a group that more than one document has."""
-    if table.column("part")[0].as_py() < 0:
-        slots = np.empty(0, dtype=np.int64)
-    else:
-        token = np.concatenate([np.frombuffer(x.as_buffer(), dtype=np.uint32) for x in table.column("tokens")])
-        owner = np.concatenate([np.frombuffer(x.as_buffer(), dtype=np.int64) for x in table.column("owners")])
-        kinds, place, times = np.unique(token, return_inverse=True, return_counts=True)
-        settled = np.zeros(len(kinds), dtype=bool)
-        settled[place[owner == NOBODY]] = True
-        slots = slots_of(kinds[(times > 1) | settled])
-    return pa.table({"slot": pa.array(np.unique(slots), pa.int64())})
-
-
-def slots_of(tokens: np.ndarray) -> np.ndarray:
-    """The bitmap slot of each token, from its last 32 bits."""
-    last = tokens.astype(np.uint64) & np.uint64(0xFFFFFFFF)
-    return (words.mixed(last + np.uint64(1)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-
-
-def shared_tokens(dealt: DataFrame) -> np.ndarray:
-    """Bitmap over slots of the tokens that several documents have: 2 ** SLOT_BITS bits."""
-    page = 1 << 15  # bits of one row of Spark's bitmap aggregate
-    found = (
-        dealt.groupBy("part").applyInArrow(_shared, "slot long")
-        .groupBy(F.shiftright("slot", 15).alias("page"))
-        .agg(F.bitmap_construct_agg(F.col("slot") % page).alias("bits"))
-    )
-    bitmap = np.zeros((1 << SLOT_BITS) // 8, dtype=np.uint8)
-    for row in found.toLocalIterator():
-        bitmap[row["page"] * page // 8 : (row["page"] + 1) * page // 8] = np.frombuffer(row["bits"], np.uint8)
-    return bitmap
-
-
-def is_shared(bitmap: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    slot = slots_of(tokens)
-    return (bitmap[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
-
-
 def met(dealt: DataFrame) -> DataFrame:
     """(doc_id, shared): how many of a document's tokens another document has."""
     found = dealt.groupBy("part").applyInArrow(_meet, "doc_id long, shared long")

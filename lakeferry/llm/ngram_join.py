@@ -14,10 +14,13 @@ n - ceil(t n) + k.
    put rarer shingles first (by the logarithm of the count) and differ among equally
    rare ones. A candidate pair must share a prefix shingle under each order.
 3. Pairs are not spelled out inside a group of copies. Each shingle first links its
-   documents to one of them only, these links are verified, and what they connect
+   documents to one of them only, these links are verified, and so are links between
+   documents that fail it in the same way; what they connect
    becomes one component. Then only pairs across components are candidates, and of
    them only those with an end outside the shingle's largest component are met.
-   Pairs inside a component need no verdict: they are connected already.
+   Pairs inside a component need no verdict: they are connected already. The documents
+   of a shingle that very many have are met by classes first (size, place of the shingle),
+   and pairs are spelled out only of classes that can match.
 
 Shingles are compared by 64-bit hash (see ``words``), sets by 128 bits.
 
@@ -42,24 +45,30 @@ from lakeferry.llm import words
 from lakeferry.llm.common import ship, stored
 from lakeferry.llm.components import components
 from lakeferry.llm.meeting import deal, met
+from lakeferry.llm.subwords import sliced
 
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000
 #: Orders that a candidate pair must pass.
 ORDERS = 3
+#: Documents of a shingle up to which they are met one by one.
+FEW = 64
+#: Documents whose ids and set marks, some 50 bytes each, may be sent to every task.
+LISTED_NODES = 200_000
+#: Hashes under which nodes that lack the same of a third one are brought together.
+MINIMA = 8
 
 
 def shingle_sets(texts: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first text, distinct shingles in ascending order, bounds) for pieces of the texts."""
     space, edge = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
-    lowered = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), edge))
-    padded = pc.binary_join_element_wise(lowered, edge, space)
-    _, offsets, raw = padded.buffers()
-    ends = np.frombuffer(offsets, dtype=np.int64)[padded.offset : padded.offset + len(padded) + 1]
-    everything, start = np.frombuffer(raw, dtype=np.uint8), 0
-    while start < len(padded):
-        stop = max(start + 1, int(np.searchsorted(ends, ends[start] + CHUNK_BYTES, side="right")) - 1)
-        bounds = ends[start : stop + 1] - ends[start]
-        data = everything[ends[start] : ends[stop]]
+    start = 0
+    for piece in sliced(texts, CHUNK_BYTES):
+        lowered = pc.ascii_lower(pc.fill_null(piece.cast(pa.large_string()), edge))
+        padded = pc.binary_join_element_wise(lowered, edge, space)
+        _, offsets, raw = padded.buffers()
+        bounds = np.frombuffer(offsets, dtype=np.int64)[padded.offset : padded.offset + len(padded) + 1]
+        data, bounds = np.frombuffer(raw, dtype=np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]
+        stop = start + len(piece)
         begins, finishes, of = words.spans(data, bounds)
         code, of = words.shingles(words.hashes(data, begins, finishes), of, size)
         order = np.lexsort((code, of))
@@ -93,6 +102,7 @@ def _described(docs: DataFrame, size: int) -> DataFrame:
                 [batch.column(0), batch.column(2), pa.array(n), pa.array(marks, pa.binary())],
                 names=["doc_id", "sha", "n", "mark"],
             )
+            pa.default_memory_pool().release_unused()
 
     return docs.select("doc_id", "text", text_sha(F.col("text")).alias("sha")).mapInArrow(
         run, "doc_id long, sha string, n long, mark binary"
@@ -148,11 +158,12 @@ def _tokens(docs: DataFrame, size: int) -> DataFrame:
                     ],
                     names=["node", "n", "tokens"],
                 )
+            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, "node long, n long, tokens array<long>")
 
 
-def _sets(tokens: DataFrame, percent: int) -> DataFrame:
+def prefix_sets(tokens: DataFrame, percent: int) -> DataFrame:
     """(node, n, weight, shared, pre0, pre1, ...) of nodes that can have a partner.
 
     ``weight`` is the mean logarithm of its shingles' counts;
@@ -183,17 +194,54 @@ def _sets(tokens: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that pass all orders and are similar enough."""
+def _joined(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     one = sets.select(*[F.col(c).alias(f"a_{c}") for c in sets.columns])
     two = sets.select(*[F.col(c).alias(f"b_{c}") for c in sets.columns])
-    joined = pairs.join(one, pairs["a"] == one["a_node"]).join(two, F.col("b") == two["b_node"])
+    return pairs.join(one, pairs["a"] == one["a_node"]).join(two, F.col("b") == two["b_node"])
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that pass all orders and are similar enough."""
+    joined = _joined(pairs, sets)
     for k in range(ORDERS):
         joined = joined.where(F.arrays_overlap(f"a_pre{k}", f"b_pre{k}"))
     both = F.size(F.array_intersect("a_shared", "b_shared"))
     return joined.where(both * 100 >= (F.col("a_n") + F.col("b_n") - both) * percent).select("a", "b")
 
 
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, place of a's shingle) with ``both``, ``similar`` and ``lacks``.
+
+    ``lacks`` are minima, under ``MINIMA`` hashes, of a's shingles that b has not. Those
+    that come before the shingle that brought them together are left out: being rarer,
+    they are a's own.
+    """
+    both = F.size(F.array_intersect("a_shared", "b_shared"))
+    passes = F.lit(True)
+    for k in range(ORDERS):
+        passes = passes & F.arrays_overlap(f"a_pre{k}", f"b_pre{k}")
+    own = F.slice("a_pre0", F.lit(1), (F.col("place") - F.col("a_n") + F.size("a_shared")).cast("int"))
+    lacking = F.array_except(F.array_except("a_shared", "b_shared"), own)
+    minima = F.array(*[F.array_min(F.transform(lacking, lambda t, i=i: F.xxhash64(F.lit(i), t))) for i in range(MINIMA)])
+    return _joined(pairs, sets).select(
+        "a", "b", both.alias("both"),
+        (passes & (both * 100 >= (F.col("a_n") + F.col("b_n") - both) * percent)).alias("similar"), minima.alias("lacks"),
+    )
+
+
+def _alike(compared: DataFrame) -> DataFrame:
+    """Pairs of nodes that lack the same of the node they were compared with.
+
+    Copies of one text that were each edited once differ from any of them in two places,
+    which may be too much; those edited in the same place are similar. A node goes by the
+    one it has most in common with, and meets the first of those with the same minimum.
+    """
+    nearest = compared.groupBy("b").agg(F.max(F.struct("both", "a", "lacks")).alias("m"))
+    lacks = nearest.select("b", "m.a", F.posexplode("m.lacks").alias("i", "least")).where("least is not null")
+    first = lacks.groupBy("a", "i", "least").agg(F.min("b").alias("c"), F.count("*").alias("n")).where("n > 1")
+    return lacks.join(first, ["a", "i", "least"]).where("b <> c").select(F.col("c").alias("a"), "b").distinct()
+
+
 def _postings(sets: DataFrame) -> DataFrame:
     """(token, node, n, place, weight): prefix shingles of the first order, placed in the whole set's order."""
     return sets.select("node", "n", "weight", F.size("shared").alias("met"), F.posexplode("pre0").alias("i", "token")).select(
@@ -205,7 +253,8 @@ def _may_match(percent: int) -> Column:
     """Whether a and b can be similar if this shingle is the first that they share.
 
     Shingles before it are not shared, so the overlap is at most what follows on
-    either side; it must reach t / (1 + t) of both sizes together.
+    either side; it must reach t / (1 + t) of both sizes together. That holds for the
+    smaller set as a whole too.
     """
     least = (F.col("a_n") + F.col("b_n")) * percent
     return ((F.col("a_n") - F.col("a_place")) * (100 + percent) >= least) & (
@@ -213,26 +262,82 @@ def _may_match(percent: int) -> Column:
     )
 
 
-def _side(postings: DataFrame, name: str) -> DataFrame:
-    return postings.select("token", *[F.col(c).alias(f"{name}_{c}") for c in ("node", "n", "place", "label")])
+def _side(postings: DataFrame, name: str, *more: str) -> DataFrame:
+    return postings.select("token", *more, *[F.col(c).alias(f"{name}_{c}") for c in ("node", "n", "place", "label")])
+
+
+def _across(postings: DataFrame, one: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a shingle's nodes with different labels that may match.
+
+    ``one`` are the nodes outside the largest label, or these with ``b_n`` and
+    ``b_place``, the classes of nodes they may match.
+    """
+    classes = [c for c in ("b_n", "b_place") if c in one.columns]
+    two = _side(postings, "b").join(postings.select("token", "main").distinct(), "token")
+    left = one.select("token", *[F.col(c).alias(f"a_{c}") for c in ("node", "n", "place", "label")], *classes)
+    return left.join(two, ["token", *classes]).where(
+        "a_label <> b_label and (b_label = main or a_node < b_node)"
+    ).where(_may_match(percent))
+
+
+def _matching_classes(postings: DataFrame, percent: int) -> DataFrame:
+    """Nodes outside their shingle's largest label, once for every class that may match.
+
+    A class is all nodes of a shingle that agree in size and in the shingle's place, which
+    is all that ``_may_match`` looks at. Classes are far fewer than nodes: where a million
+    documents from one template share a shingle, their pairs are never spelled out unless
+    their classes match.
+    """
+    kinds = postings.groupBy("token", "n", "place").agg(F.max(F.expr("label <> main")).alias("outside"))
+    one = kinds.where("outside").select("token", F.col("n").alias("a_n"), F.col("place").alias("a_place"))
+    two = kinds.select("token", F.col("n").alias("b_n"), F.col("place").alias("b_place"))
+    met = one.join(two, "token").where(_may_match(percent))
+    met = met.withColumnsRenamed({"a_n": "n", "a_place": "place"})
+    return postings.where("label <> main").join(met, ["token", "n", "place"])
+
+
+def _star(postings: DataFrame, percent: int) -> DataFrame:
+    """(a, b, place): the nodes of a shingle and kind with the heaviest of them, where they may match.
+
+    The heaviest node, the one most of whose shingles are widely met, is the likeliest
+    original of the others.
+    """
+    heaviest = postings.groupBy("token", "kind").agg(
+        F.max(F.struct("weight", "node", "n", "place")).alias("m"), F.count("*").alias("nodes")
+    ).where("nodes > 1")
+    leaders = heaviest.select("token", "kind", "m.node", "m.n", "m.place").toDF("token", "kind", "a_node", "a_n", "a_place")
+    return (
+        _side(postings, "b", "kind")
+        .join(leaders, ["token", "kind"])
+        .where((F.col("a_node") != F.col("b_node")) & _may_match(percent))
+        .select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), F.col("a_place").alias("place"))
+    )
+
+
+def _sized(postings: DataFrame) -> DataFrame:
+    """Postings of the shingles that many nodes have, by two kinds each: sizes within a quarter, and within a quarter of a shifted scale.
+
+    Where a large document holds the text of many small ones it is the heaviest, but too
+    large for them.
+    """
+    hot = postings.groupBy("token").agg(F.count("*").alias("nodes")).where(F.col("nodes") > FEW).select("token")
+    scale = F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))
+    kinds = F.array(F.floor(scale) * 2 + 1, F.floor(scale + 0.5) * 2 + 2)
+    return postings.join(hot, "token").withColumn("kind", F.explode(kinds.cast("array<int>")))
 
 
 def links(sets: DataFrame, percent: int) -> DataFrame:
     """Verified pairs (a, b) that connect all nodes that similar pairs connect."""
     postings = stored(_postings(sets).withColumn("label", F.col("node")), "postings")
-    # The heaviest document of a shingle, the one most of whose shingles are widely met, is
-    # the likeliest original of the others.
-    heaviest = postings.groupBy("token").agg(
-        F.max(F.struct("weight", "node", "n", "place")).alias("m"), F.count("*").alias("nodes")
-    ).where("nodes > 1")
     star = (
-        _side(postings, "b")
-        .join(heaviest.select("token", "m.node", "m.n", "m.place").toDF("token", "a_node", "a_n", "a_place"), "token")
-        .where((F.col("a_node") != F.col("b_node")) & _may_match(percent))
-        .select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
-        .distinct()
+        _star(postings.withColumn("kind", F.lit(0)), percent)
+        .union(_star(_sized(postings), percent))
+        .groupBy("a", "b").agg(F.min("place").alias("place"))
+    )
+    compared = stored(_compared(star, sets, percent), "compared")
+    first = stored(
+        compared.where("similar").select("a", "b").union(_verified(_alike(compared), sets, percent)), "links"
     )
-    first = stored(_verified(star, sets, percent), "links")
     named = stored(
         postings.drop("label").join(components(first), "node", "left").withColumn(
             "label", F.coalesce("label", "node")
@@ -242,17 +347,15 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
     spread = named.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     sizes = named.join(spread.select("token"), "token").groupBy("token", "label").agg(F.count("*").alias("size"))
     largest = stored(
-        sizes.groupBy("token").agg(F.max(F.struct("size", "label")).alias("most")).select(
-            "token", F.col("most.label").alias("main")
-        ),
+        sizes.groupBy("token").agg(
+            F.max(F.struct("size", "label")).alias("most"), F.sum("size").alias("nodes")
+        ).select("token", F.col("most.label").alias("main"), "nodes"),
         "largest",
     )
-    open_ = named.join(largest, "token")
-    one, two = _side(open_.where("label <> main"), "a"), _side(open_, "b").join(largest, "token")
+    few, many = (named.join(largest.where(c), "token").drop("nodes") for c in (f"nodes <= {FEW}", f"nodes > {FEW}"))
     across = (
-        one.join(two, "token")
-        .where("a_label <> b_label and (b_label = main or a_node < b_node)")
-        .where(_may_match(percent))
+        _across(few, few.where("label <> main"), percent)
+        .union(_across(many, _matching_classes(many, percent), percent))
         .select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
         .distinct()
     )
@@ -289,11 +392,13 @@ def linked_rows(
         ),
         "nodes",
     )
-    chosen = known.join(nodes, "doc_id").select("node", "text", "mark")
+    # Texts stay where they are as long as the chosen ids are few enough to be sent to every task.
+    listed = F.broadcast(nodes) if nodes.count() <= LISTED_NODES else nodes
+    chosen = known.join(listed, "doc_id").select("node", "text", "mark")
     tokens = _tokens(chosen, size)
     if rows != ids:  # repeated ids may bring a node's set more than once
         tokens = tokens.dropDuplicates(["node"])
-    sets = stored(_sets(stored(tokens, "tokens"), percent), "shared")
+    sets = stored(prefix_sets(stored(tokens, "tokens"), percent), "shared")
     labels = components(links(sets, percent))
     marks = described.where("mark is not null").groupBy("mark").agg(
         F.min("doc_id").alias("first"), F.count("*").alias("copies")

@@ -14,8 +14,8 @@ _SEPARATORS = b" \t\n\x0b\x0c\r.,;:!?\"'()[]{}|<>"
 SEPARATES = np.zeros(256, dtype=bool)
 SEPARATES[list(_SEPARATORS)] = True
 
-#: Bytes worked on at once.
-CHUNK_BYTES = 2_000_000
+#: Bytes worked on at once; several arrays of 8 bytes each are held for every one of them.
+CHUNK_BYTES = 300_000
 
 
 def spaced_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -29,12 +29,25 @@ def spaced_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def chunks(texts: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """``spaced_bytes`` in pieces of whole texts of about ``size`` bytes."""
-    data, bounds = spaced_bytes(texts)
+    """``spaced_bytes`` in pieces of whole texts of about ``size`` bytes; only a piece is copied at a time."""
+    for piece in sliced(texts, size):
+        data, bounds = spaced_bytes(piece)
+        yield data[bounds[0] : bounds[-1]], bounds - bounds[0]
+
+
+def sliced(texts: pa.Array, size: int) -> Iterator[pa.Array]:
+    """``texts`` in slices of about ``size`` bytes, a text of more alone.
+
+    Cast before they are cut: Arrow's kernels for ASCII read a slice that is cast
+    afterwards from the wrong place.
+    """
+    texts = texts.cast(pa.large_string())
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
-    while start < len(bounds) - 1:
-        stop = max(start + 1, int(np.searchsorted(bounds, bounds[start] + size, side="right")) - 1)
-        yield data[bounds[start] : bounds[stop]], bounds[start : stop + 1] - bounds[start]
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
+        yield texts.slice(start, stop - start)
         start = stop
 
 

@@ -50,7 +50,8 @@ def spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    size = 1 << max(len(data), 1).bit_length()
+    # Pieces of usual size share the same powers.
+    size = 1 << max(len(data).bit_length(), 20)
     ascending, inverse = _powers(size)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(_TABLE[data] * ascending[: len(data)], out=sums[1:])

@@ -174,6 +174,102 @@ def test_many_documents_share_one_passage(spark):
     assert len({r["doc_id"] for r in found if not r["kept"]}) >= 298
 
 
+def edited_passage(seed, length, edits, where):
+    """A passage and a copy with some words changed: evenly spread, the hardest, or anywhere."""
+    rng = random.Random(seed)
+    base = passage(seed, length).split()
+    at = [length * (k + 1) // (edits + 1) for k in range(edits)] if where == "even" else rng.sample(range(length), edits)
+    changed = [f"edit{rng.randrange(10**9)}" if k in at else w for k, w in enumerate(base)]
+    return " ".join(base), " ".join(changed)
+
+
+@pytest.mark.parametrize("where", ["even", "anywhere"])
+def test_recall_of_edited_passages_in_running_text(spark, where):
+    """200 planted pairs of each kind, without line breaks: at least nine in ten are found."""
+    kinds = [(60, 1), (100, 2), (150, 3), (40, 0), (45, 0)]
+    rows, planted = [], {}
+    for k, (length, edits) in enumerate(kinds):
+        for n in range(200):
+            seed = 1_000_000 * (k + 1) + n
+            for copy, shared in enumerate(edited_passage(seed, length, edits, where)):
+                i = 10_000 * k + 10 * n + copy
+                rows.append((i, f"{passage(seed + 300 + 1_000 * copy, 40 + n % 37)} {shared} {passage(seed + 5_000 + copy, 30)}"))
+                planted[i] = (k, n)
+    rows += [(900_000 + n, passage(70_000_000 + n, 200)) for n in range(200)]
+    found = {r["doc_id"] for r in repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found <= set(planted)
+    for k, kind in enumerate(kinds):
+        both = Counter(planted[i] for i in found if planted[i][0] == k)
+        assert sum(n == 2 for n in both.values()) >= 180, (kind, where, len(both))
+
+
+def test_similar_lines_equal_all_pairs(spark):
+    """Line paragraphs of 22 words and more: every pair by its exact Jaccard similarity."""
+    import lakeferry.llm.substring_dedup as module
+
+    rng = random.Random(3)
+    lines = []
+    for k in range(60):
+        base = passage(k, rng.randrange(22, 90)).split()
+        lines.append(base)
+        for _ in range(rng.randrange(3)):
+            copy = list(base)
+            for _ in range(rng.choice([1, 1, 2, 4])):
+                copy[rng.randrange(len(copy))] = f"z{rng.randrange(10**8)}"
+            lines.append(copy[: rng.randrange(len(copy) - 2, len(copy) + 1)])
+    rng.shuffle(lines)
+    rows = [(i, "\n".join(["short line", " ".join(line), "another"])) for i, line in enumerate(lines)]
+    found = repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    sets = [{tuple(x[k : k + 5]) for k in range(len(x) - 4)} for x in lines]
+    links = [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    parent = list(range(len(sets)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        parent[max(root(a), root(b))] = min(root(a), root(b))
+    similar = {i for pair in links for i in pair}
+    assert similar <= {r["doc_id"] for r in found}
+    # Exact stretches of less similar lines are found too; by themselves the similar lines are these clusters.
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    near = module._meetings(docs, 10**6).where(F.col("kind") == module.NEAR)
+    places = near.select(F.col("token").alias("node"), "doc_id", F.col("start").cast("long").alias("start"))
+    got = {}
+    for r in module._similar(docs, places, 80).collect():
+        got.setdefault(r["cluster"], set()).add(r["doc_id"])
+        line = " ".join(lines[r["doc_id"]])
+        assert len(dict(rows)[r["doc_id"]][r["start"] : r["end"]].strip()) <= len(line) and r["keep_doc"] == root(r["doc_id"])
+    want = defaultdict(set)
+    for i in similar:
+        want[root(i)].add(i)
+    # Equal lines are one node, at the least place.
+    first = {}
+    for i, line in enumerate(lines):
+        first.setdefault(" ".join(line), i)
+    assert sorted(map(sorted, got.values())) == sorted(sorted({first[" ".join(lines[i])] for i in w}) for w in want.values() if len({first[" ".join(lines[i])] for i in w}) > 1)
+    far = {i for i in range(len(lines)) if all(len(set(lines[i]) & set(lines[j])) < 10 for j in range(len(lines)) if j != i)}
+    assert not far & {r["doc_id"] for r in found}
+
+
+def test_template_lines_are_not_paired_one_by_one(spark, monkeypatch):
+    """Lines alike but for one word in the middle: similarity 0.68, no result, and no quadratic join."""
+    import lakeferry.llm.ngram_join as join
+
+    line = passage(5, 30).split()
+    rows = [(i, " ".join([*line[:15], f"name{i}", *line[16:]])) for i in range(1_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    met = []
+    across = join._across
+    monkeypatch.setattr(join, "_across", lambda postings, one, percent: met.append(one.count()) or across(postings, one, percent))
+    assert repeats(docs).count() == 0
+    assert similar_documents(docs).where("component_id <> doc_id").count() == 0
+    # Nodes that go into a join with the others of their shingle: none whose classes cannot match.
+    assert sum(met) == 0
+
+
 def brute_top(rows, k=10, scale=1024):
     usable = [(i, np.floor(np.array(v, dtype=float) * scale).astype(np.int64)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
     out = set()
