@@ -34,8 +34,6 @@ SIZES, BITS, DIMENSIONS = (3, 4, 5, 6), 18, 4
 MAX_DOCUMENTS, DAMPING = 4_000, 1e-9
 #: Scores from which a document counts as toxic.
 TOXIC_FROM = 0.3
-#: Bytes of text turned into bags at once; bounds the driver's memory.
-BAG_BYTES = 300_000
 
 
 @dataclass(frozen=True)
@@ -58,18 +56,18 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
 
 
-def bags(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per text: its buckets and the share of each among all its n-grams."""
+def bags(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """Per text: its buckets, how often it has each (in the shortest type), and the number of all its n-grams."""
     out = []
-    for data, bounds in subwords.chunks(texts, BAG_BYTES):
+    for data, bounds in subwords.chunks(texts):
         found = list(subwords.buckets(data, SIZES, BITS))
         at, bucket = (np.concatenate([f[i] for f in found]) for i in (0, 1))
         row = np.searchsorted(bounds, at, side="right") - 1
         key, count = np.unique(row << BITS | bucket, return_counts=True)
         cuts = np.searchsorted(key, np.arange(len(bounds), dtype=np.int64) << BITS)
         for a, b in zip(cuts[:-1], cuts[1:]):
-            share = count[a:b] / max(count[a:b].sum(), 1)
-            out.append(((key[a:b] & ((1 << BITS) - 1)).astype(np.int32), share.astype(np.float32)))
+            times = count[a:b].astype(np.min_scalar_type(count[a:b].max(initial=0)))
+            out.append(((key[a:b] & ((1 << BITS) - 1)).astype(np.int32), times, max(int(count[a:b].sum()), 1)))
     return out
 
 
@@ -98,8 +96,12 @@ def train(
     epochs = epochs or min(30, max(5, 12_000 // len(texts)))
     least = least or max(3, len(texts) // 400)
     rows, n = bags(texts), 1 << BITS
-    texts_with = np.bincount(np.concatenate([index for index, _ in rows]), minlength=n)
-    rows = [(index[keep], share[keep]) for index, share in rows for keep in [texts_with[index] >= least]]
+    texts_with = np.zeros(n, dtype=np.int64)
+    for index, _, _ in rows:
+        texts_with[index] += 1
+    for i, (index, times, total) in enumerate(rows):  # one by one, so that the rest is given back
+        keep = texts_with[index] >= least
+        rows[i] = (index[keep], times[keep], total)
     embedding = [rng.normal(0, 0.1, n).astype(np.float32) for _ in range(DIMENSIONS)]
     layer = rng.normal(0, 0.5, (DIMENSIONS, 2)).astype(np.float32)
     base = np.clip(labels.mean(), 1e-3, 1 - 1e-3)
@@ -111,7 +113,7 @@ def train(
         for start in range(0, len(order), batch):
             chosen = order[start : start + batch]
             index = np.concatenate([rows[i][0] for i in chosen])
-            share = np.concatenate([rows[i][1] for i in chosen])
+            share = np.concatenate([(rows[i][1] / rows[i][2]).astype(np.float32) for i in chosen])
             lengths = np.array([len(rows[i][0]) for i in chosen])
             doc = np.repeat(np.arange(len(chosen)), lengths)
             hidden = np.stack(
@@ -200,7 +202,10 @@ def scorer(docs: DataFrame, model: ToxicityModel):
 
     @F.arrow_udf("double")
     def judged(texts: pa.Array) -> pa.Array:
-        return pa.array(shared.value.score(texts))
+        scores = pa.array(shared.value.score(texts))
+        # Workers live on after their task; what they do not need goes back.
+        pa.default_memory_pool().release_unused()
+        return scores
 
     return judged
 
