@@ -230,3 +230,19 @@ ORACLES["op11_vector_codes"] = f"""
         FROM (SELECT part, entry, unnest(v) AS x, unnest(range(len(v))) AS k FROM c2))
     SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
     FROM coded JOIN whole USING (vec_id), digest"""
+
+#: Links by counting the shingles that two documents share; components by following links.
+ORACLES["op7_ngram_join"] = f"""
+    WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    shingles AS (SELECT DISTINCT doc_id, md5(array_to_string(w[i : i + 4], ' ')) AS s
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+    shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+        FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+    links AS (SELECT a, b FROM shared JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+        WHERE 100 * c >= 80 * (x.n + y.n - c)),
+    edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reached AS (SELECT doc_id AS node, doc_id AS label FROM documents
+        UNION SELECT edges.b, reached.label FROM reached JOIN edges ON reached.node = edges.a)
+    SELECT d.doc_id, coalesce(max(n), 0)::BIGINT AS n_shingles, min(label) AS component_id
+    FROM documents d JOIN reached ON node = d.doc_id LEFT JOIN sizes z ON z.doc_id = d.doc_id GROUP BY d.doc_id"""
