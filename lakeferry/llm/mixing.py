@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from lakeferry.llm.common import SPACES, stored
 
 #: Aimed rows of the one hash range per leaf that is ordered row by row.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 1_000
 _BIG = "decimal(38,0)"
 
 

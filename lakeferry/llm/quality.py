@@ -7,7 +7,8 @@ estimates a loss and cannot be negative, so whenever a batch drives it below nou
 that part alone is ascended instead of descended. The prior is estimated first:
 the share of unlabelled text in any region is at least p times that of the
 positives, so p is the least ratio of the two over the score regions of a first
-classifier that tells positives from unlabelled.
+classifier that tells positives from unlabelled. The unlabelled rows of each region are
+counted over all documents that may be learned from, in one pass.
 
 g is a network with one hidden layer over some twenty figures of the text: shares
 of byte classes, repeated words, word and line lengths. Training takes at most
@@ -23,6 +24,7 @@ columns are not read; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -103,8 +105,11 @@ class QualityModel:
         hidden = np.tanh((x - self.centre) / self.scale @ self.inner + self.inner_bias)
         return hidden @ self.outer + self.outer_bias
 
+    def logits(self, texts: pa.Array) -> np.ndarray:
+        return self.logit(figures(texts))
+
     def score(self, texts: pa.Array) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.logit(figures(texts)), -500, 500)))
+        return 1 / (1 + np.exp(-np.clip(self.logits(texts), -500, 500)))
 
 
 def _descend(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, steps: int, seed: int) -> QualityModel:
@@ -146,27 +151,47 @@ def _descend(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None,
     return QualityModel(centre, scale, weights[0], weights[1], weights[2], float(weights[3][0]), prior or float("nan"))
 
 
-def class_prior(positive: np.ndarray, unlabelled: np.ndarray, least: float = 0.1) -> float:
+def regions(positive: np.ndarray, least: float = 0.1) -> np.ndarray:
+    """Scores from which on regions begin; each holds at least ``least`` of the positives."""
+    return np.quantile(positive, np.linspace(0, 1 - least, 60))
+
+
+def class_prior(positive: np.ndarray, cuts: np.ndarray, shares: np.ndarray, n: int) -> float:
     """Share of positives in unlabelled text, from scores of a first classifier.
 
-    Over regions "score at least t" that hold at least ``least`` of the positives,
-    the smallest ratio of the shares of unlabelled and of positive rows, with one
-    standard error added for the smaller regions.
+    Over the regions "score at least t", t in ``cuts``, the smallest ratio of the shares
+    of unlabelled (``shares``, of ``n`` rows) and of positive rows, with one standard
+    error added for the smaller regions.
     """
-    cuts = np.quantile(positive, np.linspace(0, 1 - least, 60))
-    p = np.array([(positive >= t).mean() for t in cuts])
-    u = np.array([(unlabelled >= t).mean() for t in cuts])
-    error = np.sqrt(u * (1 - u) / len(unlabelled) + p * (1 - p) / len(positive)) / np.maximum(p, 1e-9)
+    p, u = np.array([(positive >= t).mean() for t in cuts]), shares
+    error = np.sqrt(u * (1 - u) / n + p * (1 - p) / len(positive)) / np.maximum(p, 1e-9)
     return float(np.clip(np.min(u / np.maximum(p, 1e-9) + error), 0.01, 0.99))
 
 
-def train(positive: pa.Array, unlabelled: pa.Array, prior: float | None = None, steps: int = 3_000, seed: int = 5) -> QualityModel:
+def train(
+    positive: pa.Array, unlabelled: pa.Array, counted: Callable[[QualityModel, np.ndarray], tuple[np.ndarray, int]],
+    steps: int = 3_000, seed: int = 5,
+) -> QualityModel:
+    """``counted(model, cuts)`` tells the shares of all unlabelled rows that reach each cut, and their number."""
     p, u = figures(positive), figures(unlabelled)
-    if prior is None:
-        half_p, half_u = len(p) // 2, len(u) // 2
-        first = _descend(p[:half_p] if half_p else p, u[:half_u] if half_u else u, None, steps // 3, seed)
-        prior = class_prior(first.logit(p[half_p:]), first.logit(u[half_u:]))
-    return _descend(p, u, prior, steps, seed)
+    half_p, half_u = len(p) // 2, len(u) // 2
+    first = _descend(p[:half_p] if half_p else p, u[:half_u] if half_u else u, None, steps // 3, seed)
+    held = first.logit(p[half_p:])
+    cuts = regions(held)
+    return _descend(p, u, class_prior(held, cuts, *counted(first, cuts)), steps, seed)
+
+
+def counts(docs: DataFrame, text_col: str = "text"):
+    """For ``train``: counts over all rows of ``docs``, in one pass."""
+
+    def counted(model: QualityModel, cuts: np.ndarray) -> tuple[np.ndarray, int]:
+        logits = docs.select(_told(docs, model, "logits")(F.col(text_col)).alias("x"))
+        found = logits.agg(
+            F.count("*").alias("n"), *[F.count_if(F.col("x") >= F.lit(float(t))).alias(f"c{i}") for i, t in enumerate(cuts)]
+        ).first()
+        return np.array(found[1:], dtype=float) / max(found["n"], 1), max(found["n"], 1)
+
+    return counted
 
 
 def fit(
@@ -193,17 +218,24 @@ def fit(
         nothing = np.zeros(width)
         sure = 500.0 if len(positive) else -500.0
         return QualityModel(nothing, nothing + 1, np.zeros((width, 1)), np.zeros(1), np.zeros(1), sure)
-    return train(positive, unlabelled, seed=seed)
+    return train(positive, unlabelled, counts(docs.where(learn), text_col), seed=seed)
 
 
 def scorer(docs: DataFrame, model: QualityModel):
     """A function from a column of texts to scores."""
+    return _told(docs, model, "score")
+
+
+def _told(docs: DataFrame, model: QualityModel, what: str):
+    """A function from a column of texts to what a method of the model gives."""
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
     def judged(texts: pa.Array) -> pa.Array:
-        return pa.array(shared.value.score(texts))
+        found = pa.array(getattr(shared.value, what)(texts))
+        pa.default_memory_pool().release_unused()
+        return found
 
     return judged
 

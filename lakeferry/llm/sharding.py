@@ -180,7 +180,8 @@ def shard(
         ),
         "shard-rows",
     ).withColumn("part", F.shiftright("row", 33))
-    sizes = rows.groupBy("part").agg(F.count("*").alias("n"))
+    # Stored: every level of the matrix reads it.
+    sizes = stored(rows.groupBy("part").agg(F.count("*").alias("n")), "shard-sizes")
     whole = sizes.agg(F.sum("n").alias("n"), F.max("part").alias("last")).first()
     total, parts = whole["n"] or 0, (whole["last"] or 0) + 1
     shard_sizes = [total // shards + (j < total % shards) for j in range(shards)]

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import hashlib
+import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lakeferry.llm import bpe, quality, toxicity
+from lakeferry.llm import bpe, quality, subwords, toxicity
 from lakeferry.llm.queries import QUERIES, TOKENIZER, digests
 
 PATH = public_tokenizers.path(TOKENIZER)
@@ -69,11 +71,90 @@ def test_models_take_odd_rows(spark, module, label):
         assert module.score(docs.limit(0), model).count() == 0
 
 
-def test_prior_is_estimated(sf_dir):
+def test_prior_is_estimated():
     rng = np.random.default_rng(3)
     positive = rng.normal(2, 1, 4_000)
     mixture = np.concatenate([rng.normal(2, 1, 2_800), rng.normal(-2, 1, 1_200)])
-    assert abs(quality.class_prior(positive, mixture) - 0.7) < 0.08
+    cuts = quality.regions(positive)
+    shares = np.array([(mixture >= t).mean() for t in cuts])
+    assert abs(quality.class_prior(positive, cuts, shares, len(mixture)) - 0.7) < 0.08
+
+
+def test_prior_counts_every_document_that_may_be_learned_from(spark, sf_dir):
+    """Not only those of the sample, and none of the held-out ones."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").unionByName(
+        spark.createDataFrame([(-1, None, "xx", "s", 0)], "doc_id long, text string, lang string, source string, n_chars long"),
+        allowMissingColumns=True,
+    )
+    learn = ~toxicity.held_out("doc_id", 3, 1)
+    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), learn=learn, max_documents=60)
+    texts = [r["text"] or "" for r in docs.where(learn).collect()]
+    cuts = np.array([-2.0, 0.0, 1.5])
+    shares, n = quality.counts(docs.where(learn))(model, cuts)
+    logits = model.logits(pa.array(texts))
+    assert n == len(texts) > 60 and np.allclose(shares, [(logits >= t).mean() for t in cuts])
+
+
+TEXTS = ["You st*pid, STUPID fool!", "", "a", "plain words here\nand a second line", "ÄÖ ü ß é", "x" * 50, "id1ot (moron)", "1 2 3, four. five!"]
+
+
+def test_toxicity_score_equals_a_plain_loop():
+    """Every n-gram of 3 to 6 bytes within a word and its edges, one after the other, under the same weights."""
+    rng = np.random.default_rng(2)
+    model = toxicity.ToxicityModel(rng.normal(size=1 << toxicity.BITS).astype(np.float32), -0.3)
+
+    def bucket(symbols):
+        code = symbols[0]
+        for n, s in enumerate(symbols[1:], start=2):
+            code = (code * 0x01000193 + s + n) & 0xFFFFFFFF
+        code ^= code >> 15
+        return (code * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - toxicity.BITS)
+
+    def plain(text):
+        data = f" {text.lower()} ".encode()
+        apart = [subwords.SEPARATES[b] for b in data]
+        symbols = [32 if a else b for a, b in zip(apart, data)]
+        found = [
+            model.weights[bucket(symbols[i : i + n])]
+            for n in toxicity.SIZES for i in range(len(data) - n + 1) if not any(apart[i + 1 : i + n - 1])
+        ]
+        mean = sum(map(float, found)) / len(found) if found else 0.0
+        return 1 / (1 + np.exp(-(model.bias + mean)))
+
+    got = model.score(pa.array([*TEXTS, None]))
+    # Long texts and several pieces give the same.
+    np.testing.assert_allclose(got, [plain(t) for t in [*TEXTS, ""]], rtol=1e-6)
+    many = model.score(pa.array(TEXTS * 3_000))
+    np.testing.assert_allclose(many, np.tile(got[:-1], 3_000), rtol=1e-6)
+
+
+def test_quality_score_equals_a_plain_loop():
+    """Figures counted word by word and byte by byte, and the network written out."""
+    rng = np.random.default_rng(4)
+    width = len(quality.CLASSES) + 9
+    model = quality.QualityModel(
+        rng.normal(size=width), rng.uniform(0.5, 2, width), rng.normal(size=(width, 3)), rng.normal(size=3), rng.normal(size=3), 0.2
+    )
+
+    def plain(text):
+        data = text.encode()
+        size = max(len(data), 1)
+        words_ = [w for w in re.split(rb"[\x20\x09-\x0D]+", data) if w]
+        n = max(len(words_), 1)
+        padded = data + b" "
+        lengths = [len(w) for w in words_]
+        mean = sum(lengths) / n
+        odd_bytes = quality.CLASSES["symbol"] + quality.CLASSES["shout"] + quality.CLASSES["bar"]
+        odd = [w[-1] in odd_bytes for w in words_]
+        x = [sum(b in members for b in padded) / size for members in quality.CLASSES.values()]
+        x += [np.log1p(size), np.log1p(len(words_)), mean, np.sqrt(max(sum(k * k for k in lengths) / n - mean**2, 0))]
+        x += [sum(a == b for a, b in zip(words_, words_[1:])) / n, len(set(words_)) / n, sum(65 <= w[0] <= 90 for w in words_) / n]
+        x += [sum(odd) / n, sum(o and len(w) == 1 for o, w in zip(odd, words_)) / n]
+        z = (np.array(x) - model.centre) / model.scale
+        hidden = [np.tanh(sum(z[i] * model.inner[i, j] for i in range(width)) + model.inner_bias[j]) for j in range(3)]
+        return 1 / (1 + np.exp(-(sum(h * o for h, o in zip(hidden, model.outer)) + model.outer_bias)))
+
+    np.testing.assert_allclose(model.score(pa.array([*TEXTS, None])), [plain(t) for t in [*TEXTS, ""]], rtol=1e-9)
 
 
 def library(text):
