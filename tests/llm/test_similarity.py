@@ -318,6 +318,26 @@ def test_top_k_of_vectors_near_the_axes(spark, spread, monkeypatch):
     assert {tuple(r) for r in top_k(table, F.col("id") % 100 == 0).collect()} == brute_top(rows)
 
 
+def test_top_k_takes_every_row_of_a_repeated_id(spark, monkeypatch):
+    import lakeferry.llm.topk as module
+
+    monkeypatch.setattr(module, "BUCKET", 16)
+    monkeypatch.setattr(module, "BLOCK", 3)
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=6) * (1 if i else 4)]) for i in range(0, 400, 5)]
+    # Copies of a query and of a candidate; query ids and a candidate's with another vector, or one of another dimension.
+    rows += [rows[0], rows[3], rows[3], (100, [3.0] * 6), (300, [-x for x in rows[60][1]]), (15, [0.5] * 6), (200, [2.0, 1.0]), (200, [1.0, 1.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = [np.floor(np.array(v) * 1024).astype(np.int64) for _, v in rows]
+    want = Counter()
+    for a, (query, _) in enumerate(rows):
+        if query % 100 == 0:
+            others = [(-int(whole[a] @ w), i) for b, ((i, _), w) in enumerate(zip(rows, whole)) if b != a and len(w) == len(whole[a])]
+            want.update((query, rank, i, -s) for rank, (s, i) in enumerate(sorted(others)[:10], start=1))
+    assert want[(0, 1, 0, int(whole[0] @ whole[0]))] == 2  # each copy of the query finds the other first
+    assert Counter(map(tuple, top_k(table, F.col("id") % 100 == 0).collect())) == want
+
+
 def test_near_copies_of_line_paragraphs(spark):
     rows = []
     for k in range(60):
