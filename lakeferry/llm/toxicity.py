@@ -28,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeferry.llm import subwords
-from lakeferry.llm.common import crc_of_id, ship
+from lakeferry.llm.common import crc_of_id, give_back, ship
 
 SIZES, BITS, DIMENSIONS = (3, 4, 5, 6), 18, 4
 MAX_DOCUMENTS, DAMPING = 4_000, 1e-9
+#: Bytes of training texts whose n-grams are counted at once.
+BAG_BYTES = 100_000
 #: Scores from which a document counts as toxic.
 TOXIC_FROM = 0.3
 
@@ -56,19 +58,41 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
 
 
-def bags(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray, int]]:
-    """Per text: its buckets, how often it has each (in the shortest type), and the number of all its n-grams."""
-    out = []
-    for data, bounds in subwords.chunks(texts):
+def bags(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per piece of the texts: the buckets of its texts, one text after the other, how often each is there, and the bounds of the texts."""
+    for data, bounds in subwords.chunks(texts, BAG_BYTES):
         found = list(subwords.buckets(data, SIZES, BITS))
         at, bucket = (np.concatenate([f[i] for f in found]) for i in (0, 1))
         row = np.searchsorted(bounds, at, side="right") - 1
         key, count = np.unique(row << BITS | bucket, return_counts=True)
         cuts = np.searchsorted(key, np.arange(len(bounds), dtype=np.int64) << BITS)
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            times = count[a:b].astype(np.min_scalar_type(count[a:b].max(initial=0)))
-            out.append(((key[a:b] & ((1 << BITS) - 1)).astype(np.int32), times, max(int(count[a:b].sum()), 1)))
-    return out
+        yield (key & ((1 << BITS) - 1)).astype(np.int32), count, cuts
+
+
+def frequent(texts: pa.Array, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(texts with each bucket; buckets, counts, bounds and number of all n-grams of the texts).
+
+    Of the texts only buckets are kept that ``least`` texts have. What they take is known
+    after a first pass, so that they lie in one array each and not in pieces that keep
+    the driver's memory from being given back.
+    """
+    texts_with, most = np.zeros(1 << BITS, dtype=np.int64), 0
+    for bucket, count, _ in bags(texts):
+        texts_with += np.bincount(bucket, minlength=len(texts_with))
+        most = max(most, int(count.max(initial=0)))
+    kept = texts_with >= least
+    size = int(texts_with[kept].sum())
+    buckets, times = np.empty(size, dtype=np.int32), np.empty(size, dtype=np.min_scalar_type(most))
+    ends, totals, start = [np.zeros(1, dtype=np.int64)], [], 0
+    for bucket, count, cuts in bags(texts):
+        keep = kept[bucket]
+        end = start + np.concatenate([[0], np.cumsum(keep)])[cuts[1:]]
+        stop = int(end[-1])
+        buckets[start:stop], times[start:stop] = bucket[keep], count[keep]
+        ends.append(end)
+        totals.append(np.diff(np.concatenate([[0], np.cumsum(count)])[cuts]))
+        start = stop
+    return texts_with, buckets, times, np.concatenate(ends), np.maximum(np.concatenate(totals), 1)
 
 
 def train(
@@ -95,13 +119,8 @@ def train(
     rng = np.random.default_rng(seed)
     epochs = epochs or min(30, max(5, 12_000 // len(texts)))
     least = least or max(3, len(texts) // 400)
-    rows, n = bags(texts), 1 << BITS
-    texts_with = np.zeros(n, dtype=np.int64)
-    for index, _, _ in rows:
-        texts_with[index] += 1
-    for i, (index, times, total) in enumerate(rows):  # one by one, so that the rest is given back
-        keep = texts_with[index] >= least
-        rows[i] = (index[keep], times[keep], total)
+    texts_with, buckets, times, bounds, totals = frequent(texts, least)
+    cells, n = [slice(*b) for b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], 1 << BITS
     embedding = [rng.normal(0, 0.1, n).astype(np.float32) for _ in range(DIMENSIONS)]
     layer = rng.normal(0, 0.5, (DIMENSIONS, 2)).astype(np.float32)
     base = np.clip(labels.mean(), 1e-3, 1 - 1e-3)
@@ -109,12 +128,12 @@ def train(
     g_embedding = [np.full(n, DAMPING, dtype=np.float32) for _ in range(DIMENSIONS)]
     g_layer, g_bias = np.full_like(layer, 1e-6), np.full_like(bias, 1e-6)
     for _ in range(epochs):
-        order = rng.permutation(len(rows))
+        order = rng.permutation(len(cells))
         for start in range(0, len(order), batch):
             chosen = order[start : start + batch]
-            index = np.concatenate([rows[i][0] for i in chosen])
-            share = np.concatenate([(rows[i][1] / rows[i][2]).astype(np.float32) for i in chosen])
-            lengths = np.array([len(rows[i][0]) for i in chosen])
+            index = np.concatenate([buckets[cells[i]] for i in chosen])
+            share = np.concatenate([(times[cells[i]] / totals[i]).astype(np.float32) for i in chosen])
+            lengths = bounds[chosen + 1] - bounds[chosen]
             doc = np.repeat(np.arange(len(chosen)), lengths)
             hidden = np.stack(
                 [np.bincount(doc, share * e[index], minlength=len(chosen)) for e in embedding], axis=1
@@ -187,7 +206,12 @@ def fit(
     if not len(positive) or not len(negative):
         return ToxicityModel(np.zeros(1 << BITS, dtype=np.float32), 500.0 if len(positive) else -500.0)
     truth = np.concatenate([np.zeros(len(negative)), np.ones(len(positive))])
-    return train(pa.concat_arrays([negative, positive]), truth, positives=counts[True] / sum(counts.values()), seed=seed)
+    texts = pa.concat_arrays([negative, positive])
+    del negative, positive
+    model = train(texts, truth, positives=counts[True] / sum(counts.values()), seed=seed)
+    del texts
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

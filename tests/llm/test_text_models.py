@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -71,6 +72,45 @@ def test_models_take_odd_rows(spark, module, label):
         assert module.score(docs.limit(0), model).count() == 0
 
 
+def own_mb():
+    return sum(map(int, re.findall(r"\nPss_(?:Anon|Shmem):\s+(\d+)", Path("/proc/self/smaps_rollup").read_text()))) / 1024
+
+
+def test_fit_gives_its_memory_back(spark):
+    rng = np.random.default_rng(4)
+    words = ["".join(w) for w in rng.choice(list("abcdefghijklmnopqrst"), (3_000, 6))]
+    rows = [(i, " ".join(rng.choice(words, 450)), i % 2) for i in range(1_200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    del rows
+    toxicity.fit(docs.select("doc_id", "text").limit(20), docs.select("doc_id", "toxic"))
+    before = own_mb()
+    toxicity.fit(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert own_mb() - before < 25
+
+
+def test_pieces_of_training_texts_do_not_show(monkeypatch):
+    rng = np.random.default_rng(6)
+    texts = pa.array([None, "", *(" ".join(rng.choice(["idiot", "river", "window", "x" * 300], 30)) for _ in range(40))])
+    truth, whole = rng.integers(0, 2, 42).astype(float), None
+    counted = [dict(zip(*np.unique(b, return_counts=True))) for b in map(plain_buckets, texts.to_pylist())]
+    for size in (100_000, 50):
+        monkeypatch.setattr(toxicity, "BAG_BYTES", size)
+        texts_with, buckets, times, bounds, totals = toxicity.frequent(texts, 3)
+        for i, bag in enumerate(counted):
+            kept = {b: n for b, n in bag.items() if sum(b in other for other in counted) >= 3}
+            cell = slice(bounds[i], bounds[i + 1])
+            assert dict(zip(buckets[cell], times[cell])) == kept and totals[i] == max(sum(bag.values()), 1)
+        model = toxicity.train(texts, truth, epochs=2)
+        assert whole is None or (model.weights == whole.weights).all() and model.bias == whole.bias
+        whole = model
+
+
+def plain_buckets(text):
+    """Buckets of all n-grams of one text, by itself."""
+    data, _ = subwords.spaced_bytes(pa.array([text], pa.string()))
+    return np.concatenate([b for _, b in subwords.buckets(data, toxicity.SIZES, toxicity.BITS)])
+
+
 def test_prior_is_estimated():
     rng = np.random.default_rng(3)
     positive = rng.normal(2, 1, 4_000)
